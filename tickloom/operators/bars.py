@@ -82,32 +82,30 @@ def hourly_bars(ticks: DataFrame) -> DataFrame:
 
 
 def partial_bars(ticks: DataFrame, size: str = "1 minute", *also_by: str) -> DataFrame:
-    """Mergeable bars of one micro-batch: they keep when and with which tick they open and close."""
-    order = F.struct("event_ts", "seq")
-    return (
-        ticks.groupBy("symbol", bucket_start("event_ts", size).alias("minute"), *also_by)
-        .agg(
-            F.min_by("price", order).alias("open_price"),
-            F.max("high").alias("high_price"),
-            F.min("low").alias("low_price"),
-            F.max_by("price", order).alias("close_price"),
-            F.avg("price").alias("avg_price"),
-            F.sum("volume").alias("total_volume"),
-            F.count("price").alias("tick_count"),
-            F.min(order).alias("_first"),
-            F.max(order).alias("_last"),
-        )
-        .withColumns(
-            {
-                "first_ts": F.col("_first.event_ts"),
-                "last_ts": F.col("_last.event_ts"),
-                "first_seq": F.col("_first.seq"),
-                "last_seq": F.col("_last.seq"),
-                "dt": F.to_date("minute"),
-            }
-        )
-        .drop("_first", "_last")
+    """Mergeable bars of one micro-batch: they keep when and with which tick they open and close.
+
+    Ticks of a series are ordered by their place, a fixed-width number, so they stay in the hash
+    aggregate; other ticks are ordered by (event_ts, seq).
+    """
+    grouped = ticks.groupBy("symbol", bucket_start("event_ts", size).alias("minute"), *also_by)
+    placed = "pos" in ticks.columns
+    order = F.col("pos") if placed else F.struct("event_ts", "seq")
+    made = grouped.agg(
+        F.min_by("price", order).alias("open_price"),
+        F.max("high").alias("high_price"),
+        F.min("low").alias("low_price"),
+        F.max_by("price", order).alias("close_price"),
+        F.avg("price").alias("avg_price"),
+        F.sum("volume").alias("total_volume"),
+        F.count("price").alias("tick_count"),
+        F.min("event_ts").alias("first_ts"),
+        F.max("event_ts").alias("last_ts"),
+        F.min(order).alias("first_seq"),
+        F.max(order).alias("last_seq"),
     )
+    if not placed:
+        made = made.withColumns({c: F.col(f"{c}.seq") for c in ("first_seq", "last_seq")})
+    return made.withColumn("dt", F.to_date("minute"))
 
 
 def merge_partials(partials: DataFrame, start: str = "minute") -> DataFrame:

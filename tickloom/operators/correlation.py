@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from itertools import combinations, combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.numeric import fixed
@@ -54,34 +54,33 @@ def _price_per_symbol(value: str, symbols) -> list[Column]:
     return [F.max(F.when(F.col("symbol") == s, F.col(value))).alias(s) for s in symbols]
 
 
+def _pair_values(aligned: DataFrame, pairs) -> DataFrame:
+    """One row holding an array of (a, b, r) for the given pairs, from a single aggregation."""
+    values = aligned.agg(*[pearson(a, b).alias(f"{a}|{b}") for a, b in pairs])
+    entries = [
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), fixed(F.col(f"`{a}|{b}`"), 4).alias("r"))
+        for a, b in pairs
+    ]
+    return values.select(F.array(*entries).alias("pairs"))
+
+
 def correlation_pairs(aligned: DataFrame, symbols=SYMBOLS) -> DataFrame:
-    """symbol_a, symbol_b, correlation for each unordered pair: one aggregation for all pairs."""
-    pairs = list(combinations(symbols, 2))
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("symbol_a"), F.lit(b).alias("symbol_b"), F.col(f"{a}|{b}").alias("r")
-            )
-            for a, b in pairs
-        ]
-    )
-    return (
-        aligned.agg(*[pearson(a, b).alias(f"{a}|{b}") for a, b in pairs])
-        .select(F.explode(entries).alias("e"))
-        .select("e.symbol_a", "e.symbol_b", fixed("e.r", 4).alias("correlation"))
+    """symbol_a, symbol_b, correlation for each unordered pair."""
+    return _pair_values(aligned, list(combinations(symbols, 2))).select(
+        F.inline("pairs").alias("symbol_a", "symbol_b", "correlation")
     )
 
 
 def correlation_matrix(aligned: DataFrame, symbols=SYMBOLS) -> DataFrame:
     """The full square: both orders of each pair, and each symbol with itself (0 if constant)."""
-    pairs = correlation_pairs(aligned, symbols)
-    own = aligned.agg(*[pearson(s, s).alias(s) for s in symbols])
-    diagonal = own.select(
-        F.explode(F.array(*[F.struct(F.lit(s).alias("s"), F.col(s).alias("r")) for s in symbols])).alias("e")
-    ).select(F.col("e.s").alias("from_symbol"), F.col("e.s").alias("to_symbol"), fixed("e.r", 4).alias("value"))
-    one_way = pairs.toDF("from_symbol", "to_symbol", "value")
-    other_way = pairs.toDF("to_symbol", "from_symbol", "value")
-    return one_way.unionByName(other_way).unionByName(diagonal)
+    pairs = list(combinations_with_replacement(symbols, 2))
+    mirrored = F.transform(
+        F.filter("pairs", lambda p: p["a"] != p["b"]),
+        lambda p: F.struct(p["b"].alias("a"), p["a"].alias("b"), p["r"].alias("r")),
+    )
+    return _pair_values(aligned, pairs).select(
+        F.inline(F.concat("pairs", mirrored)).alias("from_symbol", "to_symbol", "value")
+    )
 
 
 def strength(r: Column) -> Column:
@@ -93,33 +92,36 @@ def strength(r: Column) -> Column:
     )
 
 
-def ranked_pairs(spark: SparkSession, pairs: DataFrame) -> DataFrame:
-    """Pairs with display names, pair label, strength text and the listing order for ties."""
-    dim = symbol_dim(spark)
-    a = dim.select(F.col("symbol").alias("symbol_a"), F.col("name").alias("name_a"), F.col("color").alias("color1"), F.col("symbol_rank").alias("rank_a"))
-    b = dim.select(F.col("symbol").alias("symbol_b"), F.col("name").alias("name_b"), F.col("color").alias("color2"), F.col("symbol_rank").alias("rank_b"))
-    return (
-        pairs.join(a, "symbol_a")
-        .join(b, "symbol_b")
-        .select(
-            F.concat_ws("-", "symbol_a", "symbol_b").alias("pair"),
-            F.concat_ws(" vs ", "name_a", "name_b").alias("name"),
-            "correlation", "color1", "color2",
-            strength(F.col("correlation")).alias("strength"), "rank_a", "rank_b",
-        )
-    )
-
+def top_pairs(aligned: DataFrame, symbols=SYMBOLS) -> DataFrame:
+    """Three strongest pairs, two strongest positive and two strongest negative, with display data.
 
-def top_pairs(ranked: DataFrame) -> DataFrame:
-    """Three strongest pairs, two strongest positive and two strongest negative, with their list."""
-    by_strength = [F.abs("correlation").desc(), "rank_a", "rank_b"]
-
-    def pick(rows: DataFrame, listing: str, k: int) -> DataFrame:
-        return rows.orderBy(*by_strength).limit(k).withColumn("listing", F.lit(listing))
+    The pairs of all symbols sit in one array of one row, ordered by strength, then listing order.
+    """
+    pairs = list(combinations(symbols, 2))
+    ordered = F.array_sort(
+        F.transform("pairs", lambda p, i: F.struct((-F.abs(p["r"])).alias("key"), i.alias("place"), p["a"].alias("a"), p["b"].alias("b"), p["r"].alias("r")))
+    )
 
-    return (
-        pick(ranked, "top", 3)
-        .unionByName(pick(ranked.where("correlation > 0"), "positive", 2))
-        .unionByName(pick(ranked.where("correlation < 0"), "negative", 2))
-        .drop("rank_a", "rank_b")
+    def pick(listing: str, chosen: Column, k: int) -> Column:
+        return F.transform(
+            F.slice(chosen, 1, k),
+            lambda p: F.struct(F.lit(listing).alias("listing"), p["a"].alias("a"), p["b"].alias("b"), p["r"].alias("r")),
+        )
+
+    listed = _pair_values(aligned, pairs).withColumn("ordered", ordered).select(
+        F.inline(
+            F.concat(
+                pick("top", F.col("ordered"), 3),
+                pick("positive", F.filter("ordered", lambda p: p["r"] > 0), 2),
+                pick("negative", F.filter("ordered", lambda p: p["r"] < 0), 2),
+            )
+        ).alias("listing", "symbol_a", "symbol_b", "correlation")
     )
+    dim = symbol_dim(aligned.sparkSession)
+    a = dim.select(F.col("symbol").alias("symbol_a"), F.col("name").alias("name_a"), F.col("color").alias("color1"))
+    b = dim.select(F.col("symbol").alias("symbol_b"), F.col("name").alias("name_b"), F.col("color").alias("color2"))
+    return listed.join(a, "symbol_a").join(b, "symbol_b").select(
+        F.concat_ws("-", "symbol_a", "symbol_b").alias("pair"),
+        F.concat_ws(" vs ", "name_a", "name_b").alias("name"),
+        "correlation", "color1", "color2", strength(F.col("correlation")).alias("strength"), "listing",
+    )

@@ -17,6 +17,8 @@ def upper_median(ticks: DataFrame, value: str = "price", bin_width: float = 1.0)
         ticks.groupBy("symbol", F.col(value).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_bin", F.floor(F.col("_v") / F.lit(bin_width)))
+        # stated here so both uses below share one shuffle: the join would add it to one of them
+        .where(F.col("symbol").isNotNull() & F.col("_bin").isNotNull())
     )
     bins = counts.groupBy("symbol", "_bin").agg(F.sum("_n").alias("_bin_n"))
     before = Window.partitionBy("symbol").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)

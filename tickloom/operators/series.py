@@ -102,6 +102,26 @@ def _write_blocks(rows: DataFrame, block_rows: int, buckets: int) -> DataFrame:
     return spark.table(name)
 
 
+def small_series(ticks: DataFrame) -> TickSeries:
+    """The same interface for rows the caller has counted and found small (<= MAX_BLOCK_ROWS):
+    one block per symbol, nothing written."""
+    in_order = Window.partitionBy("symbol").orderBy("event_ts", "seq")
+    table = ticks.withColumns(
+        {
+            "pos": (F.row_number().over(in_order) - 1).cast("bigint"),
+            "block": F.lit(0).cast("bigint"),
+            "own": F.lit(True),
+        }
+    )
+    lengths = ticks.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    return TickSeries(table, lengths, MAX_BLOCK_ROWS)
+
+
+def series_of(ticks: DataFrame, small: int = 200_000) -> TickSeries:
+    """small_series up to ``small`` rows (counted first), stored blocks beyond."""
+    return small_series(ticks) if ticks.count() <= small else build_series(ticks)
+
+
 def build_series(
     ticks: DataFrame,
     derive: Callable[[TickSeries], DataFrame] | None = None,

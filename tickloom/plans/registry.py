@@ -187,7 +187,7 @@ def _(s):
 
 def _raw_lake(s: TickSeries) -> DataFrame:
     path = new_folder(_spark(s), "raw")
-    lake.append_json(lake.tick_lines(s.rows), path)
+    lake.append_json(lake.tick_lines(s.rows), path, in_time_order=True)
     return lake.read_raw(_spark(s), path)
 
 
@@ -198,11 +198,7 @@ query("correlation_matrix")(lambda s: correlation.correlation_matrix(correlation
 query("correlation_by_minute")(
     lambda s: correlation.correlation_pairs(correlation.aligned_bars(bars.tick_bars(s.rows)))
 )
-query("correlation_top_pairs")(
-    lambda s: correlation.top_pairs(
-        correlation.ranked_pairs(_spark(s), correlation.correlation_pairs(correlation.aligned_samples(s)))
-    )
-)
+query("correlation_top_pairs")(lambda s: correlation.top_pairs(correlation.aligned_samples(s)))
 
 # --- alerts -----------------------------------------------------------------------------------
 
@@ -251,8 +247,8 @@ query("src_csv_ticks")(lambda s: csvfiles.read_ticks(_spark(s), _csv_folder(s)[1
 def _(s):
     rows = csvfiles.read_ticks(_spark(s), _csv_folder(s)[1])
     return rows.groupBy("symbol").agg(
-        F.count(F.lit(1)).alias("row_count"), F.min("timestamp").alias("first_time"),
-        F.max("timestamp").alias("last_time"), F.sum("volume").alias("total_volume"),
+        F.count(F.lit(1)).alias("row_count"), F.min(parse_time("timestamp")).alias("first_time"),
+        F.max(parse_time("timestamp")).alias("last_time"), F.sum("volume").alias("total_volume"),
     )
 
 
@@ -273,7 +269,7 @@ def _(s):
 def _(s):
     path = new_folder(_spark(s), "orc")
     rows = detail.tick_detail(s)
-    lake.overwrite_orc(rows, path)
+    lake.overwrite_orc(rows, path, in_time_order=True)
     return lake.read_orc(_spark(s), path, rows.schema).select(
         "symbol", "dt", "seq", "event_time", "price", "spread_pct", "price_change", "mid_price", "hour"
     )
@@ -355,7 +351,7 @@ def _(s):
     spark = _spark(s)
     sent = lake.tick_lines(replay.loop(s, 2, shift=False))
     path = new_folder(spark, "flow")
-    lake.append_json(sent, path)
+    lake.append_json(sent, path, in_time_order=True)
     stored_rows = lake.read_raw(spark, path)
     keyed = stored_rows.select("symbol", "timestamp").distinct()
     return quality.flow_counts({"messages": sent, "lake_rows": stored_rows, "keyed_docs": keyed})

@@ -12,12 +12,11 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings the jobs rely on (UTC clock, AQE, dynamic overwrite)."""
+    """Apply the run-time settings the jobs rely on (UTC clock, AQE)."""
     for key, value in RECOMMENDED.items():
         spark.conf.set(key, value)
     return spark

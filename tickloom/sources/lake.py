@@ -18,14 +18,26 @@ def keep_present(df: DataFrame, columns) -> DataFrame:
     return df.select(*[c for c in columns if c in have])
 
 
-def append_json(df: DataFrame, path: str) -> None:
-    df.write.mode("append").partitionBy(*PARTITIONS).json(path)
+def clustered(df: DataFrame) -> DataFrame:
+    """Bring rows of a table partition together before a partitioned write.
+
+    Without it every task writes a file into every partition. The rebalance hint lets AQE split
+    a partition that is far larger than the others and join small ones.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in PARTITIONS])
+
+
+def append_json(df: DataFrame, path: str, in_time_order: bool = False) -> None:
+    """Append under symbol / dt. Rows that already come in time order (a tick series) need no
+    clustering: each task holds a stretch of one or two symbols."""
+    rows = df if in_time_order else clustered(df)
+    rows.write.mode("append").partitionBy(*PARTITIONS).json(path)
 
 
 def overwrite_epoch(df: DataFrame, path: str, epoch: int, fmt: str = "json") -> None:
     """Write one micro-batch under its own epoch folder; running the epoch again replaces it."""
     (
-        df.withColumn("epoch", F.lit(epoch))
+        clustered(df).withColumn("epoch", F.lit(epoch))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("epoch", *PARTITIONS).format(fmt).save(path)
     )
@@ -63,10 +75,11 @@ def register_layers(layers: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def overwrite_orc(df: DataFrame, path: str) -> None:
+def overwrite_orc(df: DataFrame, path: str, in_time_order: bool = False) -> None:
     """ORC + Snappy by (symbol, dt); only the partitions present in df are replaced."""
+    rows = df if in_time_order else clustered(df)
     (
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy").partitionBy(*PARTITIONS).orc(path)
     )
 
@@ -105,7 +118,7 @@ def upsert_partitions(changes: DataFrame, path: str, keys, order) -> None:
             raise
     # the source of this write is the table it replaces, so it is written aside first
     (
-        stored(merged, "upsert").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        clustered(stored(merged, "upsert")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS).parquet(path)
     )
 

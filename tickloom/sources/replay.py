@@ -28,14 +28,13 @@ def round_robin(series: TickSeries, symbols: list[str] | None = None) -> DataFra
     """
     spark = series.table.sparkSession
     names = symbols or list(SYMBOLS)
-    ranked = series.lengths.join(symbol_dim(spark).select("symbol", "symbol_rank"), "symbol").where(
-        F.col("symbol").isin(*names)
+    ranks = symbol_dim(spark).where(F.col("symbol").isin(*names)).select("symbol", "symbol_rank")
+    # one array with (rank, length) of each symbol: as many entries as the symbol table has rows
+    lengths = (
+        series.lengths.join(ranks, "symbol")
+        .agg(F.collect_list(F.struct(F.col("symbol_rank").alias("r"), F.col("n").alias("n"))).alias("l"))
+        .scalar()
     )
-    others = ranked.select(
-        F.lit(1).alias("_all"), F.col("symbol_rank").alias("r"), F.col("n").alias("n")
-    ).groupBy("_all").agg(F.collect_list(F.struct("r", "n")).alias("_lengths"))
-    # one small row per symbol: its rank and the lengths of all symbols
-    table = ranked.select("symbol", "symbol_rank", F.lit(1).alias("_all")).join(others, "_all").drop("_all")
     sent_before = F.aggregate(
         "_lengths",
         F.lit(0).cast("bigint"),
@@ -44,7 +43,8 @@ def round_robin(series: TickSeries, symbols: list[str] | None = None) -> DataFra
         + F.when((x["r"] < F.col("symbol_rank")) & (x["n"] > F.col("pos")), 1).otherwise(0),
     )
     return (
-        series.rows.join(table, "symbol")
+        series.rows.join(ranks, "symbol")
+        .withColumn("_lengths", lengths)
         .withColumns({"round": F.col("pos"), "send_order": sent_before})
         .drop("_lengths")
     )

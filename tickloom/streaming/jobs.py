@@ -8,15 +8,17 @@ of their micro-batch (epoch): a batch that runs again after a failure replaces i
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.functions.numeric import percent_change
 from tickloom.functions.temporal import interval_text
 from tickloom.operators.alerts import evaluate
 from tickloom.operators.bars import partial_bars
 from tickloom.operators.detail import enrich
+from tickloom.operators.indicators import indicator_frame, lagged, momentum, sma
+from tickloom.operators.risk import latest_ticks
+from tickloom.operators.series import series_of
 from tickloom.schema import SYMBOLS, TICK_FIELDS
 from tickloom.sources.lake import latest_by_key, overwrite_epoch, upsert_partitions
 from tickloom.sources.messages import decode
@@ -128,8 +130,11 @@ def keyed_upsert(ticks: DataFrame, path: str, checkpoint: str, interval: str | N
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        rows = enrich(batch.select(*TICK_FIELDS, "seq", "event_ts", "dt"))
-        upsert_partitions(rows, path, ["symbol", "timestamp"], ["event_ts", "seq"])
+        rows = enrich(batch.select(*TICK_FIELDS, "seq", "event_ts", "dt")).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            upsert_partitions(rows, path, ["symbol", "timestamp"], ["event_ts", "seq"])
+        finally:
+            rows.unpersist()
 
     return _start(ticks.writeStream.outputMode("append").foreachBatch(write), checkpoint, interval)
 
@@ -162,66 +167,51 @@ def moving_averages(ticks: DataFrame, out_path: str, state_path: str, checkpoint
     """SMA 5/10/20 and the change to the previous tick for every streamed tick.
 
     Row windows do not run on streams, so each micro-batch is joined by the last KEPT_TICKS ticks
-    of every symbol, stored by the batch before it. Source limits bound the batch. A tick older
-    than the stored end of its symbol is late: it goes to the ``late`` part of the output, without
-    averages, instead of rewriting rows already published.
+    of every symbol, stored by the batch before it, and goes through the batch indicators. A batch
+    that turns out large (a backfill) is cut into blocks first. A tick older than the stored end of
+    its symbol is late: it is published with ``late`` set and without averages, instead of
+    rewriting rows already published.
     """
     columns = ["symbol", "event_ts", "seq", "price"]
-    kept_schema = "symbol string, event_ts timestamp, seq bigint, price double, pos bigint"
+    kept_schema = "symbol string, event_ts timestamp, seq bigint, price double"
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         before = _last_state(spark, state_path, epoch)
         if before is None:
             before = spark.createDataFrame([], kept_schema)
-        ends = before.groupBy("symbol").agg(
-            F.max(F.struct("event_ts", "seq")).alias("_end"), F.max("pos").alias("_end_pos")
-        )
         order = F.struct("event_ts", "seq")
+        ends = before.groupBy("symbol").agg(F.max(order).alias("_end"))
         placed = (
             batch.select(*columns).join(ends, "symbol", "left")
             .withColumn("late", F.coalesce(order <= F.col("_end"), F.lit(False)))
-        )
-        in_order = Window.partitionBy("symbol").orderBy("event_ts", "seq")
-        fresh = (
-            placed.where("NOT late")
-            .withColumn("pos", F.row_number().over(in_order) + F.coalesce("_end_pos", F.lit(-1)))
-            .select(*columns, "pos", F.lit(True).alias("fresh"))
-        )
-        together = (
-            fresh.unionByName(before.select(*columns, "pos", F.lit(False).alias("fresh")))
-            .persist(StorageLevel.MEMORY_AND_DISK)
+            .drop("_end").persist(StorageLevel.MEMORY_AND_DISK)
         )
         try:
-            by_place = Window.partitionBy("symbol").orderBy("pos")
-            previous = F.lag("price").over(by_place)
-
-            def mean(n: int):
-                frame = by_place.rowsBetween(-(n - 1), Window.currentRow)
-                return F.when(F.col("pos") >= n - 1, F.avg("price").over(frame))
-
+            fresh = placed.where("NOT late").withColumn("fresh", F.lit(True)).drop("late")
+            kept = before.select(*columns).withColumn("fresh", F.lit(False))
+            series = series_of(fresh.unionByName(kept))
+            price = F.col("price")
             rows = (
-                together.withColumns(
-                    {f"sma_{n}": mean(n) for n in (5, 10, 20)}
-                    | {
-                        "price_change": F.col("price") - previous,
-                        "price_change_pct": percent_change(F.col("price"), previous),
-                    }
+                indicator_frame(
+                    series,
+                    sma_5=sma(5), sma_10=sma(10), sma_20=sma(20),
+                    price_change=price - lagged("price", 1), price_change_pct=momentum(1),
                 )
-                .where("fresh").drop("fresh", "pos").withColumn("late", F.lit(False))
+                .where("fresh")
+                .select(*columns, "sma_5", "sma_10", "sma_20", "price_change", "price_change_pct",
+                        F.lit(False).alias("late"))
             )
-            late = placed.where("late").select(*columns, "late")
+            late = placed.where("late")
             rows.unionByName(late, allowMissingColumns=True).write.mode("overwrite").parquet(
                 f"{out_path}/epoch={epoch}"
             )
-            newest = Window.partitionBy("symbol").orderBy(F.col("pos").desc())
             (
-                together.withColumn("_rn", F.row_number().over(newest))
-                .where(F.col("_rn") <= KEPT_TICKS).select(*columns, "pos")
+                latest_ticks(series, KEPT_TICKS, days=None).select(*columns)
                 .write.mode("overwrite").parquet(f"{state_path}/epoch={epoch}")
             )
         finally:
-            together.unpersist()
+            placed.unpersist()
 
     return _start(ticks.writeStream.outputMode("append").foreachBatch(write), checkpoint, interval)
 
