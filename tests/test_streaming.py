@@ -33,6 +33,17 @@ def test_minute_split_over_batches_and_rerun_epoch(spark, tmp_path):
     assert lake.read_raw(spark, raw).count() == 60
 
 
+def test_compaction_merges_finished_days_once(spark, tmp_path):
+    lake_path, table = str(tmp_path / "bars"), str(tmp_path / "table")
+    day = 86400
+    for batch in ([tick("GOLD", 1, 0, 5)], [tick("GOLD", 2, 1, 6), tick("GOLD", 3, day, 7)]):
+        lake.append_json(bars.partial_bars(frame(spark, batch)), lake_path)
+    for _ in range(2):
+        lake.compact_bars(spark, lake_path, table, before="2026-07-12")
+    got = lake.read_orc(spark, table).collect()
+    assert [(r.open_price, r.close_price, r.tick_count) for r in got] == [(5, 6, 2)]
+
+
 def test_unreadable_messages_do_not_stop_the_stream(spark, tmp_path):
     src, raw, bar, cp = (str(tmp_path / n) for n in ("src", "raw", "bars", "cp"))
     feed(spark, src, [tick("GOLD", 1, 0, 5)])

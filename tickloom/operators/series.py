@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from tickloom.session import new_folder
+from tickloom.session import new_folder, stored
 
 LEAD_IN = 64
 LEAD_OUT = 1
@@ -139,28 +139,22 @@ def build_series(
 
     # 1. one range shuffle; the id is (partition << 33) + place inside the sorted partition
     order = ("symbol", "event_ts", "seq")
-    ordered_path = new_folder(spark, "ordered")
-    (
+    ordered = stored(
         ticks.repartitionByRange(buckets, *order)
         .sortWithinPartitions(*order)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .write.parquet(ordered_path)
-    )
-    ordered = spark.read.parquet(ordered_path).withColumn("_part", F.shiftright("_id", 33))
+        .withColumn("_id", F.monotonically_increasing_id()),
+        "ordered",
+    ).withColumn("_part", F.shiftright("_id", 33))
 
     # 2. rows before each (symbol, partition): a window over partition counts only
-    offsets_path = new_folder(spark, "offsets")
     before = Window.partitionBy("symbol").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    (
+    offsets = stored(
         ordered.groupBy("symbol", "_part")
         .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .write.parquet(offsets_path)
+        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))),
+        "offsets",
     )
-    offsets = spark.read.parquet(offsets_path)
-    lengths_path = new_folder(spark, "lengths")
-    offsets.groupBy("symbol").agg(F.sum("_n").alias("n")).write.parquet(lengths_path)
-    lengths = spark.read.parquet(lengths_path)
+    lengths = stored(offsets.groupBy("symbol").agg(F.sum("_n").alias("n")), "lengths")
 
     # 3. global place of every row, then equal blocks
     placed = (

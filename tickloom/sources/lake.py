@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.operators.bars import merge_partials
 from tickloom.schema import BAR_SCHEMA, SYMBOLS, TICK_FIELDS, TICK_SCHEMA
 from tickloom.session import stored
 
@@ -57,6 +58,15 @@ def read_bars(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BAR_SCHEMA).option("mode", "DROPMALFORMED").json(path)
 
 
+def compact_bars(spark: SparkSession, lake_path: str, table_path: str, before: str) -> None:
+    """Merge the partial bars of all days before the given day into the ORC bar table.
+
+    Days are replaced as a whole, so running it again gives the same table.
+    """
+    finished = read_bars(spark, lake_path).where(F.col("dt") < F.lit(before).cast("date"))
+    overwrite_orc(merge_partials(finished), table_path)
+
+
 def register_raw(spark: SparkSession, table: str, path: str) -> DataFrame:
     """External catalog table over the raw lake, partitions recovered, plus a view per symbol."""
     spark.sql(
