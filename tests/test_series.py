@@ -119,6 +119,45 @@ def test_block_windows_need_no_shuffle(case):
     assert "Exchange" not in frame_._jdf.queryExecution().executedPlan().toString()
 
 
+def test_carry_join_never_moves_the_ticks(case, spark):
+    """Beyond the broadcast size only the block summaries are shuffled."""
+    _, series = case
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = detail.intraday_extremes(series)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan
+    ticks_side = plan[plan.index("SortMergeJoin") : plan.index("FileScan")]
+    assert "Exchange" not in ticks_side
+
+
+def test_layout_spreads_blocks():
+    from tickloom.operators.series import MAX_BLOCK_ROWS, MAX_BUCKETS, _layout
+
+    assert _layout(0, 8) == (256, 8)
+    for rows in (10_000, 5_000_000, 10**9, 2 * 10**12):
+        block_rows, buckets = _layout(rows, 8)
+        assert 256 <= block_rows <= MAX_BLOCK_ROWS and 8 <= buckets <= MAX_BUCKETS
+        assert rows < 50_000 or rows / block_rows / buckets >= 15
+
+
+def test_warehouse_layers(spark, tmp_path):
+    from tickloom.plans import warehouse
+
+    rows = random_ticks(500)
+    series = build_series(frame(spark, rows), block_rows=256)
+    root = str(tmp_path / "warehouse")
+    warehouse.build(series, root)
+    before = {name: df.count() for name, df in warehouse.layers(spark, root).items()}
+    warehouse.refresh(series, root)
+    assert {name: df.count() for name, df in warehouse.layers(spark, root).items()} == before
+    assert before["ods_tick"] == before["dwd_tick_detail"] == 500 and before["ads_latest_snapshot"] == 5
+    warehouse.register(spark, root)
+    got = spark.sql("SELECT sum(tick_count) AS n FROM dws_tick_1min").first().n
+    assert got == 500
+
+
 def test_small_series_has_the_same_interface(spark):
     rows = random_ticks(400)
     series = small_series(frame(spark, rows))

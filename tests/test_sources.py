@@ -36,6 +36,24 @@ def test_csv_bad_number_fails_the_load(spark, tmp_path):
         csvfiles.read_ticks(spark, {"GOLD": str(path)}).collect()
 
 
+def test_csv_series_keeps_file_order_over_splits(spark, tmp_path):
+    paths = {}
+    for k, symbol in enumerate(["GOLD", "OIL"]):
+        lines = [
+            f"2026-07-11 13:{i // 600:02d}:{(i // 10) % 60:02d},{i + k},1,1,2,0.1,FLAT,0,1,1" for i in range(3000)
+        ]
+        paths[symbol] = str(tmp_path / f"{symbol}.csv")
+        (tmp_path / f"{symbol}.csv").write_text("\n".join([HEADER, *lines]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        series = csvfiles.read_series(spark, paths)
+        assert series.rows.where((F.col("symbol") == "GOLD") & (F.col("price") != F.col("pos"))).count() == 0
+        assert series.rows.where((F.col("symbol") == "OIL") & (F.col("price") != F.col("pos") + 1)).count() == 0
+        assert series.rows.count() == 6000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_message_round_trip_and_quarantine(spark):
     ticks = lake.tick_lines(frame(spark, [tick("GOLD", 1, 0, 5.25)]))
     sent = messages.encode(ticks)

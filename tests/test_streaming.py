@@ -19,18 +19,22 @@ def stream(spark, folder, **options):
     return jobs.ticks_of(jobs.file_messages(spark, folder, **options))
 
 
+def messages_in(spark, folder):
+    return jobs.file_messages(spark, folder)
+
+
 def test_minute_split_over_batches_and_rerun_epoch(spark, tmp_path):
-    src, raw, bar, cp = (str(tmp_path / n) for n in ("src", "raw", "bars", "cp"))
+    src, out, cp = (str(tmp_path / n) for n in ("src", "out", "cp"))
     rows = [tick("GOLD", i, i, 10 + i) for i in range(60)]
     for part in (rows[:25], rows[25:]):
         feed(spark, src, part)
-        jobs.ingest(stream(spark, src), raw, bar, cp, None).awaitTermination()
-    assert spark.read.json(bar).count() == 2
-    merged = bars.merge_partials(lake.read_bars(spark, bar)).first()
+        jobs.ingest(messages_in(spark, src), out, cp, None).awaitTermination()
+    assert spark.read.json(f"{out}/bars").count() == 2
+    merged = bars.merge_partials(lake.read_bars(spark, f"{out}/bars")).first()
     assert (merged.open_price, merged.close_price, merged.tick_count) == (10, 69, 60)
     # the same epoch again replaces its files
-    lake.overwrite_epoch(lake.tick_lines(frame(spark, rows[:25])), raw, 0)
-    assert lake.read_raw(spark, raw).count() == 60
+    lake.overwrite_epoch(lake.tick_lines(frame(spark, rows[:25])), f"{out}/raw", 0)
+    assert lake.read_raw(spark, f"{out}/raw").count() == 60
 
 
 def test_compaction_merges_finished_days_once(spark, tmp_path):
@@ -44,12 +48,14 @@ def test_compaction_merges_finished_days_once(spark, tmp_path):
     assert [(r.open_price, r.close_price, r.tick_count) for r in got] == [(5, 6, 2)]
 
 
-def test_unreadable_messages_do_not_stop_the_stream(spark, tmp_path):
-    src, raw, bar, cp = (str(tmp_path / n) for n in ("src", "raw", "bars", "cp"))
+def test_unreadable_messages_are_set_aside(spark, tmp_path):
+    src, out, cp = (str(tmp_path / n) for n in ("src", "out", "cp"))
     feed(spark, src, [tick("GOLD", 1, 0, 5)])
     spark.createDataFrame([("broken",), ('{"symbol": "TIN"}',)], "value string").write.mode("append").text(src)
-    jobs.ingest(stream(spark, src), raw, bar, cp, None).awaitTermination()
-    assert lake.read_raw(spark, raw).count() == 1
+    jobs.ingest(messages_in(spark, src), out, cp, None).awaitTermination()
+    assert lake.read_raw(spark, f"{out}/raw").count() == 1
+    rejected = {(r.value, r.reason) for r in spark.read.json(f"{out}/rejected").collect()}
+    assert rejected == {("broken", "not a tick"), ('{"symbol": "TIN"}', "unknown symbol")}
 
 
 def test_late_tick_is_dropped_and_counted(spark, tmp_path):

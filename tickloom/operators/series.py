@@ -33,8 +33,11 @@ from tickloom.session import new_folder, stored
 LEAD_IN = 64
 LEAD_OUT = 1
 MIN_BLOCK_ROWS = 256
-MAX_BLOCK_ROWS = 4_000_000
+MAX_BLOCK_ROWS = 1_000_000
+ROWS_PER_BUCKET = 8_000_000
 MAX_BUCKETS = 50_000
+# blocks reach buckets by hash; several per bucket even out the buckets
+BLOCKS_PER_BUCKET = 16
 
 
 @dataclass(frozen=True)
@@ -71,8 +74,11 @@ def earlier_blocks(*keys: str) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _block_size(rows: int, parallelism: int) -> int:
-    return min(MAX_BLOCK_ROWS, max(MIN_BLOCK_ROWS, math.ceil(rows / max(1, parallelism))))
+def _layout(rows: int, parallelism: int) -> tuple[int, int]:
+    """(rows per block, buckets) for a row count: at least one bucket per core."""
+    buckets = min(MAX_BUCKETS, max(parallelism, math.ceil(rows / ROWS_PER_BUCKET)))
+    block_rows = math.ceil(rows / (buckets * BLOCKS_PER_BUCKET))
+    return min(MAX_BLOCK_ROWS, max(MIN_BLOCK_ROWS, block_rows)), buckets
 
 
 def _write_blocks(rows: DataFrame, block_rows: int, buckets: int) -> DataFrame:
@@ -133,9 +139,8 @@ def build_series(
     returns one row per tick, which is stored again in the same layout.
     """
     spark = ticks.sparkSession
-    total = ticks.count()
-    size = block_rows or _block_size(total, spark.sparkContext.defaultParallelism)
-    buckets = min(MAX_BUCKETS, max(1, math.ceil(total / size)))
+    size, buckets = _layout(ticks.count(), spark.sparkContext.defaultParallelism)
+    size = block_rows or size
 
     # 1. one range shuffle; the id is (partition << 33) + place inside the sorted partition
     order = ("symbol", "event_ts", "seq")

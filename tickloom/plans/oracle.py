@@ -550,12 +550,12 @@ oracle(
   count(*) FILTER (NOT price > 0) AS price_not_positive FROM t GROUP BY symbol""",
 )
 _COUNTS = {
-    "ods": "SELECT count(*) AS c FROM t",
-    "dwd": "SELECT count(*) FROM t",
-    "dws_1min": f"SELECT count(*) FROM (SELECT DISTINCT symbol, {MINUTE} FROM t)",
-    "dws_5min": f"SELECT count(*) FROM (SELECT DISTINCT symbol, {_FIVE} FROM t)",
-    "ads_dashboard": "SELECT count(*) FROM (SELECT DISTINCT symbol, CAST(event_ts AS DATE) FROM t)",
-    "ads_snapshot": "SELECT count(DISTINCT symbol) FROM t",
+    "ods_tick": "SELECT count(*) AS c FROM t",
+    "dwd_tick_detail": "SELECT count(*) FROM t",
+    "dws_tick_1min": f"SELECT count(*) FROM (SELECT DISTINCT symbol, {MINUTE} FROM t)",
+    "dws_tick_5min": f"SELECT count(*) FROM (SELECT DISTINCT symbol, {_FIVE} FROM t)",
+    "ads_dashboard_metrics": "SELECT count(*) FROM (SELECT DISTINCT symbol, CAST(event_ts AS DATE) FROM t)",
+    "ads_latest_snapshot": "SELECT count(DISTINCT symbol) FROM t",
     "alerts_above_1e9": "SELECT count(*) FROM t WHERE price > 1e9",
 }
 oracle(

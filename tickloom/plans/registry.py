@@ -17,7 +17,7 @@ from tickloom.functions.numeric import fixed
 from tickloom.functions.temporal import parse_time, time_text
 from tickloom.operators import alerts, bars, correlation, detail, history, indicators, quality, ranking, risk
 from tickloom.operators.series import TickSeries
-from tickloom.plans import marts, model, serve
+from tickloom.plans import marts, model, serve, warehouse
 from tickloom.plans.ticks import tick_series
 from tickloom.schema import TICK_FIELDS, default_thresholds, symbol_dim, uniform_thresholds
 from tickloom.session import new_folder, stored
@@ -333,17 +333,11 @@ query("tick_rules")(lambda s: quality.tick_rules(s.rows))
 
 @query("layer_health", "wide")
 def _(s):
-    return quality.layer_health(
-        {
-            "ods": s.rows,
-            "dwd": detail.with_changes(s),
-            "dws_1min": bars.summary_bars(s.rows, "1 minute"),
-            "dws_5min": bars.summary_bars(s.rows, "5 minutes"),
-            "ads_dashboard": marts.dashboard_metrics(s),
-            "ads_snapshot": marts.latest_snapshot(s),
-            "alerts_above_1e9": s.rows.where("price > 1e9"),
-        }
-    )
+    root = new_folder(_spark(s), "warehouse")
+    warehouse.build(s, root)
+    layers = warehouse.layers(_spark(s), root)
+    layers["alerts_above_1e9"] = s.rows.where("price > 1e9")
+    return quality.layer_health(layers)
 
 
 @query("flow_reconcile")
@@ -408,7 +402,7 @@ SLICES = 3
 
 def _arrive(s: TickSeries, lines: DataFrame, start) -> None:
     """Feed tick lines to a streaming job in time slices; the job restarts from its checkpoint
-    after every slice and runs until the slice is consumed. ``start(ticks)`` starts the job."""
+    after every slice and runs until the slice is consumed. ``start(messages)`` starts the job."""
     spark = _spark(s)
     source = new_folder(spark, "source")
     t = F.unix_timestamp("event_time")
@@ -416,15 +410,14 @@ def _arrive(s: TickSeries, lines: DataFrame, start) -> None:
     step = (high - low) // SLICES + 1
     for k in range(SLICES):
         jobs.stage_messages(lines.where((t >= low + k * step) & (t < low + (k + 1) * step)), source)
-        start(jobs.ticks_of(jobs.file_messages(spark, source))).awaitTermination()
+        start(jobs.file_messages(spark, source)).awaitTermination()
 
 
 def _ingested(s: TickSeries) -> tuple[str, str]:
     def make():
         folder = new_folder(_spark(s), "ingest")
-        raw, bar = f"{folder}/raw", f"{folder}/bars"
-        _arrive(s, lake.tick_lines(s.rows), lambda t: jobs.ingest(t, raw, bar, f"{folder}/cp", None))
-        return raw, bar
+        _arrive(s, lake.tick_lines(s.rows), lambda m: jobs.ingest(m, f"{folder}/out", f"{folder}/cp", None))
+        return f"{folder}/out/raw", f"{folder}/out/bars"
 
     return _one(s, "ingest", make)
 
@@ -444,7 +437,7 @@ def _streamed_bars(s: TickSeries, size: str, slide: str | None) -> DataFrame:
     folder = new_folder(_spark(s), "streambars")
     _arrive(
         s, lake.tick_lines(s.rows),
-        lambda t: jobs.stream_bars(t, f"{folder}/out", f"{folder}/cp", size, slide, "10 minutes", None),
+        lambda m: jobs.stream_bars(jobs.ticks_of(m), f"{folder}/out", f"{folder}/cp", size, slide, "10 minutes", None),
     )
     return jobs.current_bars(_spark(s), f"{folder}/out")
 
@@ -457,7 +450,7 @@ query("stream_bars_sliding", digits=8)(lambda s: _streamed_bars(s, "5 minutes",
 def _(s):
     folder = new_folder(_spark(s), "keyed")
     by_minute = lake.tick_lines(s.rows).withColumn("timestamp", F.substring("timestamp", 1, 16))
-    _arrive(s, by_minute, lambda t: jobs.keyed_upsert(t, f"{folder}/out", f"{folder}/cp", None))
+    _arrive(s, by_minute, lambda m: jobs.keyed_upsert(jobs.ticks_of(m), f"{folder}/out", f"{folder}/cp", None))
     return _spark(s).read.parquet(f"{folder}/out").select(
         "symbol", "timestamp", "seq", "price", "spread_pct", "mid_price"
     )
@@ -469,8 +462,9 @@ def _(s):
     folder = new_folder(spark, "streamalerts")
     limits = uniform_thresholds(spark, 100, 1, 50)
     _arrive(
-        s, lake.tick_lines(s.rows), lambda t: jobs.stream_alerts(t, limits, f"{folder}/out", f"{folder}/cp", None)
-    )
+        s, lake.tick_lines(s.rows),
+        lambda m: jobs.stream_alerts(jobs.ticks_of(m), limits, f"{folder}/out", f"{folder}/cp", None),
+    )
     return spark.read.parquet(f"{folder}/out")
 
 
@@ -479,6 +473,6 @@ def _(s):
     folder = new_folder(_spark(s), "streamsma")
     _arrive(
         s, lake.tick_lines(s.rows),
-        lambda t: jobs.moving_averages(t, f"{folder}/out", f"{folder}/state", f"{folder}/cp", None),
+        lambda m: jobs.moving_averages(jobs.ticks_of(m), f"{folder}/out", f"{folder}/state", f"{folder}/cp", None),
     )
     return _spark(s).read.parquet(f"{folder}/out").drop("epoch", "event_ts")

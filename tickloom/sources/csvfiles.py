@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.functions.temporal import parse_time
+from tickloom.operators.series import TickSeries, build_series
 from tickloom.schema import CSV_FIELDS, CSV_SCHEMA, SYMBOLS, TICK_FIELDS, TICK_SCHEMA
 
 
@@ -18,7 +20,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
-def _shape(rows: DataFrame, symbol, *extra: str) -> DataFrame:
+def _shape(rows: DataFrame, symbol, *extra) -> DataFrame:
     text = {c: F.trim(c).alias(c) for c in ("timestamp", "direction")}
     return rows.select(
         symbol.alias("symbol"),
@@ -28,22 +30,41 @@ def _shape(rows: DataFrame, symbol, *extra: str) -> DataFrame:
     )
 
 
-def read_ticks(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+def _file_place():
+    """Order of a row within its file, without a sort: start of its split plus place in the task.
+
+    A full-size split is always the first of its task, and a row takes at least one byte, so the
+    numbers of one file rise in file order and never repeat.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return (F.col("_metadata.file_block_start") + place).alias("seq")
+
+
+def read_ticks(spark: SparkSession, paths: dict[str, str], with_order: bool = False) -> DataFrame:
     """Ticks of the given symbol -> path map, all stacked. A missing path gives no rows; an
-    unreadable number fails the load."""
+    unreadable number fails the load. ``with_order`` adds event_ts and seq (file order), which
+    build_series needs; it expects one file per symbol."""
     unknown = set(paths) - set(SYMBOLS)
     if unknown:
         raise ValueError(f"unknown symbols: {sorted(unknown)}")
     present = {s: p for s, p in paths.items() if _exists(spark, p)}
     if not present:
-        return spark.createDataFrame([], TICK_SCHEMA).select(*TICK_FIELDS)
+        empty = spark.createDataFrame([], TICK_SCHEMA).select(*TICK_FIELDS)
+        return empty.selectExpr("*", "0L AS seq", "CAST(NULL AS TIMESTAMP) AS event_ts") if with_order else empty
     reader = (
         spark.read.schema(CSV_SCHEMA)
         .option("header", True).option("encoding", "UTF-8").option("mode", "FAILFAST")
     )
-    return reduce(
-        DataFrame.unionByName, [_shape(reader.csv(p), F.lit(s)) for s, p in present.items()]
+    extra = [_file_place()] if with_order else []
+    rows = reduce(
+        DataFrame.unionByName, [_shape(reader.csv(p), F.lit(s), *extra) for s, p in present.items()]
     )
+    return rows.withColumn("event_ts", parse_time("event_time")) if with_order else rows
+
+
+def read_series(spark: SparkSession, paths: dict[str, str]) -> TickSeries:
+    """The ordered tick series of a set of CSV files; equal timestamps keep their file order."""
+    return build_series(read_ticks(spark, paths, with_order=True).drop("timestamp", "event_time"))
 
 
 def read_checked(spark: SparkSession, root: str) -> DataFrame:

@@ -94,6 +94,11 @@ def overwrite_orc(df: DataFrame, path: str, in_time_order: bool = False) -> None
     )
 
 
+def replace_orc(df: DataFrame, path: str) -> None:
+    """An unpartitioned ORC + Snappy table, replaced as a whole (snapshots of one row per symbol)."""
+    df.write.mode("overwrite").option("compression", "snappy").orc(path)
+
+
 def read_orc(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.orc(path)

@@ -39,17 +39,21 @@ def decode(messages: DataFrame, value: str = "value", *keep: str) -> DataFrame:
     ).withColumn("dt", F.to_date("event_ts"))
 
 
-def quarantine(messages: DataFrame, *keep: str) -> DataFrame:
-    """Messages the per-symbol outputs would drop in silence, with the reason."""
-    reason = (
+def reject_reason() -> Column:
+    """Why a decoded message is not a usable tick; null for a good one."""
+    return (
         F.when(F.col("symbol").isNull(), "not a tick")
         .when(~F.col("symbol").isin(*SYMBOLS), "unknown symbol")
         .when(F.col("event_ts").isNull(), "bad time")
         .when(F.col("price").isNull(), "bad price")
     )
+
+
+def quarantine(messages: DataFrame, *keep: str) -> DataFrame:
+    """Messages the per-symbol outputs would drop in silence, with the reason."""
     return (
         decode(messages, "value", *keep, "value")
-        .withColumn("reason", reason)
+        .withColumn("reason", reject_reason())
         .where(F.col("reason").isNotNull())
         .select(*keep, "value", "reason")
     )

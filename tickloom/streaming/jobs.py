@@ -21,7 +21,7 @@ from tickloom.operators.risk import latest_ticks
 from tickloom.operators.series import series_of
 from tickloom.schema import SYMBOLS, TICK_FIELDS
 from tickloom.sources.lake import latest_by_key, overwrite_epoch, upsert_partitions
-from tickloom.sources.messages import decode
+from tickloom.sources.messages import decode, reject_reason
 
 # Fixed value: the micro-batch interval of the live pipeline.
 TRIGGER = "10 seconds"
@@ -36,13 +36,22 @@ def file_messages(spark: SparkSession, path: str, max_files: int | None = None)
     return reader.text(path)
 
 
-def ticks_of(messages: DataFrame) -> DataFrame:
-    """Decoded ticks of known symbols; seq orders ticks of the same second."""
+def decoded(messages: DataFrame) -> DataFrame:
+    """Every message decoded, with its text; seq orders ticks of the same second."""
     seq = (
         F.col("offset") if "offset" in messages.columns
-        else F.get_json_object("value", "$.seq").try_cast("bigint")
+        else F.get_json_object(F.col("value").cast("string"), "$.seq").try_cast("bigint")
     )
-    return decode(messages.withColumn("seq", seq), "value", "seq").where(F.col("symbol").isin(*SYMBOLS))
+    return decode(messages.withColumn("seq", seq), "value", "seq", "value")
+
+
+def known(ticks: DataFrame) -> DataFrame:
+    return ticks.where(F.col("symbol").isin(*SYMBOLS))
+
+
+def ticks_of(messages: DataFrame) -> DataFrame:
+    """Decoded ticks of known symbols."""
+    return known(decoded(messages)).drop("value")
 
 
 def _start(writer, checkpoint: str, interval: str | None) -> StreamingQuery:
@@ -52,19 +61,28 @@ def _start(writer, checkpoint: str, interval: str | None) -> StreamingQuery:
 
 
 def ingest(
-    ticks: DataFrame, raw_path: str, bars_path: str, checkpoint: str, interval: str | None = TRIGGER
+    messages: DataFrame, root: str, checkpoint: str, interval: str | None = TRIGGER
 ) -> StreamingQuery:
-    """Raw lake plus mergeable one-minute bars from one read of each micro-batch."""
+    """Raw lake, mergeable one-minute bars and rejected messages from one read of each micro-batch.
+
+    Writes root/raw, root/bars and root/rejected.
+    """
 
     def write(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            overwrite_epoch(batch.select(*TICK_FIELDS, "seq", "dt"), raw_path, epoch)
-            overwrite_epoch(partial_bars(batch), bars_path, epoch)
+            ticks = known(batch)
+            overwrite_epoch(ticks.select(*TICK_FIELDS, "seq", "dt"), f"{root}/raw", epoch)
+            overwrite_epoch(partial_bars(ticks.where("event_ts IS NOT NULL")), f"{root}/bars", epoch)
+            (
+                batch.withColumn("reason", reject_reason()).where("reason IS NOT NULL")
+                .select(F.col("value").cast("string").alias("value"), "reason")
+                .write.mode("overwrite").json(f"{root}/rejected/epoch={epoch}")
+            )
         finally:
             batch.unpersist()
 
-    return _start(ticks.writeStream.outputMode("append").foreachBatch(write), checkpoint, interval)
+    return _start(decoded(messages).writeStream.outputMode("append").foreachBatch(write), checkpoint, interval)
 
 
 def watermarked_bars(ticks: DataFrame, size: str, slide: str | None, delay: str) -> DataFrame:
