@@ -21,6 +21,15 @@ def fixed(x: Column | str, digits: int) -> Column:
     return F.when(F.abs(scaled) < WHOLE, F.floor(scaled + F.lit(0.5)) / scale).otherwise(x)
 
 
+def mean_of(x: str) -> Column:
+    """Mean of quoted values (prices, spreads, volumes).
+
+    The sum is cut to eight decimals first, so the mean does not depend on the order in which
+    tasks deliver their partial sums.
+    """
+    return F.try_divide(fixed(F.sum(x), 8), F.count(x))
+
+
 def ratio(top: Column, bottom: Column) -> Column:
     """top / bottom, null where the denominator is zero."""
     return F.try_divide(top, bottom)

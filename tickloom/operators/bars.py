@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.functions.numeric import fixed, percent_change
+from tickloom.functions.numeric import fixed, mean_of, percent_change
 from tickloom.functions.temporal import bucket_start, interval_text
 from tickloom.operators.detail import spread_pct
 
@@ -17,7 +17,7 @@ def _ohlc(high: str, low: str) -> list[Column]:
         F.max(high).alias("high_price"),
         F.min(low).alias("low_price"),
         F.max_by("price", "pos").alias("close_price"),
-        F.avg("price").alias("avg_price"),
+        mean_of("price").alias("avg_price"),
         F.sum("volume").alias("total_volume"),
         F.count("price").alias("tick_count"),
     ]
@@ -42,7 +42,7 @@ def summary_bars(ticks: DataFrame, size: str = "1 minute") -> DataFrame:
         ticks.groupBy("symbol", bucket_start("event_ts", size).alias("bar_time"))
         .agg(
             *_ohlc("price", "price"),
-            F.avg("spread").alias("avg_spread"),
+            mean_of("spread").alias("avg_spread"),
             F.avg(spread_pct()).alias("avg_spread_pct"),
             F.avg("volatility").alias("avg_volatility"),
             F.max("volatility").alias("max_volatility"),
@@ -95,7 +95,7 @@ def partial_bars(ticks: DataFrame, size: str = "1 minute", *also_by: str) -> Dat
         F.max("high").alias("high_price"),
         F.min("low").alias("low_price"),
         F.max_by("price", order).alias("close_price"),
-        F.avg("price").alias("avg_price"),
+        mean_of("price").alias("avg_price"),
         F.sum("volume").alias("total_volume"),
         F.count("price").alias("tick_count"),
         F.min("event_ts").alias("first_ts"),
@@ -120,7 +120,7 @@ def merge_partials(partials: DataFrame, start: str = "minute") -> DataFrame:
             F.max("high_price").alias("high_price"),
             F.min("low_price").alias("low_price"),
             F.max_by("close_price", closed).alias("close_price"),
-            (F.sum(F.col("avg_price") * weight) / F.nullif(F.sum(weight), F.lit(0))).alias("avg_price"),
+            F.try_divide(fixed(F.sum(F.col("avg_price") * weight), 8), F.sum(weight)).alias("avg_price"),
             F.sum("total_volume").alias("total_volume"),
             F.sum("tick_count").alias("tick_count"),
         )

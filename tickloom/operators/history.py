@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.functions.numeric import mean_of
+
 
 def upper_median(ticks: DataFrame, value: str = "price", bin_width: float = 1.0) -> DataFrame:
     """symbol, median: the element at place n div 2 of the sorted values, exactly.
@@ -47,11 +49,11 @@ def history_profile(ticks: DataFrame) -> DataFrame:
     """Count, price statistics with the upper median, volumes, first and last time."""
     totals = ticks.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("count"),
-        F.avg("price").alias("avg_price"),
+        mean_of("price").alias("avg_price"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
         F.sum("volume").alias("total_volume"),
-        F.avg("volume").alias("avg_volume"),
+        mean_of("volume").alias("avg_volume"),
         F.min("event_ts").alias("first_time"),
         F.max("event_ts").alias("last_time"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.numeric import percent
+from tickloom.functions.numeric import mean_of, percent
 from tickloom.operators.series import TickSeries, earlier_blocks, running
 
 
@@ -83,7 +83,7 @@ def risk_metrics(series: TickSeries, n: int = 500, days: int = 7) -> DataFrame:
         .agg(
             F.coalesce(F.avg(moved), F.lit(0.0)).alias("avg_volatility"),
             F.coalesce(F.max(moved), F.lit(0.0)).alias("max_volatility"),
-            F.avg("spread").alias("avg_spread"),
+            mean_of("spread").alias("avg_spread"),
             F.max("_fall").alias("max_drawdown_pct"),
             F.count(F.lit(1)).alias("tick_count"),
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.numeric import percent_change
+from tickloom.functions.numeric import fixed, percent_change
 from tickloom.functions.temporal import time_text
 from tickloom.operators.detail import spread_pct
 from tickloom.operators.indicators import sma
@@ -62,7 +62,7 @@ def dashboard_metrics(series: TickSeries) -> DataFrame:
             F.sum("_volume").alias("total_volume"),
             (F.sum("_volatility") / n).alias("avg_volatility"),
             F.greatest(F.max("_block_fall"), F.max(across)).alias("max_drawdown"),
-            (F.sum("_spread") / n).alias("avg_spread"),
+            (fixed(F.sum("_spread"), 8) / n).alias("avg_spread"),
             F.try_divide(F.sum("_pct"), F.sum("_pct_n")).alias("avg_spread_pct"),
             F.max_by("_sma_5", "_last").alias("sma_5"),
             F.max_by("_sma_10", "_last").alias("sma_10"),

@@ -16,6 +16,10 @@ def r(x: str, digits: int = 6) -> str:
     return rounded(x, digits)
 
 
+def group_mean(c: str) -> str:
+    return f"(floor(sum({c})*1e8+0.5)/1e8 / count({c}))"
+
+
 def ts(x: str) -> str:
     return f"strftime({x}, '%Y-%m-%d %H:%M:%S')"
 
@@ -65,10 +69,10 @@ def oracle(name: str, body: str, clock: str = "dense") -> None:
 
 # --- bars
 BAR = f"""arg_min(price, pos) AS open_price, max(high) AS high_price, min(low) AS low_price,
-  arg_max(price, pos) AS close_price, {r('avg(price)')} AS avg_price, sum(volume) AS total_volume,
+  arg_max(price, pos) AS close_price, {r(group_mean('price'))} AS avg_price, sum(volume) AS total_volume,
   count(price) AS tick_count"""
 MINUTE = "date_trunc('minute', event_ts)"
-BAR8 = BAR.replace(r("avg(price)"), r("avg(price)", 8))
+BAR8 = BAR.replace(r(group_mean("price")), r(group_mean("price"), 8))
 BARS_1MIN = f"""SELECT symbol, {ts(MINUTE)} AS minute, {BAR}, {day(MINUTE)} AS dt
 FROM t GROUP BY symbol, {MINUTE}"""
 for _name in ("bars_1min", "bars_merge_partials", "stream_bars_partial"):
@@ -82,8 +86,8 @@ def _dws(bucket: str, digits: int, with_time: bool = False) -> str:
 
     return f"""SELECT symbol, {ts(bucket) + ' AS bar_time, ' if with_time else ''}
   arg_min(price, pos) AS open_price, max(price) AS high_price, min(price) AS low_price,
-  arg_max(price, pos) AS close_price, {r('avg(price)')} AS avg_price, sum(volume) AS total_volume,
-  CAST(count(*) AS INT) AS tick_count, {r('avg(spread)')} AS avg_spread, {r('avg(sp)')} AS avg_spread_pct,
+  arg_max(price, pos) AS close_price, {r(group_mean('price'))} AS avg_price, sum(volume) AS total_volume,
+  CAST(count(*) AS INT) AS tick_count, {r(group_mean('spread'))} AS avg_spread, {r('avg(sp)')} AS avg_spread_pct,
   {r('avg(volatility)')} AS avg_volatility, {r('max(volatility)')} AS max_volatility,
   CAST(count(*) FILTER (direction = 'UP') AS INT) AS up_count,
   CAST(count(*) FILTER (direction = 'DOWN') AS INT) AS down_count,
@@ -254,7 +258,7 @@ RISK = (
     RECENT
     + f""", l AS (SELECT *, max(price) OVER (PARTITION BY symbol ORDER BY pos) AS peak FROM w WHERE pos >= n - 500),
 risk AS (SELECT symbol, coalesce(avg(CASE WHEN volatility <> 0 THEN volatility END), 0) AS av,
-  coalesce(max(CASE WHEN volatility <> 0 THEN volatility END), 0) AS mv, avg(spread) AS asp,
+  coalesce(max(CASE WHEN volatility <> 0 THEN volatility END), 0) AS mv, {group_mean('spread')} AS asp,
   max({FALL}) AS dd, count(*) AS tick_count FROM l GROUP BY symbol)"""
 )
 oracle(
@@ -292,7 +296,7 @@ oracle(
   max(price) OVER (PARTITION BY symbol, CAST(event_ts AS DATE) ORDER BY pos) AS peak FROM t)
 SELECT symbol, {day('dte')} AS dt, arg_max(price, pos) AS latest_price, arg_min(price, pos) AS open_price,
   max(price) AS high_price, min(price) AS low_price, sum(volume) AS total_volume,
-  {r('avg(volatility)')} AS avg_volatility, {r(f'max({FALL})')} AS max_drawdown, {r('avg(spread)')} AS avg_spread,
+  {r('avg(volatility)')} AS avg_volatility, {r(f'max({FALL})')} AS max_drawdown, {r(group_mean('spread'))} AS avg_spread,
   {r('avg(sp)')} AS avg_spread_pct, {r('arg_max(s5, CASE WHEN s5 IS NOT NULL THEN pos END)')} AS sma_5,
   {r('arg_max(s10, CASE WHEN s10 IS NOT NULL THEN pos END)')} AS sma_10,
   {r('arg_max(s20, CASE WHEN s20 IS NOT NULL THEN pos END)')} AS sma_20,
@@ -310,8 +314,8 @@ oracle(
   {ts('event_ts')} AS event_time, {day('event_ts')} AS dt {NEWEST}""",
     "wide",
 )
-PROFILE = """ h AS (SELECT symbol, count(*) AS cnt, avg(price) AS ap, min(price) AS mn, max(price) AS mx,
-  sum(volume) AS tv, avg(volume) AS av, min(event_ts) AS ft, max(event_ts) AS lt,
+PROFILE = f""" h AS (SELECT symbol, count(*) AS cnt, {group_mean("price")} AS ap, min(price) AS mn, max(price) AS mx,
+  sum(volume) AS tv, {group_mean("volume")} AS av, min(event_ts) AS ft, max(event_ts) AS lt,
   percentile_disc(0.5) WITHIN GROUP (ORDER BY price DESC) AS med FROM t GROUP BY symbol)"""
 oracle(
     "hist_stats",
@@ -377,7 +381,7 @@ oracle(
 )
 oracle(
     "serve_candles",
-    f""" b AS (SELECT symbol, {MINUTE} AS m, {BAR.replace(r('avg(price)'), 'avg(price)')} FROM t
+    f""" b AS (SELECT symbol, {MINUTE} AS m, {BAR.replace(r(group_mean('price')), group_mean('price'))} FROM t
   WHERE symbol = 'GOLD' GROUP BY symbol, {MINUTE} ORDER BY m DESC LIMIT 60)
 SELECT symbol, {ts('m')} AS bar_time, strftime(m, '%H:%M') AS time, {r('open_price', 2)} AS open, {r('high_price', 2)} AS high,
   {r('low_price', 2)} AS low, {r('close_price', 2)} AS close, {r('avg_price', 2)} AS avg, {r('total_volume', 2)} AS volume,

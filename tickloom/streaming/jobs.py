@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tickloom.functions.numeric import mean_of
 from tickloom.functions.temporal import interval_text
 from tickloom.operators.alerts import evaluate
 from tickloom.operators.bars import partial_bars
@@ -98,7 +99,7 @@ def watermarked_bars(ticks: DataFrame, size: str, slide: str | None, delay: str)
             F.max("high").alias("high_price"),
             F.min("low").alias("low_price"),
             F.max_by("price", order).alias("close_price"),
-            F.avg("price").alias("avg_price"),
+            mean_of("price").alias("avg_price"),
             F.sum("volume").alias("total_volume"),
             F.count("price").alias("tick_count"),
         )
