@@ -19,7 +19,7 @@ from tickloom.operators import alerts, bars, correlation, detail, history, indic
 from tickloom.operators.series import TickSeries
 from tickloom.plans import marts, model, serve
 from tickloom.plans.ticks import tick_series
-from tickloom.schema import TICK_FIELDS, default_thresholds, symbol_dim, uniform_thresholds
+from tickloom.schema import NUMBER_FIELDS, TICK_FIELDS, default_thresholds, symbol_dim, uniform_thresholds
 from tickloom.session import new_folder, stored
 from tickloom.sources import csvfiles, lake, messages, replay
 from tickloom.streaming import jobs
@@ -307,14 +307,11 @@ query("json_quarantine")(lambda s: messages.quarantine(_mixed_messages(s), "seq"
 
 @query("json_encode_ticks")
 def _(s):
-    def field(name: str):
-        return F.get_json_object("value", f"$.{name}")
-
-    numbers = ("price", "volume", "bid", "ask", "spread", "volatility", "high", "low")
-    return messages.encode(lake.tick_lines(s.rows)).select(
-        "key", field("symbol").alias("symbol"), field("event_time").alias("event_time"),
-        field("direction").alias("direction"), *[field(c).cast("double").alias(c) for c in numbers],
-    )
+    texts = ("symbol", "event_time", "direction")
+    read_back = F.json_tuple("value", *texts, *NUMBER_FIELDS).alias(*texts, *NUMBER_FIELDS)
+    return messages.encode(lake.tick_lines(s.rows)).select("key", read_back).select(
+        "key", *texts, *[F.col(c).cast("double").alias(c) for c in NUMBER_FIELDS]
+    )
 
 
 query("replay_round_robin")(lambda s: replay.round_robin(s).select("symbol", "seq", "round", "send_order"))
