@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import quality
+from tickloom.llm import licenses, mixing, packing, quality
 from tickloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,7 +17,23 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mix(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack_documents(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_licenses": op2_licenses,
+    "op3_mixing": op3_mixing,
     "op8_quality": op8_quality,
+    "op9_packing": op9_packing,
 }
 SQL: dict[str, str] = {}
