@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import licenses, mixing, packing, quality
+from tickloom.llm import licenses, mixing, packing, quality, topk, warc
 from tickloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_digests(warc.read_archives(warc.write_pages(table(spark, sf_dir, "pages"))))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -33,7 +41,34 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_licenses": op2_licenses,
     "op3_mixing": op3_mixing,
+    "op4_topk": op4_topk,
+    "op7_warc": op7_warc,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_topk": """
+WITH points AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM points q JOIN points c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
+WHERE rank <= 10
+""",
+    "op7_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first_page FROM p)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
+    ((CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31)
+    AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first_page OR first_page IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first_page THEN NULL ELSE first_page END AS refers_to
+FROM f
+""",
+}
