@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import licenses, mixing, packing, quality, topk, warc
+from tickloom.llm import licenses, mixing, packing, quality, token_counts, topk, toxicity, warc
 from tickloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_digests(warc.read_archives(warc.write_pages(table(spark, sf_dir, "pages"))))
 
@@ -25,6 +29,15 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+TOXICITY_CHAIN = {"poor": "quality = 0", "toxic": "toxic = 1"}
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"), TOXICITY_CHAIN)
+    return toxicity.score(docs, chain, list(TOXICITY_CHAIN)).drop("is_poor")
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -39,9 +52,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op2_licenses": op2_licenses,
     "op3_mixing": op3_mixing,
     "op4_topk": op4_topk,
+    "op5_token_counts": op5_token_counts,
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
