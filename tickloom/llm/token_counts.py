@@ -124,7 +124,7 @@ class CountStore:
         row = np.searchsorted(self.keys, distinct)[back]
         text = words.text_of()
         # summed per text, so that a text's score does not depend on its neighbours
-        score = np.bincount(text, self.scores[row], minlength=piece.n)
+        score = np.bincount(text, self.scores[row], minlength=piece.n).astype(float)
         return words.counts, words.per_text(self.counts[row]), score
 
 

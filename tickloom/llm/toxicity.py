@@ -122,7 +122,7 @@ class Chain:
 
     def margins(self, category: int, rows, cols, n: int, earlier: np.ndarray) -> np.ndarray:
         w, width = self.weights[category], len(self.keys)
-        return np.bincount(rows, w[cols], minlength=n) + earlier @ w[width : width + category] + w[-1]
+        return np.bincount(rows, w[cols], minlength=n).astype(float) + earlier @ w[width : width + category] + w[-1]
 
     def probabilities(self, rows: np.ndarray, cols: np.ndarray, n: int) -> np.ndarray:
         """One column per category, each fed with those before it."""
