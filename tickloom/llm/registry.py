@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import licenses, mixing, packing, quality, token_counts, topk, toxicity, warc
+from tickloom.llm import licenses, mixing, packing, quality, substrings, token_counts, topk, toxicity, warc
 from tickloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +52,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack_documents(table(spark, sf_dir, "documents")))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_licenses": op2_licenses,
@@ -60,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
+    "op10_repeats": op10_repeats,
 }
 SQL: dict[str, str] = {
     "op4_topk": """
@@ -74,6 +81,23 @@ pairs AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
 WHERE rank <= 10
+""",
+    "op10_repeats": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT doc_id, s, array_to_string(list_slice(w, s, s + 19), ' ') AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20)),
+gone AS (
+  SELECT doc_id, s FROM (
+    SELECT doc_id, s, row_number() OVER (PARTITION BY gram ORDER BY doc_id, s) AS place FROM grams)
+  WHERE place > 1),
+lost AS (SELECT doc_id, list_distinct(flatten(list(range(s, s + 20)))) AS at FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT d.doc_id, len(w) AS n_words, coalesce(len(at), 0) AS n_removed,
+    array_to_string(list_filter(w, (x, i) -> NOT list_contains(coalesce(at, []), i)), ' ') AS text
+  FROM d LEFT JOIN lost USING (doc_id))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed, sha256(text) AS kept_sha256
+FROM kept
 """,
     "op7_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),

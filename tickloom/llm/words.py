@@ -71,7 +71,7 @@ def prefix(values: np.ndarray, dtype=np.int64) -> np.ndarray:
     return out
 
 
-def _range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
+def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = _GRAM) -> np.ndarray:
     """Polynomial hash of values[start:end] of each range, independent of its place."""
     up, down = _powers(base).upto(len(values) + 1)
     sums = prefix(values * up[: len(values)], U64)
@@ -96,7 +96,7 @@ class Piece:
     def hash_ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """64-bit hash of the bytes of each range."""
         values = self.data.astype(U64) + U64(1)
-        return mix(_range_hashes(values, start, end, _BASE) + (end - start).astype(U64))
+        return mix(range_hashes(values, start, end, _BASE) + (end - start).astype(U64))
 
     def words(self, table: np.ndarray = SPACE_WORD) -> Words:
         """Maximal runs of bytes of ``table`` inside each text."""
@@ -144,7 +144,7 @@ class Words:
 
 def gram_hashes(hashes: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
     """Hash of the k word hashes from each start."""
-    return mix(_range_hashes(hashes, starts, starts + k, _GRAM) + U64(k))
+    return mix(range_hashes(hashes, starts, starts + k) + U64(k))
 
 
 def repeated(keys: np.ndarray) -> np.ndarray:
