@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import licenses, mixing, packing, quality, substrings, token_counts, topk, toxicity, warc
+from tickloom.llm import licenses, mixing, neardup, packing, quality, substrings, token_counts, topk, toxicity, warc
 from tickloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_digests(warc.read_archives(warc.write_pages(table(spark, sf_dir, "pages"))))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op3_mixing": op3_mixing,
     "op4_topk": op4_topk,
     "op5_token_counts": op5_token_counts,
+    "op6_neardup": op6_neardup,
     "op7_warc": op7_warc,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
