@@ -76,10 +76,10 @@ QUERIES: dict[str, Query] = {
 SQL: dict[str, str] = {
     "op4_topk": """
 WITH points AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS v
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
 pairs AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
   FROM points q JOIN points c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
@@ -96,10 +96,10 @@ gone AS (
   SELECT doc_id, s FROM (
     SELECT doc_id, s, row_number() OVER (PARTITION BY gram ORDER BY doc_id, s) AS place FROM grams)
   WHERE place > 1),
-lost AS (SELECT doc_id, list_distinct(flatten(list(range(s, s + 20)))) AS at FROM gone GROUP BY doc_id),
+lost AS (SELECT doc_id, list_distinct(flatten(list(range(s, s + 20)))) AS places FROM gone GROUP BY doc_id),
 kept AS (
-  SELECT d.doc_id, len(w) AS n_words, coalesce(len(at), 0) AS n_removed,
-    array_to_string(list_filter(w, (x, i) -> NOT list_contains(coalesce(at, []), i)), ' ') AS text
+  SELECT d.doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
+    array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(places, []), i)), ' ') AS text
   FROM d LEFT JOIN lost USING (doc_id))
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed, sha256(text) AS kept_sha256
 FROM kept
@@ -108,7 +108,7 @@ FROM kept
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first_page FROM p)
 SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
-  array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
     ((CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31)
     AS BIGINT), 1)), '') AS payload_digest,
   CASE WHEN page_id = first_page OR first_page IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
