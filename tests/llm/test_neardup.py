@@ -27,7 +27,7 @@ def _classes(rows, idf, similarity=0.8):
     def idf_of_word(word, known={}):
         if word not in known:
             piece = next(pieces(pa.array([word])))
-            known[word] = float(idf[neardup._slots(piece.words(neardup.WORD).hashes())][0])
+            known[word] = float(idf[neardup._slots(piece.words(neardup.WORD).hashes(), neardup.WORD_SLOTS)][0])
         return known[word]
 
     sets = [_weights(text, idf_of_word) for _, text in rows]
@@ -62,7 +62,7 @@ def _table(spark, tmp_path, rows, schema="doc_id long, text string", parts=3):
 def test_classes_match_all_pairs_on_the_corpus(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    idf = neardup.idf_of(*neardup.count_words(docs.select("doc_id", "text")))
+    idf = neardup.count_documents(docs.select("doc_id", "text"))[0]
     got = neardup.near_duplicates(docs).collect()
     assert {r.doc_id: r.class_id for r in got} == _classes(rows, idf)
     sizes = Counter(r.class_id for r in got)
@@ -101,7 +101,7 @@ def test_chains_hot_groups_and_strays(spark, tmp_path, monkeypatch):
     rows += [(700 + i, rows[0][1].upper()) for i in range(60)]
     docs = _table(spark, tmp_path, rows)
     got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
-    idf = neardup.idf_of(*neardup.count_words(docs))
+    idf = neardup.count_documents(docs)[0]
     assert got == _classes(rows, idf)
     assert len({got[i] for i in range(300, 330)}) == 1
 

@@ -31,7 +31,7 @@ def test_each_stage_against_brute_force(spark, tmp_path):
         assert not (r.doc_id in kept and (n < 20 or 100 * repeat > 30 * n))
     assert sorted(rows[1]) == sorted(r for r in rows[0] if r.doc_id in kept)
 
-    idf = neardup.idf_of(*neardup.count_words(tables[1].select("doc_id", "text")))
+    idf = neardup.count_documents(tables[1].select("doc_id", "text"))[0]
     found = _classes([(r.doc_id, r.text) for r in rows[1]], idf)
     assert sorted(rows[2]) == sorted(r for r in rows[1] if found[r.doc_id] == r.doc_id)
 
