@@ -256,3 +256,58 @@ def test_rules_and_health(spark):
     assert (r.tick_count, r.bad_direction, r.crossed_quote, r.outside_range, r.price_not_positive) == (3, 2, 1, 1, 1)
     health = {h.layer: h.status for h in quality.layer_health({"a": frame(spark, rows), "b": frame(spark, [])}).collect()}
     assert health == {"a": "OK", "b": "EMPTY"}
+
+
+def test_median_of_prices_close_together(spark):
+    from tickloom.operators import history
+
+    ticks = spark.range(4001).selectExpr("'GAS' as symbol", "3.0 + id / 4001.0D as price")
+    assert history.upper_median(ticks).first().median == 3.0 + 2000 / 4001.0
+    parts = (
+        ticks.groupBy("symbol", "price").count().repartitionByRange(8, "symbol", "price")
+        .select(F.spark_partition_id().alias("p")).distinct().count()
+    )
+    assert parts > 1
+
+
+def test_mean_is_exact_and_safe(spark):
+    from tickloom.functions.numeric import mean_of
+
+    def mean(values):
+        return spark.createDataFrame([(v,) for v in values], "x double").agg(mean_of("x").alias("m")).first().m
+
+    assert mean([0.1] * 7 + [None]) == 0.7 / 7
+    assert mean([1e8 + 0.25, -0.75, 3.5]) == (1e8 + 3.0) / 3
+    assert mean([]) is None and mean([None]) is None
+    assert mean([1e300, 1.0]) == 5e299
+    assert mean([float("nan"), 1.0]) != mean([1.0])
+
+
+def test_repeated_threshold_changes_keep_one_row(spark):
+    from tickloom.operators import alerts
+    from tickloom.schema import default_thresholds
+
+    changes = spark.createDataFrame([("GOLD", 1.0, 0.5, 9.0), ("GOLD", 2.0, 0.5, 9.0)], "symbol string, upper double, lower double, vol_pct double")
+    got = alerts.upsert_thresholds(default_thresholds(spark), changes).collect()
+    assert len(got) == 5 and [r.upper for r in got if r.symbol == "GOLD"] == [2.0]
+
+
+@pytest.mark.parametrize(("keyword", "low", "high"), [
+    ("10-20", 10, 20), ("10-", 10, None), ("-20", None, 20), (" 1.5 - 2 ", 1.5, 2), ("10-x", 10, None), ("10-2x", 10, None),
+    ("10-20-30", 10, 20),
+])
+def test_keyword_ranges(spark, keyword, low, high):
+    from tickloom.operators.ranking import search_predicate
+
+    rows = spark.createDataFrame([("GOLD", "UP", p / 2) for p in range(-10, 90)], "symbol string, direction string, price double")
+    got = sorted(r.price for r in rows.where(search_predicate(keyword)).collect())
+    want = [p / 2 for p in range(-10, 90) if (low is None or p / 2 >= low) and (high is None or p / 2 <= high)]
+    assert got == want
+
+
+def test_keywords_that_are_text(spark):
+    from tickloom.operators.ranking import search_predicate
+
+    rows = spark.createDataFrame([("GOLD", "UP", 1.0), ("X-10", "DOWN", 2.0)], "symbol string, direction string, price double")
+    for keyword, want in (("x-10", [2.0]), ("-", [2.0]), ("up", [1.0]), ("", [1.0, 2.0])):
+        assert sorted(r.price for r in rows.where(search_predicate(keyword)).collect()) == want

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.ticks import by_symbol, frame, random_ticks, tick
 from tickloom.operators import detail, indicators, ranking, risk
-from tickloom.operators.series import build_series, small_series
+from tickloom.operators.series import LEAD_IN, build_series
 from tickloom.plans import marts
 
 
@@ -27,7 +27,7 @@ def test_places_are_exact(case):
 def test_blocks_bound_the_rows_of_any_group(case):
     _, series = case
     largest = series.table.groupBy("symbol", "block").count().agg(F.max("count")).first()[0]
-    assert largest <= series.block_rows + 64 + 1
+    assert largest <= series.block_rows + LEAD_IN + 1
 
 
 def test_windows_cross_block_edges(case):
@@ -133,13 +133,14 @@ def test_carry_join_never_moves_the_ticks(case, spark):
 
 
 def test_layout_spreads_blocks():
-    from tickloom.operators.series import MAX_BLOCK_ROWS, MAX_BUCKETS, _layout
+    from tickloom.operators.series import MAX_BLOCK_ROWS, MIN_BLOCK_ROWS, ROWS_PER_BUCKET, _layout
 
-    assert _layout(0, 8) == (256, 8)
-    for rows in (10_000, 5_000_000, 10**9, 2 * 10**12):
+    assert _layout(0, 8) == (MIN_BLOCK_ROWS, 8)
+    for rows in (10_000, 5_000_000, 10**9, 2 * 10**12, 10**15):
         block_rows, buckets = _layout(rows, 8)
-        assert 256 <= block_rows <= MAX_BLOCK_ROWS and 8 <= buckets <= MAX_BUCKETS
-        assert rows < 50_000 or rows / block_rows / buckets >= 15
+        assert MIN_BLOCK_ROWS <= block_rows <= MAX_BLOCK_ROWS and 8 <= buckets
+        assert rows / buckets <= ROWS_PER_BUCKET
+        assert rows < 500_000 or rows / block_rows / buckets >= 15
 
 
 def test_warehouse_layers(spark, tmp_path):
@@ -158,22 +159,57 @@ def test_warehouse_layers(spark, tmp_path):
     assert got == 500
 
 
-def test_small_series_has_the_same_interface(spark):
-    rows = random_ticks(400)
-    series = small_series(frame(spark, rows))
-    stored = build_series(frame(spark, rows), block_rows=256)
+@pytest.mark.parametrize("block_rows", [1, 8, 130])
+def test_long_look_backs_over_small_blocks(spark, block_rows):
+    rows = random_ticks(900)
+    series = build_series(frame(spark, rows), block_rows=block_rows)
+    got = {
+        r.seq: r
+        for r in indicators.indicator_frame(
+            series, mom=indicators.momentum(100), sma=indicators.sma(200), near=indicators.sma(20)
+        ).collect()
+    }
+    assert len(got) == 900
+    for rs in by_symbol(rows).values():
+        p = [r["price"] for r in rs]
+        for i, r in enumerate(rs):
+            g = got[r["seq"]]
+            assert g.mom == (pytest.approx((p[i] - p[i - 100]) / p[i - 100] * 100) if i >= 100 else None)
+            assert g.sma == (pytest.approx(sum(p[i - 199 : i + 1]) / 200) if i >= 199 else None)
+            assert g.near == (pytest.approx(sum(p[i - 19 : i + 1]) / 20) if i >= 19 else None)
+
 
-    def averages(s):
-        return sorted((r.seq, r.sma) for r in indicators.indicator_frame(s, sma=indicators.sma(5)).collect())
+def test_look_back_beyond_the_copies_is_refused(spark):
+    from tickloom.operators.series import last_rows
 
-    assert averages(series) == averages(stored)
+    for refused in (lambda: last_rows(LEAD_IN + 1), lambda: indicators.lagged("price", LEAD_IN + 1),
+                    lambda: indicators.momentum(1000), lambda: indicators.rsi(LEAD_IN),
+                    lambda: build_series(frame(spark, random_ticks(5)), block_rows=0)):
+        with pytest.raises(ValueError):
+            refused()
 
 
-def test_look_back_beyond_the_copies_is_refused():
-    from tickloom.operators.series import last_rows
+def test_newest_rows_prune_the_scan(case):
+    _, series = case
+    for rows in (risk.latest_ticks(series, 30), marts.newest_with_change(series)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        conditions = rows._jdf.queryExecution().optimizedPlan().toString()
+        pushed = [line for line in plan.split("\n") if "FileScan" in line]
+        assert all("PushedFilters" in line for line in pushed) and " >= " in conditions
+        assert "Join" not in conditions and "max(event_ts" not in conditions
+        assert plan.count("FileScan") == 1
+
+
+def test_a_build_leaves_one_copy(spark):
+    import os
+
+    from tickloom.session import shared_dir
 
-    with pytest.raises(ValueError):
-        last_rows(65)
+    root = os.path.join(shared_dir(spark).removeprefix("file:"), "tickloom")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    build_series(frame(spark, random_ticks(300)), derive=lambda s: s.table.where("own").withColumn("twice", F.col("price") * 2))
+    made = sorted(name.rpartition("-")[0] for name in set(os.listdir(root)) - before)
+    assert made == ["ends", "series"]
 
 
 def test_same_second_ticks_keep_their_sequence(spark):

@@ -103,16 +103,44 @@ def test_upsert_keeps_the_later_row(spark, tmp_path):
     def rows(*ticks):
         return frame(spark, ticks).withColumns({"timestamp": F.date_format("event_ts", "yyyy-MM-dd HH:mm"), "dt": F.to_date("event_ts")})
 
+    tables = []
+
     def write(*ticks):
-        lake.upsert_partitions(rows(*ticks), path, ["symbol", "timestamp"], ["event_ts", "seq"])
+        changes = rows(*ticks)
+        tables.append(lake.KeyedTable(spark, path, changes.schema, ["symbol", "timestamp"], ["event_ts", "seq"]))
+        tables[-1].write(changes, len(tables))
 
     write(tick("GOLD", 1, 0, 1), tick("GOLD", 2, 1, 2), tick("OIL", 3, 0, 9), tick("GOLD", 4, 86400, 4))
     write(tick("GOLD", 5, 5, 5), tick("OIL", 0, 0, 8))
     write(tick("GOLD", 5, 5, 5))
-    got = sorted((r.symbol, r.timestamp[:10], r.price) for r in spark.read.parquet(path).collect())
+    got = sorted((r.symbol, r.timestamp[:10], r.price) for r in tables[-1].read().collect())
     assert got == [("GOLD", "2026-07-11", 5), ("GOLD", "2026-07-12", 4), ("OIL", "2026-07-11", 9)]
 
 
+def test_keyed_table_keeps_bad_times_and_survives_a_stop(spark, tmp_path):
+    schema = "symbol string, timestamp string, event_ts timestamp, seq long, dt date"
+    make = lambda *rows: spark.createDataFrame(list(rows), schema)
+    table = lake.KeyedTable(spark, str(tmp_path / "t"), make().schema, ["symbol", "timestamp"], ["event_ts", "seq"])
+    keys = lambda: sorted((r.timestamp, r.seq) for r in table.read().collect())
+    assert keys() == []
+    table.write(make(("GOLD", "bad 1", None, 1, None)), 0)
+    table.write(make(("GOLD", "bad 2", None, 2, None)), 1)
+    assert keys() == [("bad 1", 1), ("bad 2", 2)]
+    table.write(make(("GOLD", "bad 2", None, 2, None)), 1)  # the epoch again
+    table.compact()
+    table.write(make(("GOLD", "bad 1", None, 7, None)), 2)
+    assert keys() == [("bad 1", 7), ("bad 2", 2)]
+    (tmp_path / "t" / "base" / "epoch=9").mkdir(parents=True)  # a compaction that never finished
+    assert keys() == [("bad 1", 7), ("bad 2", 2)]
+    for epoch in range(3, 20):
+        table.write(make(("OIL", str(epoch % 3), None, epoch, None)), epoch)
+        if epoch % 5 == 4:
+            table.compact()
+    assert len(keys()) == 5
+    assert len(list((tmp_path / "t" / "delta").glob("epoch=*"))) <= 5
+    assert len(list((tmp_path / "t" / "base").glob("epoch=*"))) == 1
+
+
 def test_replay_order_matches_a_simulated_feed(spark):
     rows = random_ticks(500)
     series = build_series(frame(spark, rows))

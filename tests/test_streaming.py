@@ -1,5 +1,7 @@
 """Streaming jobs: restarts, late ticks, replayed epochs."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,19 +65,23 @@ def test_late_tick_is_dropped_and_counted(spark, tmp_path):
     feed(spark, src, [tick("GOLD", 1, 0, 5), tick("GOLD", 2, 7200, 6)])
     jobs.stream_bars(stream(spark, src), out, cp, delay="1 minute", interval=None).awaitTermination()
     feed(spark, src, [tick("GOLD", 3, 1, 99), tick("GOLD", 4, 7201, 7)])
-    query = jobs.stream_bars(stream(spark, src), out, cp, delay="1 minute", interval=None)
-    query.awaitTermination()
-    assert jobs.dropped_late_rows(query) == 1
+    counter = jobs.LateRows()
+    spark.streams.addListener(counter)
+    try:
+        query = jobs.stream_bars(stream(spark, src), out, cp, delay="1 minute", interval=None)
+        query.awaitTermination()
+        spark._jsparkSession.sparkContext().listenerBus().waitUntilEmpty()
+        for _ in range(100):
+            if counter.of(query):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(counter)
+    assert counter.of(query) == 1
     got = {r.minute.strftime("%H:%M"): (r.close_price, r.tick_count) for r in jobs.current_bars(spark, out).collect()}
     assert got == {"13:30": (5, 1), "15:30": (7, 2)}
 
 
-@pytest.fixture
-def tiny_limit(monkeypatch):
-    """Forces the block path for every batch."""
-    monkeypatch.setattr(jobs, "series_of", lambda ticks: build_series(ticks, block_rows=256))
-
-
 def averages_over_slices(spark, tmp_path):
     src, out, state, cp = (str(tmp_path / n) for n in ("src", "out", "state", "cp"))
     rows = sorted(random_ticks(900), key=lambda r: (r["event_ts"], r["seq"]))
@@ -95,10 +101,19 @@ def test_averages_continue_over_restarts(spark, tmp_path):
     averages_over_slices(spark, tmp_path)
 
 
-def test_averages_of_a_large_batch(spark, tmp_path, tiny_limit):
+def test_averages_over_many_small_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "build_series", lambda ticks: build_series(ticks, block_rows=7))
     averages_over_slices(spark, tmp_path)
 
 
+def test_state_is_kept_for_two_epochs(spark, tmp_path):
+    src, out, state, cp = (str(tmp_path / n) for n in ("src", "out", "state", "cp"))
+    for k in range(5):
+        feed(spark, src, [tick("GOLD", k, k, 10 + k)])
+        jobs.moving_averages(stream(spark, src), out, state, cp, None).awaitTermination()
+        assert len(list((tmp_path / "state").glob("epoch=*"))) <= 2
+
+
 def test_late_tick_gets_no_average(spark, tmp_path):
     src, out, state, cp = (str(tmp_path / n) for n in ("src", "out", "state", "cp"))
     feed(spark, src, [tick("GOLD", i, i, 10 + i) for i in range(10, 30)])
@@ -115,7 +130,7 @@ def test_keyed_upsert_replay_changes_nothing(spark, tmp_path):
     feed(spark, src, [tick("GOLD", 1, 0, 5), tick("GOLD", 2, 0, 6), tick("OIL", 3, 0, 7)])
     for cp in ("cp1", "cp2"):  # a second reader from the oldest message
         jobs.keyed_upsert(stream(spark, src), out, str(tmp_path / cp), None).awaitTermination()
-    got = sorted((r.symbol, r.price, r.mid_price) for r in spark.read.parquet(out).collect())
+    got = sorted((r.symbol, r.price, r.mid_price) for r in jobs.keyed_table(spark, out).read().collect())
     assert got == [("GOLD", 6, 6), ("OIL", 7, 7)]
 
 
@@ -132,12 +147,24 @@ def test_first_tick_of_a_key_wins_with_watermark_dedup(spark, tmp_path):
 
 
 def test_alert_stream(spark, tmp_path):
-    src, out, cp = (str(tmp_path / n) for n in ("src", "out", "cp"))
-    feed(spark, src, [tick("GOLD", 1, 0, 500), tick("OIL", 2, 0, 50, volatility=0.7), tick("GAS", 3, 0, 50)])
-    jobs.stream_alerts(stream(spark, src), uniform_thresholds(spark, 100, 1, 50), out, cp, None).awaitTermination()
-    assert {(r.seq, r.kind) for r in spark.read.parquet(out).collect()} == {(1, "upper"), (2, "volatility")}
+    src, out, state, cp = (str(tmp_path / n) for n in ("src", "out", "state", "cp"))
+    slices = ([tick("GOLD", 1, 0, 500), tick("OIL", 2, 0, 50, volatility=0.7), tick("GAS", 3, 0, 50)],
+              [tick("OIL", 4, 5, 20), tick("GAS", 5, 5, 51), tick("GAS", 0, -5, 0.5)])
+    for rows in slices:
+        feed(spark, src, rows)
+        jobs.stream_alerts(
+            stream(spark, src), uniform_thresholds(spark, 100, 1, 50), out, state, cp, None
+        ).awaitTermination()
+    got = {(r.seq, r.kind): r.price_change_pct for r in spark.read.parquet(out).collect()}
+    assert got == {(1, "upper"): None, (4, "volatility"): -60, (0, "lower"): None}
+
+
+def test_messages_are_parsed_once(spark, tmp_path):
+    feed(spark, str(tmp_path / "src"), [tick("GOLD", 1, 0, 5)])
+    plan = jobs.ticks_of(spark.read.text(str(tmp_path / "src")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and "get_json_object" not in plan
 
 
 def test_broker_source_names_what_is_missing(spark):
     with pytest.raises(Exception, match="kafka"):
-        messages.broker_stream(spark, "broker:9092")
+        messages.broker_stream(spark, "broker:9092", 5000)

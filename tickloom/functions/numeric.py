@@ -24,10 +24,17 @@ def fixed(x: Column | str, digits: int) -> Column:
 def mean_of(x: str) -> Column:
     """Mean of quoted values (prices, spreads, volumes).
 
-    The sum is cut to eight decimals first, so the mean does not depend on the order in which
-    tasks deliver their partial sums.
+    Whole parts and hundred-millionths are summed as integers, so the sum is exact to eight decimals and
+    does not depend on the order in which tasks deliver their parts. Values too large for that (or not
+    finite) make it a plain mean.
     """
-    return F.try_divide(fixed(F.sum(x), 8), F.count(x))
+    c = F.col(x)
+    whole = F.floor(c)
+    rest = F.round((c - whole) * F.lit(1e8)).cast("bigint")
+    plain = F.coalesce(F.max(F.isnan(c) | (F.abs(c) >= F.lit(WHOLE))), F.lit(False))
+    usable = F.when(~F.isnan(c) & (F.abs(c) < F.lit(WHOLE)), F.lit(True))
+    total = F.sum(F.when(usable, whole)).cast("double") + F.sum(F.when(usable, rest)).cast("double") / F.lit(1e8)
+    return F.when(plain, F.avg(c)).otherwise(F.try_divide(fixed(total, 8), F.count(c)))
 
 
 def ratio(top: Column, bottom: Column) -> Column:

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 
 def upsert_thresholds(current: DataFrame, changes: DataFrame) -> DataFrame:
-    """Changed symbols replace stored ones; the rest stay."""
-    return current.join(changes.select("symbol"), "symbol", "left_anti").unionByName(changes)
+    """Changed symbols replace stored ones; the rest stay. A symbol changed twice takes the larger limits."""
+    limits = [c for c in changes.columns if c != "symbol"]
+    once = changes.groupBy("symbol").agg(F.max(F.struct(*limits)).alias("limits")).select("symbol", "limits.*")
+    return current.join(once.select("symbol"), "symbol", "left_anti").unionByName(once.select(*current.columns))
 
 
 def reset_threshold(current: DataFrame, defaults: DataFrame, symbol: str) -> DataFrame:

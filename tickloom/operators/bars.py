@@ -108,10 +108,16 @@ def partial_bars(ticks: DataFrame, size: str = "1 minute", *also_by: str) -> Dat
     return made.withColumn("dt", F.to_date("minute"))
 
 
+def time_order(event_ts: str, seq: str) -> Column:
+    """(time, sequence) as one fixed-width number, which keeps min_by and max_by in the hash aggregate."""
+    micros = F.unix_micros(event_ts).cast("decimal(38,0)")
+    return (micros * F.lit(str(10**19)).cast("decimal(20,0)") + F.col(seq)).cast("decimal(38,0)")
+
+
 def merge_partials(partials: DataFrame, start: str = "minute") -> DataFrame:
     """Combine partial bars that share (symbol, start) into final bars."""
-    opened = F.struct("first_ts", "first_seq")
-    closed = F.struct("last_ts", "last_seq")
+    opened = time_order("first_ts", "first_seq")
+    closed = time_order("last_ts", "last_seq")
     weight = F.col("tick_count")
     return (
         partials.groupBy("symbol", start)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,5 +133,5 @@ def derive_tick_columns(series: TickSeries) -> DataFrame:
         )
         .drop("_before")
     )
-    with_quotes = TickSeries(moved, series.lengths, series.block_rows)
+    with_quotes = replace(series, table=moved)
     return intraday_extremes(with_quotes).withColumnsRenamed({"day_high": "high", "day_low": "low"})

@@ -6,38 +6,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.numeric import mean_of
+from tickloom.session import stored
 
 
-def upper_median(ticks: DataFrame, value: str = "price", bin_width: float = 1.0) -> DataFrame:
+def upper_median(ticks: DataFrame, value: str = "price") -> DataFrame:
     """symbol, median: the element at place n div 2 of the sorted values, exactly.
 
-    Values are reduced to counts per distinct value before anything is ordered, and the running
-    count goes over value bins first, then inside the one bin that holds the middle place, so no
-    task sorts a symbol's ticks.
+    Values are reduced to counts per distinct value, which a range shuffle puts in order: Spark samples
+    (symbol, value), so values that lie close together are split like any others. The running count goes over
+    partitions first, then inside the one partition of a symbol that holds the middle place.
     """
-    counts = (
-        ticks.groupBy("symbol", F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bin", F.floor(F.col("_v") / F.lit(bin_width)))
-        # stated here so both uses below share one shuffle: the join would add it to one of them
-        .where(F.col("symbol").isNotNull() & F.col("_bin").isNotNull())
+    spark = ticks.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = stored(
+        ticks.where(F.col("symbol").isNotNull() & F.col(value).isNotNull())
+        .groupBy("symbol", F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+        .repartitionByRange(parts, "symbol", "_v").withColumn("_part", F.spark_partition_id()),
+        "value-counts",
     )
-    bins = counts.groupBy("symbol", "_bin").agg(F.sum("_n").alias("_bin_n"))
-    before = Window.partitionBy("symbol").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    middle_bin = (
-        bins.withColumns(
+    before = Window.partitionBy("symbol").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    middle = (
+        counts.groupBy("symbol", "_part").agg(F.sum("_n").alias("_part_n"))
+        .withColumns(
             {
-                "_below": F.coalesce(F.sum("_bin_n").over(before), F.lit(0)),
-                "_total": F.sum("_bin_n").over(Window.partitionBy("symbol")),
+                "_below": F.coalesce(F.sum("_part_n").over(before), F.lit(0)),
+                "_place": F.floor(F.sum("_part_n").over(Window.partitionBy("symbol")) / F.lit(2)),
             }
         )
-        .withColumn("_place", F.floor(F.col("_total") / F.lit(2)))
-        .where((F.col("_place") >= F.col("_below")) & (F.col("_place") < F.col("_below") + F.col("_bin_n")))
-        .select("symbol", "_bin", "_below", "_place")
+        .where((F.col("_place") >= F.col("_below")) & (F.col("_place") < F.col("_below") + F.col("_part_n")))
+        .select("symbol", "_part", "_below", "_place")
     )
-    up_to = Window.partitionBy("symbol", "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    up_to = Window.partitionBy("symbol", "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        counts.join(middle_bin, ["symbol", "_bin"])
+        counts.join(middle, ["symbol", "_part"])
         .withColumn("_upto", F.col("_below") + F.sum("_n").over(up_to))
         .where(F.col("_upto") > F.col("_place"))
         .groupBy("symbol")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.numeric import EPSILON, percent_change, share_of
-from tickloom.operators.series import TickSeries, block_window, last_rows
+from tickloom.operators.series import LEAD_IN, TickSeries, block_window, last_rows
 
 # Feature names in model order.
 FEATURES = (
@@ -25,6 +25,9 @@ def _when_full(n: int, value: Column) -> Column:
 
 
 def lagged(column: str, k: int) -> Column:
+    """The value k ticks before (k <= LEAD_IN, so copies complete the look-back)."""
+    if k > LEAD_IN:
+        raise ValueError(f"look-back of {k} rows exceeds the {LEAD_IN} rows copied between blocks")
     return F.lag(column, k).over(block_window())
 
 
@@ -40,6 +43,8 @@ def momentum(k: int, column: str = "price") -> Column:
 
 def rsi(n: int, delta: str = "_delta") -> Column:
     """Relative strength from plain means of n gains and n losses; needs the delta column."""
+    if n >= LEAD_IN:
+        raise ValueError(f"{n} changes look back further than the {LEAD_IN} rows copied between blocks")
     gain = F.avg(F.greatest(F.col(delta), F.lit(0.0))).over(last_rows(n))
     loss = F.avg(F.greatest(-F.col(delta), F.lit(0.0))).over(last_rows(n))
     strength = gain / (loss + F.lit(EPSILON))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +12,6 @@ from tickloom.operators.series import TickSeries
 from tickloom.schema import symbol_dim
 
 
-def newest_rows(series: TickSeries) -> DataFrame:
-    """The last tick of each symbol: the row whose place is n - 1."""
-    return series.rows.join(series.lengths, "symbol").where(F.col("pos") == F.col("n") - 1).drop("n")
-
-
 def first_rows(series: TickSeries, symbol: str, k: int) -> DataFrame:
     """The first k ticks of one symbol."""
     return series.rows.where((F.col("symbol") == symbol) & (F.col("pos") < k))
@@ -43,27 +41,23 @@ def downsample(series: TickSeries, points: int = 800) -> DataFrame:
     )
 
 
-def _number(text: str) -> float | None:
-    return float(text) if text.strip() else None
+_BOUND = r"\s*(\+?(?:\d+\.?\d*|\.\d+)(?:[eE][+]?\d+)?)\s*"
+# an optional number, a dash, and an optional number that ends there or at a further dash
+_RANGE = re.compile(rf"(?:{_BOUND}|\s*)-(?:{_BOUND}(?:-|$))?")
 
 
 def search_predicate(keyword: str) -> Column:
-    """'lo-hi', 'lo-', '-hi' are inclusive price ranges; other text matches symbol or direction."""
-    low = high = None
-    if "-" in keyword:
-        bounds = keyword.split("-")
-        try:
-            low = _number(bounds[0])
-            high = _number(bounds[1])
-        except ValueError:
-            pass  # bounds read so far still apply
-    price = F.col("price")
-    if low is not None and high is not None:
-        return price.between(low, high)
-    if low is not None:
-        return price >= low
-    if high is not None:
-        return price <= high
+    """'lo-hi', 'lo-', '-hi' are inclusive price ranges; other text matches symbol or direction.
+
+    A second bound that is not a number is left out; a first one makes the keyword plain text.
+    """
+    found = _RANGE.match(keyword)
+    bounds = found.groups() if found else (None, None)
+    tests = [
+        test(F.col("price"), float(bound)) for test, bound in zip((Column.__ge__, Column.__le__), bounds) if bound
+    ]
+    if tests:
+        return reduce(Column.__and__, tests)
     return F.col("symbol").contains(keyword.upper()) | F.lower("direction").contains(keyword.lower())
 
 

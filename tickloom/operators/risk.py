@@ -41,18 +41,10 @@ def max_drawdown(series: TickSeries) -> DataFrame:
 def latest_ticks(series: TickSeries, n: int, days: int | None = 7) -> DataFrame:
     """The newest n ticks of every symbol, none older than ``days`` before the newest tick of all.
 
-    Places are stored, so this is a filter: the per-symbol lengths come from a tiny stored table
-    and the time bound is a scalar pushed to the scan.
+    Places, lengths and newest times are stored, so both bounds are constants that prune the scan.
     """
-    rows = series.rows
-    if days is not None:
-        newest = series.rows.agg(F.max("event_ts")).scalar()
-        rows = rows.where(F.col("event_ts") >= newest - F.expr(f"INTERVAL {days} DAYS"))
-    return (
-        rows.join(series.lengths, "symbol")
-        .where(F.col("pos") >= F.col("n") - n)
-        .drop("n")
-    )
+    rows = series.rows.where(series.newest(n))
+    return rows if days is None else rows.where(series.since(f"{days} DAYS"))
 
 
 def drawdown_of_latest(latest: DataFrame, newest_first: bool = False) -> DataFrame:

@@ -23,36 +23,59 @@ import math
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from tickloom.session import new_folder, stored
+from tickloom.session import new_folder, remove, stored, stored_at
 
-LEAD_IN = 64
+LEAD_IN = 256
 LEAD_OUT = 1
-MIN_BLOCK_ROWS = 256
+MIN_BLOCK_ROWS = 2048
 MAX_BLOCK_ROWS = 1_000_000
 ROWS_PER_BUCKET = 8_000_000
-MAX_BUCKETS = 50_000
 # blocks reach buckets by hash; several per bucket even out the buckets
 BLOCKS_PER_BUCKET = 16
 
 
 @dataclass(frozen=True)
 class TickSeries:
-    """table: blocks with their copied edge rows; lengths: symbol, n (ticks per symbol)."""
+    """table: blocks with their copied edge rows; ends: symbol, n (ticks per symbol), last_ts."""
 
     table: DataFrame
-    lengths: DataFrame
+    ends: DataFrame
     block_rows: int
+    name: str
 
     @property
     def rows(self) -> DataFrame:
         """Every tick exactly once."""
         return self.table.where("own").drop("own")
 
+    @property
+    def lengths(self) -> DataFrame:
+        """symbol, n."""
+        return self.ends.select("symbol", "n")
+
+    @cached_property
+    def last(self) -> list:
+        """The rows of ``ends``: one per symbol, and a market has few symbols."""
+        return self.ends.collect()
+
+    def newest(self, k: int) -> Column:
+        """Predicate of the last k ticks of every symbol, in constants that reach the scan."""
+        each = [F.col("symbol").eqNullSafe(F.lit(e.symbol)) & (F.col("pos") >= F.lit(e.n - k)) for e in self.last]
+        return reduce(Column.__or__, each, F.lit(False))
+
+    def since(self, interval: str, symbol: str | None = None) -> Column:
+        """Predicate of the ticks within an interval before the newest tick (of a symbol, or of all)."""
+        times = [e.last_ts for e in self.last if e.last_ts is not None and symbol in (None, e.symbol)]
+        if not times:
+            return F.lit(False)
+        return F.col("event_ts") >= F.lit(max(times)) - F.expr(f"INTERVAL {interval}")
+
 
 def block_window() -> WindowSpec:
     return Window.partitionBy("symbol", "block").orderBy("pos")
@@ -76,22 +99,20 @@ def earlier_blocks(*keys: str) -> WindowSpec:
 
 def _layout(rows: int, parallelism: int) -> tuple[int, int]:
     """(rows per block, buckets) for a row count: at least one bucket per core."""
-    buckets = min(MAX_BUCKETS, max(parallelism, math.ceil(rows / ROWS_PER_BUCKET)))
+    buckets = max(parallelism, math.ceil(rows / ROWS_PER_BUCKET))
     block_rows = math.ceil(rows / (buckets * BLOCKS_PER_BUCKET))
     return min(MAX_BLOCK_ROWS, max(MIN_BLOCK_ROWS, block_rows)), buckets
 
 
-def _write_blocks(rows: DataFrame, block_rows: int, buckets: int) -> DataFrame:
+def _write_blocks(rows: DataFrame, ends: DataFrame, block_rows: int, buckets: int) -> TickSeries:
     """Copy edge rows to the neighbouring blocks and write the bucketed table."""
-    place = F.col("pos") % F.lit(block_rows)
-    block = F.floor(F.col("pos") / F.lit(block_rows))
-    targets = F.array_compact(
-        F.array(
-            block,
-            F.when(place >= block_rows - LEAD_IN, block + 1),
-            F.when((place < LEAD_OUT) & (block > 0), block - 1),
-        )
-    )
+    def block_of(pos):
+        return F.floor(pos / F.lit(block_rows))
+
+    # every block that starts within the next LEAD_IN rows, however small blocks are
+    pos = F.col("pos")
+    block = block_of(pos)
+    targets = F.sequence(block_of(F.greatest(pos - F.lit(LEAD_OUT), F.lit(0))), block_of(pos + F.lit(LEAD_IN)))
     spread = (
         rows.withColumn("block", F.explode(targets))
         .withColumn("own", F.col("block") == block)
@@ -105,27 +126,7 @@ def _write_blocks(rows: DataFrame, block_rows: int, buckets: int) -> DataFrame:
         .sortBy("symbol", "block", "pos")
         .saveAsTable(name)
     )
-    return spark.table(name)
-
-
-def small_series(ticks: DataFrame) -> TickSeries:
-    """The same interface for rows the caller has counted and found small (<= MAX_BLOCK_ROWS):
-    one block per symbol, nothing written."""
-    in_order = Window.partitionBy("symbol").orderBy("event_ts", "seq")
-    table = ticks.withColumns(
-        {
-            "pos": (F.row_number().over(in_order) - 1).cast("bigint"),
-            "block": F.lit(0).cast("bigint"),
-            "own": F.lit(True),
-        }
-    )
-    lengths = ticks.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
-    return TickSeries(table, lengths, MAX_BLOCK_ROWS)
-
-
-def series_of(ticks: DataFrame, small: int = 200_000) -> TickSeries:
-    """small_series up to ``small`` rows (counted first), stored blocks beyond."""
-    return small_series(ticks) if ticks.count() <= small else build_series(ticks)
+    return TickSeries(spark.table(name), ends, block_rows, name)
 
 
 def build_series(
@@ -140,35 +141,49 @@ def build_series(
     """
     spark = ticks.sparkSession
     size, buckets = _layout(ticks.count(), spark.sparkContext.defaultParallelism)
+    if block_rows is not None and block_rows < 1:
+        raise ValueError("a block holds at least one row")
     size = block_rows or size
 
     # 1. one range shuffle; the id is (partition << 33) + place inside the sorted partition
     order = ("symbol", "event_ts", "seq")
-    ordered = stored(
+    ordered, ordered_path = stored_at(
         ticks.repartitionByRange(buckets, *order)
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id()),
         "ordered",
-    ).withColumn("_part", F.shiftright("_id", 33))
+    )
+    ordered = ordered.withColumn("_part", F.shiftright("_id", 33))
 
     # 2. rows before each (symbol, partition): a window over partition counts only
     before = Window.partitionBy("symbol").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stored(
+    offsets, offsets_path = stored_at(
         ordered.groupBy("symbol", "_part")
-        .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"), F.max("event_ts").alias("_last"))
         .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))),
         "offsets",
     )
-    lengths = stored(offsets.groupBy("symbol").agg(F.sum("_n").alias("n")), "lengths")
+    ends = stored(offsets.groupBy("symbol").agg(F.sum("_n").alias("n"), F.max("_last").alias("last_ts")), "ends")
 
     # 3. global place of every row, then equal blocks
     placed = (
-        ordered.join(offsets.drop("_n"), ["symbol", "_part"])
+        ordered.join(offsets.drop("_n", "_last"), ["symbol", "_part"])
         .withColumn("pos", F.col("_offset") + F.col("_id") - F.col("_first"))
         .drop("_id", "_part", "_first", "_offset")
     )
-    series = TickSeries(_write_blocks(placed, size, buckets), lengths, size)
+    series = _write_blocks(placed, ends, size, buckets)
+    remove(spark, ordered_path)
+    remove(spark, offsets_path)
     if derive is None:
         return series
-    derived = derive(series).drop("block", "own")
-    return TickSeries(_write_blocks(derived, size, buckets), lengths, size)
+    made = _write_blocks(derive(series).drop("block", "own"), ends, size, buckets)
+    drop_blocks(series)
+    return made
+
+
+def drop_blocks(series: TickSeries) -> None:
+    """Remove the stored blocks of a series that is no longer read."""
+    spark = series.table.sparkSession
+    path = spark.sql(f"DESCRIBE FORMATTED {series.name}").where("col_name = 'Location'").first().data_type
+    spark.sql(f"DROP TABLE {series.name}")
+    remove(spark, path)

@@ -85,15 +85,14 @@ def newest_with_change(series: TickSeries) -> DataFrame:
     return (
         latest_ticks(series, 2, days=None)
         .withColumn("_before", before)
-        .join(series.lengths, "symbol")
-        .where(F.col("pos") == F.col("n") - 1)
+        .where(series.newest(1))
         .withColumns(
             {
                 "price_change": F.col("price") - F.col("_before"),
                 "price_change_pct": percent_change(F.col("price"), F.col("_before")),
             }
         )
-        .drop("_before", "n")
+        .drop("_before")
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -91,7 +93,7 @@ def newest_features(series: TickSeries) -> DataFrame:
     edge = series.table.join(series.lengths, "symbol").where(
         (F.col("n") >= MIN_ROWS) & (F.col("pos") >= F.col("n") - MIN_ROWS)
     )
-    tail = TickSeries(edge, series.lengths, series.block_rows)
+    tail = replace(series, table=edge)
     return feature_table(tail).where((F.col("pos") == F.col("n") - 1) & F.col("own") & F.col("ready"))
 
 

@@ -102,7 +102,7 @@ _FIVE = "time_bucket(INTERVAL '5 minutes', event_ts)"
 _FIFTEEN = "time_bucket(INTERVAL '15 minutes', event_ts)"
 oracle("dws_1min", _dws(MINUTE, 6) + f" GROUP BY symbol, {MINUTE}")
 oracle("dws_5min", _dws(_FIVE, 8) + f" GROUP BY symbol, {_FIVE}")
-oracle("serve_aggregates", _dws(_FIFTEEN, 8, True) + f" WHERE symbol = 'GOLD' GROUP BY symbol, {_FIFTEEN}")
+oracle("serve_aggregates", _dws(_FIFTEEN, 8, True) + f" GROUP BY symbol, {_FIFTEEN}")
 
 HOURLY = f"""SELECT symbol, strftime(date_trunc('hour', event_ts), '%Y-%m-%d %H:00') AS time,
   arg_min(price, pos) AS open, arg_max(price, pos) AS close, max(price) AS high, min(price) AS low,
@@ -369,8 +369,8 @@ oracle(
     "serve_trend",
     f""" g AS (SELECT *, {mean(5)} AS s5, {mean(10)} AS s10 FROM t)
 SELECT {ts('event_ts')} AS time, price, volume, {r('s5')} AS sma_5, {r('s10')} AS sma_10 FROM g
-WHERE symbol = 'GOLD' AND pos >= n - 1000
-  AND event_ts >= (SELECT max(event_ts) FROM t WHERE symbol = 'GOLD') - INTERVAL '120 minutes'""",
+WHERE symbol = 'GOLD' AND pos >= n - 2000
+  AND event_ts >= (SELECT max(event_ts) FROM t WHERE symbol = 'GOLD') - INTERVAL '4320 minutes'""",
 )
 oracle(
     "serve_volume",
@@ -466,7 +466,7 @@ SELECT symbol, {ts('event_ts')} AS event_time, seq, price, {r('mv')} AS price_ch
 
 
 oracle("alerts_evaluate", _alerts("chg_pct"))
-oracle("stream_alerts", _alerts("volatility * 100"))
+oracle("stream_alerts", _alerts("chg_pct"))
 oracle("alerts_recent", _alerts("chg_pct") + " ORDER BY event_ts DESC, seq DESC, kind LIMIT 20")
 LEARNED = f""" l AS (SELECT symbol, {r('avg(price) * 2', 4)} AS upper, {r('avg(price) / 2', 4)} AS lower,
   {r('max(volatility) * 100', 4)} AS vol_pct FROM t WHERE symbol IN ('GOLD', 'OIL') GROUP BY symbol)"""

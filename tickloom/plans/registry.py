@@ -68,7 +68,7 @@ def _spark(s: TickSeries) -> SparkSession:
 query("bars_1min")(lambda s: bars.tick_bars(s.rows))
 query("dws_1min")(lambda s: bars.summary_bars(s.rows, "1 minute").drop("bar_time"))
 query("dws_5min", digits=8)(lambda s: bars.summary_bars(s.rows, "5 minutes").drop("bar_time"))
-query("serve_aggregates", digits=8)(lambda s: serve.aggregates(s, "15min", "GOLD"))
+query("serve_aggregates", digits=8)(lambda s: serve.aggregates(s, "15min"))
 query("bars_hourly", "wide")(lambda s: bars.hourly_bars(s.rows))
 query("bars_sliding", digits=8)(lambda s: bars.sliding_bars(s.rows, "5 minutes", "1 minute"))
 
@@ -142,7 +142,7 @@ query("hist_total_rollup")(lambda s: history.total_rollup(s.rows))
 
 # --- serving ----------------------------------------------------------------------------------
 query("serve_latest", "wide")(lambda s: serve.latest(s))
-query("serve_trend")(lambda s: serve.trend(s, "GOLD", minutes=120, limit=1000))
+query("serve_trend")(lambda s: serve.trend(s, "GOLD"))
 query("serve_volume", "wide")(lambda s: serve.volume(s))
 query("serve_summary", "wide")(lambda s: serve.summary(s))
 query("hist_vs_latest", "wide")(lambda s: serve.history_vs_latest(s))
@@ -260,8 +260,9 @@ def _(s):
 
 @query("ods_scan", "wide")
 def _(s):
-    return _raw_lake(s).withColumn("event_ts", parse_time("event_time")).select(
-        "symbol", "seq", "event_ts", "dt", "price", "volume", "bid", "ask", "spread", "direction"
+    rows = _raw_lake(s).withColumn("event_ts", parse_time("event_time"))
+    return lake.keep_present(
+        rows, ["symbol", "seq", "event_ts", "dt", "price", "volume", "bid", "ask", "spread", "direction", "venue"]
     )
 
 
@@ -455,7 +456,7 @@ def _(s):
     folder = new_folder(_spark(s), "keyed")
     by_minute = lake.tick_lines(s.rows).withColumn("timestamp", F.substring("timestamp", 1, 16))
     _arrive(s, by_minute, lambda m: jobs.keyed_upsert(jobs.ticks_of(m), f"{folder}/out", f"{folder}/cp", None))
-    return _spark(s).read.parquet(f"{folder}/out").select(
+    return jobs.keyed_table(_spark(s), f"{folder}/out").read().select(
         "symbol", "timestamp", "seq", "price", "spread_pct", "mid_price"
     )
 
@@ -467,9 +468,9 @@ def _(s):
     limits = uniform_thresholds(spark, 100, 1, 50)
     _arrive(
         s, lake.tick_lines(s.rows),
-        lambda m: jobs.stream_alerts(jobs.ticks_of(m), limits, f"{folder}/out", f"{folder}/cp", None),
+        lambda m: jobs.stream_alerts(jobs.ticks_of(m), limits, f"{folder}/out", f"{folder}/state", f"{folder}/cp", None),
     )
-    return spark.read.parquet(f"{folder}/out")
+    return spark.read.parquet(f"{folder}/out").drop("epoch")
 
 
 @query("stream_sma_state")

@@ -17,8 +17,7 @@ from tickloom.schema import symbol_dim
 
 
 def _within(series: TickSeries, rows: DataFrame, days: int) -> DataFrame:
-    newest = series.rows.agg(F.max("event_ts")).scalar()
-    return rows.where(F.col("event_ts") >= newest - F.expr(f"INTERVAL {days} DAYS"))
+    return rows.where(series.since(f"{days} DAYS"))
 
 
 def _or_zero(*names: str):
@@ -41,14 +40,13 @@ def latest(series: TickSeries, days: int = 7) -> DataFrame:
 
 def trend(series: TickSeries, symbol: str, minutes: int = 4320, limit: int = 2000) -> DataFrame:
     """The newest ``limit`` ticks of one symbol within ``minutes``, ascending, with SMA 5 and 10."""
-    of_symbol = series.table.where(F.col("symbol") == symbol)
-    newest = of_symbol.agg(F.max("event_ts")).scalar()
-    length = series.lengths.where(F.col("symbol") == symbol).agg(F.max("n")).scalar()
+    length = max((e.n for e in series.last if e.symbol == symbol), default=0)
     return (
-        of_symbol.where(F.col("pos") >= length - limit - 20)  # keeps the rows the averages look back on
+        # keeps the rows the averages look back on
+        series.table.where((F.col("symbol") == symbol) & (F.col("pos") >= F.lit(length - limit - 20)))
         .withColumns({"sma_5": sma(5), "sma_10": sma(10)})
-        .where(F.col("own") & (F.col("pos") >= length - limit))
-        .where(F.col("event_ts") >= newest - F.expr(f"INTERVAL {minutes} MINUTES"))
+        .where(F.col("own") & (F.col("pos") >= F.lit(length - limit)))
+        .where(series.since(f"{minutes} MINUTES", symbol))
         .orderBy("pos")
         .select(time_text("event_ts").alias("time"), "price", "volume", "sma_5", "sma_10")
     )

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 # Field names, symbols, display data and default thresholds that
 # results must agree on.
 # ---------------------------------------------------------------------------
-TEXT_FIELDS = ("timestamp", "direction")
 NUMBER_FIELDS = ("price", "volume", "bid", "ask", "spread", "volatility", "high", "low")
 CSV_FIELDS = (
     "timestamp", "price", "volume", "bid", "ask", "spread", "direction", "volatility", "high", "low",

@@ -49,7 +49,33 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     The read has an exact file size, so Spark's own broadcast threshold decides how later
     joins use it, and lost executors never cause the summary to be computed again.
     """
+    return stored_at(df, label)[0]
+
+
+def stored_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As ``stored``, with the folder, for tables that are removed when their reader is done."""
     spark = df.sparkSession
     path = new_folder(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def _hadoop(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    system, where = _hadoop(spark, path)
+    system.delete(where, True)
+
+
+def children(spark: SparkSession, path: str, committed: bool = False) -> list[str]:
+    """Names of the folders in a folder; ``committed``: only those that a finished job has written."""
+    system, where = _hadoop(spark, path)
+    if not system.exists(where):
+        return []
+    found = [s.getPath() for s in system.listStatus(where) if s.isDirectory()]
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(p.getName() for p in found if not committed or system.exists(done(p, "_SUCCESS")))

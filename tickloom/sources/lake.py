@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tickloom.operators.bars import merge_partials
 from tickloom.schema import BAR_SCHEMA, SYMBOLS, TICK_FIELDS, TICK_SCHEMA
-from tickloom.session import stored
+from tickloom.session import children, remove
 
 PARTITIONS = ("symbol", "dt")
 
@@ -117,25 +117,48 @@ def latest_by_key(rows: DataFrame, keys, order) -> DataFrame:
     )
 
 
-def upsert_partitions(changes: DataFrame, path: str, keys, order) -> None:
-    """Merge rows into a table partitioned by (symbol, dt): later rows replace earlier ones.
+class KeyedTable:
+    """A table with one row per key that only ever gets whole, committed folders.
 
-    Only partitions the changes touch are read and rewritten.
+    ``write`` adds the changes of one epoch as a delta; writing the epoch again replaces it. ``read`` merges the
+    newest base with the deltas after it: the row with the largest order wins, rows whose order is null lose to
+    any other. ``compact`` merges all that is there into a new base, and removes what it replaces only
+    once that base is committed, so a stop at any point loses nothing.
     """
-    spark = changes.sparkSession
-    merged = latest_by_key(changes, keys, order)
-    touched = changes.select(*PARTITIONS).distinct()
-    try:
-        current = spark.read.schema(changes.schema).parquet(path).join(touched, list(PARTITIONS), "left_semi")
-        merged = latest_by_key(current.unionByName(changes), keys, order)
-    except Exception as error:  # first write: nothing there yet
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-    # the source of this write is the table it replaces, so it is written aside first
-    (
-        clustered(stored(merged, "upsert")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS).parquet(path)
-    )
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys, order):
+        self.spark, self.path, self.schema, self.keys, self.order = spark, path, schema, list(keys), list(order)
+
+    def _epochs(self, kind: str) -> list[int]:
+        return sorted(int(name.partition("=")[2]) for name in children(self.spark, f"{self.path}/{kind}", committed=True))
+
+    def _folders(self) -> tuple[list[str], int | None, list[int]]:
+        bases, deltas = self._epochs("base"), self._epochs("delta")
+        upto = bases[-1] if bases else None
+        fresh = [e for e in deltas if upto is None or e > upto]
+        return ([] if upto is None else [f"{self.path}/base/epoch={upto}"]) + [
+            f"{self.path}/delta/epoch={e}" for e in fresh
+        ], upto, fresh
+
+    def write(self, changes: DataFrame, epoch: int) -> None:
+        rows = latest_by_key(changes.select(*self.schema.fieldNames()), self.keys, self.order)
+        rows.write.mode("overwrite").parquet(f"{self.path}/delta/epoch={epoch}")
+
+    def read(self) -> DataFrame:
+        folders = self._folders()[0]
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return latest_by_key(self.spark.read.schema(self.schema).parquet(*folders), self.keys, self.order)
+
+    def compact(self) -> None:
+        _, upto, fresh = self._folders()
+        if not fresh:
+            return
+        self.read().write.mode("overwrite").parquet(f"{self.path}/base/epoch={fresh[-1]}")
+        for e in (e for e in self._epochs("delta") if e <= fresh[-1]):
+            remove(self.spark, f"{self.path}/delta/epoch={e}")
+        if upto is not None:
+            remove(self.spark, f"{self.path}/base/epoch={upto}")
 
 
 def tick_lines(series_rows: DataFrame) -> DataFrame:

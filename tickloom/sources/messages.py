@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.temporal import parse_time
 from tickloom.schema import NUMBER_FIELDS, SYMBOLS, TICK_FIELDS, TICK_TEXT_SCHEMA
 
 # Topics, one per symbol, and the broker options of producer and consumer.
 TOPICS = ("copper_tick", "gas_tick", "gold_tick", "oil_tick", "silver_tick")
-SOURCE_OPTIONS = {"startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "1000"}
+SOURCE_OPTIONS = {"startingOffsets": "latest", "failOnDataLoss": "false"}
 SINK_OPTIONS = {"kafka.acks": "all", "kafka.compression.type": "gzip", "kafka.linger.ms": "5"}
 
 
@@ -25,16 +26,19 @@ def encode(ticks: DataFrame) -> DataFrame:
     )
 
 
-def decode(messages: DataFrame, value: str = "value", *keep: str) -> DataFrame:
-    """The 12 fields plus event_ts and dt.
+def decode(messages: DataFrame, value: str = "value", *keep: str, also: dict[str, str] | None = None) -> DataFrame:
+    """The 12 fields plus event_ts and dt; ``also`` names further fields of the message with their types.
 
     Fields are read as text and then cast, so numbers sent as text count as numbers; a value that
     is not JSON gives a row of nulls.
     """
-    fields = F.from_json(F.col(value).cast("string"), TICK_TEXT_SCHEMA)
+    also = also or {}
+    layout = T.StructType([*TICK_TEXT_SCHEMA.fields, *[T.StructField(c, T.StringType()) for c in also]])
+    fields = F.from_json(F.col(value).cast("string"), layout)
     parsed = messages.select(*keep, fields.alias("m")).select(*keep, "m.*")
     return parsed.withColumns(
         {c: F.col(c).try_cast("double") for c in NUMBER_FIELDS}
+        | {c: F.col(c).try_cast(kind) for c, kind in also.items()}
         | {"event_ts": parse_time("event_time")}
     ).withColumn("dt", F.to_date("event_ts"))
 
@@ -61,9 +65,12 @@ def quarantine(messages: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def broker_stream(spark: SparkSession, servers: str, **options: str) -> DataFrame:
-    """Streaming source over the five topics (needs the Kafka connector on the class path)."""
-    merged = {**SOURCE_OPTIONS, **options, "kafka.bootstrap.servers": servers, "subscribe": ",".join(TOPICS)}
+def broker_stream(spark: SparkSession, servers: str, per_trigger: int, **options: str) -> DataFrame:
+    """Streaming source over the five topics (needs the Kafka connector on the class path).
+
+    ``per_trigger`` bounds the messages of a micro-batch; what is beyond it waits for the next.
+    """
+    merged = {**SOURCE_OPTIONS, "maxOffsetsPerTrigger": str(per_trigger), **options, "kafka.bootstrap.servers": servers, "subscribe": ",".join(TOPICS)}
     return spark.readStream.format("kafka").options(**merged).load()
 
 

@@ -7,26 +7,32 @@ of their micro-batch (epoch): a batch that runs again after a failure replaces i
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tickloom.functions.numeric import mean_of
 from tickloom.functions.temporal import interval_text
 from tickloom.operators.alerts import evaluate
-from tickloom.operators.bars import partial_bars
+from tickloom.operators.bars import partial_bars, time_order
 from tickloom.operators.detail import enrich
 from tickloom.operators.indicators import indicator_frame, lagged, momentum, sma
 from tickloom.operators.risk import latest_ticks
-from tickloom.operators.series import series_of
-from tickloom.schema import SYMBOLS, TICK_FIELDS
-from tickloom.sources.lake import latest_by_key, overwrite_epoch, upsert_partitions
+from tickloom.operators.series import TickSeries, build_series, drop_blocks
+from tickloom.schema import SYMBOLS, TICK_FIELDS, TICK_SCHEMA
+from tickloom.session import remove
+from tickloom.sources.lake import KeyedTable, latest_by_key, overwrite_epoch
 from tickloom.sources.messages import decode, reject_reason
 
 # Fixed value: the micro-batch interval of the live pipeline.
 TRIGGER = "10 seconds"
 KEPT_TICKS = 20
+COMPACT_EVERY = 60
+"""Micro-batches after which the keyed table is compacted."""
 
 
 def file_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -39,15 +45,16 @@ def file_messages(spark: SparkSession, path: str, max_files: int | None = None)
 
 def decoded(messages: DataFrame) -> DataFrame:
     """Every message decoded, with its text; seq orders ticks of the same second."""
-    seq = (
-        F.col("offset") if "offset" in messages.columns
-        else F.get_json_object(F.col("value").cast("string"), "$.seq").try_cast("bigint")
-    )
-    return decode(messages.withColumn("seq", seq), "value", "seq", "value")
+    if "offset" in messages.columns:
+        return decode(messages.withColumn("seq", F.col("offset")), "value", "seq", "value")
+    return decode(messages, "value", "value", also={"seq": "bigint"})
 
 
 def known(ticks: DataFrame) -> DataFrame:
-    return ticks.where(F.col("symbol").isin(*SYMBOLS))
+    """Ticks of known symbols. Exploding an empty-or-one array filters like a condition would, but is not
+    pushed below the JSON parse, where it would parse each message again."""
+    here = F.array_compact(F.array(F.when(F.col("symbol").isin(*SYMBOLS), F.lit(1))))
+    return ticks.withColumn("_known", F.explode(here)).drop("_known")
 
 
 def ticks_of(messages: DataFrame) -> DataFrame:
@@ -90,7 +97,7 @@ def watermarked_bars(ticks: DataFrame, size: str, slide: str | None, delay: str)
     """Stateful bars: tumbling, or sliding when slide is given; ticks later than delay are dropped
     (counted by the query's progress)."""
     window = F.window("event_ts", interval_text(size), interval_text(slide) if slide else None)
-    order = F.struct("event_ts", "seq")
+    order = time_order("event_ts", "seq")
     return (
         ticks.withWatermark("event_ts", interval_text(delay))
         .groupBy(window.alias("w"), "symbol")
@@ -132,28 +139,56 @@ def current_bars(spark: SparkSession, path: str) -> DataFrame:
     return latest_by_key(spark.read.parquet(path), ["symbol", "minute"], ["epoch"]).drop("epoch")
 
 
-def dropped_late_rows(query: StreamingQuery) -> int:
-    """Late ticks the watermark has dropped so far in this run of the query."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the late ticks that the watermark drops, over the whole run of each query.
+
+    Add it with ``spark.streams.addListener`` before the query starts.
+    """
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        self.dropped.setdefault(str(event.runId), 0)
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        late = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        run = str(event.progress.runId)
+        self.dropped[run] = self.dropped.get(run, 0) + late
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        return self.dropped.get(str(query.runId), 0)
+
+
+KEYED_SCHEMA = T.StructType([
+    *TICK_SCHEMA.fields, T.StructField("seq", T.LongType()), T.StructField("event_ts", T.TimestampType()),
+    T.StructField("dt", T.DateType()), T.StructField("spread_pct", T.DoubleType()), T.StructField("mid_price", T.DoubleType()),
+])
+
+
+def keyed_table(spark: SparkSession, path: str) -> KeyedTable:
+    """The table that ``keyed_upsert`` fills."""
+    return KeyedTable(spark, path, KEYED_SCHEMA, ["symbol", "timestamp"], ["event_ts", "seq"])
 
 
 def keyed_upsert(ticks: DataFrame, path: str, checkpoint: str, interval: str | None = TRIGGER) -> StreamingQuery:
     """One enriched row per symbol-timestamp; the later tick replaces the earlier one.
 
-    A second, independent reader of the same messages: own checkpoint, starts from the oldest.
-    Replaying a batch changes nothing, because the larger (event_ts, seq) wins.
+    A second, independent reader of the same messages: own checkpoint, starts from the oldest. Each micro-batch
+    adds one delta, and replaying it replaces that delta. A tick whose time cannot be read is kept, too.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        rows = enrich(batch.select(*TICK_FIELDS, "seq", "event_ts", "dt")).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            upsert_partitions(rows, path, ["symbol", "timestamp"], ["event_ts", "seq"])
-        finally:
-            rows.unpersist()
+        table = keyed_table(batch.sparkSession, path)
+        table.write(enrich(batch.select(*TICK_FIELDS, "seq", "event_ts", "dt")), epoch)
+        if epoch % COMPACT_EVERY == COMPACT_EVERY - 1:
+            table.compact()
 
     return _start(ticks.writeStream.outputMode("append").foreachBatch(write), checkpoint, interval)
 
@@ -165,31 +200,18 @@ def first_per_key(ticks: DataFrame, delay: str = "10 minutes") -> DataFrame:
     )
 
 
-def stream_alerts(
-    ticks: DataFrame, thresholds: DataFrame, path: str, checkpoint: str, interval: str | None = TRIGGER
-) -> StreamingQuery:
-    """Breaches as they arrive: stream-static join, exactly-once file sink, no state.
-
-    The move of a tick is its own volatility field, in percent.
-    """
-    moves = ticks.withColumn("price_change_pct", F.col("volatility") * 100.0)
-    breaches = evaluate(moves, thresholds)
-    return _start(breaches.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint, interval)
-
-
 def _last_state(spark: SparkSession, path: str, epoch: int) -> DataFrame | None:
     return spark.read.parquet(f"{path}/epoch={epoch - 1}") if epoch > 0 else None
 
 
-def moving_averages(ticks: DataFrame, out_path: str, state_path: str, checkpoint: str,
-                    interval: str | None = TRIGGER) -> StreamingQuery:
-    """SMA 5/10/20 and the change to the previous tick for every streamed tick.
+def over_history(ticks: DataFrame, publish: Callable[[TickSeries, DataFrame, int], None], keep: int,
+                 state_path: str, checkpoint: str, interval: str | None = TRIGGER) -> StreamingQuery:
+    """Runs ``publish(series, late, epoch)`` on every micro-batch together with the ticks before it.
 
-    Row windows do not run on streams, so each micro-batch is joined by the last KEPT_TICKS ticks
-    of every symbol, stored by the batch before it, and goes through the batch indicators. A batch
-    that turns out large (a backfill) is cut into blocks first. A tick older than the stored end of
-    its symbol is late: it is published with ``late`` set and without averages, instead of
-    rewriting rows already published.
+    Row windows do not run on streams, so each micro-batch is joined by the last ``keep`` ticks of every
+    symbol, stored by the batch before it, and cut into blocks; its own ticks have ``fresh`` set. States before
+    the last two epochs are removed. A tick older than the stored end of its symbol is late: it is handed
+    over apart, as it must not rewrite rows already published.
     """
     columns = ["symbol", "event_ts", "seq", "price"]
     kept_schema = "symbol string, event_ts timestamp, seq bigint, price double"
@@ -209,32 +231,57 @@ def moving_averages(ticks: DataFrame, out_path: str, state_path: str, checkpoint
         try:
             fresh = placed.where("NOT late").withColumn("fresh", F.lit(True)).drop("late")
             kept = before.select(*columns).withColumn("fresh", F.lit(False))
-            series = series_of(fresh.unionByName(kept))
-            price = F.col("price")
-            rows = (
-                indicator_frame(
-                    series,
-                    sma_5=sma(5), sma_10=sma(10), sma_20=sma(20),
-                    price_change=price - lagged("price", 1), price_change_pct=momentum(1),
-                )
-                .where("fresh")
-                .select(*columns, "sma_5", "sma_10", "sma_20", "price_change", "price_change_pct",
-                        F.lit(False).alias("late"))
-            )
-            late = placed.where("late")
-            rows.unionByName(late, allowMissingColumns=True).write.mode("overwrite").parquet(
-                f"{out_path}/epoch={epoch}"
-            )
+            series = build_series(fresh.unionByName(kept))
+            publish(series, placed.where("late"), epoch)
             (
-                latest_ticks(series, KEPT_TICKS, days=None).select(*columns)
+                latest_ticks(series, keep, days=None).select(*columns)
                 .write.mode("overwrite").parquet(f"{state_path}/epoch={epoch}")
             )
+            drop_blocks(series)
+            if epoch >= 2:
+                remove(spark, f"{state_path}/epoch={epoch - 2}")
         finally:
             placed.unpersist()
 
     return _start(ticks.writeStream.outputMode("append").foreachBatch(write), checkpoint, interval)
 
 
+def stream_alerts(ticks: DataFrame, thresholds: DataFrame, path: str, state_path: str, checkpoint: str,
+                  interval: str | None = TRIGGER) -> StreamingQuery:
+    """Breaches as they arrive, by the rule of the batch alerts: a move is the change against the symbol's
+    previous tick. A late tick is held against the price limits only."""
+
+    def publish(series: TickSeries, late: DataFrame, epoch: int) -> None:
+        moved = indicator_frame(series, price_change_pct=momentum(1)).where("fresh")
+        rows = moved.select("symbol", "event_ts", "seq", "price", "price_change_pct").unionByName(
+            late.drop("late").withColumn("price_change_pct", F.lit(None).cast("double"))
+        )
+        evaluate(rows, thresholds).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    return over_history(ticks, publish, 1, state_path, checkpoint, interval)
+
+
+def moving_averages(ticks: DataFrame, out_path: str, state_path: str, checkpoint: str,
+                    interval: str | None = TRIGGER) -> StreamingQuery:
+    """SMA 5/10/20 and the change to the previous tick for every streamed tick; late ticks are published
+    with ``late`` set and without averages."""
+
+    def publish(series: TickSeries, late: DataFrame, epoch: int) -> None:
+        rows = (
+            indicator_frame(
+                series,
+                sma_5=sma(5), sma_10=sma(10), sma_20=sma(20),
+                price_change=F.col("price") - lagged("price", 1), price_change_pct=momentum(1),
+            )
+            .where("fresh")
+            .select("symbol", "event_ts", "seq", "price", "sma_5", "sma_10", "sma_20", "price_change",
+                    "price_change_pct", F.lit(False).alias("late"))
+        )
+        rows.unionByName(late, allowMissingColumns=True).write.mode("overwrite").parquet(f"{out_path}/epoch={epoch}")
+
+    return over_history(ticks, publish, KEPT_TICKS, state_path, checkpoint, interval)
+
+
 def stage_messages(lines: DataFrame, path: str) -> None:
     """Append tick lines as JSON messages to a source folder."""
     lines.select(F.to_json(F.struct(*[c for c in lines.columns if c != "dt"])).alias("value")).write.mode(
