@@ -16,9 +16,6 @@ from pyspark.sql import SparkSession
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-# model training is iterative and timed apart from the headline (see README)
-LEFT_OUT = {"ml_train_eval", "ml_predict_latest", "ml_prediction_flips"}
-STREAMS = {"stream_raw_ingest", "stream_bars_watermark", "stream_sma_state"}
 
 
 def main() -> None:
@@ -49,8 +46,6 @@ def main() -> None:
     for kind in ("dense", "wide"):
         clock(f"prepare_{kind}", lambda kind=kind: tick_series(spark, SF_DIR, kind))
     for name, query in QUERIES.items():
-        if name in LEFT_OUT or (name.startswith("stream_") and name not in STREAMS):
-            continue
         clock(name, lambda: query(spark, SF_DIR).write.format("noop").mode("overwrite").save())
 
     ticks = tick_series(spark, SF_DIR).rows.count()

@@ -64,9 +64,12 @@ class TickSeries:
         """The rows of ``ends``: one per symbol, and a market has few symbols."""
         return self.ends.collect()
 
-    def newest(self, k: int) -> Column:
-        """Predicate of the last k ticks of every symbol, in constants that reach the scan."""
-        each = [F.col("symbol").eqNullSafe(F.lit(e.symbol)) & (F.col("pos") >= F.lit(e.n - k)) for e in self.last]
+    def newest(self, k: int, least: int = 0) -> Column:
+        """Predicate of the last k ticks of every symbol with ``least`` or more, in constants that reach the scan."""
+        each = [
+            F.col("symbol").eqNullSafe(F.lit(e.symbol)) & (F.col("pos") >= F.lit(e.n - k))
+            for e in self.last if e.n >= least
+        ]
         return reduce(Column.__or__, each, F.lit(False))
 
     def since(self, interval: str, symbol: str | None = None) -> Column:

@@ -90,11 +90,8 @@ def newest_features(series: TickSeries) -> DataFrame:
 
     Only the last MIN_ROWS places are read into the window.
     """
-    edge = series.table.join(series.lengths, "symbol").where(
-        (F.col("n") >= MIN_ROWS) & (F.col("pos") >= F.col("n") - MIN_ROWS)
-    )
-    tail = replace(series, table=edge)
-    return feature_table(tail).where((F.col("pos") == F.col("n") - 1) & F.col("own") & F.col("ready"))
+    tail = replace(series, table=series.table.where(series.newest(MIN_ROWS, least=MIN_ROWS)))
+    return feature_table(tail).where(series.newest(1) & F.col("own") & F.col("ready"))
 
 
 def predict_newest(series: TickSeries, model: PipelineModel) -> DataFrame:

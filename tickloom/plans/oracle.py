@@ -251,6 +251,27 @@ SELECT g.symbol, g.seq, g.label, CASE WHEN pr.rank <= 0.8 THEN 'train' ELSE 'tes
 FROM g JOIN pr ON g.symbol = pr.symbol AND g.seq = pr.seq""",
 )
 
+oracle(
+    "ml_newest_features",
+    FEATURE_ROWS
+    + f"""SELECT symbol, seq, {', '.join(f'{r(c)} AS {c}' for c in FEATURES)} FROM f
+WHERE pos = n - 1 AND n >= 25 AND {' AND '.join(f'{c} IS NOT NULL' for c in FEATURES)}""",
+)
+oracle(
+    "ml_holdout_base",
+    FEATURE_ROWS
+    + f""", pr AS (SELECT symbol, seq, percent_rank() OVER (PARTITION BY symbol ORDER BY pos) AS rank FROM t)
+SELECT count(*) AS row_count, {r('avg(CAST(label AS DOUBLE))')} AS base_rate
+FROM g JOIN pr ON g.symbol = pr.symbol AND g.seq = pr.seq WHERE pr.rank > 0.8""",
+)
+oracle(
+    "rule_flips",
+    f""" a AS (SELECT symbol, seq, pos, price, {mean(5)} AS s5 FROM t),
+b AS (SELECT symbol, seq, pos, CAST(price > s5 AS INT) AS prediction FROM a WHERE s5 IS NOT NULL),
+c AS (SELECT *, lag(prediction) OVER (PARTITION BY symbol ORDER BY pos) AS previous FROM b)
+SELECT symbol, seq, previous, prediction FROM c WHERE previous <> prediction""",
+)
+
 # --- risk
 FALL = "CASE WHEN peak > 0 THEN (peak - price) / peak * 100 ELSE 0.0 END"
 RECENT = " w AS (SELECT * FROM t WHERE event_ts >= (SELECT max(event_ts) FROM t) - INTERVAL '7 days')"
@@ -447,6 +468,21 @@ SELECT pair, name, correlation, color1, color2, CASE WHEN correlation > 0.5 THEN
   WHEN correlation > 0 THEN 'weak positive' WHEN correlation < -0.5 THEN 'strong negative' ELSE 'weak negative' END AS strength,
   listing FROM u""",
 )
+oracle(
+    "correlation_full",
+    """ m AS (SELECT min(k) AS len FROM (SELECT count(*) AS k FROM t GROUP BY symbol)),
+s AS (SELECT symbol, pos AS i, price FROM t, m WHERE pos < len)"""
+    + f""" SELECT a.symbol AS from_symbol, b.symbol AS to_symbol, {r(CORR, 4)} AS value
+FROM s a JOIN s b ON a.i = b.i GROUP BY a.symbol, b.symbol""",
+)
+oracle(
+    "enough_rows_fallback",
+    f""" live AS (SELECT * FROM t WHERE symbol = 'GOLD' OR (symbol = 'OIL' AND pos < 24)),
+x AS (SELECT *, 'live' AS source FROM live
+  UNION ALL SELECT *, 'history' FROM t WHERE symbol <> 'GOLD' AND seq NOT IN (SELECT seq FROM live)),
+y AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY event_ts DESC, seq DESC) AS place FROM x)
+SELECT symbol, {ts('event_ts')} AS event_ts, seq, price, source FROM y WHERE place <= 60""",
+)
 oracle(
     "correlation_by_minute",
     f""" s AS (SELECT symbol, {MINUTE} AS i, arg_max(price, pos) AS price FROM t GROUP BY symbol, {MINUTE}),
@@ -569,6 +605,13 @@ oracle(
     + ") SELECT layer, row_count, CASE WHEN row_count > 0 THEN 'OK' ELSE 'EMPTY' END AS status FROM c",
     "wide",
 )
+oracle(
+    "adhoc_sql",
+    f""" b AS (SELECT symbol, {_FIVE} AS m, {day('max(event_ts)')} AS dt, count(*) AS n, max(price) AS high,
+  count(*) FILTER (direction = 'UP') AS u, count(*) FILTER (direction = 'DOWN') AS d FROM t GROUP BY symbol, {_FIVE})
+SELECT symbol, dt, CAST(sum(n) AS BIGINT) AS ticks, max(high) AS high FROM b WHERE u > d GROUP BY symbol, dt""",
+    "wide",
+)
 oracle(
     "flow_reconcile",
     """SELECT symbol, 2 * count(*) AS messages, 2 * count(*) AS lake_rows, count(DISTINCT event_ts) AS keyed_docs

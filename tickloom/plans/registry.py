@@ -17,7 +17,7 @@ from tickloom.functions.numeric import fixed
 from tickloom.functions.temporal import parse_time, time_text
 from tickloom.operators import alerts, bars, correlation, detail, history, indicators, quality, ranking, risk
 from tickloom.operators.series import TickSeries
-from tickloom.plans import marts, model, serve
+from tickloom.plans import marts, model, serve, warehouse
 from tickloom.plans.ticks import tick_series
 from tickloom.schema import NUMBER_FIELDS, TICK_FIELDS, default_thresholds, symbol_dim, uniform_thresholds
 from tickloom.session import new_folder, stored
@@ -185,6 +185,13 @@ def _(s):
     return serve.primary_or_fallback(live, bars.hourly_bars(s.rows))
 
 
+@query("enough_rows_fallback")
+def _(s):
+    columns = ("symbol", "event_ts", "seq", "price")
+    enough = (F.col("symbol") == "GOLD") | ((F.col("symbol") == "OIL") & (F.col("pos") < 24))
+    return serve.enough_or_history(s.rows.where(enough).select(*columns), s.rows.select(*columns))
+
+
 def _raw_lake(s: TickSeries) -> DataFrame:
     path = new_folder(_spark(s), "raw")
     lake.append_json(lake.tick_lines(s.rows), path, in_time_order=True)
@@ -195,6 +202,7 @@ query("data_asset_stats", "wide")(lambda s: serve.asset_stats(s, _raw_lake(s)).d
 
 # --- correlation ------------------------------------------------------------------------------
 query("correlation_matrix")(lambda s: correlation.correlation_matrix(correlation.aligned_samples(s)))
+query("correlation_full")(lambda s: correlation.correlation_matrix(correlation.aligned_samples(s, 1)))
 query("correlation_by_minute")(
     lambda s: correlation.correlation_pairs(correlation.aligned_bars(bars.tick_bars(s.rows)))
 )
@@ -331,17 +339,21 @@ query("tick_rules")(lambda s: quality.tick_rules(s.rows))
 
 @query("layer_health", "wide")
 def _(s):
-    # the layers as they would be written by plans.warehouse, counted without writing them
+    root = new_folder(_spark(s), "warehouse")
+    warehouse.build(s, root)
     return quality.layer_health(
-        {
-            "ods_tick": s.rows,
-            "dwd_tick_detail": detail.tick_detail(s),
-            "dws_tick_1min": bars.summary_bars(s.rows, "1 minute"),
-            "dws_tick_5min": bars.summary_bars(s.rows, "5 minutes"),
-            "ads_dashboard_metrics": marts.dashboard_metrics(s),
-            "ads_latest_snapshot": marts.latest_snapshot(s),
-            "alerts_above_1e9": s.rows.where("price > 1e9"),
-        }
+        warehouse.layers(_spark(s), root) | {"alerts_above_1e9": s.rows.where("price > 1e9")}
+    )
+
+
+@query("adhoc_sql", "wide")
+def _(s):
+    spark, root = _spark(s), new_folder(_spark(s), "views")
+    lake.overwrite_orc(bars.summary_bars(s.rows, "5 minutes"), f"{root}/dws_tick_5min")
+    lake.register_layers({"dws_tick_5min": lake.read_orc(spark, f"{root}/dws_tick_5min")})
+    return spark.sql(
+        "SELECT symbol, CAST(dt AS STRING) AS dt, sum(tick_count) AS ticks, max(high_price) AS high FROM dws_tick_5min "
+        "WHERE up_count > down_count GROUP BY symbol, dt"
     )
 
 
@@ -367,6 +379,21 @@ query("ml_label_balance")(
 )
 query("ml_split")(lambda s: model.labelled_rows(s).select("symbol", "seq", "label", "split"))
 
+query("ml_newest_features")(lambda s: model.newest_features(s).select("symbol", "seq", *indicators.FEATURES))
+query("ml_holdout_base")(
+    lambda s: model.labelled_rows(s).where("split = 'test'").agg(
+        F.count(F.lit(1)).alias("row_count"), F.avg(F.col("label").cast("double")).alias("base_rate")
+    )
+)
+
+
+@query("rule_flips")
+def _(s):
+    called = indicators.indicator_frame(s, sma_5=indicators.sma(5)).where("sma_5 IS NOT NULL")
+    called = called.withColumn("prediction", (F.col("price") > F.col("sma_5")).cast("int"))
+    return model.prediction_flips(called).select("symbol", "seq", "previous", "prediction")
+
+
 _once: dict[tuple, object] = {}
 _once_lock = threading.RLock()
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.numeric import fixed, percent_change
@@ -153,6 +153,19 @@ def asset_stats(series: TickSeries, lake: DataFrame) -> DataFrame:
     )
 
 
+def enough_or_history(live: DataFrame, history: DataFrame, least: int = 25, keep: int = 60) -> DataFrame:
+    """The newest ``keep`` rows of each symbol; one with fewer than ``least`` live rows is filled from history.
+
+    ``source`` tells where a row is from; a history row that is also live counts once, as live.
+    """
+    key = ["symbol", "event_ts", "seq"]
+    enough = live.groupBy("symbol").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).select("symbol")
+    filled = history.join(enough, "symbol", "left_anti").join(live.select(*key), key, "left_anti")
+    rows = live.withColumn("source", F.lit("live")).unionByName(filled.withColumn("source", F.lit("history")))
+    newest = Window.partitionBy("symbol").orderBy(F.col("event_ts").desc(), F.col("seq").desc())
+    return rows.withColumn("_place", F.row_number().over(newest)).where(F.col("_place") <= keep).drop("_place")
+
+
 def primary_or_fallback(primary: DataFrame, fallback: DataFrame) -> DataFrame:
     """Rows of the live source; symbols it does not know come from the fallback. ``source`` tells."""
     known = primary.select("symbol").distinct()
