@@ -84,7 +84,9 @@ def test_samples_agree_as_often_as_texts_are_similar():
 
 
 def test_chains_hot_groups_and_strays(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(neardup, "LEADERS", 2)
+    monkeypatch.setattr(neardup, "STRAY_BLOCK", 8)
+    monkeypatch.setattr(neardup, "MEMBER_BLOCK", 16)
+    monkeypatch.setattr(neardup, "_CELLS", 2000)
     rng = random.Random(6)
     word = lambda: f"q{rng.randrange(10000)}"
     base = [word() for _ in range(120)]

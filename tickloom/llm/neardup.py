@@ -8,10 +8,10 @@ Those are verified with the exact weighted Jaccard similarity in which a shingle
 inverse document frequency of its words: with the frequency of the shingle itself, one changed word would weigh the
 more the more copies of a text there are. Classes are the connected components of the verified links.
 
-Texts with equal words are one text here, so copies are never compared. In a bucket of texts with an equal band,
-all are held against one leader; texts that are still in another class than the leader's then become leaders
-themselves, until every two texts of a bucket are in one class or have been compared. So no group is expanded
-into all its pairs unless its texts really differ, and none is cut short.
+Texts with equal words are one text here, so copies are never compared. In a bucket of texts with an equal band, the
+one whose bands most texts share is the leader, and every text is held against its leaders. Texts that end
+outside the class of their leader are then held against all texts of that leader, in blocks inside tasks,
+so every two texts of a bucket are in one class or have been compared; only links that join classes leave a task.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import sidefiles
@@ -36,9 +36,11 @@ ROWS = 4
 WORD_SLOTS = 1 << 18
 SHINGLE_SLOTS = 1 << 20
 _CHUNK = 4096
-LEADERS = 64
-"""Leaders of one bucket in one round."""
 SALTS = 64
+STRAY_BLOCK = 256
+MEMBER_BLOCK = 2048
+"""Texts of a leader's group that meet in one place: strays in memory, members streamed past them."""
+_CELLS = 1 << 22
 _DRAWS = 1 << 16
 _SECOND = np.uint64(0x9FB21C651E98DF25)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -209,16 +211,11 @@ def _signatures(docs: DataFrame, idf: np.ndarray, shingle_idf: np.ndarray, bands
     return docs.mapInArrow(run, schema)
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
-    """The pairs (leader, member) of rows whose texts are similar enough.
-
-    Texts of rows in pairs are read by their place. Each leader's members are dealt over SALTS groups, and its
-    text goes to those that have members.
-    """
+def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, text of some rows, read by their place."""
     here = F.col("id")
-    wanted = pairs.select(F.col("leader").alias("id")).union(pairs.select(F.col("member").alias("id"))).distinct()
     side = sidefiles.write_side(
-        wanted.select("id", F.shiftright(here, 40).cast("int").alias("part"), here.bitwiseAND((1 << 40) - 1).alias("row")),
+        ids.select("id", F.shiftright(here, 40).cast("int").alias("part"), here.bitwiseAND((1 << 40) - 1).alias("row")),
         "near-wanted",
     )
 
@@ -233,7 +230,14 @@ def _verify(docs: DataFrame, pairs: DataFrame, idf: np.ndarray, similarity: floa
                     [facts.column("id").combine_chunks(), batch.column("text").take(place)], ["id", "text"]
                 )
 
-    texts = stored(docs.mapInArrow(fetch, "id long, text string"), "near-texts")
+    return stored(docs.mapInArrow(fetch, "id long, text string"), "near-texts")
+
+
+def _verify(texts: DataFrame, pairs: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """The pairs (leader, member) whose texts are similar enough.
+
+    Each leader's members are dealt over SALTS groups, and its text goes to those that have members.
+    """
     salt = F.pmod(F.xxhash64("member"), F.lit(SALTS)).cast("int").alias("salt")
     members = pairs.select("leader", salt, F.col("member").alias("id"))
     leaders = members.select("leader", "salt").distinct().withColumn("id", F.col("leader"))
@@ -258,8 +262,7 @@ def _verify(docs: DataFrame, pairs: DataFrame, idf: np.ndarray, similarity: floa
                     elif leader == owner[at] and weighted_jaccard(known, mine) >= similarity:
                         out.append((owner[at], own[at]))
             if out:
-                a, b = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                yield _links(out)
 
     return (
         both.repartition("leader", "salt").sortWithinPartitions("leader", "salt", "later")
@@ -267,6 +270,111 @@ def _verify(docs: DataFrame, pairs: DataFrame, idf: np.ndarray, similarity: floa
     )
 
 
+def _links(batch: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*batch)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+class _Strays:
+    """Strays of one block, as dense rows over their shingles, in parts of at most _CELLS cells."""
+
+    def __init__(self):
+        self.ids: list[int] = []
+        self.comps: list[int] = []
+        self.sets: list[tuple[np.ndarray, np.ndarray]] = []
+        self.parts: list | None = None
+        self.joined: set[tuple[int, int]] = set()
+
+    def add(self, id_: int, comp: int, keys: np.ndarray, weights: np.ndarray) -> None:
+        self.ids.append(id_)
+        self.comps.append(comp)
+        self.sets.append((keys, weights))
+
+    def _build(self) -> None:
+        self.parts, at = [], 0
+        while at < len(self.sets):
+            end, cells = at, 0
+            while end < len(self.sets):
+                cells += len(self.sets[end][0])
+                if end > at and (end + 1 - at) * cells > _CELLS:
+                    break
+                end += 1
+            known = np.unique(np.concatenate([k for k, _ in self.sets[at:end]]))
+            rows = np.zeros((len(known), end - at), dtype=np.float64)
+            for i, (keys, weights) in enumerate(self.sets[at:end]):
+                rows[np.searchsorted(known, keys), i] = weights
+            self.parts.append((at, known, rows, np.array([w.sum() for _, w in self.sets[at:end]]), np.array(self.comps[at:end])))
+            at = end
+
+    def links(self, id_: int, comp: int, keys: np.ndarray, weights: np.ndarray, similarity: float):
+        """Links of a text to strays of other classes, once per stray and class."""
+        if self.parts is None:
+            self._build()
+        whole = weights.sum()
+        for at, known, rows, sums, comps in self.parts:
+            place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            hit = known[place] == keys
+            shared = np.minimum(rows[place[hit]], weights[hit][:, None]).sum(axis=0)
+            near = (shared >= similarity * (sums + whole - shared)) & (comps != comp)
+            for i in np.flatnonzero(near).tolist():
+                if (at + i, comp) not in self.joined:
+                    self.joined.add((at + i, comp))
+                    yield self.ids[at + i], id_
+
+
+def _settle(texts: DataFrame, placed: DataFrame, idf: np.ndarray, similarity: float) -> DataFrame:
+    """Links (a, b) between classes, of strays with all texts of their leaders.
+
+    ``placed`` has leader, id, comp and main (the class of the leader) for every text of a leader.
+    """
+    sizes = placed.groupBy("leader").agg(
+        F.count_if(F.col("comp") != F.col("main")).alias("strays"), F.count("*").alias("n")
+    ).where("strays > 0")
+    sizes = stored(
+        sizes.select(
+            "leader", F.ceil(F.col("strays") / STRAY_BLOCK).cast("int").alias("sb"),
+            F.ceil(F.col("n") / MEMBER_BLOCK).cast("int").alias("mb"),
+        ),
+        "near-sizes",
+    )
+    rows = stored(placed.join(sizes, "leader"), "near-open")
+
+    def block(count: str):
+        return F.pmod(F.xxhash64("id", F.lit(count)), F.col(count)).cast("int").alias(f"{count}_block")
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias(f"{count}_block")
+
+    strays = rows.where("comp <> main").select("leader", "id", "comp", block("sb"), every("mb"), F.lit(0).alias("role"))
+    members = rows.select("leader", "id", "comp", every("sb"), block("mb"), F.lit(1).alias("role"))
+    both = strays.unionByName(members).join(texts, "id")
+    group = ("leader", "sb_block", "mb_block")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, strays = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            owners = list(zip(*(batch.column(c).to_pylist() for c in group)))
+            ids, comps, roles = (batch.column(c).to_pylist() for c in ("id", "comp", "role"))
+            out = []
+            for piece in pieces(batch.column("text")):
+                edges, keys, weights = shingles(piece, idf)[:3]
+                for i in range(piece.n):
+                    at = piece.rows.start + i
+                    if owners[at] != now:
+                        now, strays = owners[at], _Strays()
+                    mine = keys[edges[i] : edges[i + 1]], weights[edges[i] : edges[i + 1]]
+                    if roles[at] == 0:
+                        strays.add(ids[at], comps[at], *mine)
+                    elif strays.ids:
+                        out += strays.links(ids[at], comps[at], *mine, similarity)
+            if out:
+                yield _links(out)
+
+    return both.repartition(*group).sortWithinPartitions(*group, "role").mapInArrow(compare, "a long, b long")
+
+
 def components(ids: DataFrame, links: DataFrame) -> DataFrame:
     """id, comp: the least id of each connected component of the links (a, b)."""
     both = stored(links.union(links.select("b", "a")).toDF("a", "b").distinct(), "near-edges")
@@ -311,49 +419,32 @@ def classes(
         "near-distinct",
     )
     banded = texts.select("id", F.explode(F.array(*names)).alias("bucket"))
-    crowded = banded.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1")
-    crowded = stored(crowded.select(F.col("bucket").alias("key"), "leader"), "near-buckets")
-    members = stored(
-        banded.join(crowded, F.col("bucket") == F.col("key")).select("bucket", "id", "leader"), "near-members"
+    crowded = stored(
+        banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select(F.col("bucket").alias("key"), "n"),
+        "near-buckets",
     )
-    pairs = stored(
-        members.where("id <> leader").select("leader", F.col("id").alias("member")).distinct(), "near-pairs"
+    shared = stored(banded.join(crowded, F.col("bucket") == F.col("key")).select("bucket", "id", "n"), "near-shared")
+    fame = stored(shared.groupBy("id").agg(F.sum("n").alias("fame")).select(F.col("id").alias("i"), "fame"), "near-fame")
+    shared = stored(shared.join(fame, F.col("id") == F.col("i")).select("bucket", "id", "fame"), "near-famed")
+    leaders = stored(
+        shared.groupBy("bucket").agg(F.max(F.struct("fame", (-F.col("id")).alias("less"))).alias("top"))
+        .select(F.col("bucket").alias("key"), (-F.col("top.less")).alias("leader")),
+        "near-leaders",
     )
-    links = tried = None
-    ids = stored(members.select("id").distinct(), "near-ids")
-    led = None
-    while not pairs.isEmpty():
-        found = stored(_verify(docs, pairs, idf, similarity), "near-links")
-        links = found if links is None else links.union(found)
-        ordered = pairs.select(F.least("leader", "member").alias("x"), F.greatest("leader", "member").alias("y"))
-        tried = ordered if tried is None else tried.union(ordered)
+    members = shared.join(leaders, F.col("bucket") == F.col("key")).select("leader", "id").distinct()
+    members = stored(members, "near-members")
+    links = None
+    if not members.isEmpty():
+        ids = stored(members.select("id").distinct(), "near-ids")
+        bodies = _texts(docs, ids)
+        pairs = members.where("id <> leader").select("leader", F.col("id").alias("member"))
+        links = stored(_verify(bodies, pairs, idf, similarity), "near-links")
         labels = components(ids, links)
-        placed = members.join(labels, "id").join(
-            labels.select(F.col("id").alias("leader"), F.col("comp").alias("main")), "leader"
-        )
-        # texts of a bucket outside the class of its leader lead in turn, against all texts of other classes
-        strays = placed.where("comp <> main")
-        if led is not None:
-            strays = strays.join(led, ["bucket", "id"], "left_anti")
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-        turn = stored(
-            strays.select("bucket", "id", "comp", rank.alias("rank")).where(F.col("rank") <= LEADERS).drop("rank"), "near-turn"
-        )
-        if turn.isEmpty():
-            break
-        led = turn.select("bucket", "id") if led is None else led.union(turn.select("bucket", "id"))
-        against = turn.select("bucket", F.col("id").alias("l"), F.col("comp").alias("lc")).join(
-            placed.select("bucket", F.col("id").alias("m"), F.col("comp").alias("mc")), "bucket"
-        ).where("lc <> mc")
-        fresh = against.select(F.least("l", "m").alias("x"), F.greatest("l", "m").alias("y")).distinct()
-        pairs = stored(
-            fresh.join(tried, ["x", "y"], "left_anti").select(F.col("x").alias("leader"), F.col("y").alias("member")), "near-pairs"
-        )
-        if pairs.isEmpty() and not strays.join(led, ["bucket", "id"], "left_anti").isEmpty():
-            # nothing new to compare this time, but more leaders wait
-            pairs = stored(
-                turn.select(F.col("id").alias("leader"), F.col("id").alias("member")).limit(1), "near-pairs"
-            )
+        mains = labels.select(F.col("id").alias("leader"), F.col("comp").alias("main"))
+        placed = stored(members.join(labels, "id").join(mains, "leader"), "near-classed")
+        if not placed.where("comp <> main").isEmpty():
+            links = links.union(stored(_settle(bodies, placed, idf, similarity), "near-settled"))
+            labels = components(ids, links)
     named = texts.select(F.col("key1").alias("k1"), F.col("key2").alias("k2"), "id")
     if links is not None:
         comps = labels.select(F.col("id").alias("i"), "comp")
