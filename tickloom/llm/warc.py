@@ -34,6 +34,7 @@ SEEK_FOOTER_MAGIC = 0x8F92EAB1
 
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 64 << 20
+BUNDLES_PER_TASK = 8
 DATE = "1970-01-01T00:00:00Z"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
@@ -257,8 +258,11 @@ def read_archives(index: DataFrame) -> DataFrame:
                     yield _batch(rows, RECORDS)
                 bundle.close()
 
-    bundles = index.select("bundle").distinct()
-    return bundles.mapInArrow(read, RECORDS)
+    bundles = stored(index.select("bundle").distinct(), "warc-bundle-list")
+    # names are few bytes but stand for whole bundles, so their number of tasks is set here
+    count, cores = bundles.count(), index.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(count, max(4 * cores, count // BUNDLES_PER_TASK)))
+    return bundles.repartition(tasks, "bundle").mapInArrow(read, RECORDS)
 
 
 def fetch(index: DataFrame, record_ids: DataFrame) -> DataFrame:
