@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import sidefiles
-from tickloom.llm.tables import only
+from tickloom.llm.tables import only, small_batches
 from tickloom.llm.words import Piece, byte_table, gram_hashes, mix, pieces, prefix, range_hashes
 from tickloom.session import stored
 
@@ -496,4 +496,4 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
                 batch = batch.filter(pa.array(keep))
             yield batch
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

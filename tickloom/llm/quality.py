@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import boosting
-from tickloom.llm.tables import labelled_sample, only
+from tickloom.llm.tables import labelled_sample, only, small_batches
 from tickloom.llm.words import Piece, byte_table, covered, gram_hashes, mix, pieces, repeated
 
 SAMPLE_ROWS = 12_000
@@ -154,4 +154,4 @@ def keep_good(docs: DataFrame, trees: boosting.FlatTrees | None, threshold: floa
                 keep[piece.rows] = good
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

@@ -44,7 +44,9 @@ def write_side(facts: DataFrame, label: str) -> str:
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a folder named by Spark."""
-    return pafs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = uri.removeprefix("file:")
+    return pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
 
 
 class SideReader:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import sidefiles
 from tickloom.llm.automaton import SuffixAutomaton
-from tickloom.llm.tables import only
+from tickloom.llm.tables import only, small_batches
 from tickloom.llm.words import Piece, Words, covered, gram_hashes, mix, pieces, range_hashes
 from tickloom.session import stored
 
@@ -433,7 +433,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             out = batch.set_column(column, "text", pa.array(texts, batch.schema.field(column).type))
             yield out.filter(pa.array(keep))
 
-    cut = docs.mapInArrow(run, docs.schema)
+    cut = small_batches(docs).mapInArrow(run, docs.schema)
     if "n_chars" not in names:
         return cut
     length = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType)

@@ -12,8 +12,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_ROWS = 2048
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Hand texts to Python in batches of BATCH_ROWS, unless the session sets another size: texts are long, and
+    a batch is held by the JVM and by the worker."""
+    spark = df.sparkSession
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+    return df
+
+
 def only(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns alone, cast to the given types; other columns cannot clash."""
+    small_batches(df)
     return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in columns.items()])
 
 

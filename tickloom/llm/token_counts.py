@@ -23,7 +23,7 @@ from tickloom.llm.words import pieces
 
 MARK = "▁"
 PIECE_BYTES = 4 << 20
-POOL_WORDS = 1_000_000
+POOL_WORDS = 400_000
 """Words a worker remembers; beyond it the store starts anew."""
 
 

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 from tickloom.llm.words import Piece, byte_table, prefix
 
-POOL_WORDS = 1_000_000
+POOL_WORDS = 400_000
 """Words a worker remembers; beyond it the pool starts anew."""
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20

@@ -19,12 +19,12 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.sidefiles import file_system
 from tickloom.llm.tables import only
 from tickloom.session import new_folder, stored
 
@@ -52,16 +52,12 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
-
-
 class BundleWriter:
     """Collects records into frames and frames into one file."""
 
     def __init__(self, uri: str, level: int = 3):
         self.uri, self.level = uri, level
-        system, path = _file_system(uri)
+        system, path = file_system(uri)
         system.create_dir(path.rpartition("/")[0], recursive=True)
         self.out = system.open_output_stream(path, compression=None)
         self.frames: list[tuple[int, int]] = []
@@ -105,7 +101,7 @@ class BundleReader:
     """Random access to the frames of a bundle."""
 
     def __init__(self, uri: str):
-        system, path = _file_system(uri)
+        system, path = file_system(uri)
         self.file = system.open_input_file(path)
         size = self.file.size()
         count, _, magic = struct.unpack("<IBI", self._range(size - 9, 9))

@@ -6,6 +6,7 @@ temporary arrays stay in cache and memory does not depend on the batch. Nothing
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -181,3 +182,19 @@ def pieces(column: pa.Array, piece_bytes: int = PIECE_BYTES) -> Iterator[Piece]:
         stop = min(max(stop, at + 1), n)
         yield Piece(raw[edges[at] : edges[stop]], edges[at : stop + 1] - edges[at], slice(at, stop))
         at = stop
+    _give_back()
+
+
+@lru_cache(maxsize=1)
+def _trim():
+    """glibc's malloc_trim, where there is one."""
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return lambda keep: 0
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: workers live on, and their heaps would only grow."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
