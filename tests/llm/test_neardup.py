@@ -123,3 +123,24 @@ def test_edge_rows(spark, tmp_path):
     assert left.columns == docs.columns and left.count() == 8
     assert neardup.near_duplicates(docs.where("doc_id = -1")).count() == 0
     assert neardup.near_duplicates(docs.where("doc_id in (5, 6)")).count() == 2
+
+
+def test_copies_at_the_edge_of_similarity_in_a_hot_group(spark, tmp_path):
+    rng = random.Random(21)
+    word = lambda: f"q{rng.randrange(20000)}"
+    base = [word() for _ in range(118)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 200):  # a third of all rows: 10 of 114 shingles changed, about 0.81 of the base
+        words = list(base)
+        for at in (rng.randrange(5, 40), rng.randrange(45, 113)):
+            words[at] = word()
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, " ".join(word() for _ in range(118))) for i in range(400)]
+    docs = _table(spark, tmp_path, rows)
+    idf = neardup.count_documents(docs)[0]
+    expected = _classes(rows, idf)
+    near = [i for i in range(200) if expected[i] == 0]
+    assert len(near) > 100
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert [i for i in near if got[i] != 0] == []
+    assert got == expected

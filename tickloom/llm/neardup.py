@@ -1,12 +1,11 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
-A text is the weighted set of its SHINGLE-word shingles (lower-cased words of letters and digits). For sampling, a
-shingle weighs its count in the text times its inverse document frequency, counted over all documents in
-SHINGLE_SLOTS hashed slots, so passages that many texts share are seldom drawn. Two texts agree in one
-sample with a probability equal to their weighted Jaccard similarity; BANDS bands of ROWS samples each give candidates.
-Those are verified with the exact weighted Jaccard similarity in which a shingle weighs its count times the mean
-inverse document frequency of its words: with the frequency of the shingle itself, one changed word would weigh the
-more the more copies of a text there are. Classes are the connected components of the verified links.
+A text is the weighted set of its SHINGLE-word shingles (lower-cased words of letters and digits). A shingle
+weighs its count in the text times the mean inverse document frequency of its words: with the frequency of the
+shingle itself, one changed word would weigh the more the more copies of a text there are. Two texts agree in one
+sample with a probability equal to their weighted Jaccard similarity; BANDS bands of ROWS samples each give candidates,
+which are verified with the exact similarity under the same weights. Classes are the connected components of the
+verified links.
 
 Texts with equal words are one text here, so copies are never compared. In a bucket of texts with an equal band, the
 one whose bands most texts share is the leader, and every text is held against its leaders. Texts that end
@@ -34,7 +33,6 @@ SIMILARITY = 0.8
 BANDS = 12
 ROWS = 4
 WORD_SLOTS = 1 << 18
-SHINGLE_SLOTS = 1 << 20
 _CHUNK = 4096
 SALTS = 64
 STRAY_BLOCK = 256
@@ -65,26 +63,18 @@ def _slots(hashes: np.ndarray, slots: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - slots.bit_length() + 1)).astype(np.int64)
 
 
-def count_documents(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Inverse document frequencies of the slots of words and of shingles, counted over all docs.
-
-    However large docs is, this is WORD_SLOTS + SHINGLE_SLOTS numbers. A slot's rare shingles share it, which
-    adds a fixed share of all documents to each frequency, so weights do not depend on the size of docs.
-    """
-    size = WORD_SLOTS + SHINGLE_SLOTS
+def count_documents(docs: DataFrame) -> tuple[np.ndarray]:
+    """Inverse document frequencies of the slots of words, counted over all docs: WORD_SLOTS numbers."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, total = np.zeros(size, dtype=np.int64), 0
-        flat = np.ones(WORD_SLOTS, dtype=np.float32)
+        counts, total = np.zeros(WORD_SLOTS, dtype=np.int64), 0
         for batch in batches:
             total += batch.num_rows
             for piece in pieces(batch.column("text")):
                 words, hashes = _words(piece)
                 pairs = np.sort((words.text_of() << 18) | _slots(hashes, WORD_SLOTS))
                 new = np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]
-                counts[:WORD_SLOTS] += np.bincount(pairs[new] & (WORD_SLOTS - 1), minlength=WORD_SLOTS)
-                keys = shingles(piece, flat)[1]
-                counts[WORD_SLOTS:] += np.bincount(_slots(keys, SHINGLE_SLOTS), minlength=SHINGLE_SLOTS)
+                counts += np.bincount(pairs[new] & (WORD_SLOTS - 1), minlength=WORD_SLOTS)
         if total:
             yield _chunks(np.append(counts, np.full(_CHUNK, total)))
 
@@ -100,10 +90,9 @@ def count_documents(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     schema = "chunk int, counts array<long>"
     summed = docs.mapInArrow(count, schema).repartition("chunk").mapInArrow(merge, schema).toArrow().sort_by("chunk")
     if not summed.num_rows:
-        return np.ones(WORD_SLOTS, dtype=np.float32), np.ones(SHINGLE_SLOTS, dtype=np.float32)
+        return (np.ones(WORD_SLOTS, dtype=np.float32),)
     counts = summed.column("counts").combine_chunks().flatten().to_numpy()
-    idf = (1 + np.log((1 + counts[-1]) / (1 + counts[:size]))).astype(np.float32)
-    return idf[:WORD_SLOTS], np.maximum(idf[WORD_SLOTS:], 1)
+    return ((1 + np.log((1 + counts[-1]) / (1 + counts[:WORD_SLOTS]))).astype(np.float32),)
 
 
 def _chunks(counts: np.ndarray, first: int = 0) -> pa.RecordBatch:
@@ -113,7 +102,7 @@ def _chunks(counts: np.ndarray, first: int = 0) -> pa.RecordBatch:
 
 
 def shingles(piece: Piece, idf: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(offsets of each text's shingles, distinct shingles in order, weights, counts, two hashes of each text's words).
+    """(offsets of each text's shingles, distinct shingles in order, weights, two hashes of each text's words).
 
     A text of fewer than SHINGLE words is one shingle; one without letters or digits is its other characters;
     one of white space alone has no shingle.
@@ -146,7 +135,7 @@ def shingles(piece: Piece, idf: np.ndarray) -> tuple[np.ndarray, ...]:
     new = np.append(True, (text[1:] != text[:-1]) | (keys[1:] != keys[:-1]))[: len(text)]
     at = np.flatnonzero(new)
     times = np.diff(np.append(at, len(text)))
-    return np.searchsorted(text[at], np.arange(piece.n + 1)), keys[at], weight[at] * times, times, key1, key2
+    return np.searchsorted(text[at], np.arange(piece.n + 1)), keys[at], weight[at] * times, key1, key2
 
 
 def samples(edges: np.ndarray, keys: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
@@ -183,15 +172,15 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return shared / whole if whole > 0 else 0.0
 
 
-def _signatures(docs: DataFrame, idf: np.ndarray, shingle_idf: np.ndarray, bands: int, rows: int) -> DataFrame:
+def _signatures(docs: DataFrame, idf: np.ndarray, bands: int, rows: int) -> DataFrame:
     names = [f"b{i}" for i in range(bands)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, part, first in sidefiles.numbered(batches):
             for piece in pieces(batch.column("text")):
-                edges, keys, _, times, key1, key2 = shingles(piece, idf)
+                edges, keys, weights, key1, key2 = shingles(piece, idf)
                 full = np.diff(edges) > 0
-                drawn = samples(edges, keys, times * shingle_idf[_slots(keys, SHINGLE_SLOTS)], bands * rows)
+                drawn = samples(edges, keys, weights, bands * rows)
                 columns = []
                 for i in range(bands):
                     band = np.zeros(piece.n, dtype=np.uint64)
@@ -409,9 +398,9 @@ def classes(
     """
     spark = docs.sparkSession
     sidefiles.pin_splits(spark)
-    idf, shingle_idf = count_documents(docs)
+    (idf,) = count_documents(docs)
     names = [f"b{i}" for i in range(bands)]
-    signed = stored(_signatures(docs, idf, shingle_idf, bands, rows), "near-signatures")
+    signed = stored(_signatures(docs, idf, bands, rows), "near-signatures")
     place = F.shiftleft(F.col("part").cast("long"), 40).bitwiseOR(F.col("row"))
     # one text of each set of equal texts; its bands are those of all
     texts = stored(
