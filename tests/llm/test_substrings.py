@@ -92,3 +92,35 @@ def test_null_ids_repeated_rows_and_whole_rows(spark, tmp_path):
     assert left.columns == docs.columns
     assert sorted((r.doc_id or 0, r.n_chars or 0) for r in left.collect()) == [(0, 0), (2, len(text) + 2), (6, 4), (7, 9), (9, 0)]
     assert substrings.remove_repeats(docs.where("doc_id = -1")).count() == 0
+
+
+def test_no_automaton_takes_a_whole_hot_edge(spark, tmp_path, monkeypatch):
+    bound, match = 16, substrings._match
+    monkeypatch.setattr(substrings, "SHARD_ROWS", bound, raising=False)
+
+    def bounded(batches):
+        sizes = {}
+
+        def watched():
+            for batch in batches:
+                for key in zip(batch.column("key1").to_pylist(), batch.column("key2").to_pylist()):
+                    sizes[key] = sizes.get(key, 0) + 1
+                    if sizes[key] > bound:
+                        raise RuntimeError("a shard is larger than the bound")
+                yield batch
+
+        yield from match(watched())
+
+    monkeypatch.setattr(substrings, "_match", bounded)
+    rng = random.Random(3)
+    word = lambda: f"v{rng.randrange(3000)}"
+    passage = [word() for _ in range(50)]
+    rows = []
+    for i in range(240):
+        words = [word() for _ in range(rng.randrange(60))]
+        if i % 3 == 0:  # a third holds the passage, some with equal words next to it
+            words[len(words) // 2 : len(words) // 2] = ["a"] * (i % 4) + passage[i % 2 :] + ["b"] * (i % 5) + passage[:24]
+        rows.append((i, " ".join(words)))
+    rows += [(300 + i, " ".join(rng.choice("abc") for _ in range(60))) for i in range(40)]
+    docs = _table(spark, tmp_path, rows)
+    assert _got(docs) == brute.repeats(rows)

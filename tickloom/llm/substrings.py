@@ -12,8 +12,10 @@ or before it in the same one; what goes is judged on the input. The steps:
    statistic reaches the length of a window, that window started earlier. Then it joins the automaton.
 
 A shard cannot be broadcast whole, as the references grow with the corpus; each shard goes to one task
-together with the segments that can match it. Its rows are distinct segments around one place of a passage,
-so a passage in a third of all documents still adds only its distinct surroundings.
+together with the segments that can match it. Its rows are distinct segments around one place of a passage; at
+the edge of a passage these are as many as the documents that hold it. A shard of more than SHARD_ROWS rows
+is therefore not matched in one place: its windows are dealt by their own hashes, and of equal windows the
+first stays.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from tickloom.session import stored
 
 WINDOW = 20
 GRAM = 6
+SHARD_ROWS = 512
+"""Segments that one automaton takes; the windows of a larger shard are compared by hash."""
 _SECOND = np.uint64(0xA24BAED4963EE407)
 _PLACE_BITS = np.uint64(28)
 
@@ -271,6 +275,55 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield result(out)
 
 
+def _single_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each window of the halves by two hashes, with its place and its bit in the segment's mask.
+
+    Equal windows have their core at the same place, so they are equal tokens of one shard."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        tokens = batch.column("tokens")
+        flat = tokens.flatten().to_numpy().view(np.uint64)
+        edges = tokens.offsets.to_numpy().astype(np.int64)
+        edges = edges - edges[0]
+        size, skip = (batch.column(c).to_numpy().astype(np.int64) for c in ("size", "skip"))
+        n = np.diff(edges) - size + 1
+        row = np.repeat(np.arange(len(n)), n)
+        j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        a = edges[row] + j
+        b = a + size[row]
+        key1, key2 = (batch.column(c).to_numpy().view(np.uint64)[row] for c in ("key1", "key2"))
+        window1 = mix(range_hashes(flat, a, b) ^ key1)
+        window2 = mix(range_hashes(second_hash(flat), a, b) ^ key2)
+        pick = pa.array(row)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(window1.view(np.int64)), pa.array(window2.view(np.int64)),
+             *[batch.column(c).take(pick) for c in ("part", "row", "doc_id")],
+             pa.array((batch.column("start").to_numpy()[row] + skip[row] + j).astype(np.int32)),
+             *[batch.column(c).take(pick) for c in ("hash1", "hash2")],
+             pa.array((np.int64(1) << (skip[row] + j)).astype(np.int32))],
+            ["window1", "window2", "part", "row", "doc_id", "place", "hash1", "hash2", "bit"],
+        )
+
+
+def _crowded_masks(halves: DataFrame) -> DataFrame:
+    """hash1, hash2, mask of the windows that started earlier, of halves in shards of any size.
+
+    Only the first of equal windows is left after a pre-aggregated minimum, so no key gathers rows; what is
+    not the first of its window goes.
+    """
+    windows = halves.mapInArrow(
+        _single_windows,
+        "window1 long, window2 long, part int, row long, doc_id long, place int, hash1 long, hash2 long, bit int",
+    )
+    begins = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "part", "row", "place", "hash1", "hash2", "bit")
+    kept = windows.groupBy("window1", "window2").agg(F.min(begins).alias("first")).select(
+        "first.hash1", "first.hash2", F.col("first.bit").alias("mask")
+    )
+    every = halves.select("hash1", "hash2", F.expr("cast(shiftleft(shiftleft(1, size(tokens) - size + 1) - 1, skip) as int)").alias("mask"))
+    return every.unionByName(kept).groupBy("hash1", "hash2").agg(F.bit_xor("mask").alias("mask"))
+
+
 def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> str:
     """Write what is to be removed from each row of docs (doc_id, text); gives the side folder.
 
@@ -318,13 +371,22 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> str
     side = sidefiles.write_side(
         distinct.select("part", "row", "doc_id", "start", "n", "offset", "hash1", "hash2"), "rep-references"
     )
-    halves = docs.mapInArrow(_half_pass(side, window, gram), HALVES)
+    halves = stored(docs.mapInArrow(_half_pass(side, window, gram), HALVES), "rep-halves")
+    crowded = stored(
+        halves.groupBy("key1", "key2").count().where(F.col("count") > SHARD_ROWS)
+        .select(F.col("key1").alias("k1"), F.col("key2").alias("k2")),
+        "rep-crowded",
+    )
+    in_crowded = (F.col("key1") == F.col("k1")) & (F.col("key2") == F.col("k2"))
     masks = (
-        halves.repartition("key1", "key2")
+        halves.join(crowded, in_crowded, "left_anti").repartition("key1", "key2")
         .sortWithinPartitions("key1", "key2", F.col("doc_id").asc_nulls_last(), "part", "row", "start")
         .mapInArrow(_match, "hash1 long, hash2 long, mask int")
-        .groupBy("hash1", "hash2").agg(F.bit_or("mask").alias("mask"))
     )
+    if not crowded.isEmpty():
+        large = stored(halves.join(crowded, in_crowded, "left_semi"), "rep-large")
+        masks = masks.unionByName(_crowded_masks(large))
+    masks = masks.groupBy("hash1", "hash2").agg(F.bit_or("mask").alias("mask"))
     verdict = stored(
         distinct.join(masks, ["hash1", "hash2"], "left").select(
             F.col("hash1").alias("h1"), F.col("hash2").alias("h2"), F.col("part").alias("first_part"),
