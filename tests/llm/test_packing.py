@@ -2,11 +2,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from tests.llm import brute
 from tickloom.llm import packing
+from tickloom.llm.tokens import WordPool
+from tickloom.llm.words import pieces
 
 SF = "/root/testdata/sf0.01"
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -78,3 +81,11 @@ def test_dot_product_order():
     assert all((demands[b].sum(axis=0) <= 10).all() for b in bins)
     with pytest.raises(ValueError):
         packing.pack(np.array([[11.0, 1]]), np.array([10.0, 10.0]))
+
+
+@pytest.mark.parametrize("text", ["one <|STARTOFTEXT|> two.", "Three<|EndOfText|>. four"])
+def test_upper_case_makes_no_special_token(text):
+    """Alone in its piece: a true special token beside it would keep the piece from being lower-cased."""
+    ids, edges = WordPool(PATH).ids(next(pieces(pa.array([text]))))
+    assert ids.tolist() == Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    assert edges.tolist() == [0, len(ids)]

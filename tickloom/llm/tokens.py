@@ -80,9 +80,10 @@ class WordPool:
             texts = [raw[a:b].decode() for a, b in zip(piece.edges[:-1], piece.edges[1:])]
             found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
             return np.array([i for x in found for i in x], dtype=np.uint32), prefix(np.array([len(x) for x in found]))
-        if not any(s in raw for s in self.specials):  # upper case would hide or make a special token
-            piece = Piece(_LOWER[piece.data], piece.edges, piece.rows)
-            raw = piece.data.tobytes()
+        lowered = _LOWER[piece.data]
+        low = lowered.tobytes()
+        if not any(s in raw or s in low for s in self.specials):  # upper case would hide or make a special token
+            piece, raw = Piece(lowered, piece.edges, piece.rows), low
         words = piece.words()
         start, end = words.start, words.end
         # a final stop after a letter is a pre-token of its own: cut it off, so the word is met more often
