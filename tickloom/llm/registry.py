@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import licenses, mixing, neardup, packing, quality, substrings, token_counts, topk, toxicity, warc
+from tickloom.llm import (
+    licenses, mixing, neardup, packing, quality, spelling, substrings, token_counts, topk, toxicity, warc,
+)
 from tickloom.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +63,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_licenses": op2_licenses,
@@ -72,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_repeats": op10_repeats,
+    "op11_spelling": op11_spelling,
 }
 SQL: dict[str, str] = {
     "op4_topk": """
