@@ -137,26 +137,63 @@ def _rows(counts: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([words, pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
 
+class _Tails:
+    """Numbers for the rests of count vectors: ``of[d]`` says which rest from level d on a vector has."""
+
+    def __init__(self, vectors: np.ndarray, base: int):
+        self.base = base
+        self.known: list[np.ndarray] = []
+        self.of = [np.zeros(len(vectors), dtype=np.int64)]
+        for counts in vectors.T[::-1]:
+            keys, rest = np.unique(self.of[0] * base + counts, return_inverse=True)
+            self.known.insert(0, keys)
+            self.of.insert(0, rest)
+
+    def find(self, vectors: np.ndarray) -> list[np.ndarray]:
+        """The numbers of other vectors, -1 for a rest that none here has."""
+        found = [np.zeros(len(vectors), dtype=np.int64)]
+        for keys, counts in zip(self.known[::-1], vectors.T[::-1]):
+            place, hit = _look(keys, found[0] * self.base + counts)
+            found.insert(0, np.where(hit & (found[0] >= 0) & (counts < self.base), place, -1))
+        return found
+
+
+def _look(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the wanted in sorted keys (not empty), and whether they are there."""
+    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return place, keys[place] == wanted
+
+
 class _Trie:
-    """Sorted count vectors of words; ``roots`` numbers the shard of each."""
+    """Sorted count vectors of words (not none); ``roots`` numbers the shard of each."""
 
     def __init__(self, roots: np.ndarray, vectors: np.ndarray):
         self.order = np.lexsort((*vectors.T[::-1], roots))
         self.base = int(vectors.max(initial=0)) + 3
         node, vectors = roots[self.order].astype(np.int64), vectors[self.order]
-        self.levels = []
-        for d in range(vectors.shape[1]):
-            keys = node * self.base + vectors[:, d]
-            new = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
+        nodes, self.levels = [], []
+        for counts in vectors.T:
+            keys = node * self.base + counts
+            new = np.append(True, keys[1:] != keys[:-1])
             self.levels.append(keys[new])
             node = np.cumsum(new) - 1
-        self.leaf = np.append(np.searchsorted(node, np.arange(len(self.levels[-1]))), len(node))
+            nodes.append(node)
+        first = np.flatnonzero(new)
+        self.leaf = np.append(first, len(node))
+        self.tails = _Tails(vectors[first], self.base)
+        self.ends = []  # of each level: the leaves by node and rest
+        for d, here in enumerate(nodes, 1):
+            keys = here[first] * len(first) + self.tails.of[d]
+            order = np.argsort(keys)
+            self.ends.append((keys[order], order))
 
     def search(self, roots: np.ndarray, vectors: np.ndarray, spent: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(query, leaf) within the budget, in parts. ``spent``: bit 1 the surplus, bit 2 the deficit.
 
-        The part of the frontier that lies deepest is walked first, so few parts wait at a time.
+        The part of the frontier that lies deepest is walked first, so few parts wait at a time. Where the budget is
+        spent, the rest of a word's counts must be there as it is, which takes one look instead of a walk.
         """
+        rests = self.tails.find(vectors)
         waiting = [(0, np.arange(len(roots)), roots.astype(np.int64), spent)]
         while waiting:
             level, query, node, used = waiting.pop()
@@ -165,18 +202,21 @@ class _Trie:
                 waiting += [(level, query[s], node[s], used[s]) for s in (slice(half, None), slice(half))]
                 continue
             if level == len(self.levels):
-                whole = (used == 3) | (used == 0)
-                yield query[whole], node[whole]
+                yield query[used == 0], node[used == 0]
                 continue
-            keys, count = self.levels[level], vectors[query, level]
-            parts = []
+            count, parts = vectors[query, level], []
             for step, bit in ((0, 0), (1, 1), (-1, 2)):
-                free = np.flatnonzero((used & bit == 0) & (count + step >= 0)) if bit else slice(None)
-                wanted = node[free] * self.base + count[free] + step
-                place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-                hit = keys[place] == wanted
+                free = np.flatnonzero((used & bit == 0) & (count + step >= 0) & (count + step < self.base))
+                place, hit = _look(self.levels[level], node[free] * self.base + count[free] + step)
                 parts.append((query[free][hit], place[hit], used[free][hit] | bit))
-            waiting.append((level + 1, *(np.concatenate(p) for p in zip(*parts))))
+            query, node, used = (np.concatenate(p) for p in zip(*parts))
+            done = used == 3
+            rest = rests[level + 1][query[done]]
+            keys, leaves = self.ends[level]
+            place, hit = _look(keys, node[done] * len(leaves) + rest)
+            hit &= rest >= 0
+            yield query[done][hit], leaves[place[hit]]
+            waiting.append((level + 1, query[~done], node[~done], used[~done]))
 
 
 def _ranges(first: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,14 +278,15 @@ def _near(shards: np.ndarray, kinds: np.ndarray, texts: list[bytes], n: np.ndarr
     rows[inside] = np.frombuffer(b"".join(texts[i] for i in fits.tolist()), dtype=np.uint8)
     table[fits] = rows
     members = np.flatnonzero(kinds == 0)
-    trie = _Trie(shards[members], vectors[members])
+    trie = _Trie(shards[members], vectors[members]) if len(members) else None
     found = []
-    for s in range(0, len(texts), _BLOCK):
-        block = slice(s, s + _BLOCK)
+    queries = np.lexsort((*vectors.T[::-1], shards))  # neighbours walk the same nodes
+    for s in range(0, len(texts) if trie else 0, _BLOCK):
+        block = queries[s : s + _BLOCK]
         spent = np.where(kinds[block] == 2, 2, 0)
         for query, leaf in trie.search(shards[block], vectors[block], spent):
             owner, place = _ranges(trie.leaf[leaf], trie.leaf[leaf + 1])
-            a, b = query[owner] + s, members[trie.order[place]]
+            a, b = block[query[owner]], members[trie.order[place]]
             once = (kinds[a] != 0) | (a < b)  # inside a shard either word finds the other
             a, b = a[once], b[once]
             for p in range(0, len(a), _ROWS):
