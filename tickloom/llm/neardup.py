@@ -63,15 +63,18 @@ def _slots(hashes: np.ndarray, slots: int) -> np.ndarray:
     return (hashes >> np.uint64(64 - slots.bit_length() + 1)).astype(np.int64)
 
 
-def count_documents(docs: DataFrame) -> tuple[np.ndarray]:
-    """Inverse document frequencies of the slots of words, counted over all docs: WORD_SLOTS numbers."""
+def count_documents(docs: DataFrame, words_of=_words) -> tuple[np.ndarray]:
+    """Inverse document frequencies of the slots of words, counted over all docs: WORD_SLOTS numbers.
+
+    ``words_of`` gives the words of a piece and their hashes.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, total = np.zeros(WORD_SLOTS, dtype=np.int64), 0
         for batch in batches:
             total += batch.num_rows
             for piece in pieces(batch.column("text")):
-                words, hashes = _words(piece)
+                words, hashes = words_of(piece)
                 pairs = np.sort((words.text_of() << 18) | _slots(hashes, WORD_SLOTS))
                 new = np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)]
                 counts += np.bincount(pairs[new] & (WORD_SLOTS - 1), minlength=WORD_SLOTS)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (
-    licenses, mixing, neardup, packing, quality, spelling, substrings, token_counts, topk, toxicity, warc,
+    licenses, mixing, neardup, ngram_join, packing, quality, spelling, substrings, token_counts, topk, toxicity, warc,
 )
 from tickloom.llm.tables import table
 
@@ -67,6 +67,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_licenses": op2_licenses,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op9_packing": op9_packing,
     "op10_repeats": op10_repeats,
     "op11_spelling": op11_spelling,
+    "op13_ngram_join": op13_ngram_join,
 }
 SQL: dict[str, str] = {
     "op4_topk": """
@@ -121,5 +126,22 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
   CASE WHEN page_id = first_page OR first_page IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id = first_page THEN NULL ELSE first_page END AS refers_to
 FROM f
+""",
+    "op13_ngram_join": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(list_slice(w, i, i + 3), ' '))) END AS s
+  FROM d),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (SELECT DISTINCT a, a AS b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(c, doc_id) AS component_id
+FROM sets LEFT JOIN comp ON a = doc_id
 """,
 }
