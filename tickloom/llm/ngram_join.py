@@ -3,11 +3,13 @@
 The documents by shingles incidence matrix times its transpose holds every overlap. Only cells that can reach the size
 bound are computed: of n shingles, ordered from rare to frequent words, a document that links with one at least as
 large shares one of its first n - ceil(2 * 85 n / 185) + 1 with the first m - ceil(85 m / 100) + 1 of the larger one.
-Documents with an equal shingle in those prefixes meet in a bucket, and blocks of rows of a bucket are multiplied:
-columns are looked up, overlaps are accumulated in exact integers, and pairs below the bound of their two sizes go.
+Documents with an equal shingle in those prefixes meet in a bucket, and blocks of rows of a bucket are held against each
+other twice. First by parity bitmaps, one bit for each shingle or so: two sets that differ in d shingles differ in at
+most d bits, and a link allows d only (100 - 85) / (100 + 85) of both sizes. The pairs below that bound go, unmoved;
+for the others, columns are looked up and overlaps accumulated in exact integers.
 
 Classes need no full product: texts with equal sets are one row, every row of a bucket is multiplied with one leader
-(the row whose buckets hold most others), and only rows outside the class of their leader, strays, are multiplied with
+(the row whose buckets hold most others), and only rows outside the class of their leader, strays, are held against
 all rows of that leader whose size allows a link. So every two rows of a bucket are in one class or were compared.
 """
 
@@ -85,8 +87,20 @@ def _prefixes(edges: np.ndarray, keys: np.ndarray, rarity: np.ndarray, percent:
     return prefix(wanted), keys[order][inside]
 
 
+def _bitmaps(edges: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity bitmaps of sets, in words of 64 bits: as many bits as shingles, rounded up to a power of two."""
+    sizes = np.diff(edges)
+    words = (1 << np.ceil(np.log2(np.maximum(sizes, 64) / 64) - 1e-12).astype(np.int64)) * (sizes > 0)
+    at = prefix(words)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    spread = mix(keys ^ _SECOND)
+    place = (at[owner] << 6) + (spread & ((words[owner] << 6) - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(place, minlength=int(at[-1]) << 6) & 1).astype(np.uint8)
+    return at, np.packbits(odd, bitorder="little").view(np.uint64)
+
+
 def _signed(docs: DataFrame, idf: np.ndarray, percent: int) -> DataFrame:
-    """part, row, doc_id, n, key1, key2, rare: place, set size, set keys and prefix of each row."""
+    """part, row, doc_id, n, key1, key2, rare, bits: place, set size, set keys, prefix and bitmap of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, part, first in sidefiles.numbered(batches):
@@ -97,16 +111,17 @@ def _signed(docs: DataFrame, idf: np.ndarray, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(piece.n, part, np.int32)), pa.array(first + piece.rows.start + np.arange(piece.n)),
                      batch.column("doc_id").slice(piece.rows.start, piece.n), pa.array(np.diff(edges)),
-                     pa.array(key1.view(np.int64)), pa.array(key2.view(np.int64)), _lists(rare, at)],
-                    ["part", "row", "doc_id", "n", "key1", "key2", "rare"],
+                     pa.array(key1.view(np.int64)), pa.array(key2.view(np.int64)), _lists(rare, at),
+                     _lists(*_bitmaps(edges, keys)[::-1])],
+                    ["part", "row", "doc_id", "n", "key1", "key2", "rare", "bits"],
                 )
 
-    schema = "part int, row long, doc_id long, n long, key1 long, key2 long, rare array<long>"
+    schema = "part int, row long, doc_id long, n long, key1 long, key2 long, rare array<long>, bits array<long>"
     return docs.mapInArrow(run, schema)
 
 
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """id, n, shingles of the rows (id, key1), read by their place; a row with another set is an error."""
+    """id, n, body (its shingles) of the rows (id, key1), read by their place; a row with another set is an error."""
     here = F.col("id")
     side = sidefiles.write_side(
         ids.select(
@@ -132,10 +147,61 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                     raise RuntimeError("the documents were split otherwise than in the first scan")
                 yield pa.RecordBatch.from_arrays(
                     [mine.column("id").combine_chunks(), pa.array(np.diff(edges)), _lists(keys, edges)],
-                    ["id", "n", "shingles"],
+                    ["id", "n", "body"],
                 )
 
-    return stored(docs.mapInArrow(fetch, "id long, n long, shingles array<long>"), "join-sets")
+    return stored(docs.mapInArrow(fetch, "id long, n long, body array<long>"), "join-sets")
+
+
+class _Bits:
+    """Bitmaps of a block of rows; ``against`` gives the pairs whose sizes and bitmaps allow a link."""
+
+    def __init__(self):
+        self.ids: list[int] = []
+        self.classes: list[int] = []
+        self.sizes: list[int] = []
+        self.words: list[np.ndarray] = []
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] | None = None
+
+    def add(self, id_: int, class_: int, size: int, words: np.ndarray) -> None:
+        self.ids.append(id_)
+        self.classes.append(class_)
+        self.sizes.append(size)
+        self.words.append(words)
+
+    def against(self, ids, classes, sizes, edges, words, percent):
+        if self.tables is None:
+            self.held = tuple(np.array(x) for x in (self.ids, self.classes, self.sizes))
+            self.tables = _tables(np.array([len(w) for w in self.words]), np.concatenate(self.words))
+            self.words = []
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for wide, (mine, own) in _tables(np.diff(edges), words[edges[0] : edges[-1]]).items():
+            for width, (theirs, held) in self.tables.items():
+                least = min(wide, width)
+                left, right = _folded(held, least), _folded(own, least)
+                step = max(_CELLS // (len(theirs) * least), 1)
+                for a in range(0, len(mine), step):
+                    part = mine[a : a + step]
+                    differ = np.bitwise_count(right[a : a + step, None, :] ^ left[None, :, :]).sum(axis=2, dtype=np.int64)
+                    x, y = sizes[part, None], self.held[2][theirs][None, :]
+                    near = ((100 + percent) * differ <= (100 - percent) * (x + y)) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+                    near &= classes[part, None] != self.held[1][theirs][None, :]
+                    i, j = np.nonzero(near)
+                    out.append((self.held[0][theirs[j]], ids[part[i]]))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _tables(widths: np.ndarray, words: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By width: the rows with bitmaps of that many words, and their bitmaps."""
+    owner = np.repeat(widths, widths)
+    return {
+        int(w): (np.flatnonzero(widths == w), words[owner == w].reshape(-1, int(w))) for w in np.unique(widths)
+    }
+
+
+def _folded(bitmaps: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps of fewer bits for the same sets: the parities of places that fall together."""
+    return np.bitwise_xor.reduce(bitmaps.reshape(len(bitmaps), -1, width), axis=1)
 
 
 class _Rows:
@@ -146,34 +212,33 @@ class _Rows:
         self.classes: list[int] = []
         self.sets: list[np.ndarray] = []
         self.columns: np.ndarray | None = None
-        self.joined: set[tuple[int, int]] = set()
 
-    def add(self, id_: int, class_: int, shingles: np.ndarray) -> None:
+    def add(self, id_: int, class_: int, size: int, shingles: np.ndarray) -> None:
         self.ids.append(id_)
         self.classes.append(class_)
         self.sets.append(shingles)
 
     def _transpose(self) -> None:
+        self.held, self.of = np.array(self.ids), np.array(self.classes)
         self.sizes = np.array([len(s) for s in self.sets])
-        self.of = np.array(self.classes)
         keys, rows = np.concatenate(self.sets), np.repeat(np.arange(len(self.sets)), self.sizes)
         order = np.argsort(keys, kind="stable")
         self.columns, at = np.unique(keys[order], return_index=True)
         self.rows, self.edges = rows[order], np.append(at, len(keys))
         self.sets = []
 
-    def product(self, ids: np.ndarray, classes: np.ndarray, edges: np.ndarray, keys: np.ndarray, percent: int):
-        """Links of other rows (sets keys[edges[i]:edges[i + 1]]) with those held, once per held row and class."""
+    def against(self, ids, classes, sizes, edges, keys, percent):
+        """Links of other rows (sets keys[edges[i]:edges[i + 1]]) with those held."""
         if self.columns is None:
             self._transpose()
-        width, sizes = len(self.ids), np.diff(edges)
+        width, out = len(self.ids), [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
         step = max(_CELLS // width, 1)
         for a in range(0, len(ids), step):
             b = min(a + step, len(ids))
             part = keys[edges[a] : edges[b]]
             place = np.minimum(np.searchsorted(self.columns, part), len(self.columns) - 1)
             hit = np.flatnonzero(self.columns[place] == part)
-            column, other = place[hit], np.repeat(np.arange(b - a), sizes[a:b])[hit]
+            column, other = place[hit], np.repeat(np.arange(b - a), np.diff(edges[a : b + 1]))[hit]
             times = self.edges[column + 1] - self.edges[column]
             cells = np.repeat(other * width, times) + self.rows[
                 np.arange(int(times.sum())) + np.repeat(self.edges[column] - prefix(times)[:-1], times)
@@ -181,44 +246,46 @@ class _Rows:
             overlap = np.bincount(cells, minlength=(b - a) * width).reshape(-1, width)
             whole = sizes[a:b, None] + self.sizes[None, :]
             near = ((100 + percent) * overlap >= percent * whole) & (classes[a:b, None] != self.of[None, :])
-            for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
-                if (j, int(classes[a + i])) not in self.joined:
-                    self.joined.add((j, int(classes[a + i])))
-                    yield self.ids[j], int(ids[a + i])
+            i, j = np.nonzero(near)
+            out.append((self.held[j], ids[a:b][i]))
+        return tuple(np.concatenate(x) for x in zip(*out))
 
 
 _GROUP = ("leader", "slice", "left", "right")
 
 
-def _multiply(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between the left (role 0) and right (role 1) rows of each group; rows: group, role, id, class."""
-    bodies = sets.select(F.col("id").alias("i"), "shingles")
-    both = rows.join(bodies, F.col("id") == F.col("i")).select(*_GROUP, "role", "id", "class", "shingles")
+def _product(rows: DataFrame, bodies: DataFrame, block: type, percent: int) -> DataFrame:
+    """Pairs (a, b) between the left (role 0) and right (role 1) rows of each group that ``block`` lets pass.
+
+    ``rows``: the group, role, id, class; ``bodies``: id, n, body.
+    """
+    bodies = bodies.select(F.col("id").alias("i"), "n", "body")
+    both = rows.join(bodies, F.col("id") == F.col("i")).select(*_GROUP, "role", "id", "class", "n", "body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, _Rows()
+        now, held = None, block()
         for batch in batches:
             if not batch.num_rows:
                 continue
             groups = np.stack([batch.column(c).to_numpy() for c in (*_GROUP, "role")])
-            ids, classes = (batch.column(c).to_numpy() for c in ("id", "class"))
-            lists = batch.column("shingles")
+            ids, classes, sizes = (batch.column(c).to_numpy() for c in ("id", "class", "n"))
+            lists = batch.column("body")
             edges = lists.offsets.to_numpy().astype(np.int64)
-            keys = lists.values.to_numpy().view(np.uint64)
+            values = lists.values.to_numpy().view(np.uint64)
             stops = np.append(np.flatnonzero((groups[:, 1:] != groups[:, :-1]).any(axis=0)) + 1, batch.num_rows)
             a, out = 0, []
             for b in stops.tolist():
                 group = tuple(groups[:-1, a].tolist())
                 if group != now:
-                    now, held = group, _Rows()
+                    now, held = group, block()
                 if groups[-1, a] == 0:
                     for i in range(a, b):
-                        held.add(int(ids[i]), int(classes[i]), keys[edges[i] : edges[i + 1]].copy())
+                        held.add(int(ids[i]), int(classes[i]), int(sizes[i]), values[edges[i] : edges[i + 1]].copy())
                 elif held.ids:
-                    out += held.product(ids[a:b], classes[a:b], edges[a : b + 1], keys, percent)
+                    out.append(held.against(ids[a:b], classes[a:b], sizes[a:b], edges[a : b + 1], values, percent))
                 a = b
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["a", "b"])
 
     ordered = both.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "role")
     return ordered.mapInArrow(run, "a long, b long")
@@ -228,30 +295,33 @@ def _block(n) -> F.Column:
     return F.pmod(F.xxhash64("id"), F.greatest(F.ceil(n), F.lit(1))).cast("int")
 
 
-def _with_leaders(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of members (leader, id) with their leaders; the members of a leader come in blocks of their number."""
-    sizes = stored(members.groupBy("leader").agg(F.count("*").alias("m")).where("m > 1"), "join-sizes")
-    right = members.where("id <> leader").join(sizes, "leader").select(
-        "leader", F.lit(0).alias("slice"), F.lit(0).alias("left"), _block(F.col("m") / COLUMN_BLOCK).alias("right"),
-        F.lit(1).alias("role"), "id", F.col("id").alias("class"),
-    )
-    held = sizes.select(
-        "leader", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("m") / COLUMN_BLOCK), F.lit(1)).cast("int") - 1)).alias("right")
-    ).select("leader", F.lit(0).alias("slice"), F.lit(0).alias("left"), "right", F.lit(0).alias("role"),
-             F.col("leader").alias("id"), F.col("leader").alias("class"))
-    return _multiply(right.unionByName(held), sets, percent)
+def _stars(pairs: DataFrame) -> DataFrame:
+    """Rows for a product of each a with its b, which come in blocks; pairs: a, b, distinct."""
+    pairs = pairs.select(F.col("a").alias("leader"), F.col("b").alias("id"))
+    sizes = stored(
+        pairs.groupBy("leader").agg(F.ceil(F.count("*") / COLUMN_BLOCK).cast("int").alias("blocks")), "join-sizes"
+    )
+    zero = [F.lit(0).alias("slice"), F.lit(0).alias("left")]
+    right = pairs.join(sizes, "leader").select(
+        "leader", *zero, _block(F.col("blocks")).alias("right"), F.lit(1).alias("role"), "id", F.col("id").alias("class")
+    )
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("right")
+    held = sizes.select("leader", *zero, every, F.lit(0).alias("role")).select(
+        "*", F.col("leader").alias("id"), F.col("leader").alias("class")
+    )
+    return right.unionByName(held)
 
 
-def _strays(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links of strays with all members of their leaders whose size is in reach.
+def _strays(placed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Rows for a product of strays with all members of their leaders whose size is in reach.
 
     ``placed``: leader, id, class, main (the leader's class). A slice holds the strays of similar size, and a member
     comes to its own slice and both beside it, which hold every size that it can link with.
     """
     scale = float(np.log(100 / percent))
     sized = stored(
-        placed.join(sets.select(F.col("id").alias("i"), "n"), F.col("id") == F.col("i")).select(
-            "leader", "id", "class", "main", F.floor(F.log("n") / scale + 1e-9).cast("int").alias("slice")
+        placed.join(texts.select(F.col("id").alias("i"), "n"), F.col("id") == F.col("i")).select(
+            "leader", "id", "class", "main", F.floor(F.log("n") / scale).cast("int").alias("slice")
         ),
         "join-sized",
     )
@@ -277,7 +347,16 @@ def _strays(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = right.join(blocks, ["leader", "slice"]).select(
         "leader", "slice", every("lefts", "left"), _block(F.col("rights")).alias("right"), F.lit(1).alias("role"), "id", "class"
     )
-    return _multiply(left.unionByName(right), sets, percent)
+    return left.unionByName(right)
+
+
+def _links(docs: DataFrame, texts: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The links (a, b) among the pairs of the rows: bitmaps first, then the product of what they leave."""
+    bits = texts.select("id", "n", F.col("bits").alias("body"))
+    pairs = stored(_product(rows, bits, _Bits, percent).distinct(), "join-pairs")
+    wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
+    sets = _sets(docs, texts.select("id", "key1").join(wanted, F.col("id") == F.col("w")).select("id", "key1"))
+    return stored(_product(_stars(pairs), sets, _Rows, percent), "join-links")
 
 
 def _members(texts: DataFrame, percent: int) -> DataFrame:
@@ -314,7 +393,7 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     place = F.shiftleft(F.col("part").cast("long"), 40).bitwiseOR(F.col("row"))
     texts = stored(
         signed.where("n > 0").groupBy("key1", "key2").agg(
-            F.min(place).alias("id"), F.first("n").alias("n"), F.first("rare").alias("rare")
+            F.min(place).alias("id"), F.first("n").alias("n"), F.first("rare").alias("rare"), F.first("bits").alias("bits")
         ),
         "join-texts",
     )
@@ -322,13 +401,13 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = texts.select(F.col("key1").alias("k1"), F.col("key2").alias("k2"), "id")
     if not members.isEmpty():
         ids = stored(members.select("id").distinct(), "join-ids")
-        sets = _sets(docs, texts.select(F.col("id").alias("i"), "key1").join(ids, F.col("i") == F.col("id")).select("id", "key1"))
-        links = stored(_with_leaders(members, sets, percent), "join-links")
+        stars = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
+        links = _links(docs, texts, _stars(stars), percent)
         labels = components(ids, links)
         mains = labels.select(F.col("id").alias("leader"), F.col("comp").alias("main"))
         placed = stored(members.join(labels, "id").join(mains, "leader").withColumnRenamed("comp", "class"), "join-classed")
         if not placed.where("class <> main").isEmpty():
-            links = links.union(stored(_strays(placed, sets, percent), "join-more"))
+            links = links.union(_links(docs, texts, _strays(placed, texts, percent), percent))
             labels = components(ids, links)
         comps = labels.select(F.col("id").alias("i"), "comp")
         named = named.join(comps, F.col("id") == F.col("i"), "left").select("k1", "k2", F.coalesce("comp", "id").alias("comp"))
@@ -336,7 +415,7 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         named = named.withColumnRenamed("id", "comp")
     same = (F.col("n") > 0) & (F.col("key1") == F.col("k1")) & (F.col("key2") == F.col("k2"))
     rows = stored(
-        signed.drop("rare").join(stored(named, "join-named"), same, "left")
+        signed.drop("rare", "bits").join(stored(named, "join-named"), same, "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", place).alias("comp")),
         "join-rows",
     )
