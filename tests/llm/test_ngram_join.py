@@ -68,6 +68,7 @@ def test_large_groups_of_near_copies(spark, tmp_path, monkeypatch):
     """A third of all rows near one text, at similarities on both sides of the bound, with blocks smaller than it."""
     monkeypatch.setattr(ngram_join, "ROW_BLOCK", 8)
     monkeypatch.setattr(ngram_join, "COLUMN_BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "STAR_BLOCK", 16)
     rng = random.Random(9)
     base = [f"b{i}" for i in range(70)]
     rows = []

@@ -8,9 +8,10 @@ other twice. First by parity bitmaps, one bit for each shingle or so: two sets t
 most d bits, and a link allows d only (100 - 85) / (100 + 85) of both sizes. The pairs below that bound go, unmoved;
 for the others, columns are looked up and overlaps accumulated in exact integers.
 
-Classes need no full product: texts with equal sets are one row, every row of a bucket is multiplied with one leader
-(the row whose buckets hold most others), and only rows outside the class of their leader, strays, are held against
-all rows of that leader whose size allows a link. So every two rows of a bucket are in one class or were compared.
+Classes need no full product: texts with equal sets are one row, a bucket's leader is its row whose buckets hold most
+others, and each row is first held against the best leader of its buckets. The buckets whose leaders then are of one
+class form a group, and only rows of another class, strays, are held against all rows of the group whose size allows a
+link. So every two rows of a bucket are in one class or were compared.
 """
 
 from __future__ import annotations
@@ -30,9 +31,11 @@ from tickloom.session import stored
 
 SHINGLE = 4
 PERCENT = 85
-ROW_BLOCK = 256
-COLUMN_BLOCK = 2048
-"""Rows of a group that meet in one place: left ones in memory, right ones streamed past them."""
+ROW_BLOCK = 1024
+COLUMN_BLOCK = 8192
+"""Bitmaps of a group that meet in one place: left ones in memory, right ones streamed past them."""
+STAR_BLOCK = 2048
+"""Sets that are streamed past one set in one place."""
 _CELLS = 1 << 20
 _SECOND = np.uint64(0x9FB21C651E98DF25)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -299,7 +302,7 @@ def _stars(pairs: DataFrame) -> DataFrame:
     """Rows for a product of each a with its b, which come in blocks; pairs: a, b, distinct."""
     pairs = pairs.select(F.col("a").alias("leader"), F.col("b").alias("id"))
     sizes = stored(
-        pairs.groupBy("leader").agg(F.ceil(F.count("*") / COLUMN_BLOCK).cast("int").alias("blocks")), "join-sizes"
+        pairs.groupBy("leader").agg(F.ceil(F.count("*") / STAR_BLOCK).cast("int").alias("blocks")), "join-sizes"
     )
     zero = [F.lit(0).alias("slice"), F.lit(0).alias("left")]
     right = pairs.join(sizes, "leader").select(
@@ -313,22 +316,26 @@ def _stars(pairs: DataFrame) -> DataFrame:
 
 
 def _strays(placed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Rows for a product of strays with all members of their leaders whose size is in reach.
+    """Rows for a product of strays with all members of their group whose size is in reach.
 
-    ``placed``: leader, id, class, main (the leader's class). A slice holds the strays of similar size, and a member
-    comes to its own slice and both beside it, which hold every size that it can link with.
+    ``placed``: leader (the group's class), id, class. A slice holds the strays of similar size, its logarithm over two
+    links' reach, and a member comes to the one or two slices that hold every size that it can link with.
     """
-    scale = float(np.log(100 / percent))
+    size = F.log("n") / float(np.log(100 / percent))
+
+    def slice_of(shift: float):
+        return F.floor((size + shift) / 2).cast("int")
+
     sized = stored(
         placed.join(texts.select(F.col("id").alias("i"), "n"), F.col("id") == F.col("i")).select(
-            "leader", "id", "class", "main", F.floor(F.log("n") / scale).cast("int").alias("slice")
+            "leader", "id", "class", slice_of(0).alias("slice"),
+            F.array_distinct(F.array(slice_of(-1.000001), slice_of(1.000001))).alias("near"),
         ),
         "join-sized",
-    )
-    astray = sized.where("class <> main")
+    )
+    astray = sized.where("class <> leader")
     wanted = astray.groupBy("leader", "slice").agg(F.count("*").alias("s"))
-    near = F.explode(F.array(*[F.col("slice") + i for i in (-1, 0, 1)])).alias("slice")
-    right = sized.select("leader", near, "id", "class")
+    right = sized.select("leader", F.explode("near").alias("slice"), "id", "class")
     counts = right.groupBy("leader", "slice").agg(F.count("*").alias("m"))
     blocks = stored(
         wanted.join(counts, ["leader", "slice"]).select(
@@ -359,8 +366,8 @@ def _links(docs: DataFrame, texts: DataFrame, rows: DataFrame, percent: int) ->
     return stored(_product(_stars(pairs), sets, _Rows, percent), "join-links")
 
 
-def _members(texts: DataFrame, percent: int) -> DataFrame:
-    """leader, id of the rows that share a bucket; a leader is a member of its own."""
+def _buckets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(bucket, id) of the buckets in which rows meet, and key (a bucket), leader, fame (of the leader)."""
     least = F.ceil(2 * percent * F.col("n") / (100 + percent) - 1e-9)
     banded = texts.select("id", F.posexplode("rare").alias("at", "bucket"), (F.col("n") - least + 1).alias("first"))
     counted = banded.groupBy("bucket").agg(F.count("*").alias("m"), F.max(F.col("at") < F.col("first")).alias("near"))
@@ -368,13 +375,14 @@ def _members(texts: DataFrame, percent: int) -> DataFrame:
     shared = stored(banded.join(crowded, F.col("bucket") == F.col("key")).select("bucket", "id", "m"), "join-shared")
     fame = stored(shared.groupBy("id").agg(F.sum("m").alias("fame")).select(F.col("id").alias("i"), "fame"), "join-fame")
     famed = stored(shared.join(fame, F.col("id") == F.col("i")).select("bucket", "id", "fame"), "join-famed")
+    top = F.max(F.struct("fame", (-F.col("id")).alias("less"))).alias("top")
     leaders = stored(
-        famed.groupBy("bucket").agg(F.max(F.struct("fame", (-F.col("id")).alias("less"))).alias("top"))
-        .select(F.col("bucket").alias("key"), (-F.col("top.less")).alias("leader")),
+        famed.groupBy("bucket").agg(top).select(
+            F.col("bucket").alias("key"), (-F.col("top.less")).alias("leader"), "top.fame"
+        ),
         "join-leaders",
     )
-    led = famed.join(leaders, F.col("bucket") == F.col("key")).select("leader", "id").distinct()
-    return stored(led, "join-members")
+    return famed.select("bucket", "id"), leaders
 
 
 def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -397,16 +405,21 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         ),
         "join-texts",
     )
-    members = _members(texts, percent)
+    shared, leaders = _buckets(texts, percent)
+    here = F.col("bucket") == F.col("key")
     named = texts.select(F.col("key1").alias("k1"), F.col("key2").alias("k2"), "id")
-    if not members.isEmpty():
-        ids = stored(members.select("id").distinct(), "join-ids")
-        stars = members.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-        links = _links(docs, texts, _stars(stars), percent)
+    if not leaders.isEmpty():
+        best = F.max(F.struct("fame", (-F.col("leader")).alias("less"))).alias("best")
+        firsts = shared.join(leaders, here).groupBy("id").agg(best)
+        firsts = stored(firsts.select((-F.col("best.less")).alias("a"), F.col("id").alias("b")), "join-firsts")
+        ids = firsts.select(F.col("b").alias("id"))
+        links = _links(docs, texts, _stars(firsts.where("a <> b")), percent)
         labels = components(ids, links)
         mains = labels.select(F.col("id").alias("leader"), F.col("comp").alias("main"))
-        placed = stored(members.join(labels, "id").join(mains, "leader").withColumnRenamed("comp", "class"), "join-classed")
-        if not placed.where("class <> main").isEmpty():
+        mains = stored(leaders.join(mains, "leader").select("key", F.col("main").alias("leader")), "join-mains")
+        placed = shared.join(mains, here).select("leader", "id").distinct()
+        placed = stored(placed.join(labels.withColumnRenamed("comp", "class"), "id"), "join-classed")
+        if not placed.where("class <> leader").isEmpty():
             links = links.union(_links(docs, texts, _strays(placed, texts, percent), percent))
             labels = components(ids, links)
         comps = labels.select(F.col("id").alias("i"), "comp")
