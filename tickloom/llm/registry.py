@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (
-    licenses, mixing, neardup, ngram_join, packing, quality, spelling, substrings, token_counts, topk, toxicity, warc,
+    collocations, licenses, mixing, neardup, ngram_join, packing, quality, spelling, substrings, token_counts,
+    topk, toxicity, warc,
 )
 from tickloom.llm.tables import table
 
@@ -67,6 +68,10 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents")).drop("passage")
+
+
 def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op9_packing": op9_packing,
     "op10_repeats": op10_repeats,
     "op11_spelling": op11_spelling,
+    "op12_collocations": op12_collocations,
     "op13_ngram_join": op13_ngram_join,
 }
 SQL: dict[str, str] = {
@@ -143,5 +149,37 @@ reach AS (SELECT DISTINCT a, a AS b FROM links UNION SELECT r.a, l.b FROM reach
 comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(c, doc_id) AS component_id
 FROM sets LEFT JOIN comp ON a = doc_id
+""",
+    "op12_collocations": r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+f AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)
+  GROUP BY ALL),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 30),
+kept AS (
+  SELECT * FROM c WHERE NOT EXISTS (
+    SELECT 1 FROM c AS longer WHERE longer.lang = c.lang AND longer.k > c.k AND 100 * longer.a >= 80 * c.a
+      AND contains(concat(' ', longer.phrase, ' '), concat(' ', c.phrase, ' ')))),
+cuts AS (
+  SELECT lang, phrase, a, k, cut, array_to_string(list_slice(w, 1, cut), ' ') AS x,
+    array_to_string(list_slice(w, cut + 1, k), ' ') AS y
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept)),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, cut, fx.f AS l, fy.f AS r,
+    CAST(CAST(2000000 AS HUGEINT) * a // (fx.f + fy.f) AS BIGINT) AS score
+  FROM cuts JOIN f fx ON fx.lang = cuts.lang AND fx.phrase = x AND fx.k = cut
+    JOIN f fy ON fy.lang = cuts.lang AND fy.phrase = y AND fy.k = cuts.k - cut),
+lowest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS at FROM scored) WHERE at = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """,
 }
