@@ -4,14 +4,16 @@ The documents by shingles incidence matrix times its transpose holds every overl
 bound are computed: of n shingles, ordered from rare to frequent words, a document that links with one at least as
 large shares one of its first n - ceil(2 * 85 n / 185) + 1 with the first m - ceil(85 m / 100) + 1 of the larger one.
 Documents with an equal shingle in those prefixes meet in a bucket, and blocks of rows of a bucket are held against each
-other twice. First by parity bitmaps, one bit for each shingle or so: two sets that differ in d shingles differ in at
-most d bits, and a link allows d only (100 - 85) / (100 + 85) of both sizes. The pairs below that bound go, unmoved;
+other twice. First by parity bitmaps, a few bits for each shingle: two sets that differ in d shingles differ in at most
+d bits, and a link allows d only (100 - 85) / (100 + 85) of both sizes. The pairs below that bound go, unmoved;
 for the others, columns are looked up and overlaps accumulated in exact integers.
 
 Classes need no full product: texts with equal sets are one row, a bucket's leader is its row whose buckets hold most
 others, and each row is first held against the best leader of its buckets. The buckets whose leaders then are of one
 class form a group, and only rows of another class, strays, are held against all rows of the group whose size allows a
-link. So every two rows of a bucket are in one class or were compared.
+link: first the nearest row of the group's class and the nearest other one by bitmap, which brings most strays home,
+then, for those still outside, every row within the bound. So every two rows of a bucket are in one class or were
+compared.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ PERCENT = 85
 ROW_BLOCK = 1024
 COLUMN_BLOCK = 8192
 """Bitmaps of a group that meet in one place: left ones in memory, right ones streamed past them."""
+BITS = 4
+"""Bits of a bitmap for each shingle: the more, the fewer differences fall together."""
 STAR_BLOCK = 2048
 """Sets that are streamed past one set in one place."""
 _CELLS = 1 << 20
@@ -91,9 +95,9 @@ def _prefixes(edges: np.ndarray, keys: np.ndarray, rarity: np.ndarray, percent:
 
 
 def _bitmaps(edges: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Parity bitmaps of sets, in words of 64 bits: as many bits as shingles, rounded up to a power of two."""
+    """Parity bitmaps of sets, in words of 64 bits: BITS bits a shingle, rounded up to a power of two."""
     sizes = np.diff(edges)
-    words = (1 << np.ceil(np.log2(np.maximum(sizes, 64) / 64) - 1e-12).astype(np.int64)) * (sizes > 0)
+    words = (1 << np.ceil(np.log2(np.maximum(BITS * sizes, 64) / 64) - 1e-12).astype(np.int64)) * (sizes > 0)
     at = prefix(words)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     spread = mix(keys ^ _SECOND)
@@ -159,7 +163,8 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
 class _Bits:
     """Bitmaps of a block of rows; ``against`` gives the pairs whose sizes and bitmaps allow a link."""
 
-    def __init__(self):
+    def __init__(self, group: int):
+        self.group = group
         self.ids: list[int] = []
         self.classes: list[int] = []
         self.sizes: list[int] = []
@@ -190,9 +195,42 @@ class _Bits:
                     near = ((100 + percent) * differ <= (100 - percent) * (x + y)) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
                     near &= classes[part, None] != self.held[1][theirs][None, :]
                     i, j = np.nonzero(near)
-                    out.append((self.held[0][theirs[j]], ids[part[i]]))
+                    out.append(self._passed(theirs[j], ids[part[i]], classes[part[i]], (differ / (x + y))[i, j]))
         return tuple(np.concatenate(x) for x in zip(*out))
 
+    def _passed(self, held, ids, classes, far):
+        """The pairs to hand on now."""
+        return self.held[0][held], ids
+
+    def rest(self):
+        """The pairs to hand on once all rows of the group have passed."""
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+
+class _Nearest(_Bits):
+    """Of each row held, only the nearest row of the group's class and the nearest other one pass."""
+
+    def __init__(self, group: int):
+        super().__init__(group)
+        self.best: np.ndarray | None = None
+
+    def _passed(self, held, ids, classes, far):
+        if self.best is None:
+            self.best, self.who = np.full((2, len(self.ids)), np.inf), np.zeros((2, len(self.ids)), dtype=np.int64)
+        for kind in (0, 1):
+            here = np.flatnonzero((classes == self.group) == (kind == 0))
+            here = here[np.argsort(far[here], kind="stable")]
+            row, first = np.unique(held[here], return_index=True)
+            take = here[first][far[here[first]] < self.best[kind, row]]
+            self.best[kind, held[take]], self.who[kind, held[take]] = far[take], ids[take]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def rest(self):
+        if self.best is None:
+            return super().rest()
+        kind, row = np.nonzero(np.isfinite(self.best))
+        return self.held[0][row], self.who[kind, row]
+
 
 def _tables(widths: np.ndarray, words: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """By width: the rows with bitmaps of that many words, and their bitmaps."""
@@ -210,7 +248,7 @@ def _folded(bitmaps: np.ndarray, width: int) -> np.ndarray:
 class _Rows:
     """Rows of a block of the incidence matrix, held by column once the first product is asked for."""
 
-    def __init__(self):
+    def __init__(self, group: int):
         self.ids: list[int] = []
         self.classes: list[int] = []
         self.sets: list[np.ndarray] = []
@@ -253,6 +291,9 @@ class _Rows:
             out.append((self.held[j], ids[a:b][i]))
         return tuple(np.concatenate(x) for x in zip(*out))
 
+    def rest(self):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+
 
 _GROUP = ("leader", "slice", "left", "right")
 
@@ -266,7 +307,7 @@ def _product(rows: DataFrame, bodies: DataFrame, block: type, percent: int) -> D
     both = rows.join(bodies, F.col("id") == F.col("i")).select(*_GROUP, "role", "id", "class", "n", "body")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, block()
+        now, held = None, block(-1)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -280,7 +321,8 @@ def _product(rows: DataFrame, bodies: DataFrame, block: type, percent: int) -> D
             for b in stops.tolist():
                 group = tuple(groups[:-1, a].tolist())
                 if group != now:
-                    now, held = group, block()
+                    out.append(held.rest())
+                    now, held = group, block(group[0])
                 if groups[-1, a] == 0:
                     for i in range(a, b):
                         held.add(int(ids[i]), int(classes[i]), int(sizes[i]), values[edges[i] : edges[i + 1]].copy())
@@ -289,6 +331,7 @@ def _product(rows: DataFrame, bodies: DataFrame, block: type, percent: int) -> D
                 a = b
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.rest()], ["a", "b"])
 
     ordered = both.repartition(*_GROUP).sortWithinPartitions(*_GROUP, "role")
     return ordered.mapInArrow(run, "a long, b long")
@@ -357,10 +400,10 @@ def _strays(placed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return left.unionByName(right)
 
 
-def _links(docs: DataFrame, texts: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+def _links(docs: DataFrame, texts: DataFrame, rows: DataFrame, percent: int, block: type = _Bits) -> DataFrame:
     """The links (a, b) among the pairs of the rows: bitmaps first, then the product of what they leave."""
     bits = texts.select("id", "n", F.col("bits").alias("body"))
-    pairs = stored(_product(rows, bits, _Bits, percent).distinct(), "join-pairs")
+    pairs = stored(_product(rows, bits, block, percent).distinct(), "join-pairs")
     wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
     sets = _sets(docs, texts.select("id", "key1").join(wanted, F.col("id") == F.col("w")).select("id", "key1"))
     return stored(_product(_stars(pairs), sets, _Rows, percent), "join-links")
@@ -385,6 +428,13 @@ def _buckets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return famed.select("bucket", "id"), leaders
 
 
+def _placed(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """leader (the class of the group), id, class as the labels are now; groups: leader, id."""
+    mains = labels.select(F.col("id").alias("leader"), F.col("comp").alias("main"))
+    now = groups.join(mains, "leader").select(F.col("main").alias("leader"), "id").distinct()
+    return stored(now.join(labels.withColumnRenamed("comp", "class"), "id"), "join-classed")
+
+
 def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id - one row per row of docs (doc_id, text).
 
@@ -417,10 +467,12 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         labels = components(ids, links)
         mains = labels.select(F.col("id").alias("leader"), F.col("comp").alias("main"))
         mains = stored(leaders.join(mains, "leader").select("key", F.col("main").alias("leader")), "join-mains")
-        placed = shared.join(mains, here).select("leader", "id").distinct()
-        placed = stored(placed.join(labels.withColumnRenamed("comp", "class"), "id"), "join-classed")
-        if not placed.where("class <> leader").isEmpty():
-            links = links.union(_links(docs, texts, _strays(placed, texts, percent), percent))
+        groups = stored(shared.join(mains, here).select("leader", "id").distinct(), "join-groups")
+        for block in (_Nearest, _Bits):
+            placed = _placed(groups, labels)
+            if placed.where("class <> leader").isEmpty():
+                break
+            links = links.union(_links(docs, texts, _strays(placed, texts, percent), percent, block))
             labels = components(ids, links)
         comps = labels.select(F.col("id").alias("i"), "comp")
         named = named.join(comps, F.col("id") == F.col("i"), "left").select("k1", "k2", F.coalesce("comp", "id").alias("comp"))

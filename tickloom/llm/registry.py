@@ -177,7 +177,7 @@ scored AS (
   FROM cuts JOIN f fx ON fx.lang = cuts.lang AND fx.phrase = x AND fx.k = cut
     JOIN f fy ON fy.lang = cuts.lang AND fy.phrase = y AND fy.k = cuts.k - cut),
 lowest AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS at FROM scored) WHERE at = 1),
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS place FROM scored) WHERE place = 1),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
