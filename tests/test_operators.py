@@ -215,22 +215,38 @@ def test_flips_cross_blocks(spark):
 
 
 def test_model_train_save_load_score(spark, tmp_path):
-    from pyspark.ml import PipelineModel
-
     rows = [
         tick(s, 1000 * k + i, i, 10 + (i * (k + 3)) % 11, volume=1 + i % 3, direction="UP" if (i * (k + 3)) % 11 > 5 else "DOWN")
         for k, s in enumerate(["GOLD", "OIL"]) for i in range(120)
     ] + [tick("GAS", 9000 + i, i, 3 + i) for i in range(24)]
     series = build_series(frame(spark, rows))
-    fitted = model.train(model.labelled_rows(series).where("split = 'train'"), trees=3)
-    fitted.save(str(tmp_path / "model"))
-    loaded = PipelineModel.load(str(tmp_path / "model"))
-    got = {r.symbol: r for r in model.predict_newest(series, loaded).collect()}
+    folder = str(tmp_path / "models")
+    with pytest.raises(ValueError):
+        model.load_bundle(spark, folder)
+    first = model.train_bundle(series, folder, trees=2)
+    second = model.train_bundle(series, folder, trees=3, shuffled=True)
+    assert (first.card["version"], second.card["version"]) == (1, 2)
+    assert model.load_bundle(spark, folder).card == second.card and model.load_bundle(spark, folder, 1).card == first.card
+    held = model.evaluation(model.soft_vote(first.model, model.labelled_rows(series).where("split = 'test'"))).first()
+    assert held.asDict() == {k: first.card[k] for k in ("accuracy", "base_rate", "row_count")}
+    (tmp_path / "models" / "version=9").mkdir()  # a version without a card does not count
+    got = {r.symbol: r for r in model.predict_newest(series, model.load_bundle(spark, folder, 1)).collect()}
     assert got["GAS"].prediction == "not enough data" and got["GAS"].confidence == 0
-    assert got["GOLD"].prediction in ("UP", "DOWN")
+    assert got["GOLD"].prediction in ("UP", "DOWN") and got["GOLD"].model_version == 1
+    assert got["GOLD"].accuracy == pytest.approx(first.card["accuracy"], abs=1e-4)
     assert got["GOLD"].prob_up + got["GOLD"].prob_down == pytest.approx(1, abs=0.002)
-    scored = model.evaluation(model.soft_vote(loaded, model.labelled_rows(series).where("split = 'test'"))).first()
-    assert 0 <= scored.accuracy <= 1
+    # live ticks that are too few are filled from history, and score like the whole history there
+    live = build_series(series.rows.where("(symbol = 'GOLD' AND pos >= 80) OR (symbol = 'OIL' AND pos >= 110)").drop("pos", "block"))
+    alone = {r.symbol: r.prediction for r in model.predict_newest(live, first).collect()}
+    assert alone["OIL"] == "not enough data" != alone["GOLD"]
+    filled = {r.symbol: r for r in model.predict_newest(live, first, series).collect()}
+    assert filled["OIL"] == got["OIL"] and filled["GOLD"].prediction == got["GOLD"].prediction
+
+
+def test_random_split_is_a_partition(spark):
+    rows = spark.range(500).withColumn("label", F.lit(1))
+    fit, held = model.random_split(rows)
+    assert fit.count() + held.count() == 500 and fit.intersect(held).isEmpty() and 50 < held.count() < 150
 
 
 def test_fixed_rounding(spark):
@@ -287,7 +303,7 @@ def test_repeated_threshold_changes_keep_one_row(spark):
     from tickloom.operators import alerts
     from tickloom.schema import default_thresholds
 
-    changes = spark.createDataFrame([("GOLD", 1.0, 0.5, 9.0), ("GOLD", 2.0, 0.5, 9.0)], "symbol string, upper double, lower double, vol_pct double")
+    changes = spark.createDataFrame([("GOLD", 3.0, 0.5, 9.0), ("GOLD", 2.0, 0.5, 9.0)], "symbol string, upper double, lower double, vol_pct double").coalesce(1)
     got = alerts.upsert_thresholds(default_thresholds(spark), changes).collect()
     assert len(got) == 5 and [r.upper for r in got if r.symbol == "GOLD"] == [2.0]
 

@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from tests.ticks import frame, random_ticks, tick
 from tickloom.operators.series import build_series
+from tickloom.operators import bars
+from tickloom.plans import serve
 from tickloom.sources import csvfiles, lake, messages, replay
+from tickloom.sources.merge_table import MergeTable
+from tickloom.sources.thresholds import ThresholdStore
 
 HEADER = "timestamp,price,volume,bid,ask,spread,direction,volatility,high,low"
 LINE = " 2026-07-11 13:30:53 ,4111.500000,5.000000,4111.439563,4111.560437,0.120873, FLAT ,0.000000,4111.5,4111.5"
@@ -130,15 +134,103 @@ def test_keyed_table_keeps_bad_times_and_survives_a_stop(spark, tmp_path):
     table.compact()
     table.write(make(("GOLD", "bad 1", None, 7, None)), 2)
     assert keys() == [("bad 1", 7), ("bad 2", 2)]
-    (tmp_path / "t" / "base" / "epoch=9").mkdir(parents=True)  # a compaction that never finished
+    (tmp_path / "t" / "base" / "stopped").mkdir(parents=True)  # a compaction that never finished
+    (tmp_path / "t" / "delta" / "main.99").mkdir()  # a batch that never finished
     assert keys() == [("bad 1", 7), ("bad 2", 2)]
     for epoch in range(3, 20):
         table.write(make(("OIL", str(epoch % 3), None, epoch, None)), epoch)
         if epoch % 5 == 4:
             table.compact()
     assert len(keys()) == 5
-    assert len(list((tmp_path / "t" / "delta").glob("epoch=*"))) <= 5
-    assert len(list((tmp_path / "t" / "base").glob("epoch=*"))) == 1
+    table.sweep()
+    assert not (tmp_path / "t" / "base" / "stopped").exists() and len(keys()) == 5
+    assert len(list((tmp_path / "t" / "delta").glob("main.*"))) <= 12
+
+
+def _counting(spark, path):
+    """A table of sums, whose merge must take every delta exactly once."""
+    schema = spark.createDataFrame([], "k string, n long").schema
+    return MergeTable(spark, path, schema, F.col("k"), lambda rows: rows.groupBy("k").agg(F.sum("n").alias("n")))
+
+
+def test_every_delta_counts_once_and_only_touched_buckets_are_rewritten(spark, tmp_path):
+    table = _counting(spark, str(tmp_path / "t"))
+    add = lambda epoch, writer, *rows: table.write(spark.createDataFrame(list(rows), "k string, n long"), epoch, writer)
+    sums = lambda t=table: {r.k: r.n for r in t.read().collect()}
+    add(0, "a", ("x", 1), ("y", 1), ("a/b [c]", 1), (None, 1))
+    add(0, "b", ("x", 10))
+    add(1, "a", ("x", 100))
+    want = {"x": 111, "y": 1, "a/b [c]": 1, None: 1}
+    assert sums() == want
+    assert table.compact()  # a.0 only: the newest delta of each writer may come again
+    assert sums() == want
+    held = dict(table._manifest().base)
+    add(1, "a", ("x", 100))  # the newest epoch again
+    add(2, "a", ("x", 1000))
+    assert table.compact() and sums() == {**want, "x": 1111}
+    now = table._manifest().base
+    assert now["y"] == held["y"] and now["x"] != held["x"] and set(now) == {"x", "y", "a_b__c_", "none"}
+    add(0, "a", ("x", 5))  # an epoch that is in the base cannot come again; it is not counted twice
+    assert sums() == {**want, "x": 1111}
+    assert sums(_counting(spark, str(tmp_path / "t"))) == {**want, "x": 1111}
+    assert {r.k for r in table.read(lambda bucket: bucket == "y").collect()} == {"y"}
+
+
+def test_a_reader_goes_on_while_a_compaction_replaces_its_files(spark, tmp_path):
+    table = _counting(spark, str(tmp_path / "t"))
+    for epoch in range(3):
+        table.write(spark.createDataFrame([("x", 1)], "k string, n long"), epoch)
+    listed = table.read()
+    table.compact()
+    assert listed.first().n == 3
+
+
+def test_of_two_compactions_one_gives_up(spark, tmp_path, monkeypatch):
+    first, second = (_counting(spark, str(tmp_path / "t")) for _ in range(2))
+    for epoch in range(3):
+        first.write(spark.createDataFrame([("x", 1)], "k string, n long"), epoch)
+    real = first._write
+
+    def slow(rows, folder):
+        real(rows, folder)
+        assert second.compact()
+
+    monkeypatch.setattr(first, "_write", slow)
+    assert not first.compact()
+    assert first.read().first().n == 3 and len(list((tmp_path / "t" / "base").glob("*"))) == 1
+
+
+def test_candles_walk_backwards_over_days(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    rows = [tick("GOLD", 100 * d + m, 86400 * d + 60 * m, d + m) for d in range(9) for m in range(4)]
+    lake.append_json(bars.partial_bars(frame(spark, rows + [tick("OIL", 5000, 0, 1)])), path)
+    found = lake.newest_bars(spark, path, "GOLD", 5)
+    assert sorted({f.split("dt=")[1][:10] for f in found.inputFiles()}) == ["2026-07-17", "2026-07-18", "2026-07-19"]
+    whole = serve.candles(lake.read_bars(spark, path), "GOLD", 5).collect()
+    assert serve.candles(found, "GOLD", 5).collect() == whole and len(whole) == 5
+    assert serve.candles(lake.newest_bars(spark, path, "GOLD", 500), "GOLD", 500).count() == 36
+    assert lake.newest_bars(spark, path, "TIN", 5).count() == 0
+    files = lake.files_by_symbol(lake.file_inventory(spark, [path]))
+    counted = {r.symbol: r.lake_files for r in files.collect()}
+    assert counted == {s: len(list((tmp_path / "bars" / f"symbol={s}").rglob("*.json"))) for s in ("GOLD", "OIL")}
+    assert "ReadSchema: struct<path:string,length:bigint>" in files._jdf.queryExecution().executedPlan().toString()
+    assert lake.file_inventory(spark, []).count() == 0
+
+
+def test_thresholds_are_stored(spark, tmp_path):
+    columns = "symbol string, upper double, lower double, vol_pct double"
+    limits = lambda *rows: spark.createDataFrame(list(rows), columns).coalesce(1)
+    defaults = limits(("GOLD", 9.0, 1.0, 5.0), ("OIL", 8.0, 2.0, 5.0))
+    seen = lambda: {r.symbol: r.upper for r in ThresholdStore(spark, str(tmp_path / "t")).current(defaults).collect()}
+    assert seen() == {"GOLD": 9, "OIL": 8}
+    ThresholdStore(spark, str(tmp_path / "t")).put(limits(("GOLD", 7.0, 1.0, 1.0), ("GOLD", 3.0, 2.0, 1.0), ("TIN", 1.0, 0.0, 1.0)))
+    assert seen() == {"GOLD": 3, "OIL": 8, "TIN": 1}
+    store = ThresholdStore(spark, str(tmp_path / "t"))
+    store.put(limits(("OIL", 4.0, 2.0, 1.0)))
+    store.delete(["GOLD", "TIN", "NEVER"])
+    assert seen() == {"GOLD": 9, "OIL": 4}
+    store.put(limits(("GOLD", 2.0, 1.0, 1.0)))
+    assert seen() == {"GOLD": 2, "OIL": 4}
 
 
 def test_replay_order_matches_a_simulated_feed(spark):

@@ -6,11 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def with_defaults(stored: DataFrame, defaults: DataFrame) -> DataFrame:
+    """Stored limits, and the defaults of symbols that have none."""
+    missing = defaults.join(stored.select("symbol"), "symbol", "left_anti")
+    return missing.unionByName(stored.select(*defaults.columns))
+
+
 def upsert_thresholds(current: DataFrame, changes: DataFrame) -> DataFrame:
-    """Changed symbols replace stored ones; the rest stay. A symbol changed twice takes the larger limits."""
+    """Changed symbols replace stored ones; the rest stay. Of two changes of a symbol the later row wins."""
     limits = [c for c in changes.columns if c != "symbol"]
-    once = changes.groupBy("symbol").agg(F.max(F.struct(*limits)).alias("limits")).select("symbol", "limits.*")
-    return current.join(once.select("symbol"), "symbol", "left_anti").unionByName(once.select(*current.columns))
+    placed = changes.withColumn("_place", F.monotonically_increasing_id())
+    once = placed.groupBy("symbol").agg(F.max_by(F.struct(*limits), "_place").alias("limits")).select("symbol", "limits.*")
+    return with_defaults(once, current)
 
 
 def reset_threshold(current: DataFrame, defaults: DataFrame, symbol: str) -> DataFrame:

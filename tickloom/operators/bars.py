@@ -85,11 +85,11 @@ def partial_bars(ticks: DataFrame, size: str = "1 minute", *also_by: str) -> Dat
     """Mergeable bars of one micro-batch: they keep when and with which tick they open and close.
 
     Ticks of a series are ordered by their place, a fixed-width number, so they stay in the hash
-    aggregate; other ticks are ordered by (event_ts, seq).
+    aggregate; other ticks are ordered by (event_ts, seq) as one number, which does, too.
     """
     grouped = ticks.groupBy("symbol", bucket_start("event_ts", size).alias("minute"), *also_by)
     placed = "pos" in ticks.columns
-    order = F.col("pos") if placed else F.struct("event_ts", "seq")
+    order = F.col("pos") if placed else time_order("event_ts", "seq")
     made = grouped.agg(
         F.min_by("price", order).alias("open_price"),
         F.max("high").alias("high_price"),
@@ -100,11 +100,9 @@ def partial_bars(ticks: DataFrame, size: str = "1 minute", *also_by: str) -> Dat
         F.count("price").alias("tick_count"),
         F.min("event_ts").alias("first_ts"),
         F.max("event_ts").alias("last_ts"),
-        F.min(order).alias("first_seq"),
-        F.max(order).alias("last_seq"),
+        F.min_by("pos" if placed else "seq", order).alias("first_seq"),
+        F.max_by("pos" if placed else "seq", order).alias("last_seq"),
     )
-    if not placed:
-        made = made.withColumns({c: F.col(f"{c}.seq") for c in ("first_seq", "last_seq")})
     return made.withColumn("dt", F.to_date("minute"))
 
 
@@ -134,6 +132,30 @@ def merge_partials(partials: DataFrame, start: str = "minute") -> DataFrame:
     )
 
 
+def combine_partials(partials: DataFrame) -> DataFrame:
+    """Partial bars that share (symbol, minute) as one partial bar, which merges on like its parts."""
+    opened = time_order("first_ts", "first_seq")
+    closed = time_order("last_ts", "last_seq")
+    weight = F.col("tick_count")
+    return (
+        partials.groupBy("symbol", "minute")
+        .agg(
+            F.min_by("open_price", opened).alias("open_price"),
+            F.max("high_price").alias("high_price"),
+            F.min("low_price").alias("low_price"),
+            F.max_by("close_price", closed).alias("close_price"),
+            F.try_divide(F.sum(F.col("avg_price") * weight), F.sum(weight)).alias("avg_price"),
+            F.sum("total_volume").alias("total_volume"),
+            F.sum("tick_count").alias("tick_count"),
+            F.min("first_ts").alias("first_ts"),
+            F.max("last_ts").alias("last_ts"),
+            F.min_by("first_seq", opened).alias("first_seq"),
+            F.max_by("last_seq", closed).alias("last_seq"),
+        )
+        .withColumn("dt", F.to_date("minute"))
+    )
+
+
 def sliding_bars(ticks: DataFrame, size: str = "5 minutes", slide: str = "1 minute") -> DataFrame:
     """Bars over overlapping windows (size must be a multiple of slide).
 

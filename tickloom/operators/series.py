@@ -184,6 +184,16 @@ def build_series(
     return made
 
 
+def one_block(ticks: DataFrame) -> TickSeries:
+    """A series of few ticks, one block per symbol, that is not stored: a window places its rows. ``ends`` is lazy."""
+    order = Window.partitionBy("symbol").orderBy("event_ts", "seq")
+    table = ticks.withColumns({
+        "pos": F.row_number().over(order).cast("long") - 1, "block": F.lit(0).cast("long"), "own": F.lit(True),
+    })
+    ends = ticks.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.max("event_ts").alias("last_ts"))
+    return TickSeries(table, ends, MAX_BLOCK_ROWS, "")
+
+
 def drop_blocks(series: TickSeries) -> None:
     """Remove the stored blocks of a series that is no longer read."""
     spark = series.table.sparkSession

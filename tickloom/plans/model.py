@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
+import json
+from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.numeric import fixed
 from tickloom.operators.indicators import FEATURES, feature_table, training_rows
-from tickloom.operators.series import TickSeries
+from tickloom.operators.series import TickSeries, one_block
+from tickloom.plans.serve import enough_or_history
 from tickloom.schema import symbol_dim
+from tickloom.session import add_file, children, file_names, read_file, stored
 
 # Ensemble settings, rows needed before a symbol is scored.
 TREES = 50
@@ -22,6 +25,7 @@ BOOST_DEPTH = 5
 FOREST_DEPTH = 10
 SEED = 42
 MIN_ROWS = 25
+SCORED_ROWS = 60
 
 
 def time_split(series: TickSeries, rows: DataFrame, train_share: float = 0.8) -> DataFrame:
@@ -94,9 +98,70 @@ def newest_features(series: TickSeries) -> DataFrame:
     return feature_table(tail).where(series.newest(1) & F.col("own") & F.col("ready"))
 
 
-def predict_newest(series: TickSeries, model: PipelineModel) -> DataFrame:
-    """Direction call per symbol; 'not enough data' below MIN_ROWS ticks."""
-    scored = soft_vote(model, newest_features(series)).select("symbol", "prediction", "prob_up", "prob_down")
+@dataclass(frozen=True)
+class Bundle:
+    """A stored model with its card: version, accuracy, base_rate, row_count (of the held-out rows) and features."""
+
+    model: PipelineModel
+    card: dict
+
+
+def _versions(spark: SparkSession, folder: str) -> list[int]:
+    names = [n for n in children(spark, folder) if n.startswith("version=")]
+    return sorted(int(n.partition("=")[2]) for n in names if "card.json" in file_names(spark, f"{folder}/{n}"))
+
+
+def publish(spark: SparkSession, folder: str, model: PipelineModel, scores: dict) -> int:
+    """Store a model as the next version. The card is written last and makes the version count; of two writers of
+    one version the second is an error."""
+    version = max(_versions(spark, folder), default=0) + 1
+    path = f"{folder}/version={version}"
+    model.write().overwrite().save(f"{path}/model")
+    card = {"version": version, "features": list(FEATURES), **scores}
+    if not add_file(spark, f"{path}/card.json", json.dumps(card)):
+        raise RuntimeError(f"version {version} was written at the same time")
+    return version
+
+
+def load_bundle(spark: SparkSession, folder: str, version: int | None = None) -> Bundle:
+    """The newest version, or a given one. A model made for other features is refused."""
+    known = _versions(spark, folder)
+    if not known or version not in (None, *known):
+        raise ValueError(f"no model version {version or ''} in {folder}")
+    path = f"{folder}/version={version or known[-1]}"
+    card = json.loads(read_file(spark, f"{path}/card.json"))
+    if card["features"] != list(FEATURES):
+        raise ValueError(f"{path} was trained on other features")
+    return Bundle(PipelineModel.load(f"{path}/model"), card)
+
+
+def train_bundle(series: TickSeries, folder: str, trees: int = TREES, shuffled: bool = False) -> Bundle:
+    """Train on the first part of every history (or on a random part), hold out the rest, store model and scores."""
+    spark = series.table.sparkSession
+    rows = stored(labelled_rows(series), "labelled")
+    if shuffled:
+        fit, held = random_split(rows.drop("split"))
+    else:
+        fit, held = rows.where("split = 'train'"), rows.where("split = 'test'")
+    model = train(fit, trees)
+    publish(spark, folder, model, evaluation(soft_vote(model, held)).first().asDict())
+    return load_bundle(spark, folder)
+
+
+def scored_series(series: TickSeries, history: TickSeries | None) -> TickSeries:
+    """The newest ticks that are scored: a symbol with fewer than MIN_ROWS live ticks is filled from its history."""
+    if history is None:
+        return series
+    columns = [c for c in series.rows.columns if c in history.rows.columns and c not in ("pos", "block")]
+    live, past = (s.rows.where(s.newest(SCORED_ROWS)).select(*columns) for s in (series, history))
+    return one_block(stored(enough_or_history(live, past, MIN_ROWS, SCORED_ROWS).drop("source"), "scored-ticks"))
+
+
+def predict_newest(series: TickSeries, bundle: Bundle, history: TickSeries | None = None) -> DataFrame:
+    """Direction call per symbol with the accuracy of the model that made it; 'not enough data' below MIN_ROWS ticks,
+    live and (if given) historic ones together."""
+    ticks = scored_series(series, history)
+    scored = soft_vote(bundle.model, newest_features(ticks)).select("symbol", "prediction", "prob_up", "prob_down")
     dim = symbol_dim(series.table.sparkSession)
     return dim.join(scored, "symbol", "left").select(
         "symbol", "name",
@@ -105,6 +170,8 @@ def predict_newest(series: TickSeries, model: PipelineModel) -> DataFrame:
         fixed(F.coalesce(F.greatest("prob_up", "prob_down"), F.lit(0.0)), 3).alias("confidence"),
         fixed(F.coalesce("prob_up", F.lit(0.0)), 3).alias("prob_up"),
         fixed(F.coalesce("prob_down", F.lit(0.0)), 3).alias("prob_down"),
+        fixed(F.lit(bundle.card["accuracy"]).cast("double"), 4).alias("accuracy"),
+        F.lit(bundle.card["version"]).alias("model_version"),
     )
 
 

@@ -364,7 +364,7 @@ oracle(
     "data_asset_stats",
     PROFILE
     + f""" SELECT dim.symbol, name, color, cnt AS csv_rows, {r('ap', 4)} AS avg_price, {r('mn', 4)} AS min_price,
-  {r('mx', 4)} AS max_price, {r('tv', 2)} AS total_volume, {ts('ft')} AS first, {ts('lt')} AS last, cnt AS lake_rows
+  {r('mx', 4)} AS max_price, {r('tv', 2)} AS total_volume, {ts('ft')} AS first, {ts('lt')} AS last, cnt AS lake_rows, true AS has_files
 FROM dim JOIN h USING (symbol)""",
     "wide",
 )
@@ -579,7 +579,8 @@ oracle(
     "stream_keyed_upsert",
     f""" x AS (SELECT *, row_number() OVER (PARTITION BY symbol, {MINUTE} ORDER BY pos DESC) AS k FROM t)
 SELECT symbol, strftime(event_ts, '%Y-%m-%d %H:%M') AS timestamp, seq, price, {r('sp')} AS spread_pct,
-  {r(MID)} AS mid_price FROM x WHERE k = 1""",
+  {r(MID)} AS mid_price FROM x WHERE k = 1
+UNION ALL SELECT symbol, 'bad ' || seq, seq, price, {r('sp')}, {r(MID)} FROM t WHERE seq % 50 = 23""",
 )
 
 # --- data quality
@@ -614,6 +615,8 @@ SELECT symbol, dt, CAST(sum(n) AS BIGINT) AS ticks, max(high) AS high FROM b WHE
 )
 oracle(
     "flow_reconcile",
-    """SELECT symbol, 2 * count(*) AS messages, 2 * count(*) AS lake_rows, count(DISTINCT event_ts) AS keyed_docs
-FROM t GROUP BY symbol""",
+    f""" c AS (SELECT symbol, count(*) AS n, count(DISTINCT {MINUTE}) + count(*) FILTER (seq % 50 = 23) AS docs FROM t GROUP BY symbol),
+u AS (SELECT count(*) AS n FROM t WHERE seq % 97 = 0)
+SELECT symbol, n AS messages, n AS ticks, 0 AS rejected, n AS lake_rows, docs AS keyed_docs FROM c
+UNION ALL SELECT 'TIN', n, 0, n, 0, 0 FROM u WHERE n > 0""",
 )

@@ -22,6 +22,7 @@ from tickloom.plans.ticks import tick_series
 from tickloom.schema import NUMBER_FIELDS, TICK_FIELDS, default_thresholds, symbol_dim, uniform_thresholds
 from tickloom.session import new_folder, stored
 from tickloom.sources import csvfiles, lake, messages, replay
+from tickloom.sources.thresholds import ThresholdStore
 from tickloom.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -176,7 +177,7 @@ def _(s):
 def _(s):
     path = new_folder(_spark(s), "bars")
     lake.append_json(bars.partial_bars(s.rows), path)
-    return serve.candles(lake.read_bars(_spark(s), path), "GOLD", 60)
+    return serve.candles(lake.newest_bars(_spark(s), path, "GOLD", 60), "GOLD", 60)
 
 
 @query("source_fallback", "wide")
@@ -192,13 +193,22 @@ def _(s):
     return serve.enough_or_history(s.rows.where(enough).select(*columns), s.rows.select(*columns))
 
 
-def _raw_lake(s: TickSeries) -> DataFrame:
+def _raw_path(s: TickSeries) -> str:
     path = new_folder(_spark(s), "raw")
     lake.append_json(lake.tick_lines(s.rows), path, in_time_order=True)
-    return lake.read_raw(_spark(s), path)
+    return path
+
 
+def _raw_lake(s: TickSeries) -> DataFrame:
+    return lake.read_raw(_spark(s), _raw_path(s))
 
-query("data_asset_stats", "wide")(lambda s: serve.asset_stats(s, _raw_lake(s)).drop("lake_files"))
+
+@query("data_asset_stats", "wide")
+def _(s):
+    path = _raw_path(s)
+    files = lake.files_by_symbol(lake.file_inventory(_spark(s), [path]))
+    stats = serve.asset_stats(s, lake.read_raw(_spark(s), path), files)
+    return stats.withColumn("has_files", F.col("lake_files") > 0).drop("lake_files")
 
 # --- correlation ------------------------------------------------------------------------------
 query("correlation_matrix")(lambda s: correlation.correlation_matrix(correlation.aligned_samples(s)))
@@ -228,14 +238,23 @@ def _learned_thresholds(s: TickSeries) -> DataFrame:
     )
 
 
-def _stored_thresholds(s: TickSeries) -> DataFrame:
-    return alerts.upsert_thresholds(default_thresholds(_spark(s)), _learned_thresholds(s))
+def _threshold_store(s: TickSeries) -> ThresholdStore:
+    """A store that saw a draft of the learned limits, then the limits themselves."""
+    store = ThresholdStore(_spark(s), new_folder(_spark(s), "thresholds"))
+    learned = _learned_thresholds(s)
+    store.put(learned.withColumns({c: F.col(c) * 10 for c in ("upper", "lower", "vol_pct")}))
+    store.put(learned)
+    return store
 
 
-query("alert_config_upsert")(_stored_thresholds)
-query("alert_config_reset")(
-    lambda s: alerts.reset_threshold(_stored_thresholds(s), default_thresholds(_spark(s)), "GOLD")
-)
+query("alert_config_upsert")(lambda s: _threshold_store(s).current(default_thresholds(_spark(s))))
+
+
+@query("alert_config_reset")
+def _(s):
+    store = _threshold_store(s)
+    store.delete(["GOLD"])
+    return store.current(default_thresholds(_spark(s)))
 
 # --- sources and sinks ------------------------------------------------------------------------
 
@@ -359,13 +378,13 @@ def _(s):
 
 @query("flow_reconcile")
 def _(s):
-    spark = _spark(s)
-    sent = lake.tick_lines(replay.loop(s, 2, shift=False))
-    path = new_folder(spark, "flow")
-    lake.append_json(sent, path, in_time_order=True)
-    stored_rows = lake.read_raw(spark, path)
-    keyed = stored_rows.select("symbol", "timestamp").distinct()
-    return quality.flow_counts({"messages": sent, "lake_rows": stored_rows, "keyed_docs": keyed})
+    """Messages, stored ticks and rejected messages that the ingest counted, next to what its lake and the keyed table hold."""
+    spark, root = _spark(s), _ingested(s)
+    rows = quality.flow_counts({"lake_rows": lake.raw_table(spark, f"{root}/raw").rows(), "keyed_docs": _keyed(s).read()})
+    counted = lake.flow_table(spark, f"{root}/flow").read()
+    return counted.join(rows, "symbol", "left").select(
+        "symbol", "messages", "ticks", "rejected", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("lake_rows", "keyed_docs")]
+    )
 
 
 # --- model ------------------------------------------------------------------------------------
@@ -411,18 +430,18 @@ def _labelled(s: TickSeries) -> DataFrame:
     return _one(s, "labelled", lambda: stored(model.labelled_rows(s), "labelled"))
 
 
-def _model(s: TickSeries):
-    return _one(s, "model", lambda: model.train(_labelled(s).where("split = 'train'")))
+def _bundle(s: TickSeries) -> model.Bundle:
+    return _one(s, "model", lambda: model.train_bundle(s, new_folder(_spark(s), "models")))
 
 
-query("ml_train_eval")(lambda s: model.evaluation(model.soft_vote(_model(s), _labelled(s).where("split = 'test'"))))
-query("ml_predict_latest")(lambda s: model.predict_newest(s, _model(s)))
+query("ml_train_eval")(lambda s: model.evaluation(model.soft_vote(_bundle(s).model, _labelled(s).where("split = 'test'"))))
+query("ml_predict_latest")(lambda s: model.predict_newest(s, _bundle(s), s))
 
 
 @query("ml_prediction_flips")
 def _(s):
     scored = stored(
-        model.soft_vote(_model(s), _labelled(s)).select("symbol", "block", "pos", "seq", "event_ts", "prediction"),
+        model.soft_vote(_bundle(s).model, _labelled(s)).select("symbol", "block", "pos", "seq", "event_ts", "prediction"),
         "scored",
     )
     return model.prediction_flips(scored).drop("block")
@@ -437,31 +456,38 @@ def _arrive(s: TickSeries, lines: DataFrame, start) -> None:
     after every slice and runs until the slice is consumed. ``start(messages)`` starts the job."""
     spark = _spark(s)
     source = new_folder(spark, "source")
-    t = F.unix_timestamp("event_time")
+    t = F.unix_timestamp(F.try_to_timestamp("event_time"))
     low, high = lines.agg(F.min(t), F.max(t)).first()
     step = (high - low) // SLICES + 1
+    t = F.coalesce(t, F.lit(low))  # a message without a time comes first
     for k in range(SLICES):
         jobs.stage_messages(lines.where((t >= low + k * step) & (t < low + (k + 1) * step)), source)
         start(jobs.file_messages(spark, source)).awaitTermination()
 
 
-def _ingested(s: TickSeries) -> tuple[str, str]:
+def _ingested(s: TickSeries) -> str:
+    """Folder that the ingest filled from every tick and some messages of an unknown symbol, compacted meanwhile."""
+
     def make():
         folder = new_folder(_spark(s), "ingest")
-        _arrive(s, lake.tick_lines(s.rows), lambda m: jobs.ingest(m, f"{folder}/out", f"{folder}/cp", None))
-        return f"{folder}/out/raw", f"{folder}/out/bars"
+        lines = lake.tick_lines(s.rows)
+        strange = lines.where("seq % 97 = 0").withColumn("symbol", F.lit("TIN"))
+        _arrive(s, lines.unionByName(strange), lambda m: jobs.ingest(m, f"{folder}/out", f"{folder}/cp", None))
+        for table in (lake.raw_table, lake.bar_table, lake.rejected_table, lake.flow_table):
+            table(_spark(s), f"{folder}/out/{table.__name__.split('_')[0].replace('bar', 'bars')}").compact()
+        return f"{folder}/out"
 
     return _one(s, "ingest", make)
 
 
 @query("stream_raw_ingest")
 def _(s):
-    rows = lake.read_raw(_spark(s), _ingested(s)[0])
+    rows = lake.raw_table(_spark(s), f"{_ingested(s)}/raw").read()
     return rows.select("symbol", "seq", "event_time", "dt", "price", "volume", "bid", "ask", "direction")
 
 
 query("stream_bars_partial")(
-    lambda s: bars.merge_partials(lake.read_bars(_spark(s), _ingested(s)[1]))
+    lambda s: bars.merge_partials(lake.bar_table(_spark(s), f"{_ingested(s)}/bars").rows())
 )
 
 
@@ -478,14 +504,29 @@ query("stream_bars_watermark")(lambda s: _streamed_bars(s, "1 minute", None).dro
 query("stream_bars_sliding", digits=8)(lambda s: _streamed_bars(s, "5 minutes", "1 minute").drop("dt"))
 
 
-@query("stream_keyed_upsert")
-def _(s):
-    folder = new_folder(_spark(s), "keyed")
-    by_minute = lake.tick_lines(s.rows).withColumn("timestamp", F.substring("timestamp", 1, 16))
-    _arrive(s, by_minute, lambda m: jobs.keyed_upsert(jobs.ticks_of(m), f"{folder}/out", f"{folder}/cp", None))
-    return jobs.keyed_table(_spark(s), f"{folder}/out").read().select(
-        "symbol", "timestamp", "seq", "price", "spread_pct", "mid_price"
-    )
+def _keyed(s: TickSeries):
+    """The keyed table after one reader of all messages, of which some have no time, a compaction, and a second reader."""
+
+    def make():
+        spark, folder = _spark(s), new_folder(_spark(s), "keyed")
+        lines = lake.tick_lines(s.rows).withColumn("timestamp", F.substring("timestamp", 1, 16))
+        bad = lines.where("seq % 50 = 23").withColumns(
+            {"timestamp": F.concat(F.lit("bad "), "seq"), "event_time": F.lit("soon")}
+        )
+        _arrive(
+            s, lines.unionByName(bad), lambda m: jobs.keyed_upsert(jobs.ticks_of(m), f"{folder}/out", f"{folder}/cp", None)
+        )
+        table = jobs.keyed_table(spark, f"{folder}/out")
+        table.compact()
+        _arrive(s, lines.where("seq % 3 = 0"), lambda m: jobs.keyed_upsert(jobs.ticks_of(m), f"{folder}/out", f"{folder}/cp2", None))
+        return table
+
+    return _one(s, "keyed", make)
+
+
+query("stream_keyed_upsert")(
+    lambda s: _keyed(s).read().select("symbol", "timestamp", "seq", "price", "spread_pct", "mid_price")
+)
 
 
 @query("stream_alerts")

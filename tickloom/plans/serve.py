@@ -132,16 +132,16 @@ def history_vs_latest(series: TickSeries) -> DataFrame:
     )
 
 
-def asset_stats(series: TickSeries, lake: DataFrame) -> DataFrame:
-    """Data volume per known symbol, zeros and empty text where there is none, plus lake file counts."""
+def asset_stats(series: TickSeries, lake: DataFrame, files: DataFrame) -> DataFrame:
+    """Data volume per known symbol, zeros and empty text where there is none, plus lake rows and files.
+
+    ``files``: symbol, lake_files, as from ``lake.files_by_symbol``, which reads names and sizes only.
+    """
     dim = symbol_dim(series.table.sparkSession)
     profile = history_profile(series.rows)
-    files = (
-        lake.select("symbol", F.col("_metadata.file_path").alias("file"))
-        .groupBy("symbol", "file").agg(F.count(F.lit(1)).alias("lines"))
-        .groupBy("symbol").agg(F.count(F.lit(1)).alias("lake_files"), F.sum("lines").alias("lake_rows"))
-    )
-    return dim.join(profile, "symbol", "left").join(files, "symbol", "left").select(
+    lines = lake.groupBy("symbol").agg(F.count(F.lit(1)).alias("lake_rows"))
+    files = files.select("symbol", "lake_files")
+    return dim.join(profile, "symbol", "left").join(lines, "symbol", "left").join(files, "symbol", "left").select(
         "symbol", "name", "color",
         F.coalesce("count", F.lit(0)).alias("csv_rows"),
         *[fixed(F.coalesce(c, F.lit(0.0)), d).alias(c)

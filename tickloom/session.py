@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 RECOMMENDED = {
@@ -79,3 +80,40 @@ def children(spark: SparkSession, path: str, committed: bool = False) -> list[st
     found = [s.getPath() for s in system.listStatus(where) if s.isDirectory()]
     done = spark._jvm.org.apache.hadoop.fs.Path
     return sorted(p.getName() for p in found if not committed or system.exists(done(p, "_SUCCESS")))
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder."""
+    system, where = _hadoop(spark, path)
+    if not system.exists(where):
+        return []
+    return [s.getPath().getName() for s in system.listStatus(where) if s.isFile()]
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    system, where = _hadoop(spark, path)
+    stream = system.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def add_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file that appears as a whole; False if there is one of that name already."""
+    system, where = _hadoop(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(where.getParent(), f".{uuid.uuid4().hex}")
+    stream = system.create(draft)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
+    no_overwrite = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(draft, where, no_overwrite)
+    except Py4JJavaError as problem:
+        system.delete(draft, False)
+        if "FileAlreadyExistsException" in str(problem.java_exception.toString()):
+            return False
+        raise
+    return True

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.operators.bars import merge_partials
+from tickloom.operators.bars import combine_partials, merge_partials
 from tickloom.schema import BAR_SCHEMA, SYMBOLS, TICK_FIELDS, TICK_SCHEMA
-from tickloom.session import children, remove
+from tickloom.session import children
+from tickloom.sources.merge_table import MergeTable
 
 PARTITIONS = ("symbol", "dt")
 
@@ -35,15 +36,6 @@ def append_json(df: DataFrame, path: str, in_time_order: bool = False) -> None:
     rows.write.mode("append").partitionBy(*PARTITIONS).json(path)
 
 
-def overwrite_epoch(df: DataFrame, path: str, epoch: int, fmt: str = "json") -> None:
-    """Write one micro-batch under its own epoch folder; running the epoch again replaces it."""
-    (
-        clustered(df).withColumn("epoch", F.lit(epoch))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("epoch", *PARTITIONS).format(fmt).save(path)
-    )
-
-
 def raw_columns() -> T.StructType:
     return T.StructType([*TICK_SCHEMA.fields, T.StructField("seq", T.LongType()), T.StructField("dt", T.DateType())])
 
@@ -58,12 +50,14 @@ def read_bars(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BAR_SCHEMA).option("mode", "DROPMALFORMED").json(path)
 
 
-def compact_bars(spark: SparkSession, lake_path: str, table_path: str, before: str) -> None:
-    """Merge the partial bars of all days before the given day into the ORC bar table.
+def compact_bars(partials: DataFrame, table_path: str, before: str, since: str | None = None) -> None:
+    """Merge the partial bars of the days before the given day (and from ``since`` on) into the ORC bar table.
 
     Days are replaced as a whole, so running it again gives the same table.
     """
-    finished = read_bars(spark, lake_path).where(F.col("dt") < F.lit(before).cast("date"))
+    finished = partials.where(F.col("dt") < F.lit(before).cast("date"))
+    if since is not None:
+        finished = finished.where(F.col("dt") >= F.lit(since).cast("date"))
     overwrite_orc(merge_partials(finished), table_path)
 
 
@@ -117,48 +111,83 @@ def latest_by_key(rows: DataFrame, keys, order) -> DataFrame:
     )
 
 
-class KeyedTable:
-    """A table with one row per key that only ever gets whole, committed folders.
+class KeyedTable(MergeTable):
+    """A table with one row per key: the row with the largest order wins, rows whose order is null lose to any other.
 
-    ``write`` adds the changes of one epoch as a delta; writing the epoch again replaces it. ``read`` merges the
-    newest base with the deltas after it: the row with the largest order wins, rows whose order is null lose to
-    any other. ``compact`` merges all that is there into a new base, and removes what it replaces only
-    once that base is committed, so a stop at any point loses nothing.
+    ``bucket`` groups the keys; one that follows time lets a compaction touch the newest buckets only.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys, order):
-        self.spark, self.path, self.schema, self.keys, self.order = spark, path, schema, list(keys), list(order)
-
-    def _epochs(self, kind: str) -> list[int]:
-        return sorted(int(name.partition("=")[2]) for name in children(self.spark, f"{self.path}/{kind}", committed=True))
-
-    def _folders(self) -> tuple[list[str], int | None, list[int]]:
-        bases, deltas = self._epochs("base"), self._epochs("delta")
-        upto = bases[-1] if bases else None
-        fresh = [e for e in deltas if upto is None or e > upto]
-        return ([] if upto is None else [f"{self.path}/base/epoch={upto}"]) + [
-            f"{self.path}/delta/epoch={e}" for e in fresh
-        ], upto, fresh
-
-    def write(self, changes: DataFrame, epoch: int) -> None:
-        rows = latest_by_key(changes.select(*self.schema.fieldNames()), self.keys, self.order)
-        rows.write.mode("overwrite").parquet(f"{self.path}/delta/epoch={epoch}")
-
-    def read(self) -> DataFrame:
-        folders = self._folders()[0]
-        if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        return latest_by_key(self.spark.read.schema(self.schema).parquet(*folders), self.keys, self.order)
-
-    def compact(self) -> None:
-        _, upto, fresh = self._folders()
-        if not fresh:
-            return
-        self.read().write.mode("overwrite").parquet(f"{self.path}/base/epoch={fresh[-1]}")
-        for e in (e for e in self._epochs("delta") if e <= fresh[-1]):
-            remove(self.spark, f"{self.path}/delta/epoch={e}")
-        if upto is not None:
-            remove(self.spark, f"{self.path}/base/epoch={upto}")
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys, order, bucket: Column | None = None):
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(16)) if bucket is None else bucket
+        super().__init__(spark, path, schema, bucket, lambda rows: latest_by_key(rows, keys, order))
+
+
+def raw_table(spark: SparkSession, path: str) -> MergeTable:
+    """The streamed raw ticks, JSON lines in a bucket per symbol and day."""
+    return MergeTable(spark, path, raw_columns(), F.concat_ws("-", "symbol", "dt"), lambda rows: rows, "json")
+
+
+def bar_table(spark: SparkSession, path: str) -> MergeTable:
+    """The streamed partial bars, JSON lines in a bucket per symbol and day, one row per bar once compacted."""
+    return MergeTable(spark, path, BAR_SCHEMA, F.concat_ws("-", "symbol", "dt"), combine_partials, "json")
+
+
+def rejected_table(spark: SparkSession, path: str) -> MergeTable:
+    """The streamed messages that are not usable, in a bucket per reason."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("value", "reason")])
+    return MergeTable(spark, path, schema, F.col("reason"), lambda rows: rows, "json")
+
+
+FLOW_COUNTS = ("messages", "ticks", "rejected")
+
+
+def flow_table(spark: SparkSession, path: str) -> MergeTable:
+    """Messages read, ticks stored and messages rejected of each symbol (null: not a tick), summed over all epochs."""
+    schema = T.StructType([T.StructField("symbol", T.StringType()), *[T.StructField(c, T.LongType()) for c in FLOW_COUNTS]])
+    return MergeTable(
+        spark, path, schema, F.lit("all"), lambda rows: rows.groupBy("symbol").agg(*[F.sum(c).alias(c) for c in FLOW_COUNTS])
+    )
+
+
+def file_inventory(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """path, length of the data files under some folders. Only names and sizes are read, by Spark's own listing."""
+    if not folders:
+        return spark.createDataFrame([], "path string, length long")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders)
+    return files.select("path", "length")
+
+
+def files_by_symbol(files: DataFrame) -> DataFrame:
+    """symbol, lake_files, lake_bytes by the symbol in the folder names (``symbol=GOLD`` or ``_bucket=GOLD-...``)."""
+    named = F.regexp_extract("path", "(?:symbol=|_bucket=)([A-Za-z]+)", 1).alias("symbol")
+    return files.select(named, "length").groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("lake_files"), F.sum("length").alias("lake_bytes")
+    )
+
+
+def newest_days(spark: SparkSession, path: str, symbol: str, bars: int) -> list[str]:
+    """Day folders of a bar lake that hold the last ``bars`` bars of a symbol, walked backwards from the newest day.
+
+    The walk looks at one day, then two, four and so on, and stops once it has seen enough bars.
+    """
+    root = f"{path}/symbol={symbol}"
+    days = sorted((n for n in children(spark, root) if n.startswith("dt=")), reverse=True)
+    taken, step, seen = 0, 1, 0
+    while taken < len(days) and seen < bars:
+        part = [f"{root}/{day}" for day in days[taken : taken + step]]
+        lines = spark.read.schema("minute timestamp").option("mode", "DROPMALFORMED").json(part)
+        seen += lines.select("minute").distinct().count()
+        taken += len(part)
+        step *= 2
+    return [f"{root}/{day}" for day in days[:taken]]
+
+
+def newest_bars(spark: SparkSession, path: str, symbol: str, bars: int) -> DataFrame:
+    """Partial bars of the newest days of a symbol, enough for its last ``bars`` bars; no other folder is listed."""
+    folders = newest_days(spark, path, symbol, bars)
+    if not folders:
+        return spark.createDataFrame([], BAR_SCHEMA)
+    return spark.read.schema(BAR_SCHEMA).option("mode", "DROPMALFORMED").option("basePath", path).json(folders)
 
 
 def tick_lines(series_rows: DataFrame) -> DataFrame:

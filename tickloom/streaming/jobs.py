@@ -1,16 +1,18 @@
 """Structured Streaming jobs over tick messages.
 
 Every job takes a streaming frame of decoded ticks, so a file source and a broker source are
-interchangeable, and returns a started query. Outputs written from ``foreachBatch`` go to a folder
-of their micro-batch (epoch): a batch that runs again after a failure replaces its own output.
+interchangeable, and returns a started query. Outputs written from ``foreachBatch`` are deltas of a
+merge table, named by the query and its micro-batch (epoch): a batch that runs again after a failure
+replaces its own output, another query never does, and compaction keeps the number of folders flat.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -22,17 +24,20 @@ from tickloom.operators.bars import partial_bars, time_order
 from tickloom.operators.detail import enrich
 from tickloom.operators.indicators import indicator_frame, lagged, momentum, sma
 from tickloom.operators.risk import latest_ticks
-from tickloom.operators.series import TickSeries, build_series, drop_blocks
-from tickloom.schema import SYMBOLS, TICK_FIELDS, TICK_SCHEMA
+from tickloom.operators.series import TickSeries, build_series, drop_blocks, one_block
+from tickloom.schema import BAR_SCHEMA, SYMBOLS, TICK_FIELDS, TICK_SCHEMA
 from tickloom.session import remove
-from tickloom.sources.lake import KeyedTable, latest_by_key, overwrite_epoch
+from tickloom.sources.lake import KeyedTable, bar_table, flow_table, raw_table, rejected_table
+from tickloom.sources.merge_table import MergeTable
 from tickloom.sources.messages import decode, reject_reason
 
 # Fixed value: the micro-batch interval of the live pipeline.
 TRIGGER = "10 seconds"
 KEPT_TICKS = 20
 COMPACT_EVERY = 60
-"""Micro-batches after which the keyed table is compacted."""
+"""Micro-batches after which the tables of a job are compacted."""
+MICRO_ROWS = 2_000_000
+"""Ticks up to which a micro-batch is ordered by one window per symbol; a larger one (a backfill) is cut into blocks."""
 
 
 def file_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -68,25 +73,46 @@ def _start(writer, checkpoint: str, interval: str | None) -> StreamingQuery:
     return writer.trigger(**trigger).start()
 
 
+def writer_of(batch: DataFrame) -> str:
+    """The id of the query that runs the batch. It is kept in the checkpoint, so a restart has the same, and a new
+    checkpoint, whose epochs start again, another."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def _add(batch: DataFrame, epoch: int, parts: list[tuple[MergeTable, DataFrame]]) -> None:
+    writer = writer_of(batch)
+    for table, rows in parts:
+        table.write(rows, epoch, writer)
+        if epoch % COMPACT_EVERY == COMPACT_EVERY - 1:
+            table.compact()
+
+
 def ingest(
     messages: DataFrame, root: str, checkpoint: str, interval: str | None = TRIGGER
 ) -> StreamingQuery:
-    """Raw lake, mergeable one-minute bars and rejected messages from one read of each micro-batch.
+    """Raw lake, mergeable one-minute bars, rejected messages and flow counts from one read of each micro-batch.
 
-    Writes root/raw, root/bars and root/rejected.
+    Fills ``lake.raw_table`` at root/raw, ``bar_table`` at root/bars, ``rejected_table`` at root/rejected and
+    ``flow_table`` at root/flow.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             ticks = known(batch)
-            overwrite_epoch(ticks.select(*TICK_FIELDS, "seq", "dt"), f"{root}/raw", epoch)
-            overwrite_epoch(partial_bars(ticks.where("event_ts IS NOT NULL")), f"{root}/bars", epoch)
-            (
-                batch.withColumn("reason", reject_reason()).where("reason IS NOT NULL")
-                .select(F.col("value").cast("string").alias("value"), "reason")
-                .write.mode("overwrite").json(f"{root}/rejected/epoch={epoch}")
+            judged = batch.withColumn("reason", reject_reason())
+            bad = judged.where("reason IS NOT NULL")
+            flow = judged.groupBy("symbol").agg(
+                F.count(F.lit(1)).alias("messages"),
+                F.count_if(F.col("symbol").isin(*SYMBOLS)).alias("ticks"), F.count("reason").alias("rejected"),
             )
+            _add(batch, epoch, [
+                (raw_table(spark, f"{root}/raw"), ticks.select(*TICK_FIELDS, "seq", "dt")),
+                (bar_table(spark, f"{root}/bars"), partial_bars(ticks.where("event_ts IS NOT NULL"))),
+                (rejected_table(spark, f"{root}/rejected"), bad.select(F.col("value").cast("string").alias("value"), "reason")),
+                (flow_table(spark, f"{root}/flow"), flow),
+            ])
         finally:
             batch.unpersist()
 
@@ -125,18 +151,31 @@ def stream_bars(
     delay: str = "10 minutes",
     interval: str | None = TRIGGER,
 ) -> StreamingQuery:
-    """Bars as they change (update mode): each epoch holds the bars it touched."""
+    """Bars as they change (update mode): each epoch adds the bars it touched to ``streamed_bars``."""
 
     def write(batch: DataFrame, epoch: int) -> None:
-        overwrite_epoch(batch.withColumn("dt", F.to_date("minute")), path, epoch, "parquet")
+        stamp = F.lit(time.time_ns() // 1000).cast("long")
+        rows = batch.withColumns({"dt": F.to_date("minute"), "stamp": stamp})
+        _add(batch, epoch, [(streamed_bars(batch.sparkSession, path), rows)])
 
     bars = watermarked_bars(ticks, size, slide, delay)
     return _start(bars.writeStream.outputMode("update").foreachBatch(write), checkpoint, interval)
 
 
+STREAMED_BAR = T.StructType([
+    *[f for f in BAR_SCHEMA.fields if not f.name.startswith(("first_", "last_"))],
+    T.StructField("minute_end", T.TimestampType()), T.StructField("stamp", T.LongType()),
+])
+
+
+def streamed_bars(spark: SparkSession, path: str) -> MergeTable:
+    """The table that ``stream_bars`` fills, in a bucket per day; the newest state of each bar wins."""
+    return KeyedTable(spark, path, STREAMED_BAR, ["symbol", "minute"], ["stamp"], F.col("dt"))
+
+
 def current_bars(spark: SparkSession, path: str) -> DataFrame:
-    """The newest state of each streamed bar."""
-    return latest_by_key(spark.read.parquet(path), ["symbol", "minute"], ["epoch"]).drop("epoch")
+    """The newest state of each streamed bar, from one base per day and the newer epochs."""
+    return streamed_bars(spark, path).read().drop("stamp")
 
 
 class LateRows(StreamingQueryListener):
@@ -173,22 +212,23 @@ KEYED_SCHEMA = T.StructType([
 
 
 def keyed_table(spark: SparkSession, path: str) -> KeyedTable:
-    """The table that ``keyed_upsert`` fills."""
-    return KeyedTable(spark, path, KEYED_SCHEMA, ["symbol", "timestamp"], ["event_ts", "seq"])
+    """The table that ``keyed_upsert`` fills. Buckets follow the day in the key, so a compaction touches recent days."""
+    stamp = F.col("timestamp")
+    day = F.when(stamp.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.substring(stamp, 1, 10)).otherwise("other")
+    bucket = F.concat_ws("-", day, F.pmod(F.xxhash64("symbol", "timestamp"), F.lit(4)))
+    return KeyedTable(spark, path, KEYED_SCHEMA, ["symbol", "timestamp"], ["event_ts", "seq"], bucket)
 
 
 def keyed_upsert(ticks: DataFrame, path: str, checkpoint: str, interval: str | None = TRIGGER) -> StreamingQuery:
     """One enriched row per symbol-timestamp; the later tick replaces the earlier one.
 
     A second, independent reader of the same messages: own checkpoint, starts from the oldest. Each micro-batch
-    adds one delta, and replaying it replaces that delta. A tick whose time cannot be read is kept, too.
+    adds one delta under the id of its query. A tick whose time cannot be read is kept, too.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        table = keyed_table(batch.sparkSession, path)
-        table.write(enrich(batch.select(*TICK_FIELDS, "seq", "event_ts", "dt")), epoch)
-        if epoch % COMPACT_EVERY == COMPACT_EVERY - 1:
-            table.compact()
+        rows = enrich(batch.select(*TICK_FIELDS, "seq", "event_ts", "dt"))
+        _add(batch, epoch, [(keyed_table(batch.sparkSession, path), rows)])
 
     return _start(ticks.writeStream.outputMode("append").foreachBatch(write), checkpoint, interval)
 
@@ -204,14 +244,20 @@ def _last_state(spark: SparkSession, path: str, epoch: int) -> DataFrame | None:
     return spark.read.parquet(f"{path}/epoch={epoch - 1}") if epoch > 0 else None
 
 
+def _newest(rows: DataFrame, keep: int) -> DataFrame:
+    newest = Window.partitionBy("symbol").orderBy(F.col("event_ts").desc(), F.col("seq").desc())
+    return rows.withColumn("_place", F.row_number().over(newest)).where(F.col("_place") <= keep)
+
+
 def over_history(ticks: DataFrame, publish: Callable[[TickSeries, DataFrame, int], None], keep: int,
                  state_path: str, checkpoint: str, interval: str | None = TRIGGER) -> StreamingQuery:
     """Runs ``publish(series, late, epoch)`` on every micro-batch together with the ticks before it.
 
-    Row windows do not run on streams, so each micro-batch is joined by the last ``keep`` ticks of every
-    symbol, stored by the batch before it, and cut into blocks; its own ticks have ``fresh`` set. States before
-    the last two epochs are removed. A tick older than the stored end of its symbol is late: it is handed
-    over apart, as it must not rewrite rows already published.
+    Row windows do not run on streams, so each micro-batch is joined by the last ``keep`` ticks of every symbol, the
+    state that the batch before it left; its own ticks have ``fresh`` set. Up to MICRO_ROWS ticks are placed by one
+    window per symbol, nothing is stored but the new state; only a larger batch is built into blocks. States before
+    the last two epochs are removed. A tick older than the stored end of its symbol is late: it is handed over apart,
+    as it must not rewrite rows already published.
     """
     columns = ["symbol", "event_ts", "seq", "price"]
     kept_schema = "symbol string, event_ts timestamp, seq bigint, price double"
@@ -231,13 +277,14 @@ def over_history(ticks: DataFrame, publish: Callable[[TickSeries, DataFrame, int
         try:
             fresh = placed.where("NOT late").withColumn("fresh", F.lit(True)).drop("late")
             kept = before.select(*columns).withColumn("fresh", F.lit(False))
-            series = build_series(fresh.unionByName(kept))
+            rows = fresh.unionByName(kept)
+            small = placed.count() <= MICRO_ROWS
+            series = one_block(rows) if small else build_series(rows)
             publish(series, placed.where("late"), epoch)
-            (
-                latest_ticks(series, keep, days=None).select(*columns)
-                .write.mode("overwrite").parquet(f"{state_path}/epoch={epoch}")
-            )
-            drop_blocks(series)
+            newest = _newest(rows, keep) if small else latest_ticks(series, keep, days=None)
+            newest.select(*columns).write.mode("overwrite").parquet(f"{state_path}/epoch={epoch}")
+            if not small:
+                drop_blocks(series)
             if epoch >= 2:
                 remove(spark, f"{state_path}/epoch={epoch - 2}")
         finally:
