@@ -83,3 +83,32 @@ def test_replaceable_regions_have_bounds(spark):
 
 def test_empty_table(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_long_text_of_openers_takes_time_in_proportion(spark):
+    import time
+
+    import pyarrow as pa
+
+    from tickloom.llm.words import pieces
+
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    word = "under "
+    took = {}
+    for n in (20_000, 200_000):
+        began = time.process_time()
+        scanner.scan(next(pieces(pa.array([word * n]))))
+        took[n] = time.process_time() - began
+    assert took[200_000] < 4
+
+
+def test_matches_longer_than_any_fixed_bound(spark):
+    import numpy as np
+
+    automaton = licenses.Automaton("open {{body:1-70000}} close")
+    words = np.array(licenses._ids(["open"]) + licenses._ids(["x"]) * 69_000 + licenses._ids(["close", "x"]), dtype=np.uint64)
+    assert automaton.longest(words) == 69_002
+
+
+def test_empty_table(spark):
+    assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []

@@ -139,10 +139,12 @@ class Automaton:
             return None
         return {word for s in self.start for word in self.on[s]}
 
-    def longest(self, words: np.ndarray) -> int:
-        """Length of the longest match at the start of ``words`` (0: none)."""
+    def longest(self, words: np.ndarray, at: int = 0, stop: int | None = None) -> int:
+        """Length of the longest match at words[at], before ``stop`` (0: none). Regions do not repeat, so a walk ends
+        after as many words as the template has at most, usually after one or two."""
         states, best = self.start, 0
-        for i, word in enumerate(words.tolist(), 1):
+        for i in range(at, len(words) if stop is None else stop):
+            word = int(words[i])
             key = (states, word)
             if (then := self._known.get(key)) is None:
                 moved = {self.on[s][word] for s in states if word in self.on[s]}
@@ -154,7 +156,7 @@ class Automaton:
             if not states:
                 break
             if self.final in states:
-                best = i
+                best = i + 1 - at
         return best
 
 
@@ -164,9 +166,15 @@ class Scanner:
     def __init__(self, templates: dict[str, str]):
         self.phrases = [(np.array(_ids(_lowered(p)), dtype=np.uint64), label) for p, label in PHRASES.items()]
         self.automata = [(label, Automaton(markup)) for label, markup in templates.items()]
-        openers = [a.openers() for _, a in self.automata]
-        self.openers = None if None in openers else np.array(sorted(set().union(*openers)), dtype=np.uint64)
-        self.longest = 1 << 16
+        self.by_opener: dict[int, list[tuple[str, Automaton]]] = {}
+        self.anywhere = []  # templates that any word can open
+        for label, automaton in self.automata:
+            openers = automaton.openers()
+            if openers is None:
+                self.anywhere.append((label, automaton))
+            for word in openers or ():
+                self.by_opener.setdefault(int(word), []).append((label, automaton))
+        self.openers = None if self.anywhere else np.array(sorted(self.by_opener), dtype=np.uint64)
 
     def scan(self, piece: Piece) -> tuple[Words, list[tuple[int, int, int, str, bool]]]:
         """The words, and (text, first word, number of words, label, is a base phrase) of each place."""
@@ -190,9 +198,8 @@ class Scanner:
             at = np.zeros(0, dtype=np.int64)
         text = np.searchsorted(words.first, at, side="right") - 1
         for t, a in zip(text.tolist(), at.tolist()):
-            rest = hashes[a : min(words.first[t + 1], a + self.longest)]
-            for label, automaton in self.automata:
-                if n := automaton.longest(rest):
+            for label, automaton in (*self.by_opener.get(int(hashes[a]), ()), *self.anywhere):
+                if n := automaton.longest(hashes, a, int(words.first[t + 1])):
                     found.append((t, a, n, label, False))
         return words, found
 
@@ -203,7 +210,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     ``n_base`` counts all places of the base phrases; ``first_word`` / ``last_word`` are the smallest
     and largest word on which one starts (null without any). ``labels`` joins base labels and those of
     accepted templates. ``score`` is the share of the text's words that lie in such wording. A null text
-    has no words; rows with null or repeated ids are scanned like any other; other columns are not read.
+    has no words; a text of any length is scanned whole, in time in proportion to its words; rows with null or repeated
+    ids are scanned like any other; other columns are not read; an empty table gives no rows.
     """
     scanner = Scanner(TEMPLATES if templates is None else templates)
 
