@@ -35,27 +35,35 @@ def pack(demands: np.ndarray, limits: np.ndarray, leave: int = 0) -> list[list[i
 
     Weights make scarce limits count more: the mean demand of the rows as a share of the limit.
     """
-    share = demands / limits
-    if len(share) and share.max() > 1:
+    if not len(demands):
+        return []
+    if (demands > limits).any():
         raise ValueError("a piece is larger than a limit")
-    weight = share.mean(axis=0)
-    order = np.lexsort(tuple(demands.T))
-    rows, share = order, np.ascontiguousarray(share[order])
-    bins = []
-    while len(rows) > leave:
-        room, chosen = np.ones(share.shape[1]), []
-        open_ = np.ones(len(rows), dtype=bool)
+    weight = (demands / limits).mean(axis=0)
+    # rows with equal demands are one kind; kinds are sorted by the first demand, so the room left cuts them short
+    kinds, kind_of, left = np.unique(demands, axis=0, return_inverse=True, return_counts=True)
+    rows = np.argsort(kind_of.ravel(), kind="stable")
+    share, next_row = kinds / limits, np.cumsum(left) - left
+    waiting, bins = len(demands), []
+    while waiting > leave:
+        room, chosen, reach = np.ones(share.shape[1]), [], len(share)
         while True:
-            fits = open_ & (share <= room + 1e-12).all(axis=1)
-            if not fits.any():
+            reach = int(np.searchsorted(share[:reach, 0], room[0] + 1e-12, side="right"))
+            part = share[:reach]
+            scores = part @ (weight * room)
+            scores[(left[:reach] == 0) | (part[:, 1:] > room[1:] + 1e-12).any(axis=1)] = -1.0
+            best = int(np.argmax(scores)) if reach else 0
+            if not reach or scores[best] < 0:
                 break
-            scores = np.where(fits, share @ (weight * room), -1.0)
-            best = int(np.argmax(scores))
-            chosen.append(best)
-            open_[best] = False
+            chosen.append(int(rows[next_row[best]]))
+            next_row[best] += 1
+            left[best] -= 1
             room = room - share[best]
-        bins.append(rows[chosen].tolist())
-        rows, share = rows[open_], share[open_]
+        waiting -= len(chosen)
+        bins.append(chosen)
+        alive = left > 0
+        if not alive.all():
+            share, left, next_row = share[alive], left[alive], next_row[alive]
     return bins
 
 

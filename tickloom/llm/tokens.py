@@ -48,28 +48,28 @@ class WordPool:
         self.at = np.zeros(1, dtype=np.int64)
         self.pool = np.zeros(0, dtype=np.uint32)
 
-    def _encode(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each word."""
-        out: list = [None] * len(words)
+    def _encode(self, words: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """(words in the order in which they were encoded, number of ids of each, their ids one after the other)."""
         plain = [i for i, w in enumerate(words) if _PLAIN.fullmatch(w)]
-        groups = [plain[i : i + _JOINED] for i in range(0, len(plain), _JOINED)]
-        texts = [" ".join([words[i].decode() for i in group]) for group in groups]
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(found.ids, dtype=np.uint32)
-            parts = np.split(ids, np.flatnonzero(self.ends[ids])[:-1] + 1)
-            for i, part in zip(group, parts, strict=True):
-                out[i] = part
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        texts = [words[i].decode() for i in rest]
-        for i, found in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            out[i] = np.array(found.ids, dtype=np.uint32)
-        return out
+        seen = set(plain)
+        rest = [i for i in range(len(words)) if i not in seen]
+        texts = [b" ".join([words[i] for i in plain[k : k + _JOINED]]).decode() for k in range(0, len(plain), _JOINED)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.array([i for x in found for i in x.ids], dtype=np.uint32)
+        lengths = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)  # a plain word ends with its one end-of-word id
+        if len(lengths) != len(plain):
+            raise RuntimeError("a word without an end of its own")
+        others = self.tokenizer.encode_batch_fast([words[i].decode() for i in rest], add_special_tokens=False)
+        more = [x.ids for x in others]
+        lengths = np.append(lengths, np.array([len(x) for x in more], dtype=np.int64))
+        return plain + rest, lengths, np.append(ids, np.array([i for x in more for i in x], dtype=np.uint32))
 
     def _learn(self, keys: np.ndarray, words: list[bytes]) -> None:
-        ids = self._encode(words)
-        rows = np.arange(len(self.at) - 1, len(self.at) - 1 + len(keys))
-        self.at = np.concatenate((self.at, self.at[-1] + np.cumsum([len(x) for x in ids], dtype=np.int64)))
-        self.pool = np.concatenate((self.pool, *ids))
+        order, lengths, ids = self._encode(words)
+        rows = np.empty(len(keys), dtype=np.int64)
+        rows[order] = np.arange(len(self.at) - 1, len(self.at) - 1 + len(keys))
+        self.at = np.concatenate((self.at, self.at[-1] + np.cumsum(lengths, dtype=np.int64)))
+        self.pool = np.concatenate((self.pool, ids))
         place = np.searchsorted(self.keys, keys)
         self.keys, self.rows = np.insert(self.keys, place, keys), np.insert(self.rows, place, rows)
 
