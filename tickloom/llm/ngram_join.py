@@ -29,7 +29,7 @@ from tickloom.llm import sidefiles
 from tickloom.llm.neardup import WORD_SLOTS, components, count_documents
 from tickloom.llm.tables import only
 from tickloom.llm.words import SPACE_WORD, Piece, gram_hashes, mix, pieces, prefix
-from tickloom.session import stored
+from tickloom.session import remove, stored, stored_at
 
 SHINGLE = 4
 PERCENT = 85
@@ -127,8 +127,9 @@ def _signed(docs: DataFrame, idf: np.ndarray, percent: int) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """id, n, body (its shingles) of the rows (id, key1), read by their place; a row with another set is an error."""
+def _sets(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, str]:
+    """id, n, body (its shingles) of the rows (id, key1), read by their place, and the folder they are in; a row
+    with another set is an error."""
     here = F.col("id")
     side = sidefiles.write_side(
         ids.select(
@@ -157,7 +158,7 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                     ["id", "n", "body"],
                 )
 
-    return stored(docs.mapInArrow(fetch, "id long, n long, body array<long>"), "join-sets")
+    return stored_at(docs.mapInArrow(fetch, "id long, n long, body array<long>"), "join-sets")
 
 
 class _Bits:
@@ -405,8 +406,10 @@ def _links(docs: DataFrame, texts: DataFrame, rows: DataFrame, percent: int, blo
     bits = texts.select("id", "n", F.col("bits").alias("body"))
     pairs = stored(_product(rows, bits, block, percent).distinct(), "join-pairs")
     wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
-    sets = _sets(docs, texts.select("id", "key1").join(wanted, F.col("id") == F.col("w")).select("id", "key1"))
-    return stored(_product(_stars(pairs), sets, _Rows, percent), "join-links")
+    sets, path = _sets(docs, texts.select("id", "key1").join(wanted, F.col("id") == F.col("w")).select("id", "key1"))
+    links = stored(_product(_stars(pairs), sets, _Rows, percent), "join-links")
+    remove(docs.sparkSession, path)
+    return links
 
 
 def _buckets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -415,9 +418,10 @@ def _buckets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     banded = texts.select("id", F.posexplode("rare").alias("at", "bucket"), (F.col("n") - least + 1).alias("first"))
     counted = banded.groupBy("bucket").agg(F.count("*").alias("m"), F.max(F.col("at") < F.col("first")).alias("near"))
     crowded = stored(counted.where("m > 1 AND near").select(F.col("bucket").alias("key"), "m"), "join-buckets")
-    shared = stored(banded.join(crowded, F.col("bucket") == F.col("key")).select("bucket", "id", "m"), "join-shared")
+    shared, path = stored_at(banded.join(crowded, F.col("bucket") == F.col("key")).select("bucket", "id", "m"), "join-shared")
     fame = stored(shared.groupBy("id").agg(F.sum("m").alias("fame")).select(F.col("id").alias("i"), "fame"), "join-fame")
     famed = stored(shared.join(fame, F.col("id") == F.col("i")).select("bucket", "id", "fame"), "join-famed")
+    remove(texts.sparkSession, path)
     top = F.max(F.struct("fame", (-F.col("id")).alias("less"))).alias("top")
     leaders = stored(
         famed.groupBy("bucket").agg(top).select(
