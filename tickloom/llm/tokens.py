@@ -8,7 +8,6 @@ tokenizer, and the ids of a text are gathered from a pool. Other tokenizers enco
 from __future__ import annotations
 
 import json
-import re
 from functools import lru_cache
 
 import numpy as np
@@ -16,17 +15,25 @@ from tokenizers import Tokenizer
 
 from tickloom.llm.words import Piece, byte_table, prefix
 
-POOL_WORDS = 400_000
+POOL_WORDS = 800_000
 """Words a worker remembers; beyond it the pool starts anew."""
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 _LETTER = byte_table(range(0x61, 0x7B))
 _STOP = byte_table(b".,")
-# words of lower-case letters that no normalisation changes: one pre-token, so one end-of-word id
-_PLAIN = re.compile(rb"(?:[a-z]|\xC3[\x9F-\xB6\xB8-\xBF])+")
+_SECOND = byte_table([*range(0x9F, 0xB7), *range(0xB8, 0xC0)])
 _JOINED = 512
 
 
+def _simple(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Flags of the words of lower-case letters that no normalisation changes (a-z, U+00DF to U+00FF without U+00F7):
+    each is one pre-token, so it has one end-of-word id."""
+    fine = _LETTER[data] | (data == 0xC3)
+    fine[1:] |= (data[:-1] == 0xC3) & _SECOND[data[1:]]
+    wrong = prefix(~fine)
+    return wrong[end] == wrong[start]
+
+
 class WordPool:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -48,11 +55,9 @@ class WordPool:
         self.at = np.zeros(1, dtype=np.int64)
         self.pool = np.zeros(0, dtype=np.uint32)
 
-    def _encode(self, words: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray]:
+    def _encode(self, words: list[bytes], simple: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
         """(words in the order in which they were encoded, number of ids of each, their ids one after the other)."""
-        plain = [i for i, w in enumerate(words) if _PLAIN.fullmatch(w)]
-        seen = set(plain)
-        rest = [i for i in range(len(words)) if i not in seen]
+        plain, rest = np.flatnonzero(simple).tolist(), np.flatnonzero(~simple).tolist()
         texts = [b" ".join([words[i] for i in plain[k : k + _JOINED]]).decode() for k in range(0, len(plain), _JOINED)]
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         ids = np.array([i for x in found for i in x.ids], dtype=np.uint32)
@@ -64,8 +69,8 @@ class WordPool:
         lengths = np.append(lengths, np.array([len(x) for x in more], dtype=np.int64))
         return plain + rest, lengths, np.append(ids, np.array([i for x in more for i in x], dtype=np.uint32))
 
-    def _learn(self, keys: np.ndarray, words: list[bytes]) -> None:
-        order, lengths, ids = self._encode(words)
+    def _learn(self, keys: np.ndarray, words: list[bytes], simple: np.ndarray) -> None:
+        order, lengths, ids = self._encode(words, simple)
         rows = np.empty(len(keys), dtype=np.int64)
         rows[order] = np.arange(len(self.at) - 1, len(self.at) - 1 + len(keys))
         self.at = np.concatenate((self.at, self.at[-1] + np.cumsum(lengths, dtype=np.int64)))
@@ -100,7 +105,8 @@ class WordPool:
         place = np.minimum(np.searchsorted(self.keys, distinct), max(len(self.keys) - 1, 0))
         new = self.keys[place] != distinct if len(self.keys) else np.ones(len(distinct), dtype=bool)
         if new.any():
-            self._learn(distinct[new], [raw[starts[i] : ends[i]] for i in first[new]])
+            a, b = starts[first[new]], ends[first[new]]
+            self._learn(distinct[new], [raw[i:j] for i, j in zip(a.tolist(), b.tolist())], _simple(piece.data, a, b))
         row = self.rows[np.searchsorted(self.keys, distinct)][back]
         lengths = self.at[row + 1] - self.at[row]
         sums = prefix(lengths)
