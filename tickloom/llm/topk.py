@@ -2,11 +2,11 @@
 
 Vectors become integers and get one more component that makes all of them equally long, so the largest
 inner product is the smallest Euclidean distance. Each vector is keyed by its nearest pivot and the
-distance to it, and cut into rings of near-equal distance per pivot. For a query q and a ring with
-distances in [low, high] around pivot p, the triangle inequality bounds every distance from below by
-max(d(q, p) - high, low - d(q, p), 0). A first pass searches the nearest rings until they hold k vectors,
-which bounds the k-th distance from above; the second pass expands to the rings whose bound does not
-exceed that, in order of their bound, and stops at the first that does. Scores are exact integers.
+distance to it, and cut into rings of near-equal distance per pivot. A ring knows between which distances
+from every pivot its members lie, so for a query q the triangle inequality bounds all its distances to the
+ring from below by the largest of d(q, p) - high(p), low(p) - d(q, p) over the pivots p. A first pass searches
+the nearest rings until they hold k vectors, which bounds the k-th distance from above; the second pass expands
+to the rings whose bound does not exceed that and leaves the others. Scores are exact integers.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ QUERY_BLOCK = 512
 QUERY_PART = 65_536
 """Queries that meet a block of a ring in one group; more queries come in parts."""
 _SLACK = 1e-6
+_LOWEST = -(2**63)
 
 
 def integer_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -65,9 +66,39 @@ def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a**2).sum(1)[:, None] + (b**2).sum(1)[None] - 2 * a @ b.T, 0)
 
 
+def _longs(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1).astype(np.float64) if len(column) else np.zeros((0, 0))
+    return _longs(column).astype(np.float64)
+
+
+def products(q: np.ndarray, v: np.ndarray, longest2: float) -> np.ndarray:
+    """Exact inner products of integer rows no longer than sqrt(longest2), cut to what a long holds."""
+    if longest2 < 2**52:
+        return (q.astype(np.float64) @ v.T.astype(np.float64)).astype(np.int64)
+    if longest2 < 2**62:
+        return q @ v.T
+    return np.clip(q.astype(object) @ v.T.astype(object), 1 - 2**63, 2**63 - 1).astype(np.int64)
+
+
+def ring_bounds(away: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Least distance that a member of each ring can have to each query.
+
+    away: distance of each query to each pivot; low, high: range of those distances over each ring's members.
+    """
+    bound = np.zeros((len(away), len(low)))
+    for p in range(away.shape[1]):
+        d = away[:, p, None]
+        np.maximum(bound, np.maximum(d - high[:, p], low[:, p] - d), out=bound)
+    return bound
+
+
+def farthest(floor: np.ndarray, longest2: float) -> np.ndarray:
+    """Distance up to which a vector can score ``floor`` or more."""
+    away = np.sqrt(np.maximum(2 * longest2 - 2 * floor.astype(np.float64), 0))
+    return np.where(floor <= 1 - 2**63, np.inf, away * (1 + _SLACK) + _SLACK * (np.sqrt(longest2) + 1))
 
 
 def _lifted(v: np.ndarray, longest2: float) -> np.ndarray:
@@ -88,24 +119,27 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def search(vectors: DataFrame, is_query, k: int = 10, scale: int = SCALE) -> DataFrame:
     """query_id, rank, vec_id, score: the k largest integer inner products of each query row.
 
-    Candidates are all rows but those with the query's own id; ties go to smaller ids. Rows without an id take
-    no part, repeated rows count once, and vectors must be equally long. An empty table gives no rows.
+    Candidates are all rows but the query's own, so repeated rows and repeated ids count as often as they come;
+    ties go to smaller ids. Rows without an id take no part, shorter vectors are filled up with zeros, and a
+    product beyond a long counts as the nearest long. An empty table gives no rows; other columns are not read.
     """
-    points = stored(integer_vectors(vectors, scale).where("vec_id is not null").distinct(), "knn-points")
-    stats = points.agg(
-        F.count("*"), F.max(F.aggregate("v", F.lit(0).cast("long"), lambda a, e: a + e * e)), F.max(F.size("v")), F.min(F.size("v"))
-    ).first()
-    n, longest2 = stats[0], float(stats[1] or 0)
-    if n and stats[2] != stats[3]:
-        raise ValueError("vectors differ in length")
-    if n and longest2 >= 2**52:
-        raise ValueError("inner products would not be exact")
-    # at most SAMPLE_ROWS rows reach the driver
-    sample = points.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).select("v").collect()
-    if not sample:
+    spark = vectors.sparkSession
+    points = stored(
+        integer_vectors(vectors, scale).where("vec_id is not null").withColumn("rid", F.monotonically_increasing_id()),
+        "knn-points",
+    )
+    length2 = F.aggregate("v", F.lit(0.0), lambda a, e: a + e.cast("double") * e.cast("double"))
+    n, longest2, width, least = points.agg(F.count("*"), F.max(length2), F.max(F.size("v")), F.min(F.size("v"))).first()
+    if not n:
         return points.select(
             F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score")
         ).limit(0)
+    longest2 *= 1 + 1e-12  # an upper bound in spite of rounding
+    if least < width:
+        zeros = F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("v"))
+        points = points.withColumn("v", F.concat("v", zeros))
+    # at most SAMPLE_ROWS rows reach the driver
+    sample = points.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(SAMPLE_ROWS).select("v").collect()
     lifted = _lifted(np.array([r.v for r in sample], dtype=np.float64), longest2)
     pivots = fit_pivots(lifted)
     near = np.sqrt(_squares(lifted, pivots))
@@ -116,105 +150,133 @@ def search(vectors: DataFrame, is_query, k: int = 10, scale: int = SCALE) -> Dat
         own = np.sort(near[nearest == p, p])
         rings = max(1, min(len(own), round(len(own) / len(sample) * n / RING_ROWS)))
         edges.append(own[[len(own) * i // rings for i in range(1, rings)]] if rings > 1 else np.zeros(0))
-    # what a ring may hold beyond that is cut into blocks
+    # cells: the rings of all pivots, numbered; at most PIVOTS + SAMPLE_ROWS
+    first_cell = np.concatenate(([0], np.cumsum([len(e) + 1 for e in edges])))
+
+    def distances(column: pa.Array) -> np.ndarray:
+        return np.sqrt(_squares(_lifted(_matrix(column), longest2), pivots))
+
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            away = np.sqrt(_squares(_lifted(_matrix(batch.column("v")), longest2), pivots))
+            away = distances(batch.column("v"))
             pivot = away.argmin(1)
             gap = away[np.arange(len(pivot)), pivot]
-            ring = np.array([np.searchsorted(edges[p], g, side="right") for p, g in zip(pivot, gap)], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), batch.column("v"), pa.array(pivot.astype(np.int32)), pa.array(ring), pa.array(gap)],
-                ["vec_id", "v", "pivot", "ring", "gap"],
-            )
-
-    keyed = stored(points.mapInArrow(key, "vec_id long, v array<long>, pivot int, ring int, gap double"), "knn-index")
-    sizes = keyed.groupBy("pivot", "ring").agg(
-        F.count("*").alias("n"), F.min("gap").alias("low"), F.max("gap").alias("high")
-    )
-    # rings are a fixed number of rows per block: blocks = n / RING_ROWS, by a hash of the id
-    sizes = stored(sizes.withColumn("blocks", F.ceil(F.col("n") / (2 * RING_ROWS)).cast("int")), "knn-rings")
-    queries = keyed.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    parts = queries.count() // QUERY_PART + 1
+            cell = np.empty(len(pivot), dtype=np.int32)
+            for p in np.unique(pivot):
+                mine = pivot == p
+                cell[mine] = first_cell[p] + np.searchsorted(edges[p], gap[mine], side="right")
+            yield pa.RecordBatch.from_arrays([*batch.select(["rid", "vec_id", "v"]).columns, pa.array(cell)], ["rid", "vec_id", "v", "cell"])
+
+    keyed = stored(points.select("rid", "vec_id", "v").mapInArrow(key, "rid long, vec_id long, v array<long>, cell int"), "knn-index")
 
-    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def extent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row a cell and task: its rows, and the range of its distances to every pivot."""
+        count = np.zeros(first_cell[-1], dtype=np.int64)
+        low = np.full((first_cell[-1], len(pivots)), np.inf)
+        high = np.full((first_cell[-1], len(pivots)), -np.inf)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            away = np.sqrt(_squares(_lifted(_matrix(batch.column("q")), longest2), pivots))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("query_id"), pa.array(list(away), pa.list_(pa.float64()))], ["query_id", "away"]
-            )
-
-    # the distance of each query to each pivot, then a bound for each ring
-    away = queries.mapInArrow(reach, "query_id long, away array<double>")
-    per_pivot = sizes.groupBy("pivot").agg(
-        F.collect_list(F.struct("ring", "n", "low", "high", "blocks")).alias("rings")
+            if batch.num_rows:
+                away, cell = distances(batch.column("v")), batch.column("cell").to_numpy()
+                np.add.at(count, cell, 1)
+                np.minimum.at(low, cell, away)
+                np.maximum.at(high, cell, away)
+        held = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(held.astype(np.int32)), pa.array(count[held])]
+            + [pa.array(list(x[held]), pa.list_(pa.float64())) for x in (low, high)],
+            ["cell", "n", "low", "high"],
+        )
+
+    spans = keyed.select("v", "cell").mapInArrow(extent, "cell int, n long, low array<double>, high array<double>")
+    sizes = spans.select("cell", "n", F.posexplode(F.arrays_zip("low", "high")).alias("p", "r")).groupBy("cell", "p").agg(
+        F.sum("n").alias("n"), F.min("r.low").alias("low"), F.max("r.high").alias("high")
     )
-    reached = away.select("query_id", F.posexplode("away").alias("pivot", "d")).join(per_pivot, "pivot")
-    bound = F.greatest(F.col("d") - F.col("r.high"), F.col("r.low") - F.col("d"), F.lit(0.0))
-    bounds = stored(
-        reached.select("query_id", "pivot", "d", F.explode("rings").alias("r")).select(
-            "query_id", "pivot", F.col("r.ring").alias("ring"), F.col("r.n").alias("n"), F.col("r.blocks").alias("blocks"),
-            bound.alias("bound"),
-        ),
-        "knn-bounds",
+    # at most (PIVOTS + SAMPLE_ROWS) * PIVOTS rows of three numbers reach the driver
+    got = sizes.orderBy("cell", "p").toArrow()
+    shape = (-1, len(pivots))
+    cells, held = (got.column(c).to_numpy().reshape(shape)[:, 0] for c in ("cell", "n"))
+    low, high = (got.column(c).to_numpy().reshape(shape) for c in ("low", "high"))
+    # a ring that holds far more than the sample promised is cut into blocks by a hash of the row
+    blocks = -(-held // (2 * RING_ROWS))
+    queries = keyed.where(is_query).select("rid", F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    parts = queries.count() // QUERY_PART + 1
+
+    def ask(second: bool):
+        """The rings of the first pass (the nearest that hold more than k rows), or those the second still needs."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for at in range(0, whole.num_rows, QUERY_BLOCK):
+                    batch = whole.slice(at, QUERY_BLOCK)
+                    bound = ring_bounds(distances(batch.column("q")), low, high)
+                    order = np.argsort(bound, axis=1, kind="stable")
+                    rows = held[order]
+                    seed = np.empty(bound.shape, dtype=bool)
+                    np.put_along_axis(seed, order, np.cumsum(rows, axis=1) - rows < k + 1, axis=1)
+                    floor = batch.column("floor").to_numpy()
+                    pick = ~seed & (bound <= farthest(floor, longest2)[:, None]) if second else seed
+                    query, ring = np.nonzero(pick)
+                    times = blocks[ring]
+                    query, ring = np.repeat(query, times), np.repeat(ring, times)
+                    block = np.arange(len(ring)) - np.repeat(np.cumsum(times) - times, times)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("rid").take(pa.array(query)), pa.array(floor[query]), pa.array(cells[ring]), pa.array(block.astype(np.int32))],
+                        ["rid", "floor", "cell", "block"],
+                    )
+
+        return run
+
+    of_cell = dict(zip(cells.tolist(), blocks.tolist()))
+    cut = spark.createDataFrame(list(of_cell.items()), "cell int, blocks int")
+    members = keyed.join(cut, "cell").select(
+        "cell", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int").alias("block"), "rid", "vec_id", "v"
     )
-    by_bound = Window.partitionBy("query_id").orderBy("bound", "pivot", "ring")
-    before = F.coalesce(F.sum("n").over(by_bound.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    order = stored(bounds.withColumn("before", before), "knn-order")
-    seeds = order.where(F.col("before") < k + 1)
 
-    def visit(pairs: DataFrame) -> DataFrame:
+    def visit(second: bool, floors: DataFrame) -> DataFrame:
         """Scores of the queries against the rings they visit, k of each block at most."""
-        part = F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")
-        asked = (
-            pairs.join(queries, "query_id")
-            .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("pivot", "ring", "block", part.alias("part"), "query_id", "q", "floor")
-        )
-        held = keyed.join(sizes.select("pivot", "ring", "blocks"), ["pivot", "ring"]).select(
-            "pivot", "ring", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"),
-            F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "vec_id", "v",
+        pairs = stored(
+            floors.mapInArrow(ask(second), "rid long, floor long, cell int, block int")
+            .withColumn("part", F.pmod(F.xxhash64("rid"), F.lit(parts)).cast("int")),
+            "knn-asked",
         )
-        names = ("pivot", "ring", "block", "part")
+        asked = pairs.join(queries, "rid")
+        # only the blocks that some query asks for are read, once for each part of the queries that do
+        names = ("cell", "block", "part")
+        asked_of = pairs.select(*[F.col(c).alias(c) for c in names]).distinct()
+        wanted = members.join(asked_of, ["cell", "block"])
 
         def score(asked: pa.Table, held: pa.Table) -> pa.Table:
             found: list[tuple] = []
             if held.num_rows and asked.num_rows:
-                ids, v = held.column("vec_id").to_numpy(), _matrix(held.column("v").combine_chunks())
+                ids, rids = held.column("vec_id").to_numpy(), held.column("rid").to_numpy()
+                v = _longs(held.column("v").combine_chunks())
                 for at in range(0, asked.num_rows, QUERY_BLOCK):
                     block = asked.slice(at, QUERY_BLOCK)
-                    scores = _matrix(block.column("q").combine_chunks()) @ v.T
-                    own, floor = block.column("query_id").to_numpy(), block.column("floor").to_numpy()
+                    scores = products(_longs(block.column("q").combine_chunks()), v, longest2)
+                    own, query, floor = (block.column(c).to_numpy() for c in ("rid", "query_id", "floor"))
                     for i in range(block.num_rows):
-                        fit = np.flatnonzero((scores[i] >= floor[i]) & (ids != own[i]))
+                        fit = np.flatnonzero((scores[i] >= floor[i]) & (rids != own[i]))
                         best = fit[_best(scores[i][fit], ids[fit], k)] if len(fit) else fit
-                        found += [(int(own[i]), int(ids[j]), int(scores[i][j])) for j in best]
-            columns = zip(*found) if found else ((), (), ())
-            return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+                        found += [(int(own[i]), int(query[i]), int(ids[j]), int(scores[i][j])) for j in best]
+            columns = zip(*found) if found else ((), (), (), ())
+            return pa.table([pa.array(c, pa.int64()) for c in columns], names=["rid", "query_id", "vec_id", "score"])
 
-        return asked.groupBy(*names).cogroup(held.groupBy(*names)).applyInArrow(
-            score, "query_id long, vec_id long, score long"
+        return asked.groupBy(*names).cogroup(wanted.groupBy(*names)).applyInArrow(
+            score, "rid long, query_id long, vec_id long, score long"
         )
 
     def top(found: DataFrame) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        rank = F.row_number().over(Window.partitionBy("rid").orderBy(F.desc("score"), "vec_id"))
         return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
-    lowest = F.lit(float(-(2**53)))
-    first = stored(top(visit(seeds.withColumn("floor", lowest))), "knn-seeds")
-    # the k-th best so far; fewer than k: no bound. Distance^2 = 2 * longest2 - 2 * score
-    kth = first.groupBy("query_id").agg(F.max("rank").alias("got"), F.min("score").alias("kth")).select(
-        "query_id", F.when(F.col("got") >= k, F.col("kth").cast("double")).otherwise(lowest).alias("floor")
-    )
-    limit = F.sqrt(F.greatest(2 * longest2 - 2 * F.col("floor"), F.lit(0.0))) * (1 + _SLACK) + _SLACK * float(np.sqrt(longest2) + 1)
-    rest = (
-        order.where(F.col("before") >= k + 1).join(kth, "query_id", "left")
-        .withColumn("floor", F.coalesce("floor", lowest)).where(F.col("bound") <= limit)
+    lowest = F.lit(_LOWEST).cast("long")
+    first = stored(top(visit(False, queries.select("rid", "q", lowest.alias("floor")))), "knn-seeds")
+    # the k-th best so far; fewer than k: no bound
+    kth = first.groupBy("rid").agg(F.max("rank").alias("got"), F.min("score").alias("kth")).select(
+        "rid", F.when(F.col("got") >= k, F.col("kth")).otherwise(lowest).alias("known")
     )
-    return top(visit(rest).unionByName(first.select("query_id", "vec_id", "score"))).select(
+    floors = queries.join(kth, "rid", "left").select("rid", "q", F.coalesce("known", lowest).alias("floor"))
+    return top(visit(True, floors).unionByName(first.drop("rank"))).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
     )
