@@ -4,6 +4,7 @@ import pyarrow.parquet as pq
 
 from tests.llm import brute
 from tickloom.llm import boosting, quality
+from tickloom.llm.tables import labelled_sample, sampled_texts
 from tickloom.llm.words import pieces
 
 SF = "/root/testdata/sf0.01"
@@ -56,3 +57,16 @@ def test_edge_rows(spark):
     assert quality.score(docs, None).count() == 5
     assert quality.score(docs.limit(0), None).count() == 0
     assert quality.keep_good(docs, None).collect() == [r for r in docs.collect() if r.doc_id == 3]
+
+
+def test_a_repeated_id_gives_the_sample_one_row(spark):
+    docs = spark.createDataFrame(
+        [(1, f"text {i % 7}") for i in range(500)] + [(2, None), (2, "b"), (3, "c"), (None, "d")], "doc_id long, text string"
+    ).selectExpr("*", "5 as label", "6 as hash", "7 as least")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 10)] + [(1, 0)], "doc_id long, quality int")
+    sample = labelled_sample(labels, "quality", 100)
+    got = sampled_texts(docs, sample).collect()
+    assert sorted((r.doc_id, r.label) for r in got) == [(1, 1), (2, 0), (3, 1)]
+    again = sampled_texts(docs.orderBy("text").repartition(5, "text"), sample).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, got))
+    assert sampled_texts(docs.limit(0), sample).count() == 0

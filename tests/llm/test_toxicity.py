@@ -1,6 +1,13 @@
+import math
+import re
+from functools import cache
+
 import numpy as np
+import pyarrow as pa
 
+from tests.llm import brute
 from tickloom.llm import toxicity
+from tickloom.llm.words import pieces
 
 SF = "/root/testdata/sf0.1"
 CHAIN = {"poor": "quality = 0", "toxic": "toxic = 1"}
@@ -50,3 +57,45 @@ def test_edge_rows(spark):
     assert toxicity.score(docs.limit(0), chain, ["toxic"]).count() == 0
     assert toxicity.train(docs, labels.limit(0), {"toxic": "toxic = 1"}) is None
     assert {r.is_toxic for r in toxicity.score(docs, None, ["toxic"]).collect()} == {False}
+
+
+@cache
+def _hash(word: str) -> int:
+    """The library's hash of one word; everything else below is plain."""
+    (piece,) = pieces(pa.array([word]))
+    return int(toxicity.features(piece)[1][0])
+
+
+def _plain_scores(chain, text):
+    weight = [dict(zip(chain.keys.tolist(), w.tolist())) for w in chain.weights]
+    seen: dict = {}
+    lower = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    for word in re.findall(r"[0-9a-z\x80-\U0010ffff]+", lower):
+        raw = word.encode()
+        keys = [_hash(word)]
+        for n in (4, 5, 6):
+            if len(raw) > n and raw.isascii():
+                keys.append((_hash(word[:n]) + n) % 2**64)
+        for k in keys:
+            seen[k] = seen.get(k, 0) + 1
+    held = [*seen, *(k ^ int(toxicity._OFTEN_MARK) for k, n in seen.items() if n >= toxicity.OFTEN)]
+    out: list = []
+    for c, w in enumerate(chain.weights):
+        z = sum(weight[c].get(k, 0.0) for k in held) + sum(a * b for a, b in zip(out, w[len(chain.keys):])) + w[-1]
+        out.append(1 / (1 + math.exp(-min(30, max(-30, z)))))
+    return out
+
+
+def test_scores_match_a_plain_walk_over_each_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    chain = toxicity.train(docs, labels, CHAIN)
+    texts = [r.text for r in docs.limit(300).collect()] + [t for t in brute.TRICKY if (t or "").isascii()] + ["Moron! " * 200_000]
+    texts = [t for t in texts if t is None or t.isascii()]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score(df, chain, list(CHAIN)).collect()}
+    assert len(texts) > 100
+    for i, text in enumerate(texts):
+        want = _plain_scores(chain, text)
+        assert np.allclose([got[i].p_poor, got[i].p_toxic], want, atol=1e-9)
+        assert got[i].is_toxic == (want[1] >= chain.thresholds[1]) or abs(want[1] - chain.thresholds[1]) < 1e-9

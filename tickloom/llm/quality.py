@@ -7,10 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tickloom.llm import boosting
-from tickloom.llm.tables import labelled_sample, only, small_batches
+from tickloom.llm.tables import labelled_sample, only, sampled_texts, small_batches
 from tickloom.llm.words import Piece, byte_table, covered, gram_hashes, mix, pieces, repeated
 
 SAMPLE_ROWS = 12_000
@@ -101,12 +100,10 @@ def base_failed(counts: dict[str, np.ndarray]) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> boosting.FlatTrees | None:
     """Trees that give P(quality = 1), fitted on at most ``sample_rows`` labelled documents.
 
-    The sample's features (12 numbers a row) are all that reaches the driver. None if the labels
-    do not hold both classes.
+    The sample's features (12 numbers a row) are all that reaches the driver; an id that comes more than once
+    counts once, with the text of smallest hash. None if the labels do not hold both classes.
     """
-    sample = labelled_sample(labels, "quality", sample_rows)
-    # at most sample_rows rows of 12 bytes
-    known = only(docs, doc_id="long", text="string").join(F.broadcast(sample), "doc_id")
+    known = sampled_texts(docs, labelled_sample(labels, "quality", sample_rows))
     found = known.select("label", "text").mapInArrow(_features, "label int, x array<double>").collect()
     if len({row.label for row in found}) < 2:
         return None

@@ -46,3 +46,14 @@ def labelled_sample(labels: DataFrame, target: str, bound: int) -> DataFrame:
         .groupBy("doc_id").agg(F.max(target).alias("label"))
     )
     return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+
+
+def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """The sample (unique doc_id, a bounded number of rows) with one text per id.
+
+    Of the texts of a repeated id the one with the smallest hash is taken, whatever the order of rows; a null text
+    counts like any other. Copies are merged in the task that reads them, so a hot id sends one text a task.
+    """
+    found = only(docs, doc_id="long", text="string").join(F.broadcast(sample), "doc_id")
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("text").alias("text"))).alias("least")
+    return found.groupBy(*sample.columns).agg(least).select(*sample.columns, F.col("least.text").alias("text"))

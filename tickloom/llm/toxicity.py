@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.tables import only
+from tickloom.llm.tables import only, sampled_texts
 from tickloom.llm.words import Piece, byte_table, pieces
 from tickloom.session import stored
 
@@ -169,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], sample
 
     ``categories`` maps each category, in chain order, to a boolean SQL expression over labels (which has
     doc_id). Rows without an id or with an unknown category are left out; a document labelled twice is in a
-    category if either row says so. What reaches the driver is bounded: at most MAX_FEATURES * categories
+    category if either row says so, and a repeated id counts once, with the text of smallest hash. What reaches the driver is bounded: at most MAX_FEATURES * categories
     feature numbers for each sampled document. None if some category has only one class.
     """
     names = list(categories)
@@ -179,9 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], sample
     ).dropna()
     known = known.groupBy("doc_id").agg(*[F.max(f"y{i}").alias(f"y{i}") for i in range(len(names))])
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    # at most sample_rows rows of a few numbers; a repeated document counts once
-    mine = only(docs, doc_id="long", text="string").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
-    mine = stored(mine, "tox-sample")
+    mine = stored(sampled_texts(docs, sample), "tox-sample")
     counts = mine.agg(F.count("*"), *[F.coalesce(F.sum(f"y{i}"), F.lit(0)) for i in range(len(names))]).first()
     total, positive = counts[0], list(counts[1:])
     if any(p in (0, total) for p in positive):
