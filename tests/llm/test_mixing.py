@@ -85,3 +85,29 @@ def test_one_source_holds_a_third(spark):
     for r in rows:
         taken[r.source] = taken.get(r.source, 0) + r.taken
     assert all(abs(taken[r.source] - r.target) <= 0.02 * r.target for r in rows)
+
+
+def test_repeated_rows_that_weigh(spark):
+    docs = spark.range(9000).selectExpr(
+        "case when id < 6000 then 7 else id end as doc_id", "case when id < 7500 then 'hot' else 'b' end as source",
+        "case when id < 6000 then repeat('w ', 20) else repeat('v ', cast(1 + id % 60 as int)) end as text",
+        "id as `mix size`",
+    ).drop("mix size").selectExpr("*", "1 as `mix size`", "map('a', 1) as key", "2 as row", "3 as u", "4 as total")
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == 9000
+    for source in ("hot", "b"):
+        mine = [r for r in rows if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 0.002 * mine[0].target
+        assert math.isclose(sum(r.rate * r.size for r in mine), mine[0].target, rel_tol=1e-6)
+    kept = mixing.mixed_rows(docs)
+    assert kept.columns == docs.columns
+    got: dict = {}
+    for r in kept.collect():
+        got[r.doc_id, r.text] = got.get((r.doc_id, r.text), 0) + 1
+    want: dict = {}
+    for r in rows:
+        word = "w " if r.doc_id == 7 else "v "
+        want[r.doc_id, word * r.size] = want.get((r.doc_id, word * r.size), 0) + r.copies
+    assert got == {k: n for k, n in want.items() if n}
+    again = mixing.mix(docs.repartition(13)).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, rows))

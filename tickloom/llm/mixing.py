@@ -5,17 +5,20 @@ Each document gets a rate ``min(cap, exp(lambda * size / mean size))`` of its so
 target. ``lambda`` solves the convex dual, sum of rate * size = target, by safeguarded Newton steps for
 all sources at once. Every step is one aggregation of the counts per (source, size).
 
-Rates become whole copies by ``floor(rate + u + shift)`` with ``u`` a hash of the document and ``shift`` the
+Rates become whole copies by ``floor(rate + u + shift)`` with ``u`` a hash of the row and ``shift`` the
 offset per source and level of size that brings the words taken nearest to the target, so no document
-needs its neighbours and nothing is sampled.
+needs its neighbours and nothing is sampled. Equal rows are counted first; the k-th of them has ``u`` moved on
+by k golden sections, so however many there are, they spread evenly over both sides of the rounding.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.tables import SPACE_WORDS, only, unit_hash
+from tickloom.llm.tables import SPACE_WORDS, unit_hash
 from tickloom.session import stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -23,7 +26,11 @@ SHARE = 1.5
 CAP = 2.0
 SLOTS = 4096
 """Steps of the shift that evens out rounding."""
-MAX_STEPS = 80
+NEWTON_STEPS = 20
+"""Steps after which every other one halves the interval, so the search ends for any sizes."""
+BLOCK = 4096
+"""Equal rows, or copies of one row, that one task writes out at a time."""
+_GOLDEN = 0.6180339887498949
 
 
 def size_of(text: Column) -> Column:
@@ -36,7 +43,7 @@ def source_totals(sizes: DataFrame) -> DataFrame:
 
     Places come from a range sort: place inside the partition plus the rows of the partitions before.
     """
-    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    totals = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     ordered = stored(
         totals.repartitionByRange(F.col("source").isNull(), F.col("source")).withColumn("part", F.spark_partition_id()),
         "mix-sources",
@@ -90,7 +97,7 @@ def balance(sizes: DataFrame, targets: DataFrame, cap: float = CAP, tolerance: f
     without words a tilt of 0.
     """
     counts = stored(
-        sizes.where("size > 0").groupBy("source", "size").agg(F.count("*").alias("n")), "mix-counts"
+        sizes.where("size > 0").groupBy("source", "size").agg(F.sum("n").alias("n")), "mix-counts"
     )
     means = counts.groupBy("source").agg(
         (F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"), F.min("size").alias("least")
@@ -107,7 +114,7 @@ def balance(sizes: DataFrame, targets: DataFrame, cap: float = CAP, tolerance: f
         (F.log(F.lit(cap)) * F.col("mean") / F.col("least")).alias("high"), (-infinity).alias("low"),
     )
     now = stored(now, "mix-dual")
-    for _ in range(MAX_STEPS):
+    for step in count():
         open_ = now.where("not done")
         if open_.isEmpty():
             break
@@ -125,9 +132,10 @@ def balance(sizes: DataFrame, targets: DataFrame, cap: float = CAP, tolerance: f
         newton = F.col("tilt") - F.try_divide(gap, F.col("slope"))
         low = F.when(gap < 0, F.col("tilt")).otherwise(F.col("low"))
         high = F.when(gap > 0, F.col("tilt")).otherwise(F.col("high"))
-        middle = F.when(low == -infinity, high - 1).otherwise((low + high) / 2)
-        moved = F.when((newton > low) & (newton < high), newton).otherwise(middle)
-        close = F.abs(gap) <= F.col("target") * tolerance
+        middle = F.when(low == -infinity, high - 2.0**min(step, 900)).otherwise((low + high) / 2)
+        trust = step < NEWTON_STEPS or step % 2 == 0
+        moved = F.when((newton > low) & (newton < high), newton).otherwise(middle) if trust else middle
+        close = (F.abs(gap) <= F.col("target") * tolerance) | (moved == F.col("tilt"))
         now = stored(
             now.join(sums, now["source"].eqNullSafe(sums["s"]), "left").select(
                 "source", "source_size", "target", "mean",
@@ -138,7 +146,8 @@ def balance(sizes: DataFrame, targets: DataFrame, cap: float = CAP, tolerance: f
             ),
             "mix-dual",
         )
-    return now.select("source", "source_size", "target", "tilt", "mean")
+    # sums differ in their last digits with the order of rows; the tilt shall not
+    return now.select("source", "source_size", "target", F.round("tilt", 12).alias("tilt"), "mean")
 
 
 def _rate_of(size: Column, tilt: Column, mean: Column, cap: float) -> Column:
@@ -217,49 +226,96 @@ def _copies(size: Column, u: Column, rate: Column, mean: Column, slots: Column,
     return F.when(size == 0, F.lit(1)).otherwise(copies).cast("int")
 
 
-def _chance(doc_id: Column, text: Column) -> Column:
-    """In [-0.5, 0.5), by the id; by the text where there is none."""
-    return unit_hash(F.coalesce(doc_id, F.xxhash64(text))) - 0.5
+def _row_key(docs: DataFrame) -> Column:
+    """A hash of the whole row."""
+    def hashable(name: str, kind: str) -> Column:
+        value = F.col(f"`{name}`")
+        return F.to_json(F.struct(value)) if "map" in kind or "variant" in kind else value
 
+    return F.xxhash64(*[hashable(f.name, f.dataType.simpleString()) for f in docs.schema.fields])
 
-def solve(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, source, size, u) of every document, and the solved table of sources."""
-    sizes = stored(
-        only(docs, doc_id="long", source="string", text="string").select(
-            "doc_id", "source", size_of(F.col("text")).alias("size"), _chance(F.col("doc_id"), F.col("text")).alias("u")
-        ),
-        "mix-sizes",
+
+def _chance(key: Column, place: Column) -> Column:
+    """In [-0.5, 0.5): by the hash of the row, moved on for each further row that equals it."""
+    turn = unit_hash(key) + place * F.lit(_GOLDEN)
+    return turn - F.floor(turn) - 0.5
+
+
+def _dealt(rows: DataFrame, n: Column, name: str) -> DataFrame:
+    """Each row (with its ``key``) n times, numbered from 0; large numbers are dealt over tasks in blocks."""
+    def each(rows: DataFrame, first: Column, last: Column) -> DataFrame:
+        return rows.withColumn(name, F.explode(F.sequence(first, last)))
+
+    one = F.lit(1).cast("long")
+    few = each(rows.where((n > 0) & (n <= BLOCK)), one - 1, n - 1)
+    many = rows.where(n > BLOCK).withColumn("first", F.explode(F.sequence(one - 1, n - 1, F.lit(BLOCK).cast("long"))))
+    many = many.repartition("key", "first")
+    return few.unionByName(each(many, F.col("first"), F.least(F.col("first") + BLOCK, n) - 1).drop("first"))
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """key, doc_id, source, size, n: the distinct rows of docs and how often each comes."""
+    rows = docs.select(
+        _row_key(docs).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+        size_of(F.col("text").cast("string")).alias("size"),
     )
-    dual = balance(sizes, fill_targets(source_totals(sizes)))
-    return sizes, shifts(sizes, dual)
+    return stored(rows.groupBy(*rows.columns).agg(F.count("*").alias("n")), "mix-sizes")
+
+
+def _each_row(counted: DataFrame) -> DataFrame:
+    """The counted rows one by one, with their u."""
+    return _dealt(counted, F.col("n"), "place").withColumn("u", _chance(F.col("key"), F.col("place")))
+
+
+def solve(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The counted rows of docs, and the solved table of sources."""
+    counted = _counted(docs)
+    dual = balance(counted, fill_targets(source_totals(counted)))
+    return counted, shifts(_each_row(counted), dual)
+
+
+def _taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows (source, size, u) with their source's plan, rate and copies."""
+    both = rows.join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+    rate = _rate_of(F.col("size"), F.col("tilt"), F.col("mean"), CAP)
+    copies = _copies(F.col("size"), F.col("u"), rate, F.col("mean"), F.col("slots"), CAP)
+    return both.withColumns({"rate": rate, "copies": copies})
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """One row per row of docs: doc_id, source, size, source_size, target, rate, copies, taken.
 
     Sources are dealt by code point with null last. A null or empty text has size 0 and takes no words.
-    Repeated rows are rounded alike; an empty table gives no rows; extra columns are not read.
+    Repeated rows share the source's target evenly; rows are told apart by all their columns. An empty table
+    gives no rows.
     """
-    sizes, plan = solve(docs)
-    plan = plan.withColumnRenamed("source", "s")
-    both = sizes.join(plan, F.col("source").eqNullSafe(F.col("s")))
-    rate = _rate_of(F.col("size"), F.col("tilt"), F.col("mean"), CAP)
-    copies = _copies(F.col("size"), F.col("u"), rate, F.col("mean"), F.col("slots"), CAP)
-    return both.select(
-        "doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target",
-        rate.alias("rate"), copies.alias("copies"),
-        (copies * F.col("size")).cast("long").alias("taken"),
+    counted, plan = solve(docs)
+    return _taken(_each_row(counted), plan).select(
+        "doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target", "rate", "copies",
+        (F.col("copies") * F.col("size")).cast("long").alias("taken"),
     )
 
 
 def mixed_rows(docs: DataFrame) -> DataFrame:
-    """The rows of docs, each as often as the mix takes it, with their own columns."""
-    _, plan = solve(docs)
-    mine = plan.select(*[F.col(c).alias(f"mix source {c}") for c in ("source", "tilt", "mean", "slots")])
-    text, size = F.col("text").cast("string"), F.col("mix size")
-    both = docs.join(mine, F.col("source").cast("string").eqNullSafe(F.col("mix source source")))
-    both = both.withColumn("mix size", size_of(text))
-    rate = _rate_of(size, F.col("mix source tilt"), F.col("mix source mean"), CAP)
-    copies = _copies(size, _chance(F.col("doc_id").cast("long"), text), rate, F.col("mix source mean"), F.col("mix source slots"), CAP)
-    names = [F.col(f"`{name}`") for name in docs.columns]
-    return both.withColumn("mix copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*names)
+    """The rows of docs, each as often as the mix takes it, with their own columns.
+
+    Rows with a null or empty text are kept once each. Of rows that are equal in every column one is copied as often
+    as the mix takes them all. Column names of docs cannot clash; an empty table gives no rows.
+    """
+    counted, plan = solve(docs)
+    rows = docs.select(
+        _row_key(docs).alias("key"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"),
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+    )
+    repeated = counted.where("n > 1")
+    any_repeated = not repeated.isEmpty()
+    if any_repeated:
+        again = stored(_taken(_each_row(repeated), plan).groupBy("key").agg(F.sum("copies").alias("total")), "mix-repeated")
+        first = rows.join(again, "key").select("key", "row", "total").dropDuplicates(["key"])
+        copied = _dealt(first, F.col("total"), "place").select("row.*")
+        rows = rows.join(again, "key", "left_anti")
+    singles = rows.select(
+        "source", "row", size_of(F.col("text")).alias("size"), _chance(F.col("key"), F.lit(0)).alias("u")
+    )
+    out = _taken(singles, plan).withColumn("copy", F.explode(F.array_repeat(F.lit(1), F.col("copies")))).select("row.*")
+    return out.unionByName(copied) if any_repeated else out
