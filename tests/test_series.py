@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.ticks import by_symbol, frame, random_ticks, tick
 from tickloom.operators import detail, indicators, ranking, risk
-from tickloom.operators.series import LEAD_IN, build_series
+from tickloom.operators.series import LEAD_IN, append_days, build_series, reaching
 from tickloom.plans import marts
 
 
@@ -216,3 +216,83 @@ def test_same_second_ticks_keep_their_sequence(spark):
     rows = [tick("GOLD", 2, 0, 12), tick("GOLD", 1, 0, 10), tick("GOLD", 3, 0, 11)]
     series = build_series(frame(spark, rows))
     assert [r.price for r in series.rows.orderBy("pos").collect()] == [10, 12, 11]
+
+
+def _mean(values):
+    return sum(values) / len(values)
+
+
+def test_long_look_backs_cross_many_blocks(case):
+    naive, series = case
+    made = indicators.long_frame(
+        series, averages={"m": 700, "short": 3}, changes={"c": 300}, strengths={"s": 500}
+    )
+    got = {r.seq: r for r in made.collect()}
+    assert len(got) == sum(map(len, naive.values()))
+    seen = 0
+    for rows in naive.values():
+        p = [r["price"] for r in rows]
+        for i, r in enumerate(rows):
+            g = got[r["seq"]]
+            assert (g.m is None) == (i < 699) and (g.c is None) == (i < 300) and (g.s is None) == (i < 500)
+            assert g.short is None if i < 2 else g.short == pytest.approx(_mean(p[i - 2 : i + 1]))
+            if i >= 699:
+                assert g.m == pytest.approx(_mean(p[i - 699 : i + 1]))
+                seen += 1
+            if i >= 300:
+                assert g.c == pytest.approx((p[i] - p[i - 300]) / p[i - 300] * 100)
+            if i >= 500:
+                d = [p[j] - p[j - 1] for j in range(i - 499, i + 1)]
+                up, down = _mean([max(x, 0.0) for x in d]), _mean([max(-x, 0.0) for x in d])
+                assert g.s == pytest.approx(100 - 100 / (1 + up / (down + 1e-10)))
+    assert seen > 500
+
+
+def test_long_look_backs_shuffle_no_tick(spark):
+    deep = reaching(build_series(frame(spark, random_ticks(600)), block_rows=128), 300)
+    assert deep.lead_in == 300 and reaching(deep, 200) is deep
+    plan = indicators.long_frame(deep, averages={"m": 300})._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_long_means_of_odd_values(spark):
+    rows = [tick("GOLD", i, i, 5.0) for i in range(900)]
+    rows[400]["price"], rows[401]["price"], rows[402]["price"] = float("nan"), None, 1e300
+    series = build_series(frame(spark, rows), block_rows=100)
+    got = {r.seq: r.m for r in indicators.long_frame(series, averages={"m": 300}).collect()}
+    assert got[298] is None and got[399] == 5.0 and got[899] == 5.0
+    assert got[400] is None and got[701] is None and got[702] == 5.0
+    with pytest.raises(ValueError):
+        indicators.long_frame(series, averages={"m": 0})
+    assert indicators.long_frame(build_series(frame(spark, rows[:0])), averages={"m": 300}).count() == 0
+
+
+def quote_frame(spark, rows):
+    return frame(spark, rows).select("symbol", "seq", "event_ts", "price", "volume", "spread")
+
+
+def test_appended_days_equal_a_full_build(spark):
+    rows = random_ticks(3000)
+    days = sorted({r["event_ts"].date() for r in rows})
+    assert len(days) >= 3
+    late = [dict(r, symbol="NEW", seq=r["seq"] + 10_000) for r in rows[:300] if r["event_ts"].date() == days[-1]]
+    whole = build_series(quote_frame(spark, rows + late), detail.derive_tick_columns, block_rows=256)
+    series = build_series(
+        quote_frame(spark, [r for r in rows if r["event_ts"].date() == days[0]]), detail.derive_tick_columns, block_rows=256
+    )
+    files = set(series.table.inputFiles())
+    for day in days[1:]:
+        more = [r for r in rows + late if r["event_ts"].date() == day]
+        series = append_days(series, quote_frame(spark, more), detail.derive_tick_columns)
+    assert files < set(series.table.inputFiles())
+
+    def table(s):
+        made = indicators.indicator_frame(s, sma=indicators.sma(20), rsi=indicators.rsi(14))
+        kept = ("symbol", "seq", "pos", "block", "high", "low", "direction", "sma", "rsi")
+        return sorted(tuple(r) for r in made.select(*kept).collect())
+
+    assert table(series) == table(whole)
+    assert {tuple(r) for r in series.ends.collect()} == {tuple(r) for r in whole.ends.collect()}
+    assert append_days(series, quote_frame(spark, [])) is series
+    with pytest.raises(ValueError):
+        append_days(series, quote_frame(spark, rows[:1]))

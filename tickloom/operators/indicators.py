@@ -7,11 +7,16 @@ warm-up, because it counts the ticks a symbol already has.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.numeric import EPSILON, percent_change, share_of
-from tickloom.operators.series import LEAD_IN, TickSeries, block_window, last_rows
+from tickloom.operators.series import LEAD_IN, TickSeries, block_window, last_rows, reaching, running
+
+# Values below this can be added up as integers over any block without overflow.
+SUMMABLE = 1e11
 
 # Feature names in model order.
 FEATURES = (
@@ -27,7 +32,7 @@ def _when_full(n: int, value: Column) -> Column:
 def lagged(column: str, k: int) -> Column:
     """The value k ticks before (k <= LEAD_IN, so copies complete the look-back)."""
     if k > LEAD_IN:
-        raise ValueError(f"look-back of {k} rows exceeds the {LEAD_IN} rows copied between blocks")
+        raise ValueError(f"more than {LEAD_IN} rows need long_frame, which has blocks that reach further back")
     return F.lag(column, k).over(block_window())
 
 
@@ -44,7 +49,7 @@ def momentum(k: int, column: str = "price") -> Column:
 def rsi(n: int, delta: str = "_delta") -> Column:
     """Relative strength from plain means of n gains and n losses; needs the delta column."""
     if n >= LEAD_IN:
-        raise ValueError(f"{n} changes look back further than the {LEAD_IN} rows copied between blocks")
+        raise ValueError(f"{LEAD_IN} or more changes need long_frame, which has blocks that reach further back")
     gain = F.avg(F.greatest(F.col(delta), F.lit(0.0))).over(last_rows(n))
     loss = F.avg(F.greatest(-F.col(delta), F.lit(0.0))).over(last_rows(n))
     strength = gain / (loss + F.lit(EPSILON))
@@ -71,6 +76,70 @@ def indicator_frame(series: TickSeries, **columns: Column) -> DataFrame:
     return with_delta(series.table).withColumns(columns).where("own").drop("_delta")
 
 
+def _prefix_means(name: str, value: Column) -> tuple[dict[str, Column], Callable[[int], Column]]:
+    """(columns of running totals inside the block, mean of the last n values made of two of their rows).
+
+    Whole parts and hundred-millionths are added up as integers, so a difference of totals loses nothing.
+    """
+    usable = F.abs(value) < F.lit(SUMMABLE)
+    whole = F.floor(value)
+    parts = {
+        "whole": F.when(usable, whole),
+        "rest": F.when(usable, F.round((value - whole) * F.lit(1e8)).cast("bigint")),
+        "known": F.when(value.isNotNull(), F.lit(1)),
+        "odd": F.when(~usable, F.lit(1)),
+    }
+    totals = {f"_{name}_{k}": F.coalesce(F.sum(c).over(running()), F.lit(0).cast("long")) for k, c in parts.items()}
+
+    def mean(n: int) -> Column:
+        def of(part: str) -> Column:
+            total = F.col(f"_{name}_{part}")
+            return total - F.coalesce(F.lag(total, n).over(block_window()), F.lit(0).cast("long"))
+
+        total = of("whole").cast("double") + of("rest").cast("double") / F.lit(1e8)
+        return F.when(of("odd") == 0, F.try_divide(total, of("known").cast("double")))
+
+    return totals, mean
+
+
+def long_frame(
+    series: TickSeries,
+    averages: Mapping[str, int] | None = None,
+    changes: Mapping[str, int] | None = None,
+    strengths: Mapping[str, int] | None = None,
+    column: str = "price",
+) -> DataFrame:
+    """Own rows with means of the last n values, % changes over n ticks and relative strengths of n changes, any n.
+
+    A window frame of n rows costs n steps a row. Here each mean is the difference of two running totals of the
+    block, so the cost does not depend on n, and no tick is shuffled. A series whose blocks do not reach far enough
+    back is stored again first (``reaching``); pass a series that does to save that. Like the short forms, results are
+    null until n ticks exist, and nulls do not count in a mean. A mean whose window holds a value that is not finite,
+    or 1e11 and above, is null. Averages are exact to eight decimals of each value.
+    """
+    averages, changes, strengths = averages or {}, changes or {}, strengths or {}
+    if any(n < 1 for n in (*averages.values(), *changes.values(), *strengths.values())):
+        raise ValueError("a look-back covers at least one tick")
+    reach = max([*averages.values(), *changes.values(), *(n + 1 for n in strengths.values())], default=1)
+    deep = reaching(series, reach)
+    value = F.col(column)
+    # a change is unknown on the first copied row of a block, which no window of an own row holds
+    table = deep.table.withColumn("_delta", value - F.lag(column, 1).over(block_window()))
+    means = {
+        "value": _prefix_means("value", value),
+        "gain": _prefix_means("gain", F.when(F.col("_delta") > 0, F.col("_delta")).otherwise(F.col("_delta") * 0.0)),
+        "loss": _prefix_means("loss", F.when(F.col("_delta") < 0, -F.col("_delta")).otherwise(F.col("_delta") * 0.0)),
+    }
+    used = [*(["value"] if averages else []), *(["gain", "loss"] if strengths else [])]
+    totals = {k: c for name in used for k, c in means[name][0].items()}
+    made = {k: _when_full(n, means["value"][1](n)) for k, n in averages.items()}
+    made |= {k: percent_change(value, F.lag(column, n).over(block_window())) for k, n in changes.items()}
+    for k, n in strengths.items():
+        strength = means["gain"][1](n) / (means["loss"][1](n) + F.lit(EPSILON))
+        made[k] = _when_full(n + 1, F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + strength))
+    return table.withColumns(totals).withColumns(made).where("own").drop("_delta", *totals)
+
+
 def feature_table(series: TickSeries) -> DataFrame:
     """series.table with the 15 features, ``label`` (next tick is UP; null on the last tick) and
     ``ready`` (all features present). Copied edge rows stay, marked by ``own``."""

@@ -11,7 +11,9 @@ third of all rows into one task. A series is therefore stored as equal blocks:
 * the table is bucketed by (symbol, block), so block windows and block joins read it without
   another shuffle;
 * each block also holds copies (``own = false``) of the LEAD_IN rows before it and the LEAD_OUT
-  rows after it, so windows that look a few rows back or ahead are complete inside the block.
+  rows after it, so windows that look a few rows back or ahead are complete inside the block;
+  ``reaching`` stores a series again with larger blocks and more copies for longer look-backs;
+* new days extend a stored series (``append_days``): blocks already written stay as they are.
 
 Unbounded prefixes (running peak, intraday extremes) combine two levels: a window inside the
 block and a window over one summary row per block.
@@ -22,10 +24,10 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
@@ -33,6 +35,8 @@ from tickloom.session import new_folder, remove, stored, stored_at
 
 LEAD_IN = 256
 LEAD_OUT = 1
+# of a series whose symbols have one block each
+MAX_LEAD_IN = 1 << 62
 MIN_BLOCK_ROWS = 2048
 MAX_BLOCK_ROWS = 1_000_000
 ROWS_PER_BUCKET = 8_000_000
@@ -42,12 +46,17 @@ BLOCKS_PER_BUCKET = 16
 
 @dataclass(frozen=True)
 class TickSeries:
-    """table: blocks with their copied edge rows; ends: symbol, n (ticks per symbol), last_ts."""
+    """table: blocks with their copied edge rows; ends: symbol, n (ticks per symbol), last_ts.
+
+    ``lead_in`` rows before each block are copied into it; ``buckets`` is 0 for a series that is not stored.
+    """
 
     table: DataFrame
     ends: DataFrame
     block_rows: int
     name: str
+    lead_in: int = LEAD_IN
+    buckets: int = 0
 
     @property
     def rows(self) -> DataFrame:
@@ -87,7 +96,7 @@ def block_window() -> WindowSpec:
 def last_rows(n: int) -> WindowSpec:
     """The current row and the n-1 before it (n <= LEAD_IN, so copies complete the frame)."""
     if n > LEAD_IN:
-        raise ValueError(f"look-back of {n} rows exceeds the {LEAD_IN} rows copied between blocks")
+        raise ValueError(f"more than {LEAD_IN} rows need long_frame, which has blocks that reach further back")
     return block_window().rowsBetween(-(n - 1), Window.currentRow)
 
 
@@ -107,35 +116,38 @@ def _layout(rows: int, parallelism: int) -> tuple[int, int]:
     return min(MAX_BLOCK_ROWS, max(MIN_BLOCK_ROWS, block_rows)), buckets
 
 
-def _write_blocks(rows: DataFrame, ends: DataFrame, block_rows: int, buckets: int) -> TickSeries:
-    """Copy edge rows to the neighbouring blocks and write the bucketed table."""
+def _in_blocks(rows: DataFrame, block_rows: int, lead_in: int) -> DataFrame:
+    """Every row in its block, and its copies (``own`` is false) in the blocks around that look at it."""
     def block_of(pos):
         return F.floor(pos / F.lit(block_rows))
 
-    # every block that starts within the next LEAD_IN rows, however small blocks are
+    # every block that starts within the next lead_in rows, however small blocks are
     pos = F.col("pos")
     block = block_of(pos)
-    targets = F.sequence(block_of(F.greatest(pos - F.lit(LEAD_OUT), F.lit(0))), block_of(pos + F.lit(LEAD_IN)))
-    spread = (
-        rows.withColumn("block", F.explode(targets))
-        .withColumn("own", F.col("block") == block)
-    )
+    targets = F.sequence(block_of(F.greatest(pos - F.lit(LEAD_OUT), F.lit(0))), block_of(pos + F.lit(lead_in)))
+    return rows.withColumn("block", F.explode(targets)).withColumn("own", F.col("block") == block)
+
+
+def _bucketed(blocks: DataFrame, buckets: int) -> DataFrameWriter:
+    return blocks.write.format("parquet").bucketBy(buckets, "symbol", "block").sortBy("symbol", "block", "pos")
+
+
+def _write_blocks(
+    rows: DataFrame, ends: DataFrame, block_rows: int, buckets: int, lead_in: int = LEAD_IN
+) -> TickSeries:
+    """Copy edge rows to the neighbouring blocks and write the bucketed table."""
     spark = rows.sparkSession
     name = f"tickloom_series_{uuid.uuid4().hex}"
-    (
-        spread.write.format("parquet")
-        .option("path", new_folder(spark, "series"))
-        .bucketBy(buckets, "symbol", "block")
-        .sortBy("symbol", "block", "pos")
-        .saveAsTable(name)
-    )
-    return TickSeries(spark.table(name), ends, block_rows, name)
+    writer = _bucketed(_in_blocks(rows, block_rows, lead_in), buckets)
+    writer.option("path", new_folder(spark, "series")).saveAsTable(name)
+    return TickSeries(spark.table(name), ends, block_rows, name, lead_in, buckets)
 
 
 def build_series(
     ticks: DataFrame,
     derive: Callable[[TickSeries], DataFrame] | None = None,
     block_rows: int | None = None,
+    lead_in: int = LEAD_IN,
 ) -> TickSeries:
     """Order ticks (needs symbol, event_ts and a unique seq) and store them as blocks.
 
@@ -146,6 +158,8 @@ def build_series(
     size, buckets = _layout(ticks.count(), spark.sparkContext.defaultParallelism)
     if block_rows is not None and block_rows < 1:
         raise ValueError("a block holds at least one row")
+    if lead_in < LEAD_IN:
+        raise ValueError(f"the shorter windows rely on {LEAD_IN} copied rows")
     size = block_rows or size
 
     # 1. one range shuffle; the id is (partition << 33) + place inside the sorted partition
@@ -174,16 +188,88 @@ def build_series(
         .withColumn("pos", F.col("_offset") + F.col("_id") - F.col("_first"))
         .drop("_id", "_part", "_first", "_offset")
     )
-    series = _write_blocks(placed, ends, size, buckets)
+    series = _write_blocks(placed, ends, size, buckets, lead_in)
     remove(spark, ordered_path)
     remove(spark, offsets_path)
     if derive is None:
         return series
-    made = _write_blocks(derive(series).drop("block", "own"), ends, size, buckets)
+    made = _write_blocks(derive(series).drop("block", "own"), ends, size, buckets, lead_in)
     drop_blocks(series)
     return made
 
 
+def reaching(series: TickSeries, n: int) -> TickSeries:
+    """The series itself if its blocks hold the n rows before them, else it is stored again so that they do.
+
+    Blocks grow to at least four times n, so copies stay under a quarter of the rows and a block stays a small
+    multiple of what its longest window needs anyway.
+    """
+    if n <= series.lead_in:
+        return series
+    spark = series.table.sparkSession
+    _, buckets = _layout(sum(e.n for e in series.last), spark.sparkContext.defaultParallelism)
+    return _write_blocks(series.rows.drop("block"), series.ends, max(series.block_rows, 4 * n), buckets, n)
+
+
+def append_days(
+    series: TickSeries,
+    ticks: DataFrame,
+    derive: Callable[[TickSeries], DataFrame] | None = None,
+) -> TickSeries:
+    """A stored series with the ticks of later days added; files already written are neither read whole nor changed.
+
+    ``ticks`` has the columns the series was built from. A symbol's new ticks begin on a later day than its last
+    stored one (ValueError otherwise, also for a tick without a time); new symbols may come along. ``derive`` is the
+    function the series was built with; it looks back at most ``lead_in`` ticks, or within one day. Only the new
+    ticks and the last ``lead_in`` of each symbol are ordered and placed; the open last block is filled up by files
+    of its own. Old rows already stand as copies in the block that would begin after them, so windows are complete
+    across the seam. Without new ticks the same series is returned. Use the returned series from here on; the given
+    one would show the new rows without knowing their number.
+    """
+    if not series.name:
+        raise ValueError("only a stored series can be extended")
+    last_day = {e.symbol: e.last_ts for e in series.last}
+    first = ticks.groupBy("symbol").agg(
+        F.min("event_ts").alias("first_ts"), F.max(F.col("event_ts").isNull()).alias("untimed")
+    )
+    begins = first.collect()  # one row per symbol, and a market has few symbols
+    for b in begins:
+        last = last_day.get(b.symbol)
+        if b.untimed or (last is not None and b.first_ts.date() <= last.date()):
+            raise ValueError(f"ticks of {b.symbol} do not begin on a later day; build the series anew")
+    if not begins:
+        return series
+    spark = series.table.sparkSession
+    tail = series.rows.where(series.newest(series.lead_in)).select(*ticks.columns)
+    fresh = build_series(tail.unionByName(ticks), derive, lead_in=series.lead_in)
+    shift = series.ends.select(
+        "symbol", F.least("n", F.lit(series.lead_in)).alias("_tail"), F.col("n").alias("_n")
+    )
+    none = F.lit(0).cast("long")
+    placed = (
+        fresh.rows.drop("block")
+        .join(shift, fresh.rows["symbol"].eqNullSafe(shift["symbol"]), "left")
+        .drop(shift["symbol"])
+        .withColumns({"_tail": F.coalesce("_tail", none), "_n": F.coalesce("_n", none)})
+        .where(F.col("pos") >= F.col("_tail"))
+        .withColumn("pos", F.col("pos") - F.col("_tail") + F.col("_n"))
+        .drop("_tail", "_n")
+    )
+    blocks = _in_blocks(placed, series.block_rows, series.lead_in).select(*series.table.columns)
+    _bucketed(blocks, series.buckets).mode("append").saveAsTable(series.name)
+    grown = fresh.ends.withColumnRenamed("n", "_fresh")
+    ends = stored(
+        shift.join(grown, shift["symbol"].eqNullSafe(grown["symbol"]), "full").select(
+            F.coalesce(grown["symbol"], shift["symbol"]).alias("symbol"),
+            (F.coalesce("_n", none) + F.coalesce("_fresh", none) - F.coalesce("_tail", none)).alias("n"),
+            "last_ts",
+        ),
+        "ends",
+    )
+    drop_blocks(fresh)
+    return replace(series, table=spark.table(series.name), ends=ends)
+
+
 def one_block(ticks: DataFrame) -> TickSeries:
     """A series of few ticks, one block per symbol, that is not stored: a window places its rows. ``ends`` is lazy."""
     order = Window.partitionBy("symbol").orderBy("event_ts", "seq")
@@ -191,7 +277,7 @@ def one_block(ticks: DataFrame) -> TickSeries:
         "pos": F.row_number().over(order).cast("long") - 1, "block": F.lit(0).cast("long"), "own": F.lit(True),
     })
     ends = ticks.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.max("event_ts").alias("last_ts"))
-    return TickSeries(table, ends, MAX_BLOCK_ROWS, "")
+    return TickSeries(table, ends, MAX_BLOCK_ROWS, "", lead_in=MAX_LEAD_IN)
 
 
 def drop_blocks(series: TickSeries) -> None:

@@ -189,6 +189,20 @@ BB = full(20, f"(price - (avg(price) {last(20)})) / ((stddev_samp(price) {last(2
 VOL_RATIO = full(5, f"volume / ((avg(volume) {last(5)}) + 1e-10)")
 SMAS = ", ".join(f"{r(mean(n))} AS sma_{n}" for n in (5, 10, 20))
 oracle("sma_ticks", f"SELECT symbol, seq, {SMAS} FROM t")
+LONG_RSI = full(
+    401,
+    f"100 - 100 / (1 + (avg(greatest(chg, 0.0)) {last(400)}) / ((avg(greatest(-chg, 0.0)) {last(400)}) + 1e-10))",
+)
+oracle(
+    "sma_long",
+    f"""SELECT symbol, seq, {r(mean(300))} AS sma_300, {r(mean(1000))} AS sma_1000, {r(pct('price', 500))} AS mom_500,
+  {r(LONG_RSI)} AS rsi_400 FROM t""",
+)
+oracle(
+    "series_append",
+    f"SELECT symbol, seq, pos, direction, high, low, {r(mean(20))} AS sma_20 FROM t",
+    "wide",
+)
 oracle("rsi_14", f"SELECT symbol, seq, {r(RSI)} AS rsi FROM t")
 oracle("bollinger_pos", f"SELECT symbol, seq, {r(BB)} AS bb_pos FROM t")
 oracle(
@@ -354,36 +368,39 @@ oracle(
     "hist_vs_latest",
     PROFILE
     + f""", nw AS (SELECT symbol, price AS rp, volume AS rv {NEWEST})
-SELECT dim.symbol, name, {r('ap', 4)} AS csv_avg, {r('mn', 4)} AS csv_min, {r('mx', 4)} AS csv_max,
-  {r('tv', 2)} AS csv_volume, cnt AS csv_count, rp AS rt_price, rv AS rt_volume,
-  {r(f'(rp - {r("ap", 4)}) / ({r("ap", 4)}) * 100', 4)} AS diff_pct, color
-FROM dim JOIN h USING (symbol) JOIN nw USING (symbol)""",
+SELECT dim.symbol, name, {r('coalesce(ap, 0)', 4)} AS csv_avg, {r('coalesce(mn, 0)', 4)} AS csv_min,
+  {r('coalesce(mx, 0)', 4)} AS csv_max, {r('coalesce(tv, 0)', 2)} AS csv_volume, coalesce(cnt, 0) AS csv_count,
+  coalesce(rp, 0) AS rt_price, coalesce(rv, 0) AS rt_volume,
+  CASE WHEN ap > 0 THEN {r(f'(coalesce(rp, 0) - {r("ap", 4)}) / ({r("ap", 4)}) * 100', 4)} ELSE 0 END AS diff_pct, color
+FROM dim LEFT JOIN h USING (symbol) LEFT JOIN nw USING (symbol)""",
     "wide",
 )
 oracle(
     "data_asset_stats",
     PROFILE
-    + f""" SELECT dim.symbol, name, color, cnt AS csv_rows, {r('ap', 4)} AS avg_price, {r('mn', 4)} AS min_price,
-  {r('mx', 4)} AS max_price, {r('tv', 2)} AS total_volume, {ts('ft')} AS first, {ts('lt')} AS last, cnt AS lake_rows, true AS has_files
-FROM dim JOIN h USING (symbol)""",
+    + f""" SELECT dim.symbol, name, color, coalesce(cnt, 0) AS csv_rows, {r('coalesce(ap, 0)', 4)} AS avg_price,
+  {r('coalesce(mn, 0)', 4)} AS min_price, {r('coalesce(mx, 0)', 4)} AS max_price, {r('coalesce(tv, 0)', 2)} AS total_volume,
+  coalesce({ts('ft')}, '') AS first, coalesce({ts('lt')}, '') AS last, coalesce(cnt, 0) AS lake_rows, cnt IS NOT NULL AS has_files
+FROM dim LEFT JOIN h USING (symbol)""",
     "wide",
 )
 
 # --- serving
 LATEST = (
     RECENT
-    + f""", latest AS (SELECT dim.symbol, name, price, {r('coalesce(chg, 0)', 4)} AS price_change,
-  {r('coalesce(chg_pct, 0)', 2)} AS price_change_pct, volume, {r('bid')} AS bid, {r('ask')} AS ask,
-  {r('spread')} AS spread, direction, {r('volatility')} AS volatility, color, unit
-  FROM dim JOIN w USING (symbol) WHERE pos = n - 1)"""
+    + f""", latest AS (SELECT dim.symbol, name, coalesce(price, 0) AS price, {r('coalesce(chg, 0)', 4)} AS price_change,
+  {r('coalesce(chg_pct, 0)', 2)} AS price_change_pct, coalesce(volume, 0) AS volume, {r('coalesce(bid, 0)')} AS bid,
+  {r('coalesce(ask, 0)')} AS ask, {r('coalesce(spread, 0)')} AS spread, coalesce(direction, 'N/A') AS direction,
+  {r('coalesce(volatility, 0)')} AS volatility, color, unit
+  FROM dim LEFT JOIN (SELECT * FROM w WHERE pos = n - 1) USING (symbol))"""
 )
 oracle("serve_latest", LATEST + " SELECT * FROM latest", "wide")
 oracle(
     "serve_summary",
     LATEST
     + RISK.replace(RECENT, "")
-    + f""" SELECT l.symbol, l.name, l.price, l.price_change, l.price_change_pct, {r('dd', 4)} AS max_drawdown_pct
-FROM latest l JOIN risk USING (symbol)""",
+    + f""" SELECT l.symbol, l.name, l.price, l.price_change, l.price_change_pct, {r('coalesce(dd, 0)', 4)} AS max_drawdown_pct
+FROM latest l LEFT JOIN risk USING (symbol)""",
     "wide",
 )
 oracle(
@@ -396,8 +413,9 @@ WHERE symbol = 'GOLD' AND pos >= n - 2000
 oracle(
     "serve_volume",
     RECENT
-    + f""" SELECT dim.symbol, any_value(name) AS name, {r('sum(volume)', 2)} AS total_volume, count(*) AS tick_count,
-  {r('avg(volume)', 4)} AS avg_volume, any_value(color) AS color FROM dim JOIN w USING (symbol) GROUP BY dim.symbol""",
+    + f""" SELECT dim.symbol, any_value(name) AS name, {r('coalesce(sum(volume), 0)', 2)} AS total_volume,
+  count(w.pos) AS tick_count, {r('coalesce(avg(volume), 0)', 4)} AS avg_volume, any_value(color) AS color
+  FROM dim LEFT JOIN w USING (symbol) GROUP BY dim.symbol""",
     "wide",
 )
 oracle(
@@ -409,6 +427,8 @@ SELECT symbol, {ts('m')} AS bar_time, strftime(m, '%H:%M') AS time, {r('open_pri
   tick_count FROM b""",
     "wide",
 )
+for _name in ("serve_latest", "serve_volume", "serve_summary", "hist_vs_latest"):
+    SQL[f"{_name}_gap"] = SQL[_name].replace("'purchase','signup','view')", "'purchase','signup')")
 oracle(
     "sample_head",
     f"""SELECT symbol, {ts('event_ts')} AS event_ts, price, volume, {r('bid')} AS bid, {r('ask')} AS ask,

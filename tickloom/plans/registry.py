@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,9 @@ from pyspark.sql import types as T
 from tickloom.functions.numeric import fixed
 from tickloom.functions.temporal import parse_time, time_text
 from tickloom.operators import alerts, bars, correlation, detail, history, indicators, quality, ranking, risk
-from tickloom.operators.series import TickSeries
+from tickloom.operators.series import TickSeries, append_days, build_series
 from tickloom.plans import marts, model, serve, warehouse
-from tickloom.plans.ticks import tick_series
+from tickloom.plans.ticks import quotes, tick_series
 from tickloom.schema import NUMBER_FIELDS, TICK_FIELDS, default_thresholds, symbol_dim, uniform_thresholds
 from tickloom.session import new_folder, stored
 from tickloom.sources import csvfiles, lake, messages, replay
@@ -125,8 +126,27 @@ _indicator(
     "volume_features",
     vol_ratio=lambda: indicators.volume_ratio(5), vol_chg=lambda: indicators.momentum(5, "volume"),
 )
+query("sma_long")(
+    lambda s: indicators.long_frame(
+        s, averages={"sma_300": 300, "sma_1000": 1000}, changes={"mom_500": 500}, strengths={"rsi_400": 400}
+    ).select("symbol", "seq", "sma_300", "sma_1000", "mom_500", "rsi_400")
+)
 query("sma_bars", "wide")(lambda s: indicators.bar_sma(bars.tick_bars(s.rows)))
 
+
+def _series_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All but the last two days built, then those two days appended one by one."""
+    ticks = quotes(spark, sf_dir, "wide").withColumn("dt", F.to_date("event_ts"))
+    newest = ticks.agg(F.max("dt")).first()[0]
+    series = build_series(ticks.where(F.col("dt") < F.date_sub(F.lit(newest), 1)), detail.derive_tick_columns)
+    for back in (1, 0):
+        series = append_days(series, ticks.where(F.col("dt") == F.date_sub(F.lit(newest), back)), detail.derive_tick_columns)
+    made = indicators.indicator_frame(series, sma_20=indicators.sma(20))
+    return present(made.select("symbol", "seq", "pos", "direction", "high", "low", "sma_20"))
+
+
+QUERIES["series_append"] = _series_append
+
 # --- risk -------------------------------------------------------------------------------------
 query("max_drawdown")(lambda s: risk.max_drawdown(s))
 query("max_drawdown_newest_first", "wide")(
@@ -147,6 +167,18 @@ query("serve_trend")(lambda s: serve.trend(s, "GOLD"))
 query("serve_volume", "wide")(lambda s: serve.volume(s))
 query("serve_summary", "wide")(lambda s: serve.summary(s))
 query("hist_vs_latest", "wide")(lambda s: serve.history_vs_latest(s))
+
+
+def _without(s: TickSeries, symbol: str) -> TickSeries:
+    """The series as if a symbol had never traded."""
+    return replace(s, table=s.table.where(F.col("symbol") != symbol), ends=s.ends.where(F.col("symbol") != symbol))
+
+
+# a known symbol without ticks keeps its row, with zeros
+query("serve_latest_gap", "wide")(lambda s: serve.latest(_without(s, "GAS")))
+query("serve_volume_gap", "wide")(lambda s: serve.volume(_without(s, "GAS")))
+query("serve_summary_gap", "wide")(lambda s: serve.summary(_without(s, "GAS")))
+query("hist_vs_latest_gap", "wide")(lambda s: serve.history_vs_latest(_without(s, "GAS")))
 query("sample_head")(lambda s: ranking.first_rows(s, "GOLD", 5).select(
     "symbol", "event_ts", "price", "volume", "bid", "ask", "spread", "direction"))
 query("trend_downsample")(lambda s: ranking.downsample(s, 800).select("symbol", "tile", "seq", "event_ts", "price"))
