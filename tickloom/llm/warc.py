@@ -199,14 +199,16 @@ def write_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     spark = pages.sparkSession
     rows = only(pages, page_id="long", url="string", html="string").withColumn("html", F.coalesce("html", F.lit("")))
     digest = F.sha1(F.col("html").cast("binary"))
+    # payloads count as equal if digest, length and a second hash agree, so one broken hash makes no false revisit
+    same = {"sha1": digest, "bytes": F.octet_length("html"), "second": F.xxhash64("html")}
     # one row per payload that occurs more than once: few rows or none, combined before the shuffle
     twice = stored(
-        rows.where(F.octet_length("html") >= min_bytes).select(digest.alias("sha1"), "page_id")
-        .groupBy("sha1").agg(F.min("page_id").alias("first_page"), F.count("*").alias("n"))
-        .where("n > 1").select(F.col("sha1").alias("known"), "first_page"),
+        rows.where(F.octet_length("html") >= min_bytes).withColumns(same)
+        .groupBy(*same).agg(F.min("page_id").alias("first_page"), F.count("*").alias("n"))
+        .where("n > 1").select(*same, "first_page"),
         "warc-repeats",
     )
-    marked = rows.withColumn("sha1", digest).join(twice, F.col("sha1") == F.col("known"), "left")
+    marked = rows.withColumns(same).join(twice, [*same], "left")
     marked = marked.where(F.octet_length("html") >= min_bytes).unionByName(
         marked.where(F.octet_length("html") < min_bytes).withColumn("first_page", F.lit(None).cast("long"))
     ) if min_bytes > 0 else marked
@@ -262,21 +264,34 @@ def read_archives(index: DataFrame) -> DataFrame:
 
 
 def fetch(index: DataFrame, record_ids: DataFrame) -> DataFrame:
-    """The records with the given ids (column record_id), by seeking: only their frames are read."""
+    """The records with the given ids (column record_id), by seeking: only their frames are read, each once a task.
+
+    The records of a frame go to one task in their order, so a worker holds one open bundle and one plain frame.
+    """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bundle, here, data = None, None, b""
         for batch in batches:
             rows = []
             for uri, frame, offset, length in zip(
                 *(batch.column(n).to_pylist() for n in ("bundle", "frame", "offset", "length"))
             ):
-                bundle = BundleReader(uri)
-                headers, block, _ = parse_record(bundle.record(frame, offset, length))
+                if here is None or here[0] != uri:
+                    if bundle is not None:
+                        bundle.close()
+                    bundle, here = BundleReader(uri), None
+                if here != (uri, frame):
+                    here, data = (uri, frame), bundle.frame(frame)
+                headers, block, _ = parse_record(data[offset : offset + length])
                 rows.append(_parsed(headers, block))
-                bundle.close()
             yield _batch(rows, RECORDS)
+        if bundle is not None:
+            bundle.close()
 
     wanted = index.join(record_ids.select("record_id").distinct(), "record_id", "left_semi")
-    return wanted.select("bundle", "frame", "offset", "length").mapInArrow(read, RECORDS)
+    return (
+        wanted.select("bundle", "frame", "offset", "length").repartition("bundle", "frame")
+        .sortWithinPartitions("bundle", "frame", "offset").mapInArrow(read, RECORDS)
+    )
 
 
 def page_digests(records: DataFrame) -> DataFrame:
