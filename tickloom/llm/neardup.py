@@ -204,10 +204,10 @@ def _signatures(docs: DataFrame, idf: np.ndarray, bands: int, rows: int) -> Data
 
 
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """id, text of some rows, read by their place."""
+    """id, text of some rows (id, doc_id), read by their place."""
     here = F.col("id")
     side = sidefiles.write_side(
-        ids.select("id", F.shiftright(here, 40).cast("int").alias("part"), here.bitwiseAND((1 << 40) - 1).alias("row")),
+        ids.select("id", "doc_id", F.shiftright(here, 40).cast("int").alias("part"), here.bitwiseAND((1 << 40) - 1).alias("row")),
         "near-wanted",
     )
 
@@ -217,6 +217,7 @@ def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
             reader = reader or sidefiles.SideReader(side, part)
             facts = reader.of(first, batch.num_rows)
             if facts is not None:
+                sidefiles.same_rows(facts, first, batch.column("doc_id"))
                 place = pa.array(facts.column("row").to_numpy() - first)
                 yield pa.RecordBatch.from_arrays(
                     [facts.column("id").combine_chunks(), batch.column("text").take(place)], ["id", "text"]
@@ -407,7 +408,7 @@ def classes(
     place = F.shiftleft(F.col("part").cast("long"), 40).bitwiseOR(F.col("row"))
     # one text of each set of equal texts; its bands are those of all
     texts = stored(
-        signed.where("full").groupBy("key1", "key2").agg(F.min(place).alias("id"), *[F.min(n).alias(n) for n in names]),
+        signed.where("full").groupBy("key1", "key2").agg(F.min(place).alias("id"), F.min_by("doc_id", place).alias("doc_id"), *[F.min(n).alias(n) for n in names]),
         "near-distinct",
     )
     banded = texts.select("id", F.explode(F.array(*names)).alias("bucket"))
@@ -428,7 +429,7 @@ def classes(
     links = None
     if not members.isEmpty():
         ids = stored(members.select("id").distinct(), "near-ids")
-        bodies = _texts(docs, ids)
+        bodies = _texts(docs, ids.join(texts.select("id", "doc_id"), "id"))
         pairs = members.where("id <> leader").select("leader", F.col("id").alias("member"))
         links = stored(_verify(bodies, pairs, idf, similarity), "near-links")
         labels = components(ids, links)
@@ -473,9 +474,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
 
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs that ``classes`` keeps, with all their columns."""
+    """The rows of docs that ``classes`` keeps, with all their columns.
+
+    Texts without words, nulls among them, are all kept; of rows that repeat an id and a text one is kept. An empty
+    table gives none. docs must scan alike each time; a scan that differs is an error.
+    """
     found = classes(only(docs, doc_id="long", text="string"), similarity)
-    side = sidefiles.write_side(found.where("not kept").select("part", "row"), "near-dropped")
+    side = sidefiles.write_side(found.where("not kept").select("part", "row", "doc_id"), "near-dropped")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = None
@@ -483,6 +488,7 @@ def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             reader = reader or sidefiles.SideReader(side, part)
             facts = reader.of(first, batch.num_rows)
             if facts is not None:
+                sidefiles.same_rows(facts, first, batch.column("doc_id"))
                 keep = np.ones(batch.num_rows, dtype=bool)
                 keep[facts.column("row").to_numpy() - first] = False
                 batch = batch.filter(pa.array(keep))

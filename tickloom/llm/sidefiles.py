@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 from pyspark import TaskContext
@@ -49,6 +50,14 @@ def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
 
 
+def same_rows(facts: pa.Table, first: int, doc_ids: pa.Array) -> None:
+    """Hold the doc_id of the facts against the rows they are handed to, the first of which has number ``first``."""
+    here = doc_ids.take(pa.array(facts.column("row").to_numpy() - first)).cast(pa.int64())
+    known = facts.column("doc_id").combine_chunks()
+    if here.null_count != known.null_count or not here.equals(known):
+        raise RuntimeError("the table was split differently from the scan that made the facts")
+
+
 class SideReader:
     """The facts of the current partition, as one table sorted by row; ``of`` gives those of some rows."""
 

@@ -24,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,11 +102,13 @@ def _anchor_pass(window: int, gram: int, places: bool):
                 if places:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(value.view(np.int64)), pa.array(np.full(len(place), part, np.int32)),
-                         pa.array(first + piece.rows.start + text), pa.array((place - words.first[text]).astype(np.int32))],
-                        ["anchor", "part", "row", "place"],
+                         pa.array(first + piece.rows.start + text),
+                         batch.column("doc_id").slice(piece.rows.start, piece.n).take(pa.array(text)),
+                         pa.array((place - words.first[text]).astype(np.int32))],
+                        ["anchor", "part", "row", "doc_id", "place"],
                     )
                     continue
-                key = (_text_keys(words, hashes)[0] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                key = _text_keys(words, hashes)[0].view(np.int64)
                 order = np.lexsort((value, text))
                 text, value = text[order], value[order]
                 new = np.append(True, (text[1:] != text[:-1]) | (value[1:] != value[:-1]))
@@ -134,6 +135,7 @@ def _segment_pass(folder: str, window: int, gram: int):
                 facts = side.of(at, piece.n)
                 if facts is None:
                     continue
+                sidefiles.same_rows(facts, at, batch.column("doc_id").slice(piece.rows.start, piece.n))
                 words = piece.words()
                 hashes = words.hashes()
                 starts, place, _ = anchors(words, hashes, window, gram)
@@ -187,6 +189,7 @@ def _half_pass(folder: str, window: int, gram: int):
                 facts = side.of(at, piece.n)
                 if facts is None:
                     continue
+                sidefiles.same_rows(facts, at, batch.column("doc_id").slice(piece.rows.start, piece.n))
                 words = piece.words()
                 hashes = words.hashes()
                 others = second_hash(hashes)
@@ -353,13 +356,13 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> str
     )
     # anchors that two different texts hold, or one text at two places
     repeated = (
-        docs.mapInArrow(_anchor_pass(window, gram, False), "anchor long, text int, many boolean")
+        docs.mapInArrow(_anchor_pass(window, gram, False), "anchor long, text long, many boolean")
         .groupBy("anchor").agg(F.min("text").alias("low"), F.max("text").alias("high"), F.max("many").alias("many"))
         .where("low < high or many").select(F.col("anchor").alias("known"))
     )
     repeated = stored(repeated, "rep-anchors")
-    places = docs.mapInArrow(_anchor_pass(window, gram, True), "anchor long, part int, row long, place int")
-    places = places.join(repeated, F.col("anchor") == F.col("known"), "left_semi").select("part", "row", "place")
+    places = docs.mapInArrow(_anchor_pass(window, gram, True), "anchor long, part int, row long, doc_id long, place int")
+    places = places.join(repeated, F.col("anchor") == F.col("known"), "left_semi").select("part", "row", "doc_id", "place")
     places = places.join(copies, ["part", "row"], "left_anti")
     side = sidefiles.write_side(places, "rep-places")
     segments = stored(docs.mapInArrow(_segment_pass(side, window, gram), SEGMENTS), "rep-segments")
@@ -413,10 +416,8 @@ def _judged(piece: Piece, at: int, side: sidefiles.SideReader, doc_ids: pa.Array
     facts = side.of(at, piece.n)
     if facts is None:
         return words, np.zeros(len(words), dtype=bool)
+    sidefiles.same_rows(facts, at, doc_ids)
     text = facts.column("row").to_numpy() - at
-    named = doc_ids.take(pa.array(text))
-    if not pc.all(pc.equal(pc.fill_null(named, -1), pc.fill_null(facts.column("doc_id").combine_chunks(), -1))).as_py():
-        raise RuntimeError("the table was split differently from the scan that judged it")
     start, mask = facts.column("start").to_numpy().astype(np.int64), facts.column("mask").to_numpy()
     whole = start < 0
     begins = [
