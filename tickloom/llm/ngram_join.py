@@ -451,14 +451,16 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     docs = only(docs, doc_id="long", text="string")
     sidefiles.pin_splits(docs.sparkSession)
     (idf,) = count_documents(docs, _words)
-    signed = stored(_signed(docs, idf, percent), "join-signed")
+    wide, path = stored_at(_signed(docs, idf, percent), "join-signed")
+    signed = stored(wide.drop("rare", "bits"), "join-places")
     place = F.shiftleft(F.col("part").cast("long"), 40).bitwiseOR(F.col("row"))
     texts = stored(
-        signed.where("n > 0").groupBy("key1", "key2").agg(
+        wide.where("n > 0").groupBy("key1", "key2").agg(
             F.min(place).alias("id"), F.first("n").alias("n"), F.first("rare").alias("rare"), F.first("bits").alias("bits")
         ),
         "join-texts",
     )
+    remove(docs.sparkSession, path)
     shared, leaders = _buckets(texts, percent)
     here = F.col("bucket") == F.col("key")
     named = texts.select(F.col("key1").alias("k1"), F.col("key2").alias("k2"), "id")
@@ -484,7 +486,7 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         named = named.withColumnRenamed("id", "comp")
     same = (F.col("n") > 0) & (F.col("key1") == F.col("k1")) & (F.col("key2") == F.col("k2"))
     rows = stored(
-        signed.drop("rare", "bits").join(stored(named, "join-named"), same, "left")
+        signed.join(stored(named, "join-named"), same, "left")
         .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", place).alias("comp")),
         "join-rows",
     )
