@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from tests.llm import brute
@@ -85,6 +86,41 @@ def test_large_groups_of_near_copies(spark, tmp_path, monkeypatch):
     _check(spark, tmp_path, rows, parts=4)
 
 
+def test_one_pass_over_strays_that_few_rows_are_near_to(spark, tmp_path, monkeypatch):
+    """Rows that share a rare line and nothing else stay outside their leader's class; all is known after one pass."""
+    passes, links = [], ngram_join._links
+    monkeypatch.setattr(ngram_join, "_links", lambda *args: passes.append(args[-1]) or links(*args))
+    rng = random.Random(8)
+    rows = []
+    for i in range(40):
+        line = [f"seldom{i // 4}x{k}" for k in range(7)]
+        rows.append((i, " ".join(line + [f"v{rng.randrange(30)}" for _ in range(60)])))
+    rows.append((40, rows[3][1] + " tail"))
+    _check(spark, tmp_path, rows)
+    assert len(passes) == 2 and passes[-1] is ngram_join._Nearest
+
+
+def test_strays_with_many_near_rows_wait():
+    few, own = ngram_join.FEW, np.array([7, 9], dtype=np.uint64)
+    for n in (0, 1, few, few + 1, 3 * few):
+        block = ngram_join._Nearest(5)
+        block.add(100, 100, 32, own)
+        found = []
+        for at in range(0, n, 4):
+            m = min(4, n - at)
+            words = np.tile(own, m)
+            words[::2] ^= np.uint64(1) << np.arange(m, dtype=np.uint64) % np.uint64(2)
+            ids = np.arange(at, at + m)
+            classes = np.where(ids == 2, 5, ids)
+            out = block.against(ids, classes, np.full(m, 32), 2 * np.arange(m + 1), words, 85)
+            found += list(zip(*(x.tolist() for x in out)))
+        found += list(zip(*(x.tolist() for x in block.rest())))
+        if n <= few:
+            assert sorted(found) == [(100, i) for i in range(n)]
+        else:
+            assert (100, 100) in found and (100, 2) in found and len(set(found)) >= 3
+
+
 def test_empty(spark, tmp_path):
     _check(spark, tmp_path, [])
     _check(spark, tmp_path, [(1, None), (2, " ")])

@@ -11,9 +11,9 @@ for the others, columns are looked up and overlaps accumulated in exact integers
 Classes need no full product: texts with equal sets are one row, a bucket's leader is its row whose buckets hold most
 others, and each row is first held against the best leader of its buckets. The buckets whose leaders then are of one
 class form a group, and only rows of another class, strays, are held against all rows of the group whose size allows a
-link: first the nearest row of the group's class and the nearest other one by bitmap, which brings most strays home,
-then, for those still outside, every row within the bound. So every two rows of a bucket are in one class or were
-compared.
+link: a stray that few bitmaps are near to meets all those rows at once, another first the nearest row of the group's class
+and the nearest other one, which brings most home, then, if it is still outside, every row within the bound. So every
+two rows of a bucket are in one class or were compared.
 """
 
 from __future__ import annotations
@@ -40,6 +40,8 @@ BITS = 4
 """Bits of a bitmap for each shingle: the more, the fewer differences fall together."""
 STAR_BLOCK = 2048
 """Sets that are streamed past one set in one place."""
+FEW = 8
+"""Near bitmaps up to which a stray meets all of them in the first pass."""
 _CELLS = 1 << 20
 _SECOND = np.uint64(0x9FB21C651E98DF25)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -209,7 +211,8 @@ class _Bits:
 
 
 class _Nearest(_Bits):
-    """Of each row held, only the nearest row of the group's class and the nearest other one pass."""
+    """All pairs of a row held pass if they are at most FEW; else at least those with the nearest row of the group's
+    class and the nearest other one, and the row with itself, a sign that it is not done."""
 
     def __init__(self, group: int):
         super().__init__(group)
@@ -218,19 +221,24 @@ class _Nearest(_Bits):
     def _passed(self, held, ids, classes, far):
         if self.best is None:
             self.best, self.who = np.full((2, len(self.ids)), np.inf), np.zeros((2, len(self.ids)), dtype=np.int64)
+            self.seen = np.zeros(len(self.ids), dtype=np.int64)
+        self.seen += np.bincount(held, minlength=len(self.seen))
         for kind in (0, 1):
             here = np.flatnonzero((classes == self.group) == (kind == 0))
             here = here[np.argsort(far[here], kind="stable")]
             row, first = np.unique(held[here], return_index=True)
             take = here[first][far[here[first]] < self.best[kind, row]]
             self.best[kind, held[take]], self.who[kind, held[take]] = far[take], ids[take]
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        few = self.seen[held] <= FEW
+        return self.held[0][held[few]], ids[few]
 
     def rest(self):
         if self.best is None:
             return super().rest()
-        kind, row = np.nonzero(np.isfinite(self.best))
-        return self.held[0][row], self.who[kind, row]
+        more = self.seen > FEW
+        kind, row = np.nonzero(np.isfinite(self.best) & more)
+        held = self.held[0]
+        return np.append(held[row], held[more]), np.append(self.who[kind, row], held[more])
 
 
 def _tables(widths: np.ndarray, words: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -362,7 +370,7 @@ def _stars(pairs: DataFrame) -> DataFrame:
 def _strays(placed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Rows for a product of strays with all members of their group whose size is in reach.
 
-    ``placed``: leader (the group's class), id, class. A slice holds the strays of similar size, its logarithm over two
+    ``placed``: leader (the group's class), id, class, stray. A slice holds the strays of similar size, its logarithm over two
     links' reach, and a member comes to the one or two slices that hold every size that it can link with.
     """
     size = F.log("n") / float(np.log(100 / percent))
@@ -372,12 +380,12 @@ def _strays(placed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     sized = stored(
         placed.join(texts.select(F.col("id").alias("i"), "n"), F.col("id") == F.col("i")).select(
-            "leader", "id", "class", slice_of(0).alias("slice"),
+            "leader", "id", "class", "stray", slice_of(0).alias("slice"),
             F.array_distinct(F.array(slice_of(-1.000001), slice_of(1.000001))).alias("near"),
         ),
         "join-sized",
     )
-    astray = sized.where("class <> leader")
+    astray = sized.where("stray")
     wanted = astray.groupBy("leader", "slice").agg(F.count("*").alias("s"))
     right = sized.select("leader", F.explode("near").alias("slice"), "id", "class")
     counts = right.groupBy("leader", "slice").agg(F.count("*").alias("m"))
@@ -401,15 +409,17 @@ def _strays(placed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return left.unionByName(right)
 
 
-def _links(docs: DataFrame, texts: DataFrame, rows: DataFrame, percent: int, block: type = _Bits) -> DataFrame:
-    """The links (a, b) among the pairs of the rows: bitmaps first, then the product of what they leave."""
+def _links(docs: DataFrame, texts: DataFrame, rows: DataFrame, percent: int, block: type = _Bits) -> tuple[DataFrame, DataFrame]:
+    """The links (a, b) among the pairs of the rows: bitmaps first, then the product of what they leave; and the rows
+    (id) that ``block`` has not done with."""
     bits = texts.select("id", "n", F.col("bits").alias("body"))
-    pairs = stored(_product(rows, bits, block, percent).distinct(), "join-pairs")
+    found = stored(_product(rows, bits, block, percent).distinct(), "join-pairs")
+    pairs, waiting = found.where("a <> b"), found.where("a = b").select(F.col("a").alias("id"))
     wanted = pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct()
     sets, path = _sets(docs, texts.select("id", "key1").join(wanted, F.col("id") == F.col("w")).select("id", "key1"))
     links = stored(_product(_stars(pairs), sets, _Rows, percent), "join-links")
     remove(docs.sparkSession, path)
-    return links
+    return links, waiting
 
 
 def _buckets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -432,11 +442,28 @@ def _buckets(texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return famed.select("bucket", "id"), leaders
 
 
-def _placed(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """leader (the class of the group), id, class as the labels are now; groups: leader, id."""
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels (id, comp, the least id of the class) once links (a, b) join classes; only those take part."""
+    one, other = (labels.select(F.col("id").alias(end), F.col("comp").alias(c)) for end, c in (("a", "one"), ("b", "other")))
+    ends = links.join(one, "a").join(other, "b").where("one <> other")
+    ends = stored(ends.select(F.col("one").alias("a"), F.col("other").alias("b")), "join-ends")
+    if ends.isEmpty():
+        return labels
+    now = components(ends.select("a").union(ends.select("b")).distinct().toDF("id"), ends)
+    now = now.select(F.col("id").alias("was"), F.col("comp").alias("now"))
+    named = labels.join(now, F.col("comp") == F.col("was"), "left")
+    return stored(named.select("id", F.coalesce("now", "comp").alias("comp")), "join-merged")
+
+
+def _placed(groups: DataFrame, labels: DataFrame, waiting: DataFrame) -> DataFrame:
+    """leader (the class of the group), id, class as the labels are now, stray; groups: leader, id. A stray is a row of
+    another class that is among the ``waiting`` (id)."""
     mains = labels.select(F.col("id").alias("leader"), F.col("comp").alias("main"))
     now = groups.join(mains, "leader").select(F.col("main").alias("leader"), "id").distinct()
-    return stored(now.join(labels.withColumnRenamed("comp", "class"), "id"), "join-classed")
+    waits = waiting.select(F.col("id").alias("w")).distinct()
+    classed = labels.join(waits, F.col("id") == F.col("w"), "left").select("id", F.col("comp").alias("class"), "w")
+    astray = (F.col("class") != F.col("leader")) & F.col("w").isNotNull()
+    return stored(now.join(classed, "id").select("leader", "id", "class", astray.alias("stray")), "join-classed")
 
 
 def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -469,17 +496,20 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         firsts = shared.join(leaders, here).groupBy("id").agg(best)
         firsts = stored(firsts.select((-F.col("best.less")).alias("a"), F.col("id").alias("b")), "join-firsts")
         ids = firsts.select(F.col("b").alias("id"))
-        links = _links(docs, texts, _stars(firsts.where("a <> b")), percent)
-        labels = components(ids, links)
+        links, _ = _links(docs, texts, _stars(firsts.where("a <> b")), percent)
+        labels = _merged(ids.select("id", F.col("id").alias("comp")), links)
         mains = labels.select(F.col("id").alias("leader"), F.col("comp").alias("main"))
         mains = stored(leaders.join(mains, "leader").select("key", F.col("main").alias("leader")), "join-mains")
         groups = stored(shared.join(mains, here).select("leader", "id").distinct(), "join-groups")
+        waiting = ids
         for block in (_Nearest, _Bits):
-            placed = _placed(groups, labels)
-            if placed.where("class <> leader").isEmpty():
+            placed = _placed(groups, labels, waiting)
+            if placed.where("stray").isEmpty():
+                break
+            links, waiting = _links(docs, texts, _strays(placed, texts, percent), percent, block)
+            labels = _merged(labels, links)
+            if waiting.isEmpty():
                 break
-            links = links.union(_links(docs, texts, _strays(placed, texts, percent), percent, block))
-            labels = components(ids, links)
         comps = labels.select(F.col("id").alias("i"), "comp")
         named = named.join(comps, F.col("id") == F.col("i"), "left").select("k1", "k2", F.coalesce("comp", "id").alias("comp"))
     else:
