@@ -87,6 +87,30 @@ def test_rare_pairs_in_marked_slots_change_nothing(spark, monkeypatch):
     assert _got(collocations.collocations(docs, 9))[0] == plain == _brute(rows, 9, 2000)
 
 
+def test_only_frequent_pairs_and_triples_are_marked(spark):
+    """Counts of one slot come together from all tasks, also above what a byte holds; rare phrases make no edges."""
+    rng = random.Random(9)
+    line = "one two three"
+    rows = [("en", " ".join(rng.choice("abcdef") for _ in range(40)) + ", " + line) for _ in range(400)]
+    docs = spark.createDataFrame(rows + [(None, line)], "lang string, text string").repartition(5)
+    found = Counter()
+    for _, text in rows:
+        for piece in text.split(","):
+            words = piece.split()
+            for size in (2, 3):
+                found.update(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+    for least in (300, 400, 401):
+        pairs = collocations.frequent_pairs(docs, least)
+        triples = collocations.frequent_triples(docs, least, pairs)
+        for size, marks in ((2, pairs), (3, triples)):
+            assert int(collocations.np.bitwise_count(marks).sum()) == sum(n >= least for k, n in found.items() if len(k) == size)
+        edges = collocations.edges(docs, pairs, triples).where("lang = 'en'").collect()
+        assert sum(r.n for r in edges) == sum(n for k, n in found.items() if len(k) == 2 and n >= least)
+        long = [r for r in edges if r.w3]
+        assert sum(r.n for r in long) == sum(n for k, n in found.items() if len(k) == 3 and n >= least)
+        assert len(edges) == sum(n >= least for k, n in found.items() if len(k) == 2)
+
+
 def test_empty(spark):
     assert collocations.collocations(spark.createDataFrame([], "lang string, text string")).collect() == []
     assert collocations.collocations(spark.createDataFrame([(None, None)], "lang string, text string")).collect() == []

@@ -8,13 +8,15 @@ with them plus the ends of two words. Unary paths, on which node after node pass
 compacted into passages: their inner nodes have the weight of the path and lie inside longer phrases by definition.
 
 No phrase of MIN_COUNT can span two words that stand side by side less often, so pieces are also cut there: pairs are
-counted first, and a bitmap of fixed size marks the slots of frequent pairs. A rare pair that falls into a marked slot
-stays, which costs work but changes no count. Words are 64-bit hashes until the phrases are ranked.
+counted first, and a bitmap of fixed size marks the slots of frequent pairs. What is left of three words is counted and
+marked likewise, and an edge goes no further than marked triples do. Both counts are of 40 bits of a hash, moved as
+packed lists. A rare pair or triple that falls into a marked slot stays, which costs work but changes no count. Words
+are 64-bit hashes until the phrases are ranked.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +34,13 @@ INSIDE = 80
 SCALE = 2_000_000
 TOP = 2000
 PAIR_SLOTS = 1 << 23
+"""Slots of a bitmap of pairs or of triples."""
 NO_LANG = "und"
 
-_CHUNK = 1 << 15
+_CHUNK = 1 << 11
+"""Slots whose counts come to one place."""
+_MORE_BITS = 17
+"""Bits of a hash besides its slot by which counts are told apart."""
 _KEPT = 1 << 21
 _MARKS = byte_table(b".,;:!?\n\x0b\x0c\r")
 _WORD = ~byte_table(b" \t.,;:!?\n\x0b\x0c\r")
@@ -127,9 +133,12 @@ def _word_rows(counts: dict) -> pa.RecordBatch:
     )
 
 
-def frequent_pairs(docs: DataFrame, min_count: int) -> np.ndarray:
-    """Flags, packed, of the slots of word pairs that stand side by side at least ``min_count`` times in a language:
-    PAIR_SLOTS bits, however large the corpus."""
+def _frequent(docs: DataFrame, grams: Callable[[Words, np.ndarray, np.ndarray, np.ndarray], np.ndarray], min_count: int) -> np.ndarray:
+    """Flags, packed, of the slots of the grams that occur at least ``min_count`` times: PAIR_SLOTS bits, however large
+    the corpus. ``grams`` gives the hashes of those of a piece, from its words, their hashes, language and follows."""
+    slot_bits = PAIR_SLOTS.bit_length() - 1
+    rest = _MORE_BITS + _CHUNK.bit_length() - 1
+    kind = np.min_scalar_type(min_count)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums()
@@ -138,44 +147,102 @@ def frequent_pairs(docs: DataFrame, min_count: int) -> np.ndarray:
             of = _lang_hashes(names) if names else np.zeros(0, np.uint64)
             for piece in pieces(batch.column("text")):
                 _, words, hashes, follows = _read(piece)
-                at = np.flatnonzero(follows)
-                sums.add(_pair_hashes(of[codes[piece.rows][words.text_of()[at]]], hashes[at], hashes[at + 1]))
+                h = grams(words, hashes, of[codes[piece.rows][words.text_of()]], follows)
+                slot, more = h & np.uint64(PAIR_SLOTS - 1), (h >> np.uint64(slot_bits)) & np.uint64((1 << _MORE_BITS) - 1)
+                sums.add((slot << np.uint64(_MORE_BITS)) | more)
                 if sums.size > _KEPT:
-                    yield _pair_rows(*sums.flush())
+                    yield packed(*sums.flush())
         if sums.size:
-            yield _pair_rows(*sums.flush())
+            yield packed(*sums.flush())
+
+    def packed(keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        chunks, at = np.unique(keys >> np.uint64(rest), return_index=True)
+        edges = [*at.tolist(), len(keys)]
+        low, n = (keys & np.uint64((1 << rest) - 1)).astype(np.uint32), np.minimum(n, min_count).astype(kind)
+        spans = list(zip(edges, edges[1:]))
+        # byte by byte of all numbers, as the high bytes of sorted numbers hardly differ
+        lists = [low[a:b].view(np.uint8).reshape(-1, 4).T.tobytes() for a, b in spans], [n[a:b].tobytes() for a, b in spans]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(chunks.astype(np.int32)), *(pa.array(x, pa.binary()) for x in lists)], ["chunk", "low", "n"]
+        )
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits: dict[int, np.ndarray] = {}
+        now, held = None, []
         for batch in batches:
-            for slot in batch.column("slot").to_numpy().tolist():
-                bits.setdefault(slot // _CHUNK, np.zeros(_CHUNK, dtype=bool))[slot % _CHUNK] = True
-        for chunk, flags in bits.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk], pa.int32()), pa.array([np.packbits(flags).tobytes()], pa.binary())], ["chunk", "bits"]
-            )
-
-    counted = docs.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    slots = counted.where(F.col("n") >= min_count).select(
-        F.col("pair").bitwiseAND(PAIR_SLOTS - 1).alias("slot"), F.shiftright(F.col("pair").bitwiseAND(PAIR_SLOTS - 1), 15).alias("chunk")
-    ).distinct()
+            for chunk, *lists in zip(*(batch.column(c).to_pylist() for c in ("chunk", "low", "n"))):
+                if chunk != now and held:
+                    yield flags(now, held)
+                    held = []
+                now = chunk
+                held.append(lists)
+        if held:
+            yield flags(now, held)
+
+    def flags(chunk: int, held: list) -> pa.RecordBatch:
+        low = np.concatenate([np.frombuffer(x, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel() for x, _ in held])
+        n = np.concatenate([np.frombuffer(x, kind) for _, x in held]).astype(np.int64)
+        order = np.argsort(low)
+        low, n = low[order], n[order]
+        first = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+        bits = np.zeros(_CHUNK, dtype=bool)
+        bits[low[first][np.add.reduceat(n, first) >= min_count] >> _MORE_BITS] = True
+        return pa.RecordBatch.from_arrays(
+            [pa.array([chunk], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())], ["chunk", "bits"]
+        )
+
+    counts = docs.mapInArrow(run, "chunk int, low binary, n binary").repartition("chunk").sortWithinPartitions("chunk")
     marked = np.zeros(PAIR_SLOTS // 8, dtype=np.uint8)
-    for chunk, bits in slots.repartition("chunk").mapInArrow(merge, "chunk int, bits binary").collect():
-        marked[chunk * (_CHUNK // 8) : (chunk + 1) * (_CHUNK // 8)] |= np.frombuffer(bits, dtype=np.uint8)
+    for chunk, bits in counts.mapInArrow(merge, "chunk int, bits binary").collect():
+        marked[chunk * (_CHUNK // 8) : (chunk + 1) * (_CHUNK // 8)] = np.frombuffer(bits, dtype=np.uint8)
     return marked
 
 
-def _pair_rows(pairs: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(n.astype(np.int64))], ["pair", "n"])
+def frequent_pairs(docs: DataFrame, min_count: int) -> np.ndarray:
+    """Flags of the slots of word pairs that stand side by side at least ``min_count`` times in a language."""
+
+    def grams(words: Words, hashes: np.ndarray, lang: np.ndarray, follows: np.ndarray) -> np.ndarray:
+        at = np.flatnonzero(follows)
+        return _pair_hashes(lang[at], hashes[at], hashes[at + 1])
+
+    return _frequent(docs, grams, min_count)
+
+
+def frequent_triples(docs: DataFrame, min_count: int, marked: np.ndarray) -> np.ndarray:
+    """As ``frequent_pairs``, of three words in a row whose pairs are both marked."""
+
+    def grams(words: Words, hashes: np.ndarray, lang: np.ndarray, follows: np.ndarray) -> np.ndarray:
+        return _triples(hashes, lang, _linked(hashes, lang, follows, marked))[1]
+
+    return _frequent(docs, grams, min_count)
+
+
+def _is_marked(marked: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    slot = (hashes & np.uint64(PAIR_SLOTS - 1)).astype(np.int64)
+    return (marked[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _linked(hashes: np.ndarray, lang: np.ndarray, follows: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    """Flags of the words that start a marked pair."""
+    at = np.flatnonzero(follows)
+    linked = np.zeros(len(hashes), dtype=bool)
+    linked[at] = _is_marked(marked, _pair_hashes(lang[at], hashes[at], hashes[at + 1]))
+    return linked
+
+
+def _triples(hashes: np.ndarray, lang: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words from which two linked pairs go on, and the hashes of their three words."""
+    at = np.flatnonzero(linked[:-1] & linked[1:])
+    return at, mix(_pair_hashes(lang[at], hashes[at], hashes[at + 1]) + hashes[at + 2])
 
 
 _WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
 
 
-def edges(docs: DataFrame, marked: np.ndarray) -> DataFrame:
+def edges(docs: DataFrame, marked: np.ndarray, triples: np.ndarray) -> DataFrame:
     """lang, w1 .. w4, n: the edges and, with 0 for the words that are not there, the piece ends of two or three words.
 
-    Every place from which a frequent pair starts counts in exactly one row. ``marked``: see ``frequent_pairs``.
+    Every place from which a frequent pair starts counts in exactly one row; the third and the fourth word are there if
+    the triples that end with them are marked. ``marked``, ``triples``: see ``frequent_pairs``, ``frequent_triples``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,17 +252,17 @@ def edges(docs: DataFrame, marked: np.ndarray) -> DataFrame:
             for piece in pieces(batch.column("text")):
                 _, words, hashes, follows = _read(piece)
                 lang = codes[piece.rows][words.text_of()]
-                at = np.flatnonzero(follows)
-                slot = (_pair_hashes(of[lang[at]], hashes[at], hashes[at + 1]) & np.uint64(PAIR_SLOTS - 1)).astype(np.int64)
-                linked = np.zeros(len(words) + LONGEST, dtype=bool)
-                linked[at] = marked[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8) & 1
+                linked = _linked(hashes, of[lang], follows, marked)
                 start = np.flatnonzero(linked)
                 if not len(start):
                     continue
+                at, three = _triples(hashes, of[lang], linked)
+                goes_on = np.zeros(len(words) + LONGEST, dtype=bool)
+                goes_on[at] = _is_marked(triples, three)
                 padded = np.append(hashes, np.zeros(LONGEST, dtype=np.uint64))
-                columns, open_ = [padded[start]], np.ones(len(start), dtype=bool)
-                for i in range(1, LONGEST):
-                    open_ &= linked[start + i - 1]
+                columns, open_ = [padded[start], padded[start + 1]], np.ones(len(start), dtype=bool)
+                for i in range(2, LONGEST):
+                    open_ &= goes_on[start + i - 2]
                     columns.append(np.where(open_, padded[start + i], _EMPTY))
                 key = lang[start].astype(np.uint64)
                 for column in columns:
@@ -296,7 +363,8 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) ->
     every = stored(count_words(docs), "graph-words")
     totals = every.groupBy("lang").agg(F.sum("n").alias("n"))
     words = stored(every.where(F.col("n") >= min_count), "graph-frequent")
-    found = stored(edges(docs, frequent_pairs(docs, min_count)), "graph-edges")
+    marked = frequent_pairs(docs, min_count)
+    found = stored(edges(docs, marked, frequent_triples(docs, min_count, marked)), "graph-edges")
     quads, triples, pairs = (stored(flow, "graph-phrases") for flow in _flows(found, min_count))
     single = words.select("lang", F.array("hash").alias("words"), F.col("n").alias("a"))
     counts = stored(single.unionByName(pairs).unionByName(triples), "graph-counts")
