@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.numeric import fixed
 from tickloom.operators.indicators import FEATURES, feature_table, training_rows
 from tickloom.operators.series import TickSeries, one_block
+from tickloom.plans import boosting
 from tickloom.plans.serve import enough_or_history
 from tickloom.schema import symbol_dim
 from tickloom.session import add_file, children, file_names, read_file, stored
@@ -26,6 +27,8 @@ FOREST_DEPTH = 10
 SEED = 42
 MIN_ROWS = 25
 SCORED_ROWS = 60
+# From so many rows on boosting goes over packed blocks; fewer fit the executors as Spark's objects, which is quicker.
+PACKED_ROWS = 2_000_000
 
 
 def time_split(series: TickSeries, rows: DataFrame, train_share: float = 0.8) -> DataFrame:
@@ -64,8 +67,14 @@ def ensemble(trees: int = TREES) -> Pipeline:
 
 
 def train(rows: DataFrame, trees: int = TREES) -> PipelineModel:
+    """Fit the stages of ``ensemble`` in turn."""
     columns = [F.col(c).cast("double") for c in FEATURES]
-    return ensemble(trees).fit(rows.select(*columns, F.col("label").cast("double").alias("label")))
+    points = rows.select(*columns, F.col("label").cast("double").alias("label"))
+    assembler, booster, forest = ensemble(trees).getStages()
+    vectors = assembler.transform(points)
+    many = points.count() >= PACKED_ROWS
+    boosted = boosting.fit(booster, vectors, list(FEATURES)) if many else booster.fit(vectors)
+    return PipelineModel([assembler, boosted, forest.fit(boosted.transform(vectors))])
 
 
 def soft_vote(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -135,10 +144,15 @@ def load_bundle(spark: SparkSession, folder: str, version: int | None = None) ->
     return Bundle(PipelineModel.load(f"{path}/model"), card)
 
 
-def train_bundle(series: TickSeries, folder: str, trees: int = TREES, shuffled: bool = False) -> Bundle:
-    """Train on the first part of every history (or on a random part), hold out the rest, store model and scores."""
+def train_bundle(
+    series: TickSeries, folder: str, trees: int = TREES, shuffled: bool = False, rows: DataFrame | None = None
+) -> Bundle:
+    """Train on the first part of every history (or on a random part), hold out the rest, store model and scores.
+
+    ``rows``: the stored ``labelled_rows`` of the series, if there are any yet.
+    """
     spark = series.table.sparkSession
-    rows = stored(labelled_rows(series), "labelled")
+    rows = stored(labelled_rows(series), "labelled") if rows is None else rows
     if shuffled:
         fit, held = random_split(rows.drop("split"))
     else:

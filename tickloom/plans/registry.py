@@ -463,7 +463,7 @@ def _labelled(s: TickSeries) -> DataFrame:
 
 
 def _bundle(s: TickSeries) -> model.Bundle:
-    return _one(s, "model", lambda: model.train_bundle(s, new_folder(_spark(s), "models")))
+    return _one(s, "model", lambda: model.train_bundle(s, new_folder(_spark(s), "models"), rows=_labelled(s)))
 
 
 query("ml_train_eval")(lambda s: model.evaluation(model.soft_vote(_bundle(s).model, _labelled(s).where("split = 'test'"))))
