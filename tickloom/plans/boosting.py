@@ -30,6 +30,16 @@ PACKED = "part int, block int, codes binary, sign binary, score binary"
 PURE = float(np.finfo(float).eps)
 
 
+@dataclass(frozen=True)
+class Points:
+    """Packed training rows: ``table`` has a row a block, ``path`` is where it is stored."""
+
+    table: DataFrame
+    path: str
+    thresholds: list[np.ndarray]
+    bits: int
+
+
 @dataclass
 class Node:
     """Count, sum and sum of squares of the targets; ``impurity`` is -1 where no split of a node was allowed."""
@@ -115,7 +125,7 @@ def bits_for(thresholds: list[np.ndarray]) -> int:
 
 def pack(rows: DataFrame, names: list[str], label: str, thresholds: list[np.ndarray]) -> DataFrame:
     """Blocks of bin numbers (bin k holds values above threshold k - 1, up to threshold k), in the order of the rows."""
-    bits = bits_for(thresholds)
+    bits, most = bits_for(thresholds), BLOCK
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, held, waiting = TaskContext.get().partitionId(), 0, 0, []
@@ -135,7 +145,7 @@ def pack(rows: DataFrame, names: list[str], label: str, thresholds: list[np.ndar
             sign = (batch.column(label).to_numpy(zero_copy_only=False) * 2 - 1).astype(np.int8)
             waiting.append((codes, sign))
             held += batch.num_rows
-            if held >= BLOCK:
+            if held >= most:
                 yield made()
                 block, held, waiting = block + 1, 0, []
         if held:
@@ -252,17 +262,17 @@ def thresholds_of(booster: GBTClassifier, rows: DataFrame) -> list[np.ndarray]:
     return [np.array([s.threshold() for s in each]) for each in splits]
 
 
-def _doubles(jvm, values):
+def doubles(jvm, values) -> object:
+    """A Java array, handed over as a whole."""
     made = jvm.java.lang.reflect.Array.newInstance(jvm.java.lang.Double.TYPE, len(values))
-    for i, value in enumerate(values):
-        made[i] = float(value)
+    jvm.java.nio.ByteBuffer.wrap(np.asarray(values, dtype=">f8").tobytes()).asDoubleBuffer().get(made)
     return made
 
 
 def _spark_node(jvm, tree: Tree, k: int, thresholds: list[np.ndarray]):
     """(Spark's node, its prediction if it is a leaf); two leaves that predict the same become one."""
     ml, node = jvm.org.apache.spark.ml.tree, tree.nodes[k]
-    stats = _doubles(jvm, node.sums)
+    stats = doubles(jvm, node.sums)
     calculator = jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator(stats, int(node.sums[0]))
     if tree.is_leaf(k):
         return ml.LeafNode(node.value, node.impurity, calculator), node.value
@@ -280,26 +290,33 @@ def spark_model(booster: GBTClassifier, trees: list[tuple[Tree, float]], thresho
     made = gateway.new_array(regression, len(trees))
     for i, (tree, _) in enumerate(trees):
         made[i] = regression(_spark_node(jvm, tree, 1, thresholds)[0], len(thresholds))
-    steps = _doubles(jvm, [weight for _, weight in trees])
+    steps = doubles(jvm, [weight for _, weight in trees])
     java = jvm.org.apache.spark.ml.classification.GBTClassificationModel(booster.uid, made, steps, len(thresholds), 2)
     return booster._copyValues(GBTClassificationModel(java))
 
 
-def fit(booster: GBTClassifier, rows: DataFrame, names: list[str]) -> GBTClassificationModel:
-    """As ``booster.fit(rows)``; ``names`` are the columns the vector was made of, ``rows`` still has them."""
-    spark = rows.sparkSession
+def points_of(booster: GBTClassifier, rows: DataFrame, names: list[str]) -> Points:
+    """Rows with their vector, and the columns (``names``) it was made of, as stored blocks."""
     thresholds = thresholds_of(booster, rows)
-    sizes, bits = [len(t) for t in thresholds], bits_for(thresholds)
-    packed, path = stored_at(pack(rows, names, booster.getLabelCol(), thresholds), "packed")
-    trees, fresh = [], []
+    return Points(*stored_at(pack(rows, names, booster.getLabelCol(), thresholds), "packed"), thresholds, bits_for(thresholds))
+
+
+def fit(booster: GBTClassifier, points: Points) -> GBTClassificationModel:
+    """As ``booster.fit`` of the rows that were packed."""
+    spark, packed, bits = points.table.sparkSession, points.table, points.bits
+    sizes = [len(t) for t in points.thresholds]
+    trees, fresh, path = [], [], None
     for number in range(booster.getMaxIter()):
         blocks = with_trees(packed, fresh, bits).persist(StorageLevel.MEMORY_AND_DISK)
         trees.append((grow(blocks, sizes, bits, booster.getMaxDepth(), number == 0), booster.getStepSize() if number else 1.0))
         blocks.unpersist()
         fresh.append(trees[-1])
         if len(fresh) == STORED_EVERY:
-            scored, used = stored_at(blocks_table(with_trees(packed, fresh, bits)), "packed")
-            remove(spark, path)
-            packed, path, fresh = scored, used, []
-    remove(spark, path)
-    return spark_model(booster, trees, thresholds, spark)
+            before = path
+            packed, path = stored_at(blocks_table(with_trees(packed, fresh, bits)), "packed")
+            fresh = []
+            if before:
+                remove(spark, before)
+    if path:
+        remove(spark, path)
+    return spark_model(booster, trees, points.thresholds, spark)

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from tickloom.functions.numeric import fixed
 from tickloom.operators.indicators import FEATURES, feature_table, training_rows
 from tickloom.operators.series import TickSeries, one_block
-from tickloom.plans import boosting
+from tickloom.plans import boosting, forest as packed_forest
 from tickloom.plans.serve import enough_or_history
 from tickloom.schema import symbol_dim
-from tickloom.session import add_file, children, file_names, read_file, stored
+from tickloom.session import add_file, children, file_names, read_file, remove, stored
 
 # Ensemble settings, rows needed before a symbol is scored.
 TREES = 50
@@ -27,7 +27,7 @@ FOREST_DEPTH = 10
 SEED = 42
 MIN_ROWS = 25
 SCORED_ROWS = 60
-# From so many rows on boosting goes over packed blocks; fewer fit the executors as Spark's objects, which is quicker.
+# From so many rows on both train on packed blocks; fewer fit the executors as Spark's objects, which is quicker.
 PACKED_ROWS = 2_000_000
 
 
@@ -72,9 +72,13 @@ def train(rows: DataFrame, trees: int = TREES) -> PipelineModel:
     points = rows.select(*columns, F.col("label").cast("double").alias("label"))
     assembler, booster, forest = ensemble(trees).getStages()
     vectors = assembler.transform(points)
-    many = points.count() >= PACKED_ROWS
-    boosted = boosting.fit(booster, vectors, list(FEATURES)) if many else booster.fit(vectors)
-    return PipelineModel([assembler, boosted, forest.fit(boosted.transform(vectors))])
+    if points.count() < PACKED_ROWS:
+        boosted = booster.fit(vectors)
+        return PipelineModel([assembler, boosted, forest.fit(boosted.transform(vectors))])
+    packed = boosting.points_of(booster, vectors, list(FEATURES))  # both have the same bins and seed
+    models = [boosting.fit(booster, packed), packed_forest.fit(forest, packed)]
+    remove(rows.sparkSession, packed.path)
+    return PipelineModel([assembler, *models])
 
 
 def soft_vote(model: PipelineModel, rows: DataFrame) -> DataFrame:
