@@ -41,13 +41,16 @@ def outline(fitted):
     return NUMBER.sub("#", text), [float(v) for v in NUMBER.findall(text)]
 
 
-@pytest.mark.parametrize("every", [boosting.STORED_EVERY, 2])
-def test_packed_boosting_grows_the_trees_of_spark(spark, monkeypatch, small_blocks, every):
+@pytest.mark.parametrize(("every", "sums"), [(boosting.STORED_EVERY, boosting.TO_DRIVER), (2, 1)])
+def test_packed_boosting_grows_the_trees_of_spark(spark, monkeypatch, small_blocks, every, sums):
     monkeypatch.setattr(boosting, "STORED_EVERY", every)
+    monkeypatch.setattr(boosting, "TO_DRIVER", sums)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 27))  # a task a file
     monkeypatch.setattr(model, "BOOST_DEPTH", 3)  # nodes of few rows have equally good splits, which rounding decides
     assembler, booster, _ = model.ensemble(5).getStages()
     vectors = assembler.transform(points(spark, 3000))
     want, got = booster.fit(vectors), packed(booster, vectors)
+    spark.conf.unset("spark.sql.files.openCostInBytes")
     (shape, values), (own_shape, own_values) = outline(want), outline(got)
     assert own_shape == shape and own_values == pytest.approx(values, abs=1e-9)
     assert got.treeWeights == want.treeWeights and got.uid == want.uid

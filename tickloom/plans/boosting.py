@@ -3,7 +3,7 @@
 Spark's own trainer keeps every row as objects of about 230 bytes and goes over them once per tree and level; rows that
 do not fit are written out and parsed again each time. Here a row is one byte a feature (the number of its bin), a sign
 and a score, in blocks that numpy adds up. A pass streams the blocks, so a task holds one block and the sums of one
-level, whatever the length of the history, and sends the driver one set of sums.
+level, whatever the length of the history, and the driver gets a bounded number of such sums.
 
 The trees are those of ``GBTClassifier`` but for rounding: Spark finds the thresholds, and gains, ties and leaves follow
 its rules.
@@ -11,7 +11,7 @@ its rules.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -25,6 +25,8 @@ from tickloom.session import remove, stored_at
 BLOCK = 131_072
 # trees after which the scores are stored, so that a lost executor costs a few trees at most
 STORED_EVERY = 10
+# sums that reach the driver in a pass; those of more tasks meet in groups before
+TO_DRIVER = 64
 PACKED = "part int, block int, codes binary, sign binary, score binary"
 # Spark takes a node of less impurity as pure
 PURE = float(np.finfo(float).eps)
@@ -178,6 +180,11 @@ def blocks_table(blocks: RDD) -> DataFrame:
     return blocks.map(lambda b: (*b[:2], *(bytearray(x.tobytes()) for x in b[2:]))).toDF(PACKED)
 
 
+def _total(found: Iterable[tuple], start=0.0) -> np.ndarray:
+    """Sums added up in the order of the rows, so equal runs give equal trees."""
+    return sum((sums for _, sums in sorted(found, key=lambda x: x[0])), start)
+
+
 def level_sums(blocks: RDD, tree: Tree, open_nodes: list[int], features: int, bits: int, first: bool) -> np.ndarray:
     """Count, sum and sum of squares of the targets by [3, feature, open node, bin].
 
@@ -210,9 +217,11 @@ def level_sums(blocks: RDD, tree: Tree, open_nodes: list[int], features: int, bi
             each = np.stack([by_pair.sum(axis=4), by_pair.sum(axis=3)], axis=2).reshape(3, 2 * pairs, count, width)
             yield begins, each[:, :features]
 
-    # added up in the order of the rows, so equal runs give equal trees
-    found = sorted(blocks.mapPartitions(added).collect(), key=lambda x: x[0])
-    return sum((sums for _, sums in found), np.zeros((3, features, count, width)))
+    found, groups = blocks.mapPartitions(added), TO_DRIVER
+    if blocks.getNumPartitions() > groups:
+        grouped = found.keyBy(lambda x: x[0][0] % groups).groupByKey(groups)
+        found = grouped.map(lambda g: (g[0], _total(g[1])))
+    return _total(found.collect(), np.zeros((3, features, count, width)))
 
 
 def grow(blocks: RDD, sizes: list[int], bits: int, depth: int, first: bool) -> Tree:
