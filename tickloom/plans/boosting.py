@@ -1,9 +1,9 @@
 """Gradient boosting over packed rows, for histories that executors cannot hold as objects.
 
-Spark's own trainer keeps every row as objects of about 230 bytes and goes over them once per tree and level; rows that
-do not fit are written out and parsed again each time. Here a row is one byte a feature (the number of its bin), a sign
-and a score, in blocks that numpy adds up. A pass streams the blocks, so a task holds one block and the sums of one
-level, whatever the length of the history, and the driver gets a bounded number of such sums.
+Spark's own trainer keeps every row as objects of some 230 bytes (by their fields) and goes over them once per tree and
+level; rows that do not fit are written out and parsed again each time. Here a row is one byte a feature (the number of
+its bin), a sign and a score, in blocks that numpy adds up. A pass streams the blocks, so a task holds one block and the
+sums of one level, whatever the length of the history, and the driver gets a bounded number of such sums.
 
 The trees are those of ``GBTClassifier`` but for rounding: Spark finds the thresholds, and gains, ties and leaves follow
 its rules.
